@@ -30,7 +30,7 @@ RULE_HOURS_AGO = r"(\d+)" + _S + "小时前"
 
 
 def _grp(s: Column, pattern: str, i: int) -> Column:
-    return F.regexp_extract(s, F.lit(pattern), i).try_cast("int")
+    return F.regexp_extract(s, pattern, i).try_cast("int")
 
 
 def _ts(y, m, d, h, mi) -> Column:
@@ -42,8 +42,8 @@ def parse_feed_time(text, ref_ts) -> Column:
     s = F.col(text) if isinstance(text, str) else text
     ref = (F.col(ref_ts) if isinstance(ref_ts, str) else ref_ts).cast("timestamp_ntz")
     g = lambda p, i: _grp(s, p, i)
-    n_min = F.regexp_extract(s, F.lit(RULE_MINUTES_AGO), 1).try_cast("int")
-    n_hour = F.regexp_extract(s, F.lit(RULE_HOURS_AGO), 1).try_cast("int")
+    n_min = F.regexp_extract(s, RULE_MINUTES_AGO, 1).try_cast("int")
+    n_hour = F.regexp_extract(s, RULE_HOURS_AGO, 1).try_cast("int")
     today = F.when(
         s.rlike(RULE_TODAY_HM),
         _ts(F.year(ref), F.month(ref), F.dayofmonth(ref), g(RULE_TODAY_HM, 1), g(RULE_TODAY_HM, 2)),
@@ -55,10 +55,10 @@ def parse_feed_time(text, ref_ts) -> Column:
               _ts(F.year(ref), g(RULE_MD_HM, 1), g(RULE_MD_HM, 2), g(RULE_MD_HM, 3), g(RULE_MD_HM, 4)))
         .when(s.contains(WORD_JUST_NOW), ref)
         .when(s.rlike(RULE_ISO_HM),
-              _ts(g(RULE_ISO_HM, 1), g(RULE_ISO_HM, 2), F.btrim(F.regexp_extract(s, F.lit(RULE_ISO_HM), 3)).try_cast("int"),
+              _ts(g(RULE_ISO_HM, 1), g(RULE_ISO_HM, 2), F.btrim(F.regexp_extract(s, RULE_ISO_HM, 3)).try_cast("int"),
                   g(RULE_ISO_HM, 4), g(RULE_ISO_HM, 5)))
         .when(s.rlike(RULE_ISO_DAY),
-              _ts(g(RULE_ISO_DAY, 1), g(RULE_ISO_DAY, 2), F.btrim(F.regexp_extract(s, F.lit(RULE_ISO_DAY), 3)).try_cast("int"),
+              _ts(g(RULE_ISO_DAY, 1), g(RULE_ISO_DAY, 2), F.btrim(F.regexp_extract(s, RULE_ISO_DAY, 3)).try_cast("int"),
                   F.lit(0), F.lit(0)))
         .when(s.contains(WORD_TODAY), today)
         .when(s.rlike(RULE_MINUTES_AGO), ref - F.make_dt_interval(F.lit(0), F.lit(0), n_min, F.lit(0)))

@@ -37,7 +37,7 @@ def utrim(c) -> Column:
 def strip_fence(c) -> Column:
     """the object inside a ```json fence if there is one, else the trimmed text."""
     c = _c(c)
-    inner = F.regexp_extract(c, F.lit(FENCE_PATTERN), 1)
+    inner = F.regexp_extract(c, FENCE_PATTERN, 1)
     return F.coalesce(F.nullif(inner, F.lit("")), utrim(c))
 
 

@@ -24,7 +24,7 @@ def merge_labels(topic: DataFrame, sentiment: DataFrame, keys: list[str] | None
     the sentiment value is the third column of ``sentiment``.
     """
     keys = keys or topic.columns[:2]
-    value = [c for c in sentiment.columns if c not in keys][0] if len(sentiment.columns) > 2 else sentiment.columns[2]
+    value = sentiment.columns[2]
     s = (sentiment.select(*keys, F.col(value).alias("sentiment"))
          .groupBy(*keys, "sentiment").agg(F.count(F.lit(1)).alias("n")))
     s = s.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "sentiment", "n")

@@ -93,3 +93,244 @@ SELECT topic, count(*) AS n FROM dtop
 WHERE topic NOT IN (SELECT topic FROM stop)
 GROUP BY topic HAVING count(*) >= 0.1 * (SELECT count(*) FROM documents)
 """
+
+
+# ----------------------------------------------------------------- posts and chunks
+
+POSTS = """
+posts AS (
+  SELECT d.doc_id AS post_id, CAST(d.doc_id % 49 + 1 AS INTEGER) AS page_no, d.source AS author,
+         date_trunc('minute', e.ts) AS posted_at,
+         CASE d.doc_id % 9
+           WHEN 0 THEN strftime(date_trunc('minute', e.ts), '%Y年%m月%d日 %H:%M')
+           WHEN 1 THEN strftime(date_trunc('minute', e.ts), '%m月%d日 %H:%M')
+           WHEN 2 THEN strftime(date_trunc('minute', e.ts), '%Y-%m-%d %H:%M')
+           WHEN 3 THEN strftime(date_trunc('minute', e.ts), '%Y-%m-%d')
+           WHEN 4 THEN '刚刚'
+           WHEN 5 THEN '今天 ' || strftime(date_trunc('minute', e.ts), '%H:%M')
+           WHEN 6 THEN CAST(d.doc_id % 60 AS VARCHAR) || '分钟前'
+           WHEN 7 THEN CAST(d.doc_id % 24 AS VARCHAR) || '小时前'
+           ELSE '昨天 ' || strftime(date_trunc('minute', e.ts), '%H:%M') END AS posted_raw,
+         CASE d.doc_id % 3 WHEN 1 THEN 'iPhone客户端' WHEN 2 THEN '微博网页版' END AS via,
+         CAST(d.doc_id % 7 AS VARCHAR) AS reposts_raw, CAST(d.doc_id % 5 AS VARCHAR) AS comments_raw,
+         CAST(d.doc_id % 11 AS VARCHAR) AS likes_raw, d.text AS body
+  FROM documents d JOIN events e ON e.event_id = d.doc_id)"""
+
+POST_LABELS = f"""
+{LEX}, {TAX}, {POSTS},
+ptok AS (SELECT post_id, unnest(regexp_extract_all(lower(body), '[a-z]+')) AS term FROM posts),
+pscore AS (SELECT post_id, sum(weight) AS s FROM ptok JOIN lex USING (term) GROUP BY post_id),
+ptop AS (SELECT DISTINCT post_id, topic FROM ptok JOIN tax USING (term)),
+ptj AS (SELECT post_id, '[' || string_agg('"' || topic || '"', ',' ORDER BY topic) || ']' AS topics_json
+        FROM ptop GROUP BY post_id),
+plab AS (SELECT p.*, CASE WHEN coalesce(s, 0) > 0 THEN 'positive' WHEN coalesce(s, 0) < 0 THEN 'negative'
+                     ELSE 'neutral' END AS sentiment, coalesce(topics_json, '[]') AS topics_json
+         FROM posts p LEFT JOIN pscore USING (post_id) LEFT JOIN ptj USING (post_id)),
+ent AS (SELECT 'r1' AS run_id, (row_number() OVER (ORDER BY post_id) - 1) // 10 AS chunk_id,
+               CAST((row_number() OVER (ORDER BY post_id) - 1) % 10 + 1 AS INTEGER) AS entry_no,
+               post_id, body, sentiment, topics_json FROM plab),
+ent2 AS (SELECT *, count(*) OVER (PARTITION BY run_id, chunk_id) AS n_rows FROM ent)"""
+
+NL = "\n"
+_A8 = "',\"a,b\"]'"
+REPLIES = POST_LABELS + f""",
+cj AS (
+  SELECT run_id, chunk_id, chunk_id % 10 AS d,
+         count(*) FILTER (WHERE sentiment = 'positive') AS pos,
+         count(*) FILTER (WHERE sentiment = 'neutral') AS neu,
+         count(*) FILTER (WHERE sentiment = 'negative') AS neg,
+         coalesce(string_agg('{{"entry":"' || entry_no || '","sentiment":"' ||
+                  CASE WHEN chunk_id % 10 = 9 AND entry_no = 1 THEN 'mixed' ELSE sentiment END || '"}}', ','
+                  ORDER BY entry_no) FILTER (WHERE NOT (chunk_id % 10 = 5 AND entry_no = n_rows)), '') AS sa,
+         coalesce(string_agg('{{"entry":"' || entry_no || '","topics":' ||
+                  CASE WHEN chunk_id % 10 = 8 AND entry_no = 1 THEN
+                       CASE WHEN topics_json = '[]' THEN '["a,b"]'
+                            ELSE substr(topics_json, 1, length(topics_json) - 1) || {_A8} END
+                       ELSE topics_json END || '}}', ','
+                  ORDER BY entry_no) FILTER (WHERE NOT (chunk_id % 10 = 5 AND entry_no = n_rows)), '') AS ta
+  FROM ent2 GROUP BY run_id, chunk_id),
+cjson AS (
+  SELECT run_id, chunk_id, d,
+         '{{"analyses":[' || sa || CASE WHEN d = 7 THEN CASE WHEN sa = '' THEN '' ELSE ',' END
+              || '{{"entry":"extra","sentiment":"neutral"}}' ELSE '' END
+           || '],"summary":{{"positive":' || (pos + CASE WHEN d = 9 THEN 1 ELSE 0 END)
+           || ',"neutral":' || neu || ',"negative":' || neg || '}}}}' AS sj,
+         '{{"analyses":[' || ta || CASE WHEN d = 7 THEN CASE WHEN ta = '' THEN '' ELSE ',' END
+              || '{{"entry":"extra","topics":["t_extra"]}}' ELSE '' END || ']}}' AS tj
+  FROM cj),
+replies AS (
+  SELECT run_id, chunk_id, kind,
+         CASE WHEN d = 1 THEN {_q("Here is the analysis:" + NL + "```json" + NL)} || j
+                              || {_q(NL + "```" + NL + "Let me know if you need more.")}
+              WHEN d = 3 THEN '调用接口失败：timeout' ELSE j END AS reply
+  FROM (SELECT run_id, chunk_id, d, 'sentiment' AS kind, sj AS j FROM cjson
+        UNION ALL SELECT run_id, chunk_id, d, 'topic', tj FROM cjson)),
+parsed0 AS (
+  SELECT *, coalesce(nullif(regexp_extract(reply, {_q(FENCE_PATTERN)}, 1), ''), {trim_u('reply')}) AS clean
+  FROM replies),
+parsed AS (
+  SELECT *, CASE WHEN starts_with(reply, '调用接口失败') THEN 'call_failed'
+                 WHEN NOT coalesce(json_valid(clean), false) THEN 'bad_json' ELSE 'ok' END AS status
+  FROM parsed0),
+okr AS (SELECT run_id, chunk_id, kind, clean FROM parsed WHERE status = 'ok'),
+aligned AS (
+  SELECT e.run_id, e.chunk_id, e.entry_no, e.post_id, e.body, r.kind,
+         CASE WHEN r.kind = 'sentiment'
+              THEN coalesce((json_extract(r.clean, '$.analyses[*]'))[e.entry_no] ->> 'sentiment', '')
+              ELSE coalesce(array_to_string(list_filter(list_transform(
+                     json_extract_string((json_extract(r.clean, '$.analyses[*]'))[e.entry_no], '$.topics[*]'),
+                     lambda x: {trim_u('x')}), lambda x: x <> ''), ', '), '') END AS label
+  FROM ent e JOIN okr r ON r.run_id = e.run_id AND r.chunk_id = e.chunk_id),
+tment AS (
+  SELECT run_id, chunk_id, entry_idx, topic_pos, {trim_u('raw')} AS topic FROM (
+    SELECT run_id, chunk_id, entry_idx, unnest(tl) AS raw, generate_subscripts(tl, 1) - 1 AS topic_pos FROM (
+      SELECT run_id, chunk_id, entry_idx, coalesce(json_extract_string(a, '$.topics[*]'), []) AS tl FROM (
+        SELECT run_id, chunk_id, unnest(al) AS a, generate_subscripts(al, 1) - 1 AS entry_idx FROM (
+          SELECT run_id, chunk_id, json_extract(clean, '$.analyses[*]') AS al FROM okr WHERE kind = 'topic'))))
+  WHERE {trim_u('raw')} <> ''),
+registry AS (
+  SELECT run_id, topic, chunk_id AS first_chunk, entry_idx AS first_entry, topic_pos AS first_pos FROM (
+    SELECT *, row_number() OVER (PARTITION BY run_id, topic ORDER BY chunk_id, entry_idx, topic_pos) AS k
+    FROM tment) WHERE k = 1)"""
+
+ORACLE["chunks"] = f"WITH {POST_LABELS} SELECT run_id, chunk_id, entry_no, post_id FROM ent"
+
+ORACLE["chunk_text"] = f"""
+WITH {POST_LABELS}
+SELECT run_id, chunk_id, string_agg(entry_no || ': ' || coalesce(body, ''), chr(10) ORDER BY entry_no) AS text
+FROM ent GROUP BY run_id, chunk_id
+"""
+
+ORACLE["replies_parsed"] = f"""
+WITH {REPLIES}
+SELECT run_id, chunk_id, kind, status,
+       CASE WHEN status = 'ok' THEN coalesce(json_array_length(clean, '$.analyses'), 0) ELSE 0 END AS n_analyses,
+       CASE WHEN status = 'ok' THEN coalesce(CAST(json_extract(clean, '$.summary.positive') AS BIGINT), 0) ELSE 0 END
+         AS sum_positive,
+       CASE WHEN status = 'ok' THEN coalesce(CAST(json_extract(clean, '$.summary.neutral') AS BIGINT), 0) ELSE 0 END
+         AS sum_neutral,
+       CASE WHEN status = 'ok' THEN coalesce(CAST(json_extract(clean, '$.summary.negative') AS BIGINT), 0) ELSE 0 END
+         AS sum_negative
+FROM parsed
+"""
+
+ORACLE["reply_clean"] = f"WITH {REPLIES} SELECT run_id, chunk_id, kind, clean FROM parsed"
+ORACLE["replies_status"] = f"WITH {REPLIES} SELECT run_id, chunk_id, kind, status FROM parsed"
+ORACLE["labels_aligned"] = f"WITH {REPLIES} SELECT run_id, chunk_id, entry_no, post_id, kind, label FROM aligned"
+
+ORACLE["sentiment_totals_reported"] = f"""
+WITH {REPLIES}
+SELECT CAST(sum(CAST(json_extract(clean, '$.summary.positive') AS BIGINT)) AS BIGINT) AS positive,
+       CAST(sum(CAST(json_extract(clean, '$.summary.neutral') AS BIGINT)) AS BIGINT) AS neutral,
+       CAST(sum(CAST(json_extract(clean, '$.summary.negative') AS BIGINT)) AS BIGINT) AS negative
+FROM okr WHERE kind = 'sentiment'
+"""
+
+ORACLE["sentiment_totals_counted"] = f"""
+WITH {REPLIES} SELECT label AS sentiment, count(*) AS n FROM aligned WHERE kind = 'sentiment' GROUP BY label
+"""
+
+ORACLE["sentiment_reconcile"] = f"""
+WITH {REPLIES},
+rep AS (SELECT run_id, chunk_id,
+               coalesce(CAST(json_extract(clean, '$.summary.positive') AS BIGINT), 0) AS rp,
+               coalesce(CAST(json_extract(clean, '$.summary.neutral') AS BIGINT), 0) AS ru,
+               coalesce(CAST(json_extract(clean, '$.summary.negative') AS BIGINT), 0) AS rn
+        FROM okr WHERE kind = 'sentiment'),
+cnt AS (SELECT run_id, chunk_id, count(*) FILTER (WHERE label = 'positive') AS cp,
+               count(*) FILTER (WHERE label = 'neutral') AS cu, count(*) FILTER (WHERE label = 'negative') AS cn
+        FROM aligned WHERE kind = 'sentiment' GROUP BY run_id, chunk_id)
+SELECT run_id, chunk_id, rp AS reported_positive, coalesce(cp, 0) AS counted_positive, rp - coalesce(cp, 0) AS diff_positive,
+       ru AS reported_neutral, coalesce(cu, 0) AS counted_neutral, ru - coalesce(cu, 0) AS diff_neutral,
+       rn AS reported_negative, coalesce(cn, 0) AS counted_negative, rn - coalesce(cn, 0) AS diff_negative
+FROM rep LEFT JOIN cnt USING (run_id, chunk_id)
+"""
+
+ORACLE["topic_counts"] = f"WITH {REPLIES} SELECT run_id, topic, count(*) AS n FROM tment GROUP BY run_id, topic"
+ORACLE["topic_registry"] = f"WITH {REPLIES} SELECT * FROM registry"
+
+ORACLE["topics_visible"] = f"""
+WITH {REPLIES},
+ch AS (SELECT DISTINCT run_id, chunk_id FROM ent)
+SELECT c.run_id, c.chunk_id,
+       coalesce(string_agg(r.topic, ', ' ORDER BY r.first_chunk, r.first_entry, r.first_pos), '无') AS topics_visible
+FROM ch c LEFT JOIN registry r ON r.run_id = c.run_id AND r.first_chunk < c.chunk_id
+GROUP BY c.run_id, c.chunk_id
+"""
+
+_CHUNK_TEXT = ("ctext AS (SELECT run_id, chunk_id, string_agg(entry_no || ': ' || coalesce(body, ''), chr(10) "
+               "ORDER BY entry_no) AS text FROM ent GROUP BY run_id, chunk_id)")
+_VISIBLE = ("vis AS (SELECT c.run_id, c.chunk_id, coalesce(string_agg(r.topic, ', ' ORDER BY r.first_chunk, "
+            "r.first_entry, r.first_pos), '无') AS topics_visible FROM (SELECT DISTINCT run_id, chunk_id FROM ent) c "
+            "LEFT JOIN registry r ON r.run_id = c.run_id AND r.first_chunk < c.chunk_id GROUP BY c.run_id, c.chunk_id)")
+_PROMPT = ("prompts AS (SELECT run_id, chunk_id, "
+           + _q("请基于以下公民意见数据和当前主题列表进行主题分析：" + NL + NL + "公民意见：" + NL)
+           + " || text || " + _q(NL + NL + "当前主题列表：") + " || topics_visible || " + _q(NL + NL)
+           + " AS prompt FROM ctext JOIN vis USING (run_id, chunk_id))")
+
+ORACLE["chunk_prompts"] = f"WITH {REPLIES}, {_CHUNK_TEXT}, {_VISIBLE}, {_PROMPT} SELECT * FROM prompts"
+
+ORACLE["topics_new"] = f"""
+WITH {REPLIES}
+SELECT * FROM registry WHERE topic NOT IN (SELECT topic FROM tax)
+"""
+
+ORACLE["chunk_mismatch"] = f"""
+WITH {REPLIES},
+nr AS (SELECT run_id, chunk_id, count(*) AS n_rows FROM ent GROUP BY run_id, chunk_id)
+SELECT kind, count(*) FILTER (WHERE json_array_length(clean, '$.analyses') <> n_rows) AS mismatched,
+       count(*) AS checked
+FROM okr JOIN nr USING (run_id, chunk_id) GROUP BY kind
+"""
+
+ORACLE["labels_known"] = f"""
+WITH {REPLIES}
+SELECT run_id, chunk_id, entry_no, post_id, label AS sentiment FROM aligned
+WHERE kind = 'sentiment' AND label IN ('negative', 'neutral', 'positive')
+"""
+
+_FILES = """
+tfile AS (SELECT entry_no, body, label AS topics FROM aligned WHERE kind = 'topic'),
+sfile AS (SELECT entry_no, body, label AS sentiment FROM aligned WHERE kind = 'sentiment'),
+sagg AS (SELECT entry_no, body, sentiment, count(*) AS n FROM sfile GROUP BY ALL),
+merged AS (SELECT t.entry_no, t.body, t.topics, s.sentiment, coalesce(s.n, 1) AS n
+           FROM tfile t LEFT JOIN sagg s ON t.entry_no IS NOT DISTINCT FROM s.entry_no
+                                          AND t.body IS NOT DISTINCT FROM s.body)"""
+
+ORACLE["merged_labels"] = f"WITH {REPLIES}, {_FILES} SELECT * FROM merged"
+
+ORACLE["merged_labels_strict"] = f"""
+WITH {REPLIES}
+SELECT t.run_id, t.chunk_id, t.entry_no, t.post_id, t.label AS topics, s.label AS sentiment
+FROM (SELECT * FROM aligned WHERE kind = 'topic') t
+LEFT JOIN (SELECT * FROM aligned WHERE kind = 'sentiment') s USING (run_id, chunk_id, entry_no)
+"""
+
+_CLEAN = f"mclean AS (SELECT topics, sentiment, n FROM merged WHERE topics IS NOT NULL AND {trim_u('topics')} <> '')"
+_MENTIONS = (f"ment AS (SELECT topic, {trim_u('sentiment')} AS sentiment, n FROM ("
+             f"SELECT {trim_u('unnest(string_split(topics, chr(44)))')} AS topic, sentiment, n FROM mclean) "
+             f"WHERE topic <> '')")
+
+ORACLE["merged_clean"] = f"WITH {REPLIES}, {_FILES}, {_CLEAN} SELECT * FROM mclean"
+ORACLE["topic_mentions"] = f"WITH {REPLIES}, {_FILES}, {_CLEAN}, {_MENTIONS} SELECT * FROM ment"
+ORACLE["merged_topic_sentiment"] = f"""
+WITH {REPLIES}, {_FILES}, {_CLEAN}, {_MENTIONS}
+SELECT topic,
+       CAST(sum(CASE WHEN sentiment = 'negative' THEN n ELSE 0 END) AS BIGINT) AS negative,
+       CAST(sum(CASE WHEN sentiment = 'neutral' THEN n ELSE 0 END) AS BIGINT) AS neutral,
+       CAST(sum(CASE WHEN sentiment = 'positive' THEN n ELSE 0 END) AS BIGINT) AS positive,
+       CAST(sum(CASE WHEN sentiment IN ('negative', 'neutral', 'positive') THEN n ELSE 0 END) AS BIGINT) AS total
+FROM ment GROUP BY topic
+"""
+
+ORACLE["chunk_messages"] = f"""
+WITH {REPLIES}, {_CHUNK_TEXT}, {_VISIBLE}, {_PROMPT},
+sys(kind, system) AS (VALUES
+  ('sentiment', 'Label each numbered entry as positive, neutral or negative; reply with JSON analyses and summary.'),
+  ('topic', 'Name the public-impact topics of each numbered entry; reply with JSON analyses.')),
+u AS (SELECT run_id, chunk_id, 'sentiment' AS kind, text AS "user" FROM ctext
+      UNION ALL SELECT run_id, chunk_id, 'topic', prompt FROM prompts)
+SELECT run_id, chunk_id, kind, CAST(2 AS BIGINT) AS n_messages, system, "user" FROM u JOIN sys USING (kind)
+"""
+
+ORACLE["labels_via_hook"] = f"WITH {POST_LABELS} SELECT run_id, chunk_id, entry_no, post_id, sentiment FROM ent"
