@@ -1,6 +1,6 @@
 """Import every query module so that the registry is complete."""
 
-from opinio.plans import q_labels, q_replies  # noqa: F401
+from opinio.plans import q_feed, q_labels, q_replies  # noqa: F401
 from opinio.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]

@@ -334,3 +334,246 @@ SELECT run_id, chunk_id, kind, CAST(2 AS BIGINT) AS n_messages, system, "user" F
 """
 
 ORACLE["labels_via_hook"] = f"WITH {POST_LABELS} SELECT run_id, chunk_id, entry_no, post_id, sentiment FROM ent"
+
+
+# ------------------------------------------------------------------ feed and times
+
+def feed_ts(s: str, ref: str) -> str:
+    """F1 in DuckDB: the eight rules, first match wins; invalid dates give NULL."""
+    def g(rule, i):
+        return f"TRY_CAST(regexp_extract({s}, {_q(rule)}, {i}) AS INTEGER)"
+
+    def gt(rule, i):
+        return f"TRY_CAST(trim(regexp_extract({s}, {_q(rule)}, {i})) AS INTEGER)"
+
+    def mk(y, m, d, h, mi):
+        return f"TRY(make_timestamp({y}, {m}, {d}, {h}, {mi}, 0.0))"
+
+    r1, r2, r4, r5, r6, r7, r8 = RULE_YMD_HM, RULE_MD_HM, RULE_ISO_HM, RULE_ISO_DAY, RULE_TODAY_HM, \
+        RULE_MINUTES_AGO, RULE_HOURS_AGO
+    return f"""(CASE
+      WHEN regexp_matches({s}, {_q(r1)}) THEN {mk(g(r1, 1), g(r1, 2), g(r1, 3), g(r1, 4), g(r1, 5))}
+      WHEN regexp_matches({s}, {_q(r2)}) THEN {mk(f'year({ref})', g(r2, 1), g(r2, 2), g(r2, 3), g(r2, 4))}
+      WHEN contains({s}, '刚刚') THEN {ref}
+      WHEN regexp_matches({s}, {_q(r4)}) THEN {mk(g(r4, 1), g(r4, 2), gt(r4, 3), g(r4, 4), g(r4, 5))}
+      WHEN regexp_matches({s}, {_q(r5)}) THEN {mk(g(r5, 1), g(r5, 2), gt(r5, 3), 0, 0)}
+      WHEN contains({s}, '今天') THEN CASE WHEN regexp_matches({s}, {_q(r6)})
+           THEN {mk(f'year({ref})', f'month({ref})', f'day({ref})', g(r6, 1), g(r6, 2))} ELSE {ref} END
+      WHEN regexp_matches({s}, {_q(r7)}) THEN {ref} - to_minutes({g(r7, 1)})
+      WHEN regexp_matches({s}, {_q(r8)}) THEN {ref} - to_hours({g(r8, 1)})
+    END)"""
+
+
+REF = "TIMESTAMP '2024-01-31 00:00:00'"
+TSF = "'%Y-%m-%d %H:%M:%S'"
+ITEM_OPEN_SQL = _q('<div class="card-wrap" action-type="feed_list_item">')
+
+
+def _esc(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+FEED = POSTS + f""",
+items AS (
+  SELECT post_id, {ITEM_OPEN_SQL} || '<p node-type="feed_list_content" nick-name="' || {_esc('author')} || '">'
+         || {_esc('substr(body, 1, 60)')} || '</p>' || chr(10)
+         || CASE WHEN post_id % 2 = 0 THEN '<p node-type="feed_list_content_full">' || {_esc('body')} || '</p>' || chr(10)
+                 ELSE '' END
+         || '<div class="from">' || posted_raw || CASE WHEN via IS NULL THEN '' ELSE '来自' || via END || '</div>' || chr(10)
+         || '<div class="card-act"><ul><li>' || reposts_raw || '</li><li>' || comments_raw || '</li><li>' || likes_raw
+         || '</li></ul></div></div>' AS item
+  FROM posts),
+fpages AS (
+  SELECT post_id // 10 AS page_id,
+         '<html><body><div id="pl_feedlist_index">' || string_agg(item, '' ORDER BY post_id) || '</div></body></html>'
+         AS html
+  FROM items GROUP BY 1),
+fposts AS (
+  SELECT post_id // 10 AS page_id,
+         CAST(row_number() OVER (PARTITION BY post_id // 10 ORDER BY post_id) AS INTEGER) AS item_no,
+         CAST((post_id // 10) % 49 + 1 AS INTEGER) AS page_no, 'the' AS keyword,
+         '2024-01-05 00:00:00' AS win_start, '2024-01-25 00:00:00' AS win_end, author,
+         {trim_u('posted_raw')} AS posted_raw, coalesce(via, '无') AS via, reposts_raw, comments_raw, likes_raw,
+         CASE WHEN post_id % 2 = 0 THEN {trim_u('body')} ELSE {trim_u('substr(body, 1, 60)')} END AS body,
+         {feed_ts('posted_raw', REF)} AS posted_ts
+  FROM posts)"""
+
+ORACLE["feed_items"] = f"""
+WITH {FEED}
+SELECT page_id, CAST(generate_subscripts(parts, 1) AS INTEGER) AS item_no, {ITEM_OPEN_SQL} || unnest(parts) AS item
+FROM (SELECT page_id, (string_split(html, {ITEM_OPEN_SQL}))[2:] AS parts FROM fpages)
+"""
+
+_FP_COLS = ("page_id, item_no, page_no, keyword, win_start, win_end, author, posted_raw, via, reposts_raw, "
+            f"comments_raw, likes_raw, body, strftime(posted_ts, {TSF}) AS posted_at")
+ORACLE["feed_posts"] = f"WITH {FEED} SELECT {_FP_COLS} FROM fposts"
+ORACLE["posts_in_range"] = f"""WITH {FEED} SELECT {_FP_COLS} FROM fposts
+WHERE posted_ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 00:00:00'"""
+ORACLE["posts_with_keyword"] = f"WITH {FEED} SELECT {_FP_COLS} FROM fposts WHERE contains(body, keyword)"
+
+ORACLE["feed_time"] = f"""
+WITH {POSTS} SELECT post_id, posted_raw, strftime({feed_ts('posted_raw', REF)}, {TSF}) AS posted_at FROM posts
+"""
+
+_DAYS = "days AS (SELECT DISTINCT CAST(posted_at AS DATE) AS day FROM posts)"
+ORACLE["hour_windows"] = f"""
+WITH {POSTS}, {_DAYS}
+SELECT strftime(day, '%Y-%m-%d') AS day, CAST(h AS INTEGER) AS hour,
+       strftime(day + to_hours(h), '%Y-%m-%d-%H') AS win_start,
+       strftime(day + to_hours(h + 1), '%Y-%m-%d-%H') AS win_end,
+       strftime(strptime(strftime(day + to_hours(h), '%Y-%m-%d-%H'), '%Y-%m-%d-%H'), {TSF}) AS start_parsed
+FROM days, range(24) t(h)
+"""
+
+_WINS = "wins AS (SELECT day + to_hours(h) AS ws FROM days, range(24) t(h))"
+ORACLE["posts_by_hour_closed"] = f"""
+WITH {POSTS}, {_DAYS}, {_WINS}
+SELECT p.post_id, strftime(w.ws, {TSF}) AS win_start
+FROM posts p JOIN wins w ON p.posted_at BETWEEN w.ws AND w.ws + INTERVAL 1 HOUR
+"""
+
+ORACLE["posts_dedup"] = f"""
+WITH {POSTS}, {_DAYS}, {_WINS},
+h AS (SELECT p.* FROM posts p JOIN wins w ON p.posted_at BETWEEN w.ws AND w.ws + INTERVAL 1 HOUR)
+SELECT author, strftime(posted_at, {TSF}) AS posted_at, body, count(*) AS n_copies, min(post_id) AS post_id
+FROM h GROUP BY author, posted_at, body
+"""
+
+ORACLE["posts_union"] = f"""
+WITH {FEED}
+SELECT 'feed' AS src, page_id, item_no, author, posted_raw, via, body FROM fposts
+UNION ALL BY NAME
+SELECT 'table' AS src, post_id, author, posted_raw, via, body FROM posts
+"""
+
+_MON = "CAST(month(day) AS VARCHAR)"
+
+
+def _req_json(platform: str, month: str, with_day: bool = True, kws: str = "kws") -> str:
+    s = (f"""'{{"event_keywords":' || {kws} || ',"start_year":"' || CAST(year(day) AS VARCHAR) || """
+         f"""'","start_month":"' || {month}""")
+    if with_day:
+        s += """ || '","start_day":"' || CAST(day(day) AS VARCHAR)"""
+    s += f""" || '","event_release_platform":"{platform}"}}'"""
+    return s
+
+
+REQUESTS = POSTS + f""",
+rqf AS (SELECT CAST(posted_at AS DATE) AS day, author, min(posted_at) AS requested_at, min(post_id) AS first_post
+        FROM posts GROUP BY ALL),
+rq AS (SELECT date_diff('day', DATE '2024-01-01', rqf.day) * 1000
+                + CAST(regexp_extract(rqf.author, '(\\d+)$', 1) AS BIGINT) AS request_id, rqf.day, rqf.requested_at, regexp_extract_all(lower(p.body), '[a-z]+')[1] AS kw
+       FROM rqf JOIN posts p ON p.post_id = rqf.first_post),
+rq1 AS (SELECT *, CASE WHEN kw IS NULL THEN '[]' ELSE '["#' || kw || '#"]' END AS kws FROM rq),
+reqs AS (
+  SELECT request_id, requested_at, day,
+         CASE request_id % 7
+           WHEN 0 THEN {_req_json('Weibo', _MON)}
+           WHEN 1 THEN '```json' || chr(10) || {_req_json('微博', _MON)} || chr(10) || '```'
+           WHEN 2 THEN {_req_json('other', _MON)}
+           WHEN 3 THEN {_req_json('Weibo', _MON, with_day=False)}
+           WHEN 4 THEN {_req_json('Weibo', "'Jan'")}
+           WHEN 5 THEN 'Which day do you mean?'
+           ELSE {_req_json('Weibo', _MON, kws="'[]'")} END AS reply,
+         CASE request_id % 4
+           WHEN 0 THEN '请分析#' || coalesce(kw, '') || '# ' || strftime(day, '%Y-%m-%d') || ' 微博'
+           WHEN 1 THEN '#' || coalesce(kw, '') || '# ' || CAST(year(day) AS VARCHAR) || '年' || {_MON} || '月'
+                       || CAST(day(day) AS VARCHAR) || '日 Weibo'
+           WHEN 2 THEN '#' || coalesce(kw, '') || '# Weibo'
+           ELSE strftime(day, '%Y-%m-%d') END AS text
+  FROM rq1),
+rc AS (SELECT *, coalesce(nullif(regexp_extract(reply, {_q(FENCE_PATTERN)}, 1), ''), {trim_u('reply')}) AS clean
+       FROM reqs),
+rv AS (
+  SELECT *, CASE
+      WHEN NOT coalesce(json_valid(clean), false) THEN 'not_json'
+      WHEN NOT list_has_all(json_keys(clean), ['event_keywords', 'start_year', 'start_month', 'start_day',
+                                               'event_release_platform']) THEN 'incomplete'
+      WHEN coalesce(lower(json_extract_string(clean, '$.event_release_platform')) NOT IN ('weibo', '微博'), true)
+        THEN 'unsupported_platform'
+      WHEN TRY_CAST(json_extract_string(clean, '$.start_year') AS INTEGER) IS NULL
+        OR TRY_CAST(json_extract_string(clean, '$.start_month') AS INTEGER) IS NULL
+        OR TRY_CAST(json_extract_string(clean, '$.start_day') AS INTEGER) IS NULL THEN 'bad_date'
+      WHEN coalesce(json_array_length(clean, '$.event_keywords'), 0) < 1 THEN 'no_keyword'
+      ELSE 'ok' END AS status
+  FROM rc),
+rok AS (
+  SELECT request_id, trim(json_extract_string(clean, '$.event_keywords[0]'), '#') AS keyword,
+         CAST(TRY(make_date(TRY_CAST(json_extract_string(clean, '$.start_year') AS INTEGER),
+                            TRY_CAST(json_extract_string(clean, '$.start_month') AS INTEGER),
+                            TRY_CAST(json_extract_string(clean, '$.start_day') AS INTEGER))) AS DATE) AS start_date
+  FROM rv WHERE status = 'ok')"""
+
+ORACLE["requests_validated"] = f"""
+WITH {REQUESTS}
+SELECT rv.request_id, rv.status, rok.keyword, strftime(rok.start_date, '%Y-%m-%d') AS start_date
+FROM rv LEFT JOIN rok USING (request_id)
+"""
+
+ORACLE["run_stamp"] = f"""
+WITH {REQUESTS}
+SELECT request_id, '微博数据_' || strftime(requested_at, '%Y%m%d%H%M%S') || '.csv' AS file_name FROM reqs
+"""
+
+ORACLE["posts_for_requests"] = f"""
+WITH {REQUESTS}
+SELECT r.request_id, p.post_id FROM rok r JOIN posts p
+  ON CAST(p.posted_at AS DATE) = r.start_date AND contains(p.body, r.keyword)
+"""
+
+_ISO = r"(\d{4})-(\d{1,2})-(\d{1,2})"
+_CJK = r"(\d{4})年(\d{1,2})月(\d{1,2})日"
+
+
+def _datepart(i: int) -> str:
+    return (f"CAST(TRY_CAST(CASE WHEN regexp_matches(text, {_q(_ISO)}) THEN regexp_extract(text, {_q(_ISO)}, {i}) "
+            f"WHEN regexp_matches(text, {_q(_CJK)}) THEN regexp_extract(text, {_q(_CJK)}, {i}) END AS INTEGER) "
+            f"AS VARCHAR)")
+
+
+ORACLE["request_fields"] = f"""
+WITH {REQUESTS},
+f AS (SELECT request_id,
+             CASE WHEN len(regexp_extract_all(text, '#([^#]+)#', 1)) > 0 THEN
+               array_to_string(list_transform(regexp_extract_all(text, '#([^#]+)#', 1), lambda x: '#' || x || '#'), ',')
+             END AS event_keywords,
+             {_datepart(1)} AS start_year, {_datepart(2)} AS start_month, {_datepart(3)} AS start_day,
+             nullif(regexp_extract(text, '(?i)(weibo|微博)', 1), '') AS event_release_platform
+      FROM reqs)
+SELECT *, array_to_string(list_filter([
+    CASE WHEN event_keywords IS NULL THEN 'event_keywords' END, CASE WHEN start_year IS NULL THEN 'start_year' END,
+    CASE WHEN start_month IS NULL THEN 'start_month' END, CASE WHEN start_day IS NULL THEN 'start_day' END,
+    CASE WHEN event_release_platform IS NULL THEN 'event_release_platform' END], lambda x: x IS NOT NULL), ',')
+  AS missing
+FROM f
+"""
+
+ORACLE["src_raw_pages"] = """
+SELECT page_id, url, regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1) AS host, CAST(length(html) AS BIGINT) AS n_chars
+FROM pages
+"""
+
+_NODE = ("trim(replace(replace(replace(replace(replace(regexp_replace({x}, '<[^>]*>', '', 'g'), '&lt;', '<'), "
+         "'&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&'), " + WS + ")")
+
+ORACLE["page_paragraphs"] = f"""
+SELECT page_id,
+       {_NODE.format(x="regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)")} AS title,
+       CAST(len(regexp_extract_all(regexp_replace(regexp_replace(html, '(?s)<script[^>]*>.*?</script>', '', 'g'),
+            '(?s)<style[^>]*>.*?</style>', '', 'g'), '<p[ >]')) AS BIGINT) AS n_paragraphs
+FROM pages
+"""
+
+ORACLE["hashtags"] = """
+SELECT doc_id, CAST(generate_subscripts(tags, 1) AS INTEGER) AS tag_no, unnest(tags) AS tag
+FROM (SELECT doc_id, regexp_extract_all(text, '#([^#]+)#', 1) AS tags FROM documents)
+"""
+
+ORACLE["body_no_hashtags"] = f"""
+SELECT doc_id, {trim_u("regexp_replace(text, '#[^#]+#', '', 'g')")} AS text FROM documents
+"""
+
+ORACLE["utrim_check"] = f"""
+SELECT conv_id, turn, {trim_u('text')} AS text, CAST(length(text) - length({trim_u('text')}) AS BIGINT) AS n_trimmed
+FROM conversations
+"""
