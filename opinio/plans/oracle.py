@@ -10,6 +10,7 @@ from __future__ import annotations
 from opinio.functions.feedtime import (RULE_HOURS_AGO, RULE_ISO_DAY, RULE_ISO_HM, RULE_MD_HM, RULE_MINUTES_AGO,
                                        RULE_TODAY_HM, RULE_YMD_HM)
 from opinio.functions.text import FENCE_PATTERN, PY_WHITESPACE
+from opinio.plans.q_analytics import SYSTEM_MESSAGE
 from opinio.sources.fixtures import LEXICON, STOP_TOPICS, TAXONOMY
 
 ORACLE: dict[str, str] = {}
@@ -577,3 +578,35 @@ ORACLE["utrim_check"] = f"""
 SELECT conv_id, turn, {trim_u('text')} AS text, CAST(length(text) - length({trim_u('text')}) AS BIGINT) AS n_trimmed
 FROM conversations
 """
+
+
+# ----------------------------------------------------------------------- analytics
+
+ORACLE["term_frequency"] = """
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents)
+SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM t GROUP BY term
+"""
+
+ORACLE["negative_spikes"] = f"""
+WITH {POST_LABELS},
+pm AS (SELECT t.topic, date_trunc('hour', p.posted_at) AS hour, p.sentiment FROM ptop t JOIN plab p USING (post_id)),
+hourly AS (SELECT topic, hour, count(*) FILTER (WHERE sentiment = 'negative') AS neg FROM pm GROUP BY topic, hour),
+span AS (SELECT topic, min(hour) AS lo, max(hour) AS hi FROM hourly GROUP BY topic),
+grid AS (SELECT topic, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS hour FROM span),
+dense AS (SELECT g.topic, g.hour, coalesce(h.neg, 0) AS neg FROM grid g LEFT JOIN hourly h USING (topic, hour)),
+st AS (SELECT *, avg(neg) OVER w AS mean, stddev_samp(neg) OVER w AS sd FROM dense
+       WINDOW w AS (PARTITION BY topic ORDER BY hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
+SELECT topic, strftime(hour, {TSF}) AS hour, neg, round(mean, 6) AS mean, round(sd, 6) AS sd
+FROM st WHERE neg > mean + 3 * sd
+"""
+
+ORACLE["conversation_prefix"] = f"""
+WITH r AS (
+  SELECT conv_id, turn, role,
+         count(*) OVER w + 1 AS n_messages,
+         sum(coalesce(length(text), 0)) OVER w + {len(SYSTEM_MESSAGE)} AS prefix_chars
+  FROM conversations
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT conv_id, turn, role, CAST(n_messages AS BIGINT) AS n_messages, CAST(prefix_chars AS BIGINT) AS prefix_chars
+FROM r WHERE role = 'user'
+"""
