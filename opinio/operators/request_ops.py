@@ -45,6 +45,7 @@ def validate_requests(reqs: DataFrame, reply_col: str = "reply", days: int = 1)
     return reqs.select(
         "*", status.alias("status"),
         F.when(ok, strip_char(F.get(kws, 0), "#")).alias("keyword"),
+        F.when(ok, F.get(kws, 0)).alias("event_keyword"),
         F.when(ok, F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0)).cast("date")).alias("start_date"),
         F.lit(days).alias("days"))
 

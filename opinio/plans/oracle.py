@@ -500,6 +500,7 @@ rv AS (
   FROM rc),
 rok AS (
   SELECT request_id, trim(json_extract_string(clean, '$.event_keywords[0]'), '#') AS keyword,
+         json_extract_string(clean, '$.event_keywords[0]') AS event_keyword,
          CAST(TRY(make_date(TRY_CAST(json_extract_string(clean, '$.start_year') AS INTEGER),
                             TRY_CAST(json_extract_string(clean, '$.start_month') AS INTEGER),
                             TRY_CAST(json_extract_string(clean, '$.start_day') AS INTEGER))) AS DATE) AS start_date
