@@ -71,3 +71,63 @@ SELECT r.request_id, '请帮我对 ' || r.event_keyword || ' 事件进行总结
        || '【合并统计信息】:' || chr(10) || coalesce(m.text, '无') || chr(10) || chr(10) || '请生成最终的事件总结。' AS text
 FROM rok r LEFT JOIN srt s USING (request_id) LEFT JOIN trt t USING (request_id) LEFT JOIN tab m USING (request_id)
 """
+
+
+# ------------------------------------------------------------------ sources, sinks
+
+from opinio.plans.oracle import _CLEAN, _FILES, _MENTIONS, FEED, REPLIES  # noqa: E402
+
+# a CSV field holding the empty string reads back as missing, like the source program's reader
+
+ORACLE["src_posts_csv"] = f"""
+WITH {POSTS}
+SELECT page_no, nullif(author, '') AS author, nullif(posted_raw, '') AS posted_raw, coalesce(via, '无') AS via,
+       reposts_raw, comments_raw, likes_raw, nullif(body, '') AS body FROM posts
+"""
+
+ORACLE["src_label_csv"] = f"""
+WITH {REPLIES}
+SELECT kind, entry_no, nullif(body, '') AS body, nullif(label, '') AS label FROM aligned
+"""
+
+ORACLE["sink_append_labels"] = f"""
+WITH {REPLIES}
+SELECT run_id, kind, entry_no, nullif(body, '') AS body, nullif(label, '') AS label FROM aligned
+"""
+
+_WANTED = """wanted AS (SELECT DISTINCT name FROM (
+    SELECT 'item_' || CAST(item_id AS VARCHAR) AS name FROM benchmark
+    UNION ALL SELECT 'lang_' || lang FROM documents)),
+files AS (SELECT 'item_' || CAST(item_id AS VARCHAR) AS name, text || chr(10) AS body FROM benchmark)"""
+
+ORACLE["templates_with_default"] = f"""
+WITH {_WANTED}
+SELECT w.name, coalesce(f.body, '默认系统提示信息') AS body, f.body IS NULL AS is_default
+FROM wanted w LEFT JOIN files f USING (name)
+"""
+
+ORACLE["image_parts"] = f"""
+WITH {_WANTED}
+SELECT w.name, 'describe ' || w.name AS text, CAST(CASE WHEN f.body IS NULL THEN 1 ELSE 2 END AS BIGINT) AS n_parts,
+       'data:image/jpeg;base64,' || to_base64(encode(f.body)) AS image_url
+FROM wanted w LEFT JOIN files f USING (name)
+"""
+
+ORACLE["sink_append_posts"] = f"""
+WITH {FEED}
+SELECT page_no, nullif(author, '') AS author, nullif(posted_raw, '') AS posted_raw, coalesce(via, '无') AS via,
+       reposts_raw, comments_raw, likes_raw, nullif(body, '') AS body, 'table' AS run_id FROM posts
+UNION ALL
+SELECT page_no, nullif(author, '') AS author, nullif(posted_raw, '') AS posted_raw, nullif(via, '') AS via,
+       reposts_raw, comments_raw, likes_raw, nullif(body, '') AS body, 'feed' AS run_id FROM fposts
+"""
+
+ORACLE["sink_overwrite_merged"] = f"""
+WITH {REPLIES}, {_FILES}, {_CLEAN}, {_MENTIONS}
+SELECT topic AS topics,
+       CAST(sum(CASE WHEN sentiment = 'negative' THEN n ELSE 0 END) AS BIGINT) AS negative,
+       CAST(sum(CASE WHEN sentiment = 'neutral' THEN n ELSE 0 END) AS BIGINT) AS neutral,
+       CAST(sum(CASE WHEN sentiment = 'positive' THEN n ELSE 0 END) AS BIGINT) AS positive,
+       CAST(sum(CASE WHEN sentiment IN ('negative', 'neutral', 'positive') THEN n ELSE 0 END) AS BIGINT) AS total
+FROM ment GROUP BY topic
+"""
