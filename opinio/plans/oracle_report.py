@@ -131,3 +131,39 @@ SELECT topic AS topics,
        CAST(sum(CASE WHEN sentiment IN ('negative', 'neutral', 'positive') THEN n ELSE 0 END) AS BIGINT) AS total
 FROM ment GROUP BY topic
 """
+
+
+# ---------------------------------------------------------------------- streaming
+
+from opinio.plans.oracle import POST_LABELS as _PL  # noqa: E402
+from opinio.plans.oracle import REQUESTS as _RQ  # noqa: E402
+from opinio.plans.oracle import TSF  # noqa: E402
+
+ORACLE["stream_hourly_counts"] = f"""
+SELECT strftime(date_trunc('hour', ts), {TSF}) AS win_start, count(*) AS n FROM events GROUP BY 1
+"""
+
+ORACLE["stream_labels"] = f"""
+WITH {_PL}
+SELECT p.post_id, p.sentiment, coalesce(string_agg(t.topic, ', ' ORDER BY t.topic), '') AS topics
+FROM plab p LEFT JOIN ptop t USING (post_id) GROUP BY p.post_id, p.sentiment
+"""
+
+ORACLE["stream_topic_registry"] = f"WITH {REPLIES} SELECT * FROM registry"
+
+ORACLE["stream_late_rows"] = f"""
+SELECT event_id, strftime(ts, {TSF}) AS ts FROM events WHERE ts < TIMESTAMP '2024-01-04 00:00:00'
+"""
+
+ORACLE["stream_requests"] = f"""
+WITH {_RQ}
+SELECT rv.request_id, rv.status, rok.keyword FROM rv LEFT JOIN rok USING (request_id)
+"""
+
+ORACLE["stream_topic_sentiment"] = f"""
+WITH {_PL}
+SELECT t.topic, count(*) FILTER (WHERE p.sentiment = 'negative') AS negative,
+       count(*) FILTER (WHERE p.sentiment = 'neutral') AS neutral,
+       count(*) FILTER (WHERE p.sentiment = 'positive') AS positive, count(*) AS total
+FROM ptop t JOIN plab p USING (post_id) GROUP BY t.topic
+"""
