@@ -29,59 +29,70 @@ MAP_LIMIT = 20_000
 SENTIMENTS = ("negative", "neutral", "positive")
 
 
-def _map_literal(keys: list, values: list) -> Column:
+def _map_literal(keys: list, values: list, value_type: str) -> Column:
     if not keys:
-        return F.create_map().cast("map<string,double>")
-    return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(v) for v in values]))
+        return F.create_map().cast(f"map<string,{value_type}>")
+    return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*values))
+
+
+def lexicon_map(lexicon: DataFrame) -> Column | None:
+    """term -> summed weight as a map literal, or None when the lexicon is over ``MAP_LIMIT`` rows."""
+    if lexicon.count() > MAP_LIMIT:
+        return None
+    rows = lexicon.groupBy("term").agg(F.sum("weight").alias("w")).orderBy("term").collect()
+    return _map_literal([r["term"] for r in rows], [F.lit(float(r["w"])) for r in rows], "double")
+
+
+def taxonomy_map(taxonomy: DataFrame) -> Column | None:
+    """term -> sorted topics as a map literal, or None when the taxonomy is over ``MAP_LIMIT`` rows."""
+    if taxonomy.count() > MAP_LIMIT:
+        return None
+    rows = (taxonomy.groupBy("term").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
+            .orderBy("term").collect())
+    return _map_literal([r["term"] for r in rows], [F.array(*[F.lit(t) for t in r["topics"]]) for r in rows],
+                        "array<string>")
 
 
 def sentiment_of(score: Column) -> Column:
-    return (
-        F.when(score > 0, F.lit("positive"))
-        .when(score < 0, F.lit("negative"))
-        .otherwise(F.lit("neutral"))
-    )
+    """positive / neutral / negative by the sign of ``score`` (NULL counts as 0); one evaluation of ``score``."""
+    labels = F.array(*[F.lit(s) for s in SENTIMENTS])
+    return F.element_at(labels, (F.signum(F.coalesce(score, F.lit(0.0))) + 2).cast("int"))
+
+
+def _score(toks: Column, lex: Column) -> Column:
+    hits = F.filter(toks, lambda t: F.map_contains_key(lex, t))
+    return F.aggregate(F.transform(hits, lambda t: F.element_at(lex, t)), F.lit(0.0), lambda a, x: a + x)
+
+
+def _topics(toks: Column, tax: Column, min_hits: int) -> Column:
+    hit_terms = F.filter(toks, lambda t: F.map_contains_key(tax, t))
+    hits = F.flatten(F.transform(hit_terms, lambda t: F.element_at(tax, t)))
+    if min_hits <= 1:
+        return F.array_sort(F.array_distinct(hits))
+    return F.array_sort(F.filter(
+        F.array_distinct(hits), lambda x: F.size(F.filter(hits, lambda y: y == x)) >= min_hits))
 
 
 def label_sentiment(df: DataFrame, lexicon: DataFrame, text_col: str = "body",
                     key: str | None = None, out: str = "sentiment") -> DataFrame:
     """M1: add ``out`` (positive / neutral / negative) from a (term, weight) lexicon."""
-    n_terms = lexicon.count()
-    if n_terms <= MAP_LIMIT:
-        rows = lexicon.groupBy("term").agg(F.sum("weight").alias("w")).orderBy("term").collect()
-        lex = _map_literal([r["term"] for r in rows], [float(r["w"]) for r in rows])
-        hits = F.filter(tokens(text_col), lambda t: F.map_contains_key(lex, t))
-        score = F.aggregate(F.transform(hits, lambda t: F.element_at(lex, t)), F.lit(0.0), lambda a, x: a + x)
-        return df.withColumn(out, sentiment_of(score))
+    lex = lexicon_map(lexicon)
+    if lex is not None:
+        return df.withColumn(out, sentiment_of(_score(tokens(text_col), lex)))
     if key is None:
         raise ValueError("a unique key column is needed for a large lexicon")
     toks = df.select(key, F.explode(tokens(text_col)).alias("term"))
     scores = (toks.join(lexicon.select("term", F.col("weight").cast("double")), "term")
               .groupBy(key).agg(F.sum("weight").alias("_score")))
-    return (df.join(scores, key, "left")
-            .withColumn(out, sentiment_of(F.coalesce(F.col("_score"), F.lit(0.0)))).drop("_score"))
+    return df.join(scores, key, "left").withColumn(out, sentiment_of(F.col("_score"))).drop("_score")
 
 
 def label_topics(df: DataFrame, taxonomy: DataFrame, text_col: str = "body", key: str | None = None,
                  out: str = "topics_arr", min_hits: int = 1) -> DataFrame:
     """M2: add ``out`` = sorted distinct topics with at least ``min_hits`` term hits."""
-    n_rows = taxonomy.count()
-    if n_rows <= MAP_LIMIT:
-        rows = (taxonomy.groupBy("term").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
-                .orderBy("term").collect())
-        tax = F.map_from_arrays(
-            F.array(*[F.lit(r["term"]) for r in rows]),
-            F.array(*[F.array(*[F.lit(t) for t in r["topics"]]) for r in rows]),
-        ) if rows else F.create_map().cast("map<string,array<string>>")
-        hit_terms = F.filter(tokens(text_col), lambda t: F.map_contains_key(tax, t))
-        hits = F.flatten(F.transform(hit_terms, lambda t: F.element_at(tax, t)))
-        if min_hits <= 1:
-            topics = F.array_sort(F.array_distinct(hits))
-        else:
-            topics = F.array_sort(F.filter(
-                F.array_distinct(hits),
-                lambda x: F.size(F.filter(hits, lambda y: y == x)) >= min_hits))
-        return df.withColumn(out, topics)
+    tax = taxonomy_map(taxonomy)
+    if tax is not None:
+        return df.withColumn(out, _topics(tokens(text_col), tax, min_hits))
     if key is None:
         raise ValueError("a unique key column is needed for a large taxonomy")
     toks = df.select(key, F.explode(tokens(text_col)).alias("term"))
@@ -93,9 +104,22 @@ def label_topics(df: DataFrame, taxonomy: DataFrame, text_col: str = "body", key
 
 
 def label_posts(df: DataFrame, lexicon: DataFrame, taxonomy: DataFrame, text_col: str = "body",
-                key: str | None = None) -> DataFrame:
-    """Both labels in one pass over the post table (one scan, no join)."""
-    return label_topics(label_sentiment(df, lexicon, text_col, key), taxonomy, text_col, key)
+                key: str | None = None, min_hits: int = 1) -> DataFrame:
+    """Both labels in one pass over the post table.
+
+    With both dimensions small, the text is tokenized once: the tokens found in
+    either dimension (a short array) are kept in a helper column that both
+    labels read, so the long token array of a document is built only once.
+    """
+    lex, tax = lexicon_map(lexicon), taxonomy_map(taxonomy)
+    if lex is None or tax is None:
+        return label_topics(label_sentiment(df, lexicon, text_col, key), taxonomy, text_col, key,
+                            min_hits=min_hits)
+    hits = F.filter(tokens(text_col), lambda t: F.map_contains_key(lex, t) | F.map_contains_key(tax, t))
+    return (df.withColumn("_hits", hits)
+            .withColumn("sentiment", sentiment_of(_score(F.col("_hits"), lex)))
+            .withColumn("topics_arr", _topics(F.col("_hits"), tax, min_hits))
+            .drop("_hits"))
 
 
 # ---------------------------------------------------------------- M5: labeler hook

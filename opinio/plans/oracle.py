@@ -393,7 +393,7 @@ fposts AS (
   SELECT post_id // 10 AS page_id,
          CAST(row_number() OVER (PARTITION BY post_id // 10 ORDER BY post_id) AS INTEGER) AS item_no,
          CAST((post_id // 10) % 49 + 1 AS INTEGER) AS page_no, 'the' AS keyword,
-         '2024-01-05 00:00:00' AS win_start, '2024-01-25 00:00:00' AS win_end, author,
+         '2024-01-01 06:00:00' AS win_start, '2024-01-02 00:00:00' AS win_end, author,
          {trim_u('posted_raw')} AS posted_raw, coalesce(via, '无') AS via, reposts_raw, comments_raw, likes_raw,
          CASE WHEN post_id % 2 = 0 THEN {trim_u('body')} ELSE {trim_u('substr(body, 1, 60)')} END AS body,
          {feed_ts('posted_raw', REF)} AS posted_ts
@@ -409,7 +409,7 @@ _FP_COLS = ("page_id, item_no, page_no, keyword, win_start, win_end, author, pos
             f"comments_raw, likes_raw, body, strftime(posted_ts, {TSF}) AS posted_at")
 ORACLE["feed_posts"] = f"WITH {FEED} SELECT {_FP_COLS} FROM fposts"
 ORACLE["posts_in_range"] = f"""WITH {FEED} SELECT {_FP_COLS} FROM fposts
-WHERE posted_ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 00:00:00'"""
+WHERE posted_ts BETWEEN TIMESTAMP '2024-01-01 06:00:00' AND TIMESTAMP '2024-01-02 00:00:00'"""
 ORACLE["posts_with_keyword"] = f"WITH {FEED} SELECT {_FP_COLS} FROM fposts WHERE contains(body, keyword)"
 
 ORACLE["feed_time"] = f"""

@@ -22,8 +22,8 @@ from opinio.sources import tables
 REF_TS = dt.datetime(2024, 1, 31, 0, 0, 0)          # fetch time of every landed page
 RUN_ID = "r1"
 PAGE_KEYWORD = "the"
-PAGE_WIN_START = dt.datetime(2024, 1, 5, 0, 0, 0)
-PAGE_WIN_END = dt.datetime(2024, 1, 25, 0, 0, 0)
+PAGE_WIN_START = dt.datetime(2024, 1, 1, 6, 0, 0)
+PAGE_WIN_END = dt.datetime(2024, 1, 2, 0, 0, 0)
 PAGE_HEAD = '<html><body><div id="pl_feedlist_index">'
 PAGE_TAIL = "</div></body></html>"
 ITEM_OPEN = '<div class="card-wrap" action-type="feed_list_item">'
