@@ -98,3 +98,8 @@ def without_hashtags(c) -> Column:
 def tokens(c) -> Column:
     """Lower-case ASCII word tokens (the tokenizer of the native labelers)."""
     return F.regexp_extract_all(F.lower(_c(c)), F.lit("[a-z]+"), 0)
+
+
+def first_token(c) -> Column:
+    """The first element of ``tokens(c)`` (NULL when there is none), without building the whole array."""
+    return F.nullif(F.regexp_extract(F.lower(_c(c)), "[a-z]+", 0), F.lit(""))

@@ -55,13 +55,16 @@ def sentiment_report_input(counts: DataFrame) -> DataFrame:
     return counts.select("request_id", text.alias("text"))
 
 
-def sentiment_report_text(counts: DataFrame) -> DataFrame:
-    """F20 + M3: the deterministic sentiment report sentence."""
+def _sentiment_sentence() -> Column:
     t = F.col("total")
     parts = [F.concat(F.col(s).cast("string"), F.lit(f" {s} posts ("), pct1(F.col(s), t), F.lit("%)")) for s in SENTS]
-    text = F.concat(F.lit("Of "), t.cast("string"), F.lit(" posts, "), parts[0], F.lit(", "), parts[1],
+    return F.concat(F.lit("Of "), t.cast("string"), F.lit(" posts, "), parts[0], F.lit(", "), parts[1],
                     F.lit(" and "), parts[2], F.lit("."))
-    return counts.select("request_id", text.alias("text"))
+
+
+def sentiment_report_text(counts: DataFrame) -> DataFrame:
+    """F20 + M3: the deterministic sentiment report sentence."""
+    return counts.select("request_id", _sentiment_sentence().alias("text"))
 
 
 def topic_mentions(ev_posts: DataFrame) -> DataFrame:
@@ -73,53 +76,70 @@ def topic_mentions(ev_posts: DataFrame) -> DataFrame:
         F.min(F.struct("post_id", "pos")).alias("first"))
 
 
+def event_topics(mentions: DataFrame) -> DataFrame:
+    """(request_id, tr): the topic rows of each event as one array (bounded by the event's topics)."""
+    return mentions.groupBy("request_id").agg(
+        F.collect_list(F.struct("first", "topic", "n", *SENTS)).alias("tr"))
+
+
+def _render(tr: Column, key, line, sep: str) -> Column:
+    """Lines of the topic rows ``tr`` in the order of ``key(x)``, joined by ``sep``."""
+    keyed = F.transform(tr, lambda x: F.struct(key(x).alias("k"), line(x).alias("line")))
+    return F.array_join(F.transform(F.array_sort(keyed), lambda x: x["line"]), sep)
+
+
+def _first_seen_lines(tr: Column) -> Column:
+    return _render(tr, lambda x: x["first"],
+                   lambda x: F.concat(x["topic"], F.lit(": "), x["n"].cast("string"), F.lit("\n")), "")
+
+
+def _share_lines(tr: Column, total: Column) -> Column:
+    return _render(tr, lambda x: F.struct(-x["n"], x["topic"]),
+                   lambda x: F.concat(F.lit("'"), x["topic"], F.lit("' accounts for "), x["n"].cast("string"),
+                                      F.lit(" posts, "), pct1(x["n"], total), F.lit("% of the total")), "; ")
+
+
+def _table_lines(tr: Column) -> Column:
+    tot = lambda x: x["negative"] + x["neutral"] + x["positive"]
+    return F.concat(F.lit("topics negative neutral positive total\n"), _render(
+        tr, lambda x: F.struct(-tot(x), x["topic"]),
+        lambda x: F.concat_ws(" ", x["topic"], *[x[s].cast("string") for s in ("negative", "neutral", "positive")],
+                              tot(x).cast("string")), "\n"))
+
+
+def _none_if_null(tr: Column, text: Column) -> Column:
+    return F.when(tr.isNull(), F.lit(NONE_WORD)).otherwise(text)
+
+
 def topic_report_input(events: DataFrame, mentions: DataFrame) -> DataFrame:
     """F16: one ``topic: n`` line per topic in first-seen order."""
-    lines = mentions.groupBy("request_id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("first", F.concat(F.col("topic"), F.lit(": "), F.col("n").cast("string"),
-                                                              F.lit("\n")).alias("line")))),
-        lambda x: x["line"]), "").alias("lines"))
-    j = events.select("request_id", "event_keyword").join(lines, "request_id", "left")
+    j = events.select("request_id", "event_keyword").join(event_topics(mentions), "request_id", "left")
     return j.select("request_id", F.concat(_head(TOPIC_HEAD, F.col("event_keyword")),
-                                           F.coalesce(F.col("lines"), F.lit(""))).alias("text"))
-
-
-def _ranked_lines(mentions: DataFrame, line: Column, sep: str) -> DataFrame:
-    """Per event, lines ordered by mentions descending, then topic."""
-    g = mentions.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct(
-        (-F.col("n")).alias("k"), F.col("topic").alias("t"), line.alias("line")))).alias("ls"))
-    return g.select("request_id", F.array_join(F.transform("ls", lambda x: x["line"]), sep).alias("text"))
+                                           F.coalesce(_first_seen_lines(F.col("tr")), F.lit(""))).alias("text"))
 
 
 def topic_report_text(counts: DataFrame, mentions: DataFrame) -> DataFrame:
     """F20 + M3: ``'topic' accounts for n posts, p% of the total`` per topic; 无 without topics."""
-    m = mentions.join(counts.select("request_id", "total"), "request_id")
-    line = F.concat(F.lit("'"), F.col("topic"), F.lit("' accounts for "), F.col("n").cast("string"),
-                    F.lit(" posts, "), pct1(F.col("n"), F.col("total")), F.lit("% of the total"))
-    r = _ranked_lines(m, line, "; ")
-    j = counts.select("request_id").join(r, "request_id", "left")
-    return j.select("request_id", F.coalesce(F.col("text"), F.lit(NONE_WORD)).alias("text"))
+    j = counts.select("request_id", "total").join(event_topics(mentions), "request_id", "left")
+    return j.select("request_id", _none_if_null(F.col("tr"), _share_lines(F.col("tr"), F.col("total"))).alias("text"))
 
 
 def table_as_text(counts: DataFrame, mentions: DataFrame) -> DataFrame:
     """K7: the event's topic x sentiment table as text; 无 when it has no rows."""
-    tot = F.col("negative") + F.col("neutral") + F.col("positive")
-    m = mentions.withColumn("n", tot)
-    line = F.concat_ws(" ", F.col("topic"), F.col("negative").cast("string"), F.col("neutral").cast("string"),
-                       F.col("positive").cast("string"), F.col("n").cast("string"))
-    r = _ranked_lines(m, line, "\n").select(
-        "request_id", F.concat(F.lit("topics negative neutral positive total\n"), F.col("text")).alias("text"))
-    j = counts.select("request_id").join(r, "request_id", "left")
-    return j.select("request_id", F.coalesce(F.col("text"), F.lit(NONE_WORD)).alias("text"))
-
-
-def event_report_input(events: DataFrame, sentiment_text: DataFrame, topic_text: DataFrame,
-                       table_text: DataFrame) -> DataFrame:
-    """J8 + F17: the three summaries of an event, absent ones as 无."""
-    e = events.select("request_id", "event_keyword")
-    for name, df in (("s", sentiment_text), ("t", topic_text), ("m", table_text)):
-        e = e.join(df.select("request_id", F.col("text").alias(name)), "request_id", "left")
-    c = lambda n: F.coalesce(F.col(n), F.lit(NONE_WORD))
-    text = F.concat(_head(EVENT_HEAD, F.col("event_keyword")), F.lit(EVENT_SENTIMENT), c("s"), F.lit(EVENT_TOPIC),
-                    c("t"), F.lit(EVENT_TABLE), c("m"), F.lit(EVENT_TAIL))
-    return e.select("request_id", text.alias("text"))
+    j = counts.select("request_id").join(event_topics(mentions), "request_id", "left")
+    return j.select("request_id", _none_if_null(F.col("tr"), _table_lines(F.col("tr"))).alias("text"))
+
+
+def event_report_input(counts: DataFrame, mentions: DataFrame) -> DataFrame:
+    """J8 + F17: the three summaries of an event, absent ones as 无.
+
+    One left join of the event counts with the event's topic rows; the three
+    sections are expressions over that one row, so the counts and the topic
+    rows are each aggregated once.
+    """
+    j = counts.join(event_topics(mentions), "request_id", "left")
+    tr = F.col("tr")
+    text = F.concat(_head(EVENT_HEAD, F.col("event_keyword")), F.lit(EVENT_SENTIMENT), _sentiment_sentence(),
+                    F.lit(EVENT_TOPIC), _none_if_null(tr, _share_lines(tr, F.col("total"))),
+                    F.lit(EVENT_TABLE), _none_if_null(tr, _table_lines(tr)), F.lit(EVENT_TAIL))
+    return j.select("request_id", text.alias("text"))

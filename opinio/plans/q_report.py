@@ -58,6 +58,5 @@ def q_table_as_text(spark, sf_dir):
 
 @query("event_report_input")
 def q_event_report_input(spark, sf_dir):
-    ev, counts, m = _parts(spark, sf_dir)
-    return report.event_report_input(ev, report.sentiment_report_text(counts), report.topic_report_text(counts, m),
-                                     report.table_as_text(counts, m))
+    _, counts, m = _parts(spark, sf_dir)
+    return report.event_report_input(counts, m)

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinio.functions.text import tokens
+from opinio.functions.text import first_token
 from opinio.operators.labelers import label_posts
 from opinio.operators.numbering import chunk_rows
 from opinio.sources import tables
@@ -199,7 +199,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = posts(spark, sf_dir).select("post_id", "author", "posted_at", "body")
     per = (p.withColumn("day", F.to_date("posted_at"))
            .groupBy("day", "author")
-           .agg(F.min_by(F.try_element_at(tokens(F.col("body")), F.lit(1)), F.col("post_id")).alias("kw"),
+           .agg(F.min_by(first_token(F.col("body")), F.col("post_id")).alias("kw"),
                 F.min("posted_at").alias("requested_at")))
     rid = (F.datediff(F.col("day"), F.lit(dt.date(2024, 1, 1))).cast("long") * 1000
            + F.regexp_extract(F.col("author"), r"(\d+)$", 1).cast("long"))
