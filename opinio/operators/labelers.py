@@ -68,9 +68,12 @@ def _topics(toks: Column, tax: Column, min_hits: int) -> Column:
     hit_terms = F.filter(toks, lambda t: F.map_contains_key(tax, t))
     hits = F.flatten(F.transform(hit_terms, lambda t: F.element_at(tax, t)))
     if min_hits <= 1:
-        return F.array_sort(F.array_distinct(hits))
-    return F.array_sort(F.filter(
-        F.array_distinct(hits), lambda x: F.size(F.filter(hits, lambda y: y == x)) >= min_hits))
+        topics = F.array_sort(F.array_distinct(hits))
+    else:
+        topics = F.array_sort(F.filter(
+            F.array_distinct(hits), lambda x: F.size(F.filter(hits, lambda y: y == x)) >= min_hits))
+    # a NULL text has no tokens, hence no topics (as on the join path)
+    return F.coalesce(topics, F.array().cast("array<string>"))
 
 
 def label_sentiment(df: DataFrame, lexicon: DataFrame, text_col: str = "body",
