@@ -139,20 +139,43 @@ def topic_registry(parsed: DataFrame) -> DataFrame:
                         F.col("f.entry_idx").alias("first_entry"), F.col("f.topic_pos").alias("first_pos"))
 
 
-def topics_visible(chunks: DataFrame, registry: DataFrame) -> DataFrame:
+# Chunks per bucket of the as-of join in ``topics_visible``.
+VISIBLE_BUCKET = 1024
+
+
+def topics_visible(chunks: DataFrame, registry: DataFrame, bucket: int = VISIBLE_BUCKET) -> DataFrame:
     """W4 + F8: topics first seen in earlier chunks of the run, in first-seen order, or 无.
 
-    New topics are grouped per chunk (bounded by what one reply names), then a
-    running frame per run concatenates them. The per-chunk list is the prompt
-    the source program sends, so the output is inherently as large as the list.
+    The visible list only changes after a chunk that named a new topic (a
+    "change point"; there are at most as many as distinct topics). Each change
+    point ``lo`` gets its list rendered once and is valid for the chunks
+    ``lo < k <= hi`` (``hi`` = the next change point). Chunks find their change
+    point by an as-of join made an equi-join on (run, chunk bucket): spans are
+    exploded into the buckets they touch, and the residual picks the one span
+    that holds the chunk. No window runs over the chunks of a run, so a run of
+    any length is spread over all tasks; the text join on ``lo`` is left to
+    broadcast or to adaptive skew splitting when one change point serves most chunks.
     """
-    new = registry.groupBy("run_id", F.col("first_chunk").alias("chunk_id")).agg(
+    new = registry.groupBy("run_id", "first_chunk").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("first_entry", "first_pos", "topic"))),
                     lambda x: x["topic"]).alias("new_topics"))
-    c = chunks.select("run_id", "chunk_id").distinct().join(new, ["run_id", "chunk_id"], "left")
-    w = Window.partitionBy("run_id").orderBy("chunk_id").rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.flatten(F.collect_list(F.coalesce(F.col("new_topics"), F.array().cast("array<string>"))).over(w))
-    return c.select("run_id", "chunk_id", join_topics(seen, NONE_WORD).alias("topics_visible"))
+    w = Window.partitionBy("run_id").orderBy("first_chunk")
+    cp = new.select(
+        "run_id", F.col("first_chunk").alias("lo"), F.lead("first_chunk").over(w).alias("hi"),
+        join_topics(F.flatten(F.collect_list("new_topics").over(w.rowsBetween(Window.unboundedPreceding, 0))),
+                    NONE_WORD).alias("text"))
+    ch = chunks.select("run_id", "chunk_id").distinct()
+    last = ch.groupBy("run_id").agg(F.max("chunk_id").alias("last"))
+    top = F.coalesce(F.col("hi"), F.col("last"))
+    spans = (cp.select("run_id", "lo", "hi").join(last, "run_id").where(F.col("lo") + 1 <= top)
+             .select("run_id", "lo", "hi", F.explode(F.sequence(F.floor((F.col("lo") + 1) / bucket),
+                                                                  F.floor(top / bucket))).alias("_b")))
+    k = ch.withColumn("_b", F.floor(F.col("chunk_id") / bucket))
+    cond = ((k["run_id"] == spans["run_id"]) & (k["_b"] == spans["_b"]) & (spans["lo"] < k["chunk_id"])
+            & (spans["hi"].isNull() | (k["chunk_id"] <= spans["hi"])))
+    at = k.join(spans, cond, "left").select(k["run_id"], k["chunk_id"], spans["lo"])
+    out = at.join(cp.select("run_id", "lo", "text"), ["run_id", "lo"], "left")
+    return out.select("run_id", "chunk_id", F.coalesce(F.col("text"), F.lit(NONE_WORD)).alias("topics_visible"))
 
 
 def topics_new(registry: DataFrame, known: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinio.functions.text import join_topics
@@ -52,9 +52,8 @@ def q_topics_taxonomy(spark, sf_dir):
 def q_sentiment_share(spark, sf_dir):
     """Sentiment counts and their share of all labelled documents."""
     counts = labelled_documents(spark, sf_dir).groupBy("sentiment").agg(F.count(F.lit(1)).alias("n"))
-    # three rows after the aggregation: the empty window is over those rows only
-    return counts.select("sentiment", "n",
-                         F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6).alias("share"))
+    total = counts.select(F.sum("n")).scalar()
+    return counts.select("sentiment", "n", F.round(F.col("n") / total, 6).alias("share"))
 
 
 @query("topic_share")

@@ -105,3 +105,19 @@ def test_labelers_small_and_large_paths_agree(spark, monkeypatch):
     large = {r["doc_id"]: (r["sentiment"], r["topics_arr"]) for r in
              labelers.label_posts(docs, lex, tax, "text", key="doc_id").collect()}
     assert large == small
+
+
+def test_topics_visible_as_of_join_matches_brute_force(spark):
+    # change points at chunks 0, 3, 4 and 9 of run a; run b has none; small buckets force spans over buckets
+    reg = spark.createDataFrame(
+        [("a", "x", 0, 1, 0), ("a", "y", 0, 0, 1), ("a", "z", 3, 2, 0), ("a", "w", 4, 1, 0), ("a", "v", 9, 1, 0)],
+        "run_id string, topic string, first_chunk long, first_entry int, first_pos int")
+    chunks = spark.createDataFrame([("a", c) for c in range(12)] + [("b", c) for c in range(3)],
+                                   "run_id string, chunk_id long")
+    got = {(r["run_id"], r["chunk_id"]): r["topics_visible"]
+           for r in replies.topics_visible(chunks, reg, bucket=2).collect()}
+    order = sorted(reg.collect(), key=lambda r: (r["first_chunk"], r["first_entry"], r["first_pos"]))
+    for (run, k), text in got.items():
+        seen = [r["topic"] for r in order if r["run_id"] == run and r["first_chunk"] < k]
+        assert text == (", ".join(seen) if seen else "无"), (run, k)
+    assert len(got) == 15
