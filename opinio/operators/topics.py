@@ -43,14 +43,16 @@ def topics_supported(mentions: DataFrame, posts: DataFrame, stop: DataFrame, min
 def term_frequency(df: DataFrame, key: str, text_col: str) -> DataFrame:
     """Per term, occurrences (tf) and number of texts containing it (df).
 
-    Each text's tokens are sorted inside the row; a token is the first of its run
-    when it differs from its predecessor, so ``df`` needs no distinct shuffle of
-    (text, term) pairs: one explode, one partially aggregated group-by.
+    Two explodes of the same token arrays, each a partially aggregated group-by
+    on the term: ``tf`` over all tokens, ``df`` over each text's distinct tokens
+    (``array_distinct`` inside the row, so no (text, term) pairs are shuffled).
+    Both sides come out hash-partitioned on the term, so the final join adds no
+    exchange; a hot term costs one row per map task.
     """
-    s = df.select(F.array_sort(tokens(F.col(text_col))).alias("s"))
-    ex = s.select("s", F.posexplode("s").alias("pos", "term"))
-    first = (F.col("pos") == 0) | (F.col("term") != F.element_at(F.col("s"), F.col("pos")))
-    return ex.groupBy("term").agg(F.count(F.lit(1)).alias("tf"), F.count_if(first).alias("df"))
+    tk = df.select(tokens(F.col(text_col)).alias("t"))
+    tf = tk.select(F.explode("t").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
+    dc = tk.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return tf.join(dc, "term")
 
 
 def negative_spikes(mentions: DataFrame, k: float = 3.0, lookback: int = 24) -> DataFrame:
