@@ -37,12 +37,39 @@ def pct1(n: Column, total: Column) -> Column:
     return F.concat(F.floor(tenths / 10).cast("long").cast("string"), F.lit("."), (tenths % 10).cast("string"))
 
 
-def sentiment_counts(events: DataFrame, ev_posts: DataFrame) -> DataFrame:
-    """(request_id, event_keyword, positive, neutral, negative, total); events without posts count 0."""
-    c = ev_posts.groupBy("request_id").agg(*[F.count_if(F.col("sentiment") == s).alias(s) for s in SENTS])
-    j = events.select("request_id", "event_keyword").join(c, "request_id", "left")
+def event_rows(ev_posts: DataFrame) -> DataFrame:
+    """One aggregation per (event, topic) that also carries the event's post counts.
+
+    Every post contributes one row without a topic (its sentiment) and one row per
+    topic. Grouping on (request_id, topic) then gives the per-topic mentions and,
+    in the topic-less group (``_post_row``), the per-event sentiment counts, so
+    the event posts are read and shuffled once for both.
+    """
+    ex = ev_posts.select("request_id", "post_id", "sentiment", F.posexplode(
+        F.concat(F.array(F.lit(None).cast("string")), F.col("topics_arr"))).alias("pos", "topic"))
+    return ex.groupBy("request_id", "topic").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col("sentiment") == s).alias(s) for s in SENTS],
+        F.min(F.struct(F.col("post_id"), (F.col("pos") - 1).alias("pos"))).alias("first"),
+        F.max(F.col("pos") == 0).alias("_post_row"))
+
+
+def event_summary(events: DataFrame, rows: DataFrame) -> DataFrame:
+    """(request_id, event_keyword, positive, neutral, negative, total, tr) per event.
+
+    ``rows`` is ``event_rows``; a second group-by on the event folds its
+    topic-less row into the counts and its topic rows into ``tr`` (one struct per
+    topic of the event, NULL when it has none), so every report section is an
+    expression over one row and the event posts are read once.
+    """
+    topic_row = F.struct("first", "topic", "n", *SENTS)
+    g = rows.groupBy("request_id").agg(
+        *[F.sum(F.when(F.col("_post_row"), F.col(s))).alias(s) for s in SENTS],
+        F.collect_list(F.when(~F.col("_post_row"), topic_row)).alias("tr"))
+    j = events.select("request_id", "event_keyword").join(g, "request_id", "left")
     cols = [F.coalesce(F.col(s), F.lit(0)).cast("long").alias(s) for s in SENTS]
-    out = j.select("request_id", "event_keyword", *cols)
+    tr = F.when(F.size("tr") > 0, F.col("tr")).alias("tr")
+    out = j.select("request_id", "event_keyword", *cols, tr)
     return out.withColumn("total", F.col("positive") + F.col("neutral") + F.col("negative"))
 
 
@@ -67,21 +94,6 @@ def sentiment_report_text(counts: DataFrame) -> DataFrame:
     return counts.select("request_id", _sentiment_sentence().alias("text"))
 
 
-def topic_mentions(ev_posts: DataFrame) -> DataFrame:
-    """(request_id, topic, n, first_post, first_pos): mentions per event topic and first sighting."""
-    ex = ev_posts.select("request_id", "post_id", "sentiment", F.posexplode("topics_arr").alias("pos", "topic"))
-    return ex.groupBy("request_id", "topic").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col("sentiment") == s).alias(s) for s in SENTS],
-        F.min(F.struct("post_id", "pos")).alias("first"))
-
-
-def event_topics(mentions: DataFrame) -> DataFrame:
-    """(request_id, tr): the topic rows of each event as one array (bounded by the event's topics)."""
-    return mentions.groupBy("request_id").agg(
-        F.collect_list(F.struct("first", "topic", "n", *SENTS)).alias("tr"))
-
-
 def _render(tr: Column, key, line, sep: str) -> Column:
     """Lines of the topic rows ``tr`` in the order of ``key(x)``, joined by ``sep``."""
     keyed = F.transform(tr, lambda x: F.struct(key(x).alias("k"), line(x).alias("line")))
@@ -111,35 +123,27 @@ def _none_if_null(tr: Column, text: Column) -> Column:
     return F.when(tr.isNull(), F.lit(NONE_WORD)).otherwise(text)
 
 
-def topic_report_input(events: DataFrame, mentions: DataFrame) -> DataFrame:
+def topic_report_input(summary: DataFrame) -> DataFrame:
     """F16: one ``topic: n`` line per topic in first-seen order."""
-    j = events.select("request_id", "event_keyword").join(event_topics(mentions), "request_id", "left")
-    return j.select("request_id", F.concat(_head(TOPIC_HEAD, F.col("event_keyword")),
-                                           F.coalesce(_first_seen_lines(F.col("tr")), F.lit(""))).alias("text"))
+    return summary.select("request_id", F.concat(_head(TOPIC_HEAD, F.col("event_keyword")),
+                                                 F.coalesce(_first_seen_lines(F.col("tr")), F.lit(""))).alias("text"))
 
 
-def topic_report_text(counts: DataFrame, mentions: DataFrame) -> DataFrame:
+def topic_report_text(summary: DataFrame) -> DataFrame:
     """F20 + M3: ``'topic' accounts for n posts, p% of the total`` per topic; 无 without topics."""
-    j = counts.select("request_id", "total").join(event_topics(mentions), "request_id", "left")
-    return j.select("request_id", _none_if_null(F.col("tr"), _share_lines(F.col("tr"), F.col("total"))).alias("text"))
+    tr = F.col("tr")
+    return summary.select("request_id", _none_if_null(tr, _share_lines(tr, F.col("total"))).alias("text"))
 
 
-def table_as_text(counts: DataFrame, mentions: DataFrame) -> DataFrame:
+def table_as_text(summary: DataFrame) -> DataFrame:
     """K7: the event's topic x sentiment table as text; 无 when it has no rows."""
-    j = counts.select("request_id").join(event_topics(mentions), "request_id", "left")
-    return j.select("request_id", _none_if_null(F.col("tr"), _table_lines(F.col("tr"))).alias("text"))
+    return summary.select("request_id", _none_if_null(F.col("tr"), _table_lines(F.col("tr"))).alias("text"))
 
 
-def event_report_input(counts: DataFrame, mentions: DataFrame) -> DataFrame:
-    """J8 + F17: the three summaries of an event, absent ones as 无.
-
-    One left join of the event counts with the event's topic rows; the three
-    sections are expressions over that one row, so the counts and the topic
-    rows are each aggregated once.
-    """
-    j = counts.join(event_topics(mentions), "request_id", "left")
+def event_report_input(summary: DataFrame) -> DataFrame:
+    """J8 + F17: the three summaries of an event, absent ones as 无 (all from the event's one row)."""
     tr = F.col("tr")
     text = F.concat(_head(EVENT_HEAD, F.col("event_keyword")), F.lit(EVENT_SENTIMENT), _sentiment_sentence(),
                     F.lit(EVENT_TOPIC), _none_if_null(tr, _share_lines(tr, F.col("total"))),
                     F.lit(EVENT_TABLE), _none_if_null(tr, _table_lines(tr)), F.lit(EVENT_TAIL))
-    return j.select("request_id", text.alias("text"))
+    return summary.select("request_id", text.alias("text"))

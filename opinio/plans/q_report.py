@@ -20,43 +20,36 @@ def _event_posts(spark, sf_dir, events):
     return feed.posts_for_requests(posts, events).select("request_id", "post_id", "sentiment", "topics_arr")
 
 
-def _parts(spark, sf_dir):
+def _summary(spark, sf_dir):
     ev = _events(spark, sf_dir)
-    ep = _event_posts(spark, sf_dir, ev)
-    return ev, report.sentiment_counts(ev, ep), report.topic_mentions(ep)
+    return report.event_summary(ev, report.event_rows(_event_posts(spark, sf_dir, ev)))
 
 
 @query("sentiment_report_input")
 def q_sentiment_report_input(spark, sf_dir):
-    _, counts, _ = _parts(spark, sf_dir)
-    return report.sentiment_report_input(counts)
+    return report.sentiment_report_input(_summary(spark, sf_dir))
 
 
 @query("topic_report_input")
 def q_topic_report_input(spark, sf_dir):
-    ev, _, m = _parts(spark, sf_dir)
-    return report.topic_report_input(ev, m)
+    return report.topic_report_input(_summary(spark, sf_dir))
 
 
 @query("sentiment_report_text")
 def q_sentiment_report_text(spark, sf_dir):
-    _, counts, _ = _parts(spark, sf_dir)
-    return report.sentiment_report_text(counts)
+    return report.sentiment_report_text(_summary(spark, sf_dir))
 
 
 @query("topic_report_text")
 def q_topic_report_text(spark, sf_dir):
-    _, counts, m = _parts(spark, sf_dir)
-    return report.topic_report_text(counts, m)
+    return report.topic_report_text(_summary(spark, sf_dir))
 
 
 @query("table_as_text")
 def q_table_as_text(spark, sf_dir):
-    _, counts, m = _parts(spark, sf_dir)
-    return report.table_as_text(counts, m)
+    return report.table_as_text(_summary(spark, sf_dir))
 
 
 @query("event_report_input")
 def q_event_report_input(spark, sf_dir):
-    _, counts, m = _parts(spark, sf_dir)
-    return report.event_report_input(counts, m)
+    return report.event_report_input(_summary(spark, sf_dir))
