@@ -149,7 +149,7 @@ def topics_visible(chunks: DataFrame, registry: DataFrame, bucket: int = VISIBLE
     The visible list only changes after a chunk that named a new topic (a
     "change point"; there are at most as many as distinct topics). Each change
     point ``lo`` gets its list rendered once and is valid for the chunks
-    ``lo < k <= hi`` (``hi`` = the next change point). Chunks find their change
+    ``lo < k <= hi`` (``hi`` = the next change point, or the run's end). Chunks find their change
     point by an as-of join made an equi-join on (run, chunk bucket): spans are
     exploded into the buckets they touch, and the residual picks the one span
     that holds the chunk. No window runs over the chunks of a run, so a run of
@@ -159,20 +159,23 @@ def topics_visible(chunks: DataFrame, registry: DataFrame, bucket: int = VISIBLE
     new = registry.groupBy("run_id", "first_chunk").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("first_entry", "first_pos", "topic"))),
                     lambda x: x["topic"]).alias("new_topics"))
+    ch = chunks.select("run_id", "chunk_id").distinct()
+    # one end marker per run just past its last chunk closes the last span (a union, not a join)
+    ends = ch.groupBy("run_id").agg((F.max("chunk_id") + 1).alias("first_chunk")) \
+        .withColumn("new_topics", F.lit(None).cast("array<string>"))
     w = Window.partitionBy("run_id").orderBy("first_chunk")
-    cp = new.select(
+    cp = (new.unionByName(ends).select(
         "run_id", F.col("first_chunk").alias("lo"), F.lead("first_chunk").over(w).alias("hi"),
+        F.col("new_topics").isNull().alias("_end"),
         join_topics(F.flatten(F.collect_list("new_topics").over(w.rowsBetween(Window.unboundedPreceding, 0))),
                     NONE_WORD).alias("text"))
-    ch = chunks.select("run_id", "chunk_id").distinct()
-    last = ch.groupBy("run_id").agg(F.max("chunk_id").alias("last"))
-    top = F.coalesce(F.col("hi"), F.col("last"))
-    spans = (cp.select("run_id", "lo", "hi").join(last, "run_id").where(F.col("lo") + 1 <= top)
+        .where(~F.col("_end") & F.col("hi").isNotNull()))
+    spans = (cp.where(F.col("lo") + 1 <= F.col("hi"))
              .select("run_id", "lo", "hi", F.explode(F.sequence(F.floor((F.col("lo") + 1) / bucket),
-                                                                  F.floor(top / bucket))).alias("_b")))
+                                                                  F.floor(F.col("hi") / bucket))).alias("_b")))
     k = ch.withColumn("_b", F.floor(F.col("chunk_id") / bucket))
     cond = ((k["run_id"] == spans["run_id"]) & (k["_b"] == spans["_b"]) & (spans["lo"] < k["chunk_id"])
-            & (spans["hi"].isNull() | (k["chunk_id"] <= spans["hi"])))
+            & (k["chunk_id"] <= spans["hi"]))
     at = k.join(spans, cond, "left").select(k["run_id"], k["chunk_id"], spans["lo"])
     out = at.join(cp.select("run_id", "lo", "text"), ["run_id", "lo"], "left")
     return out.select("run_id", "chunk_id", F.coalesce(F.col("text"), F.lit(NONE_WORD)).alias("topics_visible"))
