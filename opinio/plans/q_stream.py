@@ -21,6 +21,13 @@ def _paths(spark, label):
     return root, f"{root}/landing", f"{root}/checkpoint"
 
 
+def _staged(df, root):
+    """Write a derived source once under the scratch root, so that landing it in parts does not rebuild it."""
+    path = f"{root}/source"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _run_parts(spark, parts, landing, checkpoint, build, fn, output_mode="append"):
     """Land each part, then let the stream catch up (a restart from the checkpoint each time)."""
     schema = parts[0].schema
@@ -65,7 +72,7 @@ def q_stream_labels(spark, sf_dir):
 def q_stream_topic_registry(spark, sf_dir):
     """The topic list carried across micro-batches; final registry."""
     root, landing, ckpt = _paths(spark, "stream-registry")
-    r = fixtures.replies(spark, sf_dir).where(F.col("kind") == "topic")
+    r = _staged(fixtures.replies(spark, sf_dir).where(F.col("kind") == "topic"), root)
     half = r.select(F.max("chunk_id")).first()[0] // 2
     reg = f"{root}/registry"
     fn = jobs.registry_step(reg, lambda b: replies.topic_mentions_all(replies.parse_replies(b)))
@@ -90,7 +97,7 @@ def q_stream_late_rows(spark, sf_dir):
 def q_stream_requests(spark, sf_dir):
     """T5: requests stream in; valid ones go to the accepted table, others to rejects with status."""
     root, landing, ckpt = _paths(spark, "stream-requests")
-    r = fixtures.requests(spark, sf_dir).select("request_id", "requested_at", "reply")
+    r = _staged(fixtures.requests(spark, sf_dir).select("request_id", "requested_at", "reply"), root)
     acc, rej = f"{root}/accepted", f"{root}/rejected"
 
     def fn(batch, batch_id):

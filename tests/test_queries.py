@@ -79,3 +79,10 @@ def test_shares_sum_to_one(spark):
     assert share_cols
     assert abs(s[share_cols[0]].sum() - 1.0) < 1e-6
 
+
+
+def test_registry_is_duplicate_free_and_matches_stream(spark):
+    reg = E.queries()["topic_registry"](spark, SF_SMALL)
+    assert reg.count() == reg.select("run_id", "topic").distinct().count()
+    stream = E.queries()["stream_topic_registry"](spark, SF_SMALL)
+    assert reg.exceptAll(stream).count() == 0 and stream.exceptAll(reg).count() == 0
