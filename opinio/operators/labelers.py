@@ -7,8 +7,8 @@ The hosted model of the source program is re-aimed as rules that run inside Spar
 * ``label_topics``: tokens matched against a taxonomy (topic, term); a topic is
   kept when at least ``min_hits`` of its terms occur, topics sorted, distinct.
 
-Both take the dimension table as a DataFrame. A dimension whose row count is at
-most ``MAP_LIMIT`` is turned into a map literal once (size checked by ``count``),
+Both take the dimension table as a DataFrame. A dimension of at most ``MAP_LIMIT``
+terms is turned into a map literal once (one bounded collect checks the size),
 so the post table is labelled in one narrow projection: no shuffle, no explode.
 Larger dimensions go through ``explode`` + equi-join + ``groupBy(key)``.
 """
@@ -36,19 +36,22 @@ def _map_literal(keys: list, values: list, value_type: str) -> Column:
 
 
 def lexicon_map(lexicon: DataFrame) -> Column | None:
-    """term -> summed weight as a map literal, or None when the lexicon is over ``MAP_LIMIT`` rows."""
-    if lexicon.count() > MAP_LIMIT:
+    """term -> summed weight as a map literal, or None when the lexicon has over ``MAP_LIMIT`` terms.
+
+    One bounded collect: at most ``MAP_LIMIT + 1`` rows ever reach the driver.
+    """
+    rows = lexicon.groupBy("term").agg(F.sum("weight").alias("w")).orderBy("term").limit(MAP_LIMIT + 1).collect()
+    if len(rows) > MAP_LIMIT:
         return None
-    rows = lexicon.groupBy("term").agg(F.sum("weight").alias("w")).orderBy("term").collect()
     return _map_literal([r["term"] for r in rows], [F.lit(float(r["w"])) for r in rows], "double")
 
 
 def taxonomy_map(taxonomy: DataFrame) -> Column | None:
-    """term -> sorted topics as a map literal, or None when the taxonomy is over ``MAP_LIMIT`` rows."""
-    if taxonomy.count() > MAP_LIMIT:
-        return None
+    """term -> sorted topics as a map literal, or None when the taxonomy has over ``MAP_LIMIT`` terms."""
     rows = (taxonomy.groupBy("term").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
-            .orderBy("term").collect())
+            .orderBy("term").limit(MAP_LIMIT + 1).collect())
+    if len(rows) > MAP_LIMIT:
+        return None
     return _map_literal([r["term"] for r in rows], [F.array(*[F.lit(t) for t in r["topics"]]) for r in rows],
                         "array<string>")
 

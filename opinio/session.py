@@ -56,7 +56,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can test a local path (tests only)."""
+    """Strip a ``file:`` scheme so Python can test a local path."""
     return path[5:] if path.startswith("file:") else path
 
 
