@@ -121,3 +121,16 @@ def test_topics_visible_as_of_join_matches_brute_force(spark):
         seen = [r["topic"] for r in order if r["run_id"] == run and r["first_chunk"] < k]
         assert text == (", ".join(seen) if seen else "无"), (run, k)
     assert len(got) == 15
+
+
+def test_merge_hot_key_emits_no_pairs(spark):
+    # one key holds every row on both sides: the result has one row per (left row, distinct sentiment)
+    topics = spark.range(0, 2000).select(F.lit(1).alias("entry_no"), F.lit("same").alias("body"),
+                                         F.concat(F.lit("t"), (F.col("id") % 3).cast("string")).alias("topics"))
+    sent = spark.range(0, 3000).select(F.lit(1).alias("entry_no"), F.lit("same").alias("body"),
+                                       F.when(F.col("id") % 2 == 0, "positive").otherwise("negative").alias("sentiment"))
+    m = merge.merge_labels(topics, sent)
+    assert m.count() == 2000 * 2
+    assert m.agg(F.sum("n")).first()[0] == 2000 * 3000
+    counts = {r["topic"]: r["total"] for r in merge.topic_sentiment_counts(merge.topic_mentions(m)).collect()}
+    assert sum(counts.values()) == 2000 * 3000
