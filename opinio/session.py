@@ -1,24 +1,29 @@
 """Session helpers: one builder for tests and benches, plus the shared scratch area.
 
 Scratch data (CSV round trips, sinks, stream checkpoints) always lives under the
-folder the cluster names in ``spark.checkpoint.dir``; a local default is set only
-when the session has none, which is the test and bench situation.
+folder the cluster names in ``spark.checkpoint.dir``. ``build_session`` (tests and
+benches only) passes its own ``scratch`` folder when the configuration names none.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "opinio") -> SparkSession:
+def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "opinio",
+                  scratch: str | None = None) -> SparkSession:
+    """A local session; ``scratch`` becomes ``spark.checkpoint.dir`` only where that key is unset."""
+    builder = SparkSession.builder
+    if scratch and SparkConf().get(CHECKPOINT_KEY) is None:
+        builder = builder.config(CHECKPOINT_KEY, scratch)
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -36,15 +41,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts and scratch tables.
+    """The shared folder for lineage cuts and scratch tables, read from ``spark.checkpoint.dir``.
 
-    Reads ``spark.checkpoint.dir`` (session conf first, then the context);
-    only when neither is set (local tests) a fresh local folder is made.
+    There is no fallback: a machine-local folder would lose data on a cluster, so an unset
+    key is an error (tests set their own before the session starts).
     """
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="opinio-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        raise ValueError(f"{CHECKPOINT_KEY} is not set: name a folder that the driver and all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

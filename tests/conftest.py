@@ -15,8 +15,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session(master="local[4]", shuffle_partitions=8, app="opinio-tests")
+def spark(tmp_path_factory):
+    s = build_session(master="local[4]", shuffle_partitions=8, app="opinio-tests",
+                      scratch=str(tmp_path_factory.mktemp("scratch")))
     checkpoint_root(s)
     yield s
     s.stop()
