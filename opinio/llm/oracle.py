@@ -9,3 +9,27 @@ with n as (
 select n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id as kept, sha256(n.t) as text_sha256
 from n join g using (t)
 """
+
+LLM_ORACLE["op3_minhash_bayes"] = r"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws
+  from documents
+), s as (
+  select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+         else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as g
+  from w
+), n as (select doc_id, count(*) as n from s group by doc_id
+), p as (
+  select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all
+), l as (
+  select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)
+), e as (select a, b from l union all select b, a from l
+), r as (
+  select doc_id, doc_id as c from documents
+  union
+  select e.b, r.c from r join e on e.a = r.doc_id
+), c as (select doc_id, min(c) as component_id from r group by doc_id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d left join n using (doc_id) join c using (doc_id)
+"""

@@ -5,7 +5,9 @@ Each query applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from opinio.llm import exact
+import public_tokenizers
+
+from opinio.llm import bpe, exact, langid, minhash
 from opinio.llm.common import read
 from opinio.llm.oracle import LLM_ORACLE  # noqa: F401
 
@@ -14,6 +16,23 @@ def op8_block_naming(spark, sf_dir):
     return exact.exact_dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_minhash_bayes(spark, sf_dir):
+    found = minhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op7_naive_bayes(spark, sf_dir):
+    return langid.identify(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op10_word_bpe(spark, sf_dir):
+    vocabulary = bpe.load(public_tokenizers.path("word_bpe_49k.json"))
+    return bpe.digests(bpe.bpe(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary))
+
+
 LLM_QUERIES = {
+    "op3_minhash_bayes": op3_minhash_bayes,
+    "op7_naive_bayes": op7_naive_bayes,
+    "op10_word_bpe": op10_word_bpe,
     "op8_block_naming": op8_block_naming,
 }
