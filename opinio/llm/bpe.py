@@ -35,7 +35,8 @@ SEGMENT_CHARS = 1 << 20
 CACHE_CHUNKS = 400_000
 
 # The Unicode White_Space characters, in code-point order.
-WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE_SPACE = "".join(map(chr, (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _SPACES = re.compile(f"[{WHITE_SPACE}]+")
 _NO_RANK = np.iinfo(np.int64).max
 
@@ -240,8 +241,8 @@ def bpe(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_co
     return src.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of ``bpe``'s rows."""
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of ``bpe``'s rows, and ``more`` of its columns."""
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                          F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+                          F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *more)

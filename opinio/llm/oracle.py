@@ -33,3 +33,50 @@ with recursive w as (
 select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
 from documents d left join n using (doc_id) join c using (doc_id)
 """
+
+# The blocks that a source fills are the first ones of its repeated order, so a document's taken words are
+# its overlap with that prefix.
+LLM_ORACLE["op2_golden_ratio_mix"] = r"""
+with recursive d as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+         md5('mix:' || coalesce(doc_id::varchar, '')) as o
+  from documents
+), s0 as (select source, sum(size)::bigint as source_size from d group by source
+), s as (
+  select *, ([5, 2, 1])[1 + number % 3]::bigint as weight
+  from (select *, row_number() over (order by source nulls last) - 1 as number from s0)
+), t as (
+  select sum(source_size)::bigint as total, sum(weight)::bigint as weights, count(*) as n from s
+), level as (
+  select 0 as k, total / weights as v from t
+  union all
+  select l.k + 1, (any_value(t.total) - sum(case when 3 * source_size < v * weight then 3 * source_size else 0 end))::bigint
+                  / sum(case when 3 * source_size < v * weight then 0 else weight end)::bigint
+  from level l, s, t where l.k < 40 group by l.k
+), v as (select v from level where k = 40
+), g as (
+  select s.*, case when 3 * source_size < v * weight then (3 * source_size)::double else v * weight end as target,
+         (sum(case when 3 * source_size < v * weight then 3 * source_size else 0 end) over (order by number))::double
+         + v * (sum(case when 3 * source_size < v * weight then 0 else weight end) over (order by number))::double as high
+  from s, v
+), b as (select total, n, greatest(1, least(1024, total // (n * 4096))) as words from t
+), iv as (
+  select g.*, coalesce(lag(high) over (order by number), 0) as low,
+         case when number = n - 1 then 2.0 * total else high end as top
+  from g, b
+), slots as (
+  select ((i % 2147483648) * 1327217885 % 2147483648 + 0.5) / 2147483648::double * total as x
+  from b, range((select (total + words - 1) // words from b)) r(i)
+), held as (
+  select number, count(*) as k from slots join iv on x >= low and x < top group by number
+), p as (
+  select d.*, source_size, target, coalesce(k, 0) * words as lim,
+         (sum(size) over (partition by number order by o, doc_id))::bigint - size as start
+  from d join iv on d.source is not distinct from iv.source left join held using (number), b
+)
+select doc_id, size, source_size, target,
+       (greatest(0, least(start + size, lim) - least(start, lim))
+        + greatest(0, least(start + source_size + size, lim) - least(start + source_size, lim))
+        + greatest(0, least(start + 2 * source_size + size, lim) - least(start + 2 * source_size, lim)))::bigint as taken
+from p
+"""

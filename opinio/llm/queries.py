@@ -5,9 +5,10 @@ Each query applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 
-from opinio.llm import bpe, exact, langid, minhash
+from opinio.llm import bpe, exact, langid, minhash, mix
 from opinio.llm.common import read
 from opinio.llm.oracle import LLM_ORACLE  # noqa: F401
 
@@ -16,6 +17,11 @@ def op8_block_naming(spark, sf_dir):
     return exact.exact_dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_golden_ratio_mix(spark, sf_dir):
+    mixed = mix.mix(read(spark, sf_dir, "documents", "doc_id", "source", "text")).documents
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_minhash_bayes(spark, sf_dir):
     found = minhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -31,6 +37,8 @@ def op10_word_bpe(spark, sf_dir):
 
 
 LLM_QUERIES = {
+    "pipeline": corpus_pipeline.run,
+    "op2_golden_ratio_mix": op2_golden_ratio_mix,
     "op3_minhash_bayes": op3_minhash_bayes,
     "op7_naive_bayes": op7_naive_bayes,
     "op10_word_bpe": op10_word_bpe,
