@@ -80,3 +80,20 @@ select doc_id, size, source_size, target,
         + greatest(0, least(start + 2 * source_size + size, lim) - least(start + 2 * source_size, lim)))::bigint as taken
 from p
 """
+
+LLM_ORACLE["op1_pq_neardup"] = r"""
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+), ok as (
+  select * from v where label is not null and e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+         and len(list_filter(e, lambda x: x <> 0)) > 0
+), l as (
+  select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.93
+), r as (
+  select vec_id, vec_id as c from v union select l.b, r.c from r join l on l.a = r.vec_id
+), c as (select vec_id, min(c) as component_id from r group by vec_id
+), n as (select a as vec_id, count(*) as n from l group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from c left join n using (vec_id)
+"""

@@ -8,7 +8,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from opinio.llm import bpe, exact, langid, minhash, mix
+from opinio.llm import bpe, chat, exact, langid, minhash, mix, pq, shard
 from opinio.llm.common import read
 from opinio.llm.oracle import LLM_ORACLE  # noqa: F401
 
@@ -17,6 +17,10 @@ def op8_block_naming(spark, sf_dir):
     return exact.exact_dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op1_pq_neardup(spark, sf_dir):
+    return pq.near_vectors(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op2_golden_ratio_mix(spark, sf_dir):
     mixed = mix.mix(read(spark, sf_dir, "documents", "doc_id", "source", "text")).documents
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -27,10 +31,19 @@ def op3_minhash_bayes(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_label_propagation(spark, sf_dir):
+    placed = shard.balanced_shards(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return placed.drop("link")
+
+
 def op7_naive_bayes(spark, sf_dir):
     return langid.identify(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op9_role_repair(spark, sf_dir):
+    return chat.repair(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op10_word_bpe(spark, sf_dir):
     vocabulary = bpe.load(public_tokenizers.path("word_bpe_49k.json"))
     return bpe.digests(bpe.bpe(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary))
@@ -38,9 +51,12 @@ def op10_word_bpe(spark, sf_dir):
 
 LLM_QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op1_pq_neardup": op1_pq_neardup,
     "op2_golden_ratio_mix": op2_golden_ratio_mix,
     "op3_minhash_bayes": op3_minhash_bayes,
+    "op6_label_propagation": op6_label_propagation,
     "op7_naive_bayes": op7_naive_bayes,
+    "op9_role_repair": op9_role_repair,
     "op10_word_bpe": op10_word_bpe,
     "op8_block_naming": op8_block_naming,
 }
