@@ -8,7 +8,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from opinio.llm import bpe, chat, exact, langid, minhash, mix, pq, shard, suffix
+from opinio.llm import bpe, chat, exact, langid, minhash, mix, pq, scoring, shard, suffix
 from opinio.llm.common import read
 from opinio.llm.oracle import LLM_ORACLE  # noqa: F401
 
@@ -31,6 +31,10 @@ def op3_minhash_bayes(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_masked_pseudo_likelihood(spark, sf_dir):
+    return scoring.score(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_longest_previous_factor(spark, sf_dir):
     return suffix.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text")).drop("kept")
 
@@ -58,6 +62,7 @@ LLM_QUERIES = {
     "op1_pq_neardup": op1_pq_neardup,
     "op2_golden_ratio_mix": op2_golden_ratio_mix,
     "op3_minhash_bayes": op3_minhash_bayes,
+    "op4_masked_pseudo_likelihood": op4_masked_pseudo_likelihood,
     "op5_longest_previous_factor": op5_longest_previous_factor,
     "op6_label_propagation": op6_label_propagation,
     "op7_naive_bayes": op7_naive_bayes,
