@@ -256,10 +256,9 @@ def _meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from _by_document(t, order[~new_kind], REPEAT)
     group = np.cumsum(new_anchor) - 1
     kinds = np.bincount(group, weights=new_kind)[group]
-    signed = np.bincount(group, weights=t["hot"][order])[group] > 0
-    hot = signed | (kinds > HOT)
-    t["hot"][order] = hot
-    yield from _by_document(t, order[new_kind & (kinds > 1)], FETCH)
+    sign = t["hot"][order] > 0  # from a task that fetches its kinds itself
+    t["hot"][order] = (np.bincount(group, weights=sign)[group] > 0) | (kinds > HOT)
+    yield from _by_document(t, order[new_kind & (kinds > 1) & ~sign], FETCH)
 
 
 _SEGMENTS = "route long, key long, twin int, start int, windows int, bytes binary"
