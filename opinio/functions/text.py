@@ -41,12 +41,28 @@ def strip_fence(c) -> Column:
     return F.coalesce(F.nullif(inner, F.lit("")), utrim(c))
 
 
+def _numeric_entities(c: Column) -> Column:
+    """Decimal and hexadecimal character references; others stay as they are."""
+    def one(part: Column) -> Column:
+        dec = F.regexp_extract(part, r"^(\d{1,7});", 1)
+        hexa = F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,6});", 1)
+        code = F.when(dec != "", dec.cast("long")).when(hexa != "", F.conv(hexa, 16, 10).cast("long"))
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF),
+                      F.concat(char, F.regexp_replace(part, r"^[0-9a-fA-FxX]+;", ""))) \
+            .otherwise(F.concat(F.lit("&#"), part))
+
+    parts = F.split(c, "&#")
+    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), one)
+    return F.when(c.contains("&#"), F.concat(F.get(parts, 0), F.array_join(rest, ""))).otherwise(c)
+
+
 def unescape_html(c) -> Column:
-    """The five basic entities; ``&amp;`` last so that ``&amp;lt;`` stays ``&lt;``."""
+    """The basic named entities and all numeric ones; ``&amp;`` last so that ``&amp;lt;`` stays ``&lt;``."""
     c = _c(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\xa0")):
         c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    return F.replace(_numeric_entities(c), F.lit("&amp;"), F.lit("&"))
 
 
 def strip_tags(c) -> Column:
@@ -95,11 +111,24 @@ def without_hashtags(c) -> Column:
     return utrim(F.regexp_replace(_c(c), "#[^#]+#", ""))
 
 
+LETTERS = r"\p{L}+"
+HAN = r"\p{IsHan}"
+
+
+def _word_tokens(w: Column) -> Column:
+    """A run of letters is one token; with Chinese characters in it, its character bigrams are."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, 2))
+    return F.when(w.rlike(HAN) & (F.length(w) > 1), pairs).otherwise(F.array(w))
+
+
 def tokens(c) -> Column:
-    """Lower-case ASCII word tokens (the tokenizer of the native labelers)."""
-    return F.regexp_extract_all(F.lower(_c(c)), F.lit("[a-z]+"), 0)
+    """Lower-case word tokens of every script (the tokenizer of the native labelers)."""
+    low = F.lower(_c(c))
+    words = F.regexp_extract_all(low, F.lit(LETTERS), 0)
+    return F.when(low.rlike(HAN), F.flatten(F.transform(words, _word_tokens))).otherwise(words)
 
 
 def first_token(c) -> Column:
     """The first element of ``tokens(c)`` (NULL when there is none), without building the whole array."""
-    return F.nullif(F.regexp_extract(F.lower(_c(c)), "[a-z]+", 0), F.lit(""))
+    w = F.nullif(F.regexp_extract(F.lower(_c(c)), LETTERS, 0), F.lit(""))
+    return F.when(w.rlike(HAN), F.substring(w, F.lit(1), F.lit(2))).otherwise(w)

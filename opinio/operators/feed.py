@@ -16,16 +16,30 @@ from opinio.functions.text import NONE_WORD, node_text, unescape_html, utrim
 # The markers of a feed item and of its parts.
 ITEM_START = r'(?=<div[^>]*action-type="feed_list_item")'
 ITEM_HEAD = r'^<div[^>]*action-type="feed_list_item"'
-AUTHOR_ATTR = r'nick-name="([^"]*)"'
-FROM_DIV = r'(?s)<div class="from">(.*?)</div>'
-CONTENT_P = r'(?s)<p node-type="feed_list_content"[^>]*>(.*?)</p>'
-CONTENT_FULL_MARK = 'node-type="feed_list_content_full"'
-CONTENT_FULL_P = r'(?s)<p node-type="feed_list_content_full"[^>]*>(.*?)</p>'
-CARD_ACT_DIV = r'(?s)<div class="card-act">(.*?)</div>'
-LI_TEXT = r"(?s)<li[^>]*>(.*?)</li>"
+AUTHOR_ATTR = r'\bnick-name="([^"]*)"'
 SOURCE_WORD = "来自"
 
 
+def _tag(name: str, attr: str, value: str) -> str:
+    """An opening tag with the attribute anywhere in it."""
+    return rf'<{name}\b(?=[^>]*\b{attr}="{value}")[^>]*>'
+
+
+def _class(token: str) -> str:
+    """An attribute value holding ``token`` as one of its class names."""
+    return rf'(?:[^"]*\s)?{token}(?:\s[^"]*)?'
+
+
+CONTENT_TAG = _tag("p", "node-type", "feed_list_content")
+CONTENT_P = rf"(?s){CONTENT_TAG}(.*?)</p>"
+CONTENT_FULL_TAG = _tag("p", "node-type", "feed_list_content_full")
+CONTENT_FULL_P = rf"(?s){CONTENT_FULL_TAG}(.*?)</p>"
+FROM_DIV = rf"(?s){_tag('div', 'class', _class('from'))}(.*?)</div>"
+# the counters may hold nested elements, so their block goes on to the item's end
+CARD_ACT_DIV = rf"(?s){_tag('div', 'class', _class('card-act'))}(.*)$"
+LI_TEXT = r"(?s)<li\b[^>]*>(.*?)</li>"
+
+
 def split_items(html: Column) -> Column:
     """The feed items of a page, in page order (text before the first item dropped)."""
     return F.filter(F.split(html, ITEM_START), lambda x: x.rlike(ITEM_HEAD))
@@ -39,12 +53,12 @@ def feed_items(pages: DataFrame) -> DataFrame:
 
 def item_fields(item: Column) -> dict[str, Column]:
     """The fields of one item, NULL when a part is absent."""
-    author = F.nullif(F.regexp_extract(item, AUTHOR_ATTR, 1), F.lit(""))
+    author = F.nullif(F.regexp_extract(F.regexp_extract(item, CONTENT_TAG, 0), AUTHOR_ATTR, 1), F.lit(""))
     from_text = node_text(F.regexp_extract(item, FROM_DIV, 1))
     parts = F.split(from_text, SOURCE_WORD)
     posted_raw = utrim(F.get(parts, 0))
     via = F.coalesce(utrim(F.get(parts, 1)), F.lit(NONE_WORD))
-    body = F.when(item.contains(CONTENT_FULL_MARK), node_text(F.regexp_extract(item, CONTENT_FULL_P, 1))) \
+    body = F.when(item.rlike(CONTENT_FULL_TAG), node_text(F.regexp_extract(item, CONTENT_FULL_P, 1))) \
         .otherwise(node_text(F.regexp_extract(item, CONTENT_P, 1)))
     lis = F.regexp_extract_all(F.regexp_extract(item, CARD_ACT_DIV, 1), F.lit(LI_TEXT), 1)
     return {
@@ -107,15 +121,25 @@ def assign_hours_closed(posts: DataFrame, windows: DataFrame, ts: str = "posted_
     return ex.join(windows.select("win_start", "win_end"), "win_start")
 
 
-def posts_for_requests(posts: DataFrame, reqs: DataFrame) -> DataFrame:
-    """Posts of each request's day range that contain its keyword.
+# Parts that the posts of one day are dealt into.
+DAY_PARTS = 32
+
+
+def posts_for_requests(posts: DataFrame, reqs: DataFrame, parts: int = DAY_PARTS) -> DataFrame:
+    """Posts of each request's day range, closed at its end, that contain its keyword.
 
-    Equi-join on the day (requests exploded to every day they cover), the
-    keyword test is the residual. Spark's adaptive execution broadcasts the
-    request side when its measured size allows it.
+    Equi-join on (day, part): a day's posts are dealt into ``parts`` by their id and the requests, which
+    are few, go to every part, so one busy day is spread over many tasks. Requests are exploded to the days
+    they cover and to the day after, of which only posts stamped exactly at its midnight belong to them
+    (the last hour window is closed). The keyword test is the residual.
     """
-    r = reqs.select("request_id", "keyword",
-                    F.explode(F.sequence(F.col("start_date"), F.date_add(F.col("start_date"), F.col("days") - 1)))
-                    .alias("day"))
-    p = posts.withColumn("day", F.to_date("posted_at"))
-    return p.join(r, "day").where(F.col("body").contains(F.col("keyword")))
+    offset = F.explode(F.sequence(F.lit(0), F.col("days"))).alias("offset")
+    r = (reqs.where(F.col("start_date").isNotNull()).select("request_id", "keyword", "start_date", "days", offset)
+         .select("request_id", "keyword", F.date_add("start_date", F.col("offset")).alias("day"),
+                 (F.col("offset") == F.col("days")).alias("only_midnight"),
+                 F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")))
+    p = (posts.withColumn("day", F.to_date("posted_at"))
+         .withColumn("part", F.pmod(F.xxhash64("post_id"), F.lit(parts)).cast("int")))
+    midnight = F.col("posted_at") == F.col("day").cast("timestamp_ntz")
+    return (p.join(r, ["day", "part"]).where(F.col("body").contains(F.col("keyword")) & (~F.col("only_midnight") | midnight))
+            .drop("part", "only_midnight"))

@@ -2,15 +2,17 @@
 
 The hosted model of the source program is re-aimed as rules that run inside Spark:
 
-* ``label_sentiment``: tokens scored against a lexicon (term, weight); the sign of
-  the sum is the label, no hit is neutral.
-* ``label_topics``: tokens matched against a taxonomy (topic, term); a topic is
-  kept when at least ``min_hits`` of its terms occur, topics sorted, distinct.
-
-Both take the dimension table as a DataFrame. A dimension of at most ``MAP_LIMIT``
-terms is turned into a map literal once (one bounded collect checks the size),
-so the post table is labelled in one narrow projection: no shuffle, no explode.
-Larger dimensions go through ``explode`` + equi-join + ``groupBy(key)``.
+* sentiment: tokens scored against a lexicon (term, weight); the sign of the sum is the label, no hit is
+  neutral;
+* topics: tokens matched against a taxonomy (topic, term), repeated rows counting once; a topic is kept when
+  at least ``min_hits`` of its terms occur, topics sorted, distinct.
+
+There are two methods with the same answers; the caller chooses by the size of the dimension:
+
+* ``label_sentiment`` / ``label_topics`` / ``label_posts`` turn the dimension into a map literal, so posts are
+  labelled in one narrow projection (also on a stream). A dimension of over ``MAP_TERMS`` terms is an error.
+* ``label_sentiment_by_join`` / ``label_topics_by_join`` explode the tokens and join them to a dimension of any
+  size. Rows are told apart by a row id of their own, so keys may be NULL, repeated or absent.
 """
 
 from __future__ import annotations
@@ -22,9 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinio.functions.text import tokens
+from opinio.session import stage
 
-# Dimension tables up to this many rows become a map literal in the plan.
-MAP_LIMIT = 20_000
+# The most terms a dimension may have as a map literal; beyond it the caller takes the join method.
+MAP_TERMS = 20_000
 
 SENTIMENTS = ("negative", "neutral", "positive")
 
@@ -35,25 +38,26 @@ def _map_literal(keys: list, values: list, value_type: str) -> Column:
     return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*values))
 
 
-def lexicon_map(lexicon: DataFrame) -> Column | None:
-    """term -> summed weight as a map literal, or None when the lexicon has over ``MAP_LIMIT`` terms.
+def _bounded(df: DataFrame) -> list:
+    """The rows of a dimension, at most ``MAP_TERMS``; a larger one is an error, not another answer."""
+    rows = df.limit(MAP_TERMS + 1).collect()
+    if len(rows) > MAP_TERMS:
+        raise ValueError(f"over {MAP_TERMS} terms: use the labeler that joins")
+    return sorted(rows, key=lambda r: (r["term"] is None, r["term"]))
 
-    One bounded collect: at most ``MAP_LIMIT + 1`` rows ever reach the driver.
-    """
-    rows = lexicon.groupBy("term").agg(F.sum("weight").alias("w")).orderBy("term").limit(MAP_LIMIT + 1).collect()
-    if len(rows) > MAP_LIMIT:
-        return None
-    return _map_literal([r["term"] for r in rows], [F.lit(float(r["w"])) for r in rows], "double")
+
+def lexicon_map(lexicon: DataFrame) -> Column:
+    """term -> summed weight as a map literal (one bounded collect)."""
+    rows = _bounded(lexicon.where("term is not null").groupBy("term").agg(F.sum("weight").alias("w")))
+    return _map_literal([r["term"] for r in rows], [F.lit(float(r["w"] or 0)) for r in rows], "double")
 
 
-def taxonomy_map(taxonomy: DataFrame) -> Column | None:
-    """term -> sorted topics as a map literal, or None when the taxonomy has over ``MAP_LIMIT`` terms."""
-    rows = (taxonomy.groupBy("term").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
-            .orderBy("term").limit(MAP_LIMIT + 1).collect())
-    if len(rows) > MAP_LIMIT:
-        return None
-    return _map_literal([r["term"] for r in rows], [F.array(*[F.lit(t) for t in r["topics"]]) for r in rows],
-                        "array<string>")
+def taxonomy_map(taxonomy: DataFrame) -> Column:
+    """term -> sorted distinct topics as a map literal (one bounded collect)."""
+    rows = _bounded(taxonomy.where("term is not null").groupBy("term")
+                    .agg(F.array_sort(F.collect_set("topic")).alias("topics")))
+    return _map_literal([r["term"] for r in rows], [F.array(*[F.lit(t) for t in r["topics"]]).cast("array<string>")
+                                                    for r in rows], "array<string>")
 
 
 def sentiment_of(score: Column) -> Column:
@@ -79,48 +83,22 @@ def _topics(toks: Column, tax: Column, min_hits: int) -> Column:
     return F.coalesce(topics, F.array().cast("array<string>"))
 
 
-def label_sentiment(df: DataFrame, lexicon: DataFrame, text_col: str = "body",
-                    key: str | None = None, out: str = "sentiment") -> DataFrame:
+def label_sentiment(df: DataFrame, lexicon: DataFrame, text_col: str = "body", out: str = "sentiment") -> DataFrame:
     """M1: add ``out`` (positive / neutral / negative) from a (term, weight) lexicon."""
-    lex = lexicon_map(lexicon)
-    if lex is not None:
-        return df.withColumn(out, sentiment_of(_score(tokens(text_col), lex)))
-    if key is None:
-        raise ValueError("a unique key column is needed for a large lexicon")
-    toks = df.select(key, F.explode(tokens(text_col)).alias("term"))
-    scores = (toks.join(lexicon.select("term", F.col("weight").cast("double")), "term")
-              .groupBy(key).agg(F.sum("weight").alias("_score")))
-    return df.join(scores, key, "left").withColumn(out, sentiment_of(F.col("_score"))).drop("_score")
-
-
-def label_topics(df: DataFrame, taxonomy: DataFrame, text_col: str = "body", key: str | None = None,
-                 out: str = "topics_arr", min_hits: int = 1) -> DataFrame:
+    return df.withColumn(out, sentiment_of(_score(tokens(text_col), lexicon_map(lexicon))))
+
+
+def label_topics(df: DataFrame, taxonomy: DataFrame, text_col: str = "body", out: str = "topics_arr",
+                 min_hits: int = 1) -> DataFrame:
     """M2: add ``out`` = sorted distinct topics with at least ``min_hits`` term hits."""
-    tax = taxonomy_map(taxonomy)
-    if tax is not None:
-        return df.withColumn(out, _topics(tokens(text_col), tax, min_hits))
-    if key is None:
-        raise ValueError("a unique key column is needed for a large taxonomy")
-    toks = df.select(key, F.explode(tokens(text_col)).alias("term"))
-    per_topic = (toks.join(taxonomy.select("term", "topic"), "term")
-                 .groupBy(key, "topic").count().where(F.col("count") >= min_hits)
-                 .groupBy(key).agg(F.array_sort(F.collect_list("topic")).alias("_topics")))
-    return (df.join(per_topic, key, "left")
-            .withColumn(out, F.coalesce(F.col("_topics"), F.array().cast("array<string>"))).drop("_topics"))
+    return df.withColumn(out, _topics(tokens(text_col), taxonomy_map(taxonomy), min_hits))
 
 
 def label_posts(df: DataFrame, lexicon: DataFrame, taxonomy: DataFrame, text_col: str = "body",
-                key: str | None = None, min_hits: int = 1) -> DataFrame:
-    """Both labels in one pass over the post table.
-
-    With both dimensions small, the text is tokenized once: the tokens found in
-    either dimension (a short array) are kept in a helper column that both
-    labels read, so the long token array of a document is built only once.
-    """
+                min_hits: int = 1) -> DataFrame:
+    """Both labels in one pass: the tokens found in either dimension are kept in a helper column that both
+    labels read, so the long token array of a document is built only once."""
     lex, tax = lexicon_map(lexicon), taxonomy_map(taxonomy)
-    if lex is None or tax is None:
-        return label_topics(label_sentiment(df, lexicon, text_col, key), taxonomy, text_col, key,
-                            min_hits=min_hits)
     hits = F.filter(tokens(text_col), lambda t: F.map_contains_key(lex, t) | F.map_contains_key(tax, t))
     return (df.withColumn("_hits", hits)
             .withColumn("sentiment", sentiment_of(_score(F.col("_hits"), lex)))
@@ -128,6 +106,33 @@ def label_posts(df: DataFrame, lexicon: DataFrame, taxonomy: DataFrame, text_col
             .drop("_hits"))
 
 
+def _with_row(df: DataFrame) -> DataFrame:
+    """Rows with an id that stays the same however often the plan reads them."""
+    return stage(df.withColumn("_row", F.monotonically_increasing_id()), "label-rows")
+
+
+def label_sentiment_by_join(df: DataFrame, lexicon: DataFrame, text_col: str = "body",
+                            out: str = "sentiment") -> DataFrame:
+    """M1 for a lexicon of any size."""
+    rows = _with_row(df)
+    weights = lexicon.where("term is not null").groupBy("term").agg(F.sum("weight").cast("double").alias("_weight"))
+    scores = (rows.select("_row", F.explode(tokens(text_col)).alias("term")).join(weights, "term")
+              .groupBy("_row").agg(F.sum("_weight").alias("_score")))
+    return rows.join(scores, "_row", "left").withColumn(out, sentiment_of(F.col("_score"))).drop("_score", "_row")
+
+
+def label_topics_by_join(df: DataFrame, taxonomy: DataFrame, text_col: str = "body", out: str = "topics_arr",
+                         min_hits: int = 1) -> DataFrame:
+    """M2 for a taxonomy of any size."""
+    rows = _with_row(df)
+    terms = taxonomy.where("term is not null and topic is not null").select("term", "topic").distinct()
+    topics = (rows.select("_row", F.explode(tokens(text_col)).alias("term")).join(terms, "term")
+              .groupBy("_row", "topic").count().where(F.col("count") >= min_hits)
+              .groupBy("_row").agg(F.array_sort(F.collect_list("topic")).alias("_topics")))
+    return (rows.join(topics, "_row", "left")
+            .withColumn(out, F.coalesce(F.col("_topics"), F.array().cast("array<string>"))).drop("_topics", "_row"))
+
+
 # ---------------------------------------------------------------- M5: labeler hook
 
 LabelFn = Callable[[pd.DataFrame], pd.DataFrame]

@@ -9,7 +9,7 @@ distinct sentiment instead of |left| x |right| rows. Downstream counts sum ``n``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinio.functions.text import split_topics, utrim
@@ -17,6 +17,11 @@ from opinio.operators.labelers import SENTIMENTS
 from opinio.operators.numbering import global_row_number
 
 
+def _key(df: DataFrame, name: str) -> Column:
+    """A key column; texts as a digest, so that whole bodies are neither shuffled nor sorted as keys."""
+    return F.sha2(F.col(name), 256) if df.schema[name].dataType.simpleString() == "string" else F.col(name)
+
+
 def merge_labels(topic: DataFrame, sentiment: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Topic LEFT JOIN sentiment ON null-safe keys -> (keys..., topics, sentiment, n).
 
@@ -25,14 +30,13 @@ def merge_labels(topic: DataFrame, sentiment: DataFrame, keys: list[str] | None
     """
     keys = keys or topic.columns[:2]
     value = sentiment.columns[2]
-    s = (sentiment.select(*keys, F.col(value).alias("sentiment"))
-         .groupBy(*keys, "sentiment").agg(F.count(F.lit(1)).alias("n")))
-    s = s.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "sentiment", "n")
-    cond = None
+    s = (sentiment.select(*[_key(sentiment, k).alias(f"_s_{k}") for k in keys], F.col(value).alias("sentiment"))
+         .groupBy(*[f"_s_{k}" for k in keys], "sentiment").agg(F.count(F.lit(1)).alias("n")))
+    t = topic.select("*", *[_key(topic, k).alias(f"_t_{k}") for k in keys])
+    cond = F.lit(True)
     for k in keys:
-        c = topic[k].eqNullSafe(s[f"_s_{k}"])
-        cond = c if cond is None else cond & c
-    j = topic.join(s, cond, "left")
+        cond = cond & t[f"_t_{k}"].eqNullSafe(s[f"_s_{k}"])
+    j = t.join(s, cond, "left")
     return j.select(*topic.columns, "sentiment", F.coalesce(F.col("n"), F.lit(1)).cast("long").alias("n"))
 
 

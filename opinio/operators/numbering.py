@@ -27,10 +27,13 @@ from pyspark.sql.types import NumericType
 from opinio.session import checkpoint_root
 
 
+# Rows of one bucket, about: what one task sorts and numbers.
+ROWS_PER_BUCKET = 1 << 18
+
+
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Buckets for the rows there are (callers number a staged, narrow input, so the count is a cheap scan)."""
+    return num_partitions or max(1, -(-df.count() // ROWS_PER_BUCKET))
 
 
 def _single_numeric_key(df: DataFrame, order_cols: list) -> str | None:
@@ -56,7 +59,10 @@ def _by_quantiles(df: DataFrame, key: str, out: str, n: int) -> DataFrame:
     bounds = sorted(set(df.approxQuantile(key, probs, 1.0 / (4 * n)))) if n > 1 else []
     splits = [float("-inf")] + [b for b in bounds if b not in (float("-inf"), float("inf"))] + [float("inf")]
     keyed = df.withColumn("_kd", F.coalesce(F.col(key).cast("double"), F.lit(0.0)))
-    bucketed = Bucketizer(splits=splits, inputCol="_kd", outputCol="_bd", handleInvalid="keep").transform(keyed)
+    if len(splits) > 2:
+        bucketed = Bucketizer(splits=splits, inputCol="_kd", outputCol="_bd", handleInvalid="keep").transform(keyed)
+    else:
+        bucketed = keyed.withColumn("_bd", F.lit(0.0))
     # NULL keys sort first (ascending default), so they get the bucket before all others.
     bucketed = (bucketed.withColumn("_b", F.when(F.col(key).isNull(), F.lit(-1))
                                     .otherwise(F.col("_bd").cast("int")))

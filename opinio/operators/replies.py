@@ -8,7 +8,7 @@ explode of the replies.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,10 +85,10 @@ def topic_table(aligned: DataFrame) -> DataFrame:
             .select("run_id", "chunk_id", "entry_no", "post_id", "body", F.col("label").alias("topics")))
 
 
-def totals_reported(parsed: DataFrame) -> DataFrame:
-    """Grand totals from the replies' own summaries (valid sentiment replies)."""
+def totals_reported(parsed: DataFrame, *by: str) -> DataFrame:
+    """Totals from the replies' own summaries (valid sentiment replies), over all or by the given columns."""
     s = valid_replies(parsed).where(F.col("kind") == "sentiment")
-    return s.agg(F.sum("sum_positive").cast("long").alias("positive"),
+    return s.groupBy(*by).agg(F.sum("sum_positive").cast("long").alias("positive"),
                  F.sum("sum_neutral").cast("long").alias("neutral"),
                  F.sum("sum_negative").cast("long").alias("negative"))
 
@@ -139,46 +139,28 @@ def topic_registry(parsed: DataFrame) -> DataFrame:
                         F.col("f.entry_idx").alias("first_entry"), F.col("f.topic_pos").alias("first_pos"))
 
 
-# Chunks per bucket of the as-of join in ``topics_visible``.
-VISIBLE_BUCKET = 1024
+# Parts that the chunks of one run are dealt into.
+RUN_PARTS = 32
 
 
-def topics_visible(chunks: DataFrame, registry: DataFrame, bucket: int = VISIBLE_BUCKET) -> DataFrame:
+def topics_visible(chunks: DataFrame, registry: DataFrame, parts: int = RUN_PARTS) -> DataFrame:
     """W4 + F8: topics first seen in earlier chunks of the run, in first-seen order, or 无.
 
-    The visible list only changes after a chunk that named a new topic (a
-    "change point"; there are at most as many as distinct topics). Each change
-    point ``lo`` gets its list rendered once and is valid for the chunks
-    ``lo < k <= hi`` (``hi`` = the next change point, or the run's end). Chunks find their change
-    point by an as-of join made an equi-join on (run, chunk bucket): spans are
-    exploded into the buckets they touch, and the residual picks the one span
-    that holds the chunk. No window runs over the chunks of a run, so a run of
-    any length is spread over all tasks; the text join on ``lo`` is left to
-    broadcast or to adaptive skew splitting when one change point serves most chunks.
+    A run's topic list (one entry per distinct topic) is put in first-seen order once; a chunk shows the part of
+    it that was seen before the chunk. Nothing grows per change point, and no window runs over the chunks.
+    Chunks find their run's list by an equi-join on (run, part): the chunks of a run are dealt into ``parts``
+    and its one list row goes to each, so a single long run is spread over many tasks. The texts themselves
+    repeat the list in every chunk, as the prompts of the source program do.
     """
-    new = registry.groupBy("run_id", "first_chunk").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("first_entry", "first_pos", "topic"))),
-                    lambda x: x["topic"]).alias("new_topics"))
-    ch = chunks.select("run_id", "chunk_id").distinct()
-    # one end marker per run just past its last chunk closes the last span (a union, not a join)
-    ends = ch.groupBy("run_id").agg((F.max("chunk_id") + 1).alias("first_chunk")) \
-        .withColumn("new_topics", F.lit(None).cast("array<string>"))
-    w = Window.partitionBy("run_id").orderBy("first_chunk")
-    cp = (new.unionByName(ends).select(
-        "run_id", F.col("first_chunk").alias("lo"), F.lead("first_chunk").over(w).alias("hi"),
-        F.col("new_topics").isNull().alias("_end"),
-        join_topics(F.flatten(F.collect_list("new_topics").over(w.rowsBetween(Window.unboundedPreceding, 0))),
-                    NONE_WORD).alias("text"))
-        .where(~F.col("_end") & F.col("hi").isNotNull()))
-    spans = (cp.where(F.col("lo") + 1 <= F.col("hi"))
-             .select("run_id", "lo", "hi", F.explode(F.sequence(F.floor((F.col("lo") + 1) / bucket),
-                                                                  F.floor(F.col("hi") / bucket))).alias("_b")))
-    k = ch.withColumn("_b", F.floor(F.col("chunk_id") / bucket))
-    cond = ((k["run_id"] == spans["run_id"]) & (k["_b"] == spans["_b"]) & (spans["lo"] < k["chunk_id"])
-            & (k["chunk_id"] <= spans["hi"]))
-    at = k.join(spans, cond, "left").select(k["run_id"], k["chunk_id"], spans["lo"])
-    out = at.join(cp.select("run_id", "lo", "text"), ["run_id", "lo"], "left")
-    return out.select("run_id", "chunk_id", F.coalesce(F.col("text"), F.lit(NONE_WORD)).alias("topics_visible"))
+    lists = (registry.groupBy("run_id").agg(F.array_sort(F.collect_list(
+        F.struct("first_chunk", "first_entry", "first_pos", "topic"))).alias("topics"))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
+    ch = (chunks.select("run_id", "chunk_id").distinct()
+          .withColumn("part", F.pmod(F.xxhash64("chunk_id"), F.lit(parts)).cast("int")))
+    j = ch.join(lists, ["run_id", "part"], "left")
+    seen = F.filter("topics", lambda t: t["first_chunk"] < F.col("chunk_id"))
+    text = join_topics(F.transform(seen, lambda t: t["topic"]), NONE_WORD)
+    return j.select("run_id", "chunk_id", F.coalesce(text, F.lit(NONE_WORD)).alias("topics_visible"))
 
 
 def topics_new(registry: DataFrame, known: DataFrame) -> DataFrame:

@@ -73,13 +73,13 @@ def event_summary(events: DataFrame, rows: DataFrame) -> DataFrame:
     return out.withColumn("total", F.col("positive") + F.col("neutral") + F.col("negative"))
 
 
-def sentiment_report_input(counts: DataFrame) -> DataFrame:
-    """F15."""
+def sentiment_report_input(counts: DataFrame, key: str = "request_id") -> DataFrame:
+    """F15 on counts of native labels or of the replies' own totals (G3): (key, event_keyword, counts)."""
     text = F.concat(_head(SENTIMENT_HEAD, F.col("event_keyword")),
                     F.lit("Positive: "), F.col("positive").cast("string"),
                     F.lit("\nNeutral: "), F.col("neutral").cast("string"),
                     F.lit("\nNegative: "), F.col("negative").cast("string"))
-    return counts.select("request_id", text.alias("text"))
+    return counts.select(key, text.alias("text"))
 
 
 def _sentiment_sentence() -> Column:
@@ -123,9 +123,9 @@ def _none_if_null(tr: Column, text: Column) -> Column:
     return F.when(tr.isNull(), F.lit(NONE_WORD)).otherwise(text)
 
 
-def topic_report_input(summary: DataFrame) -> DataFrame:
+def topic_report_input(summary: DataFrame, key: str = "request_id") -> DataFrame:
     """F16: one ``topic: n`` line per topic in first-seen order."""
-    return summary.select("request_id", F.concat(_head(TOPIC_HEAD, F.col("event_keyword")),
+    return summary.select(key, F.concat(_head(TOPIC_HEAD, F.col("event_keyword")),
                                                  F.coalesce(_first_seen_lines(F.col("tr")), F.lit(""))).alias("text"))
 
 
@@ -147,3 +147,18 @@ def event_report_input(summary: DataFrame) -> DataFrame:
                     F.lit(EVENT_TOPIC), _none_if_null(tr, _share_lines(tr, F.col("total"))),
                     F.lit(EVENT_TABLE), _none_if_null(tr, _table_lines(tr)), F.lit(EVENT_TAIL))
     return summary.select("request_id", text.alias("text"))
+
+
+def event_report(events: DataFrame, sentiment: DataFrame | None = None, topic: DataFrame | None = None,
+                 table: DataFrame | None = None) -> DataFrame:
+    """J8 + F17 from the caller's own summaries, each (request_id, text): a summary that is not given, or has no
+    row for an event, reads 无."""
+    rows = events.select("request_id", "event_keyword")
+    sections = []
+    for name, given in (("_sentiment", sentiment), ("_topic", topic), ("_table", table)):
+        if given is not None:
+            rows = rows.join(given.select("request_id", F.col("text").alias(name)), "request_id", "left")
+        sections.append(F.coalesce(F.col(name), F.lit(NONE_WORD)) if given is not None else F.lit(NONE_WORD))
+    text = F.concat(_head(EVENT_HEAD, F.col("event_keyword")), F.lit(EVENT_SENTIMENT), sections[0],
+                    F.lit(EVENT_TOPIC), sections[1], F.lit(EVENT_TABLE), sections[2], F.lit(EVENT_TAIL))
+    return rows.select("request_id", text.alias("text"))

@@ -23,9 +23,9 @@ def _field(clean: Column, key: str) -> Column:
     return F.get_json_object(clean, f"$.{key}")
 
 
-def validate_requests(reqs: DataFrame, reply_col: str = "reply", days: int = 1) -> DataFrame:
+def validate_requests(reqs: DataFrame, reply_col: str = "reply", days: Column | int = 1) -> DataFrame:
     """Add status (ok / not_json / incomplete / unsupported_platform / bad_date / no_keyword),
-    keyword (first keyword without '#'), start_date and days."""
+    keyword (first keyword without '#'), start_date and days (a number, or a column with each request's own)."""
     clean = strip_fence(F.col(reply_col))
     is_json = F.try_parse_json(clean).isNotNull()
     keys = F.json_object_keys(clean)
@@ -47,7 +47,7 @@ def validate_requests(reqs: DataFrame, reply_col: str = "reply", days: int = 1)
         F.when(ok, strip_char(F.get(kws, 0), "#")).alias("keyword"),
         F.when(ok, F.get(kws, 0)).alias("event_keyword"),
         F.when(ok, F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0)).cast("date")).alias("start_date"),
-        F.lit(days).alias("days"))
+        (days if isinstance(days, Column) else F.lit(days)).cast("int").alias("days"))
 
 
 def request_fields(reqs: DataFrame, text_col: str = "text") -> DataFrame:

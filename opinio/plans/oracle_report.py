@@ -14,7 +14,7 @@ def _pct(n: str, total: str) -> str:
 
 REPORT = POST_LABELS + REQUESTS[len(POSTS):] + f""",
 evp AS (SELECT r.request_id, p.post_id, p.sentiment FROM rok r JOIN plab p
-          ON CAST(p.posted_at AS DATE) = r.start_date AND contains(p.body, r.keyword)),
+          ON p.posted_at BETWEEN r.start_date AND r.start_date + to_days(r.days) AND contains(p.body, r.keyword)),
 ptpos AS (SELECT post_id, topic, row_number() OVER (PARTITION BY post_id ORDER BY topic) - 1 AS pos FROM ptop),
 evt AS (SELECT e.request_id, e.post_id, e.sentiment, t.topic, t.pos FROM evp e JOIN ptpos t USING (post_id)),
 tm AS (SELECT request_id, topic, count(*) AS n,
@@ -72,6 +72,16 @@ SELECT r.request_id, '请帮我对 ' || r.event_keyword || ' 事件进行总结
 FROM rok r LEFT JOIN srt s USING (request_id) LEFT JOIN trt t USING (request_id) LEFT JOIN tab m USING (request_id)
 """
 
+ORACLE["event_report_sections"] = f"""
+WITH {REPORT}
+SELECT r.request_id, '请帮我对 ' || r.event_keyword || ' 事件进行总结，综合以下三部分信息：' || chr(10) || chr(10)
+       || '【情感分析总结】:' || chr(10) || CASE WHEN r.request_id % 4 = 1 THEN '无' ELSE s.text END || chr(10) || chr(10)
+       || '【主题分析总结】:' || chr(10) || CASE WHEN r.request_id % 4 = 2 THEN '无' ELSE t.text END || chr(10) || chr(10)
+       || '【合并统计信息】:' || chr(10) || CASE WHEN r.request_id % 4 = 3 THEN '无' ELSE m.text END || chr(10) || chr(10)
+       || '请生成最终的事件总结。' AS text
+FROM rok r JOIN srt s USING (request_id) JOIN trt t USING (request_id) JOIN tab m USING (request_id)
+"""
+
 
 # ------------------------------------------------------------------ sources, sinks
 
@@ -133,6 +143,23 @@ FROM ment GROUP BY topic
 """
 
 
+ORACLE["run_sentiment_report_input"] = f"""
+WITH {REPLIES}
+SELECT run_id, '请帮我对 the 事件进行总结，它的累计情感统计:' || chr(10)
+       || 'Positive: ' || CAST(sum(CAST(json_extract(clean, '$.summary.positive') AS BIGINT)) AS VARCHAR) || chr(10)
+       || 'Neutral: ' || CAST(sum(CAST(json_extract(clean, '$.summary.neutral') AS BIGINT)) AS VARCHAR) || chr(10)
+       || 'Negative: ' || CAST(sum(CAST(json_extract(clean, '$.summary.negative') AS BIGINT)) AS VARCHAR) AS text
+FROM okr WHERE kind = 'sentiment' GROUP BY run_id
+"""
+
+ORACLE["run_topic_report_input"] = f"""
+WITH {REPLIES}, c AS (SELECT run_id, topic, count(*) AS n FROM tment GROUP BY run_id, topic)
+SELECT run_id, '请帮我对 the 事件进行总结，以下是各主题的讨论量统计：' || chr(10)
+       || string_agg(topic || ': ' || n || chr(10), '' ORDER BY first_chunk, first_entry, first_pos) AS text
+FROM registry JOIN c USING (run_id, topic) GROUP BY run_id
+"""
+
+
 # ---------------------------------------------------------------------- streaming
 
 from opinio.plans.oracle import POST_LABELS as _PL  # noqa: E402
@@ -152,7 +179,7 @@ FROM plab p LEFT JOIN ptop t USING (post_id) GROUP BY p.post_id, p.sentiment
 ORACLE["stream_topic_registry"] = f"WITH {REPLIES} SELECT * FROM registry"
 
 ORACLE["stream_late_rows"] = f"""
-SELECT event_id, strftime(ts, {TSF}) AS ts FROM events WHERE ts < TIMESTAMP '2024-01-04 00:00:00'
+SELECT event_id, strftime(ts, {TSF}) AS ts, ts < TIMESTAMP '2024-01-04 00:00:00' AS late FROM events
 """
 
 ORACLE["stream_requests"] = f"""

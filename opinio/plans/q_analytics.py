@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opinio.functions.feedtime import ts_text
+from opinio.functions.text import LETTERS
 from opinio.operators import topics
 from opinio.plans.registry import query
 from opinio.sources import fixtures, tables
@@ -21,8 +22,8 @@ SYSTEM_MESSAGE = "Extract the event keywords, start date and platform of the req
 
 @query("term_frequency")
 def q_term_frequency(spark, sf_dir):
-    d = tables.documents(spark, sf_dir, "doc_id", "text")
-    return topics.term_frequency(d, "doc_id", "text")
+    d = tables.documents(spark, sf_dir, "text")
+    return topics.term_frequency(d, "text")
 
 
 @query("negative_spikes")
@@ -37,18 +38,20 @@ def q_negative_spikes(spark, sf_dir):
 
 @query("conversation_prefix")
 def q_conversation_prefix(spark, sf_dir):
-    """What each call sends - the system message plus every earlier turn and the current one.
+    """The messages of every conversation, the system message first, and what each call sends.
 
-    Kept linear: per user turn the number of messages and characters sent, as
-    running sums over the conversation, rather than the repeated history itself.
+    Kept linear: a call (a user turn) sends the messages 0 to its own ``message_no``, so the history is stored
+    once and not repeated per call. ``call_no`` numbers the calls of a conversation from 1, NULL for other rows.
     """
     c = tables.conversations(spark, sf_dir, "conv_id", "turn", "role", "text")
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    run = c.select("conv_id", "turn", "role",
-                   (F.count(F.lit(1)).over(w) + 1).cast("long").alias("n_messages"),
-                   (F.sum(F.coalesce(F.length("text"), F.lit(0))).over(w) + len(SYSTEM_MESSAGE)).cast("long")
-                   .alias("prefix_chars"))
-    return run.where(F.col("role") == "user")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    is_call = F.col("role") == "user"
+    rows = c.select("conv_id", F.row_number().over(w).cast("long").alias("message_no"), "role", "text",
+                    F.when(is_call, F.sum(is_call.cast("long")).over(w)).alias("call_no"))
+    system = c.select("conv_id").distinct().select(
+        "conv_id", F.lit(0).cast("long").alias("message_no"), F.lit("system").alias("role"),
+        F.lit(SYSTEM_MESSAGE).alias("text"), F.lit(None).cast("long").alias("call_no"))
+    return system.unionByName(rows)
 
 
 @query("term_clusters")
@@ -56,7 +59,7 @@ def q_term_clusters(spark, sf_dir):
     """Keyword clustering - tokens -> hashed term counts -> IDF -> k-means (k=8)."""
     d = tables.documents(spark, sf_dir, "doc_id", "text")
     pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol="tokens", pattern="[a-z]+", gaps=False, toLowercase=True),
+        RegexTokenizer(inputCol="text", outputCol="tokens", pattern=LETTERS, gaps=False, toLowercase=True),
         HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 14),
         IDF(inputCol="tf", outputCol="features"),
         KMeans(featuresCol="features", predictionCol="cluster", k=8, seed=7, maxIter=10),
@@ -75,7 +78,7 @@ def q_sentiment_model(spark, sf_dir):
     lab = tables.labels(spark, sf_dir, "doc_id", "toxic")
     train = d.join(lab, "doc_id").select("doc_id", "text", F.col("toxic").cast("double").alias("label"))
     pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol="tokens", pattern="[a-z]+", gaps=False, toLowercase=True),
+        RegexTokenizer(inputCol="text", outputCol="tokens", pattern=LETTERS, gaps=False, toLowercase=True),
         HashingTF(inputCol="tokens", outputCol="features", numFeatures=1 << 14),
         LogisticRegression(maxIter=20, regParam=0.01),
     ])

@@ -113,7 +113,7 @@ def q_posts_dedup(spark, sf_dir):
 
 
 def _validated(spark, sf_dir):
-    return request_ops.validate_requests(fixtures.requests(spark, sf_dir))
+    return request_ops.validate_requests(fixtures.requests(spark, sf_dir), days=F.col("request_id") % 2 + 1)
 
 
 @query("requests_validated")

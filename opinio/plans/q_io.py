@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from opinio.operators import feed, merge, replies
 from opinio.plans.registry import query
-from opinio.session import scratch_path
+from opinio.session import scratch_path, stage
 from opinio.sources import files, fixtures, tables
 
 
@@ -21,12 +21,13 @@ def _posts_csv_rows(spark, sf_dir):
 def q_src_posts_csv(spark, sf_dir):
     """The crawl CSV written and read back (header, quoted multi-line bodies)."""
     path = scratch_path(spark, "posts-csv")
-    files.write_csv(_posts_csv_rows(spark, sf_dir), path, mode="overwrite")
+    files.write_csv(_posts_csv_rows(spark, sf_dir), path)
     return files.read_csv(spark, path, files.POSTS_CSV_SCHEMA)
 
 
 def _aligned(spark, sf_dir):
-    return replies.align_labels(fixtures.entries(spark, sf_dir), replies.parse_replies(fixtures.replies(spark, sf_dir)))
+    e = fixtures.entries(spark, sf_dir)
+    return stage(replies.align_labels(e, replies.parse_replies(fixtures.replies(e))), "aligned")
 
 
 @query("src_label_csv")
@@ -34,8 +35,8 @@ def q_src_label_csv(spark, sf_dir):
     """The two label CSVs written and read back with explicit schemas."""
     a = _aligned(spark, sf_dir)
     sp, tp = scratch_path(spark, "sentiment-csv"), scratch_path(spark, "topic-csv")
-    files.write_csv(files.to_csv_columns(replies.sentiment_table(a), files.SENTIMENT_COLUMNS), sp, mode="overwrite")
-    files.write_csv(files.to_csv_columns(replies.topic_table(a), files.TOPIC_COLUMNS), tp, mode="overwrite")
+    files.write_csv(files.to_csv_columns(replies.sentiment_table(a), files.SENTIMENT_COLUMNS), sp)
+    files.write_csv(files.to_csv_columns(replies.topic_table(a), files.TOPIC_COLUMNS), tp)
     s = files.read_csv(spark, sp, files.SENTIMENT_CSV_SCHEMA)
     t = files.read_csv(spark, tp, files.TOPIC_CSV_SCHEMA)
     return (s.select(F.lit("sentiment").alias("kind"), "entry_no", "body", F.col("sentiment").alias("label"))
@@ -76,13 +77,14 @@ def q_image_parts(spark, sf_dir):
 
 @query("sink_append_posts")
 def q_sink_append_posts(spark, sf_dir):
-    """K1: two runs appended to one CSV table partitioned by run_id, read back."""
+    """K1: two runs added to one CSV table partitioned by run_id, one of them again, read back."""
     path = scratch_path(spark, "posts-append")
     table_rows = _posts_csv_rows(spark, sf_dir).withColumn("run_id", F.lit("table"))
     fp = feed.extract_posts(fixtures.raw_pages(spark, sf_dir))
     feed_rows = files.to_csv_columns(fp, files.POST_COLUMNS).withColumn("run_id", F.lit("feed"))
-    files.write_csv(table_rows, path, mode="append", partition_by=["run_id"])
-    files.write_csv(feed_rows, path, mode="append", partition_by=["run_id"])
+    files.add_runs_csv(table_rows, path)
+    files.add_runs_csv(feed_rows, path)
+    files.add_runs_csv(feed_rows, path)  # a repeated run replaces itself
     schema = T.StructType(files.POSTS_CSV_SCHEMA.fields + [T.StructField("run_id", T.StringType())])
     return files.read_csv(spark, path, schema)
 
@@ -94,8 +96,8 @@ def q_sink_append_labels(spark, sf_dir):
     sp, tp = scratch_path(spark, "sentiment-append"), scratch_path(spark, "topic-append")
     s = files.to_csv_columns(replies.sentiment_table(a), files.SENTIMENT_COLUMNS)
     t = files.to_csv_columns(replies.topic_table(a), files.TOPIC_COLUMNS)
-    files.write_csv(s.withColumn("run_id", F.lit(fixtures.RUN_ID)), sp, partition_by=["run_id"])
-    files.write_csv(t.withColumn("run_id", F.lit(fixtures.RUN_ID)), tp, partition_by=["run_id"])
+    files.add_runs_csv(s.withColumn("run_id", F.lit(fixtures.RUN_ID)), sp)
+    files.add_runs_csv(t.withColumn("run_id", F.lit(fixtures.RUN_ID)), tp)
     rs = files.read_csv(spark, sp, T.StructType(files.SENTIMENT_CSV_SCHEMA.fields + [T.StructField("run_id", T.StringType())]))
     rt = files.read_csv(spark, tp, T.StructType(files.TOPIC_CSV_SCHEMA.fields + [T.StructField("run_id", T.StringType())]))
     return (rs.select("run_id", F.lit("sentiment").alias("kind"), "entry_no", "body", F.col("sentiment").alias("label"))
@@ -116,7 +118,7 @@ def q_sink_overwrite_merged(spark, sf_dir):
     s = replies.sentiment_table(a).select("entry_no", "body", "sentiment")
     merged = merge.merge_labels(t, s)
     mp, ap = scratch_path(spark, "merged"), scratch_path(spark, "aggregated")
-    files.write_csv(merged, mp, mode="overwrite")
+    files.write_csv(merged, mp)
     reread = files.read_csv(spark, mp, T.StructType([
         T.StructField("entry_no", T.IntegerType()), T.StructField("body", T.StringType()),
         T.StructField("topics", T.StringType()), T.StructField("sentiment", T.StringType()),
@@ -127,6 +129,6 @@ def q_sink_overwrite_merged(spark, sf_dir):
     from opinio.plans.q_labels import q_topic_sentiment
     first = q_topic_sentiment(spark, sf_dir).select(F.col("topic").alias("topics"), "negative", "neutral",
                                                     "positive", "total")
-    files.write_csv(first, ap, mode="overwrite")
-    files.write_csv(out, ap, mode="overwrite")
+    files.write_csv(first, ap)
+    files.write_csv(out, ap)
     return files.read_csv(spark, ap, AGG_SCHEMA)

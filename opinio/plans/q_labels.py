@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from opinio.functions.text import join_topics
 from opinio.operators import labelers, merge, topics
 from opinio.plans.registry import query
+from opinio.session import stage
 from opinio.sources import fixtures, tables
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, sentiment, topics_arr) for every document, one narrow pass."""
     d = tables.documents(spark, sf_dir, "doc_id", "text")
-    lab = labelers.label_posts(d, fixtures.lexicon(spark), fixtures.taxonomy(spark), "text", key="doc_id")
+    lab = labelers.label_posts(d, fixtures.lexicon(spark), fixtures.taxonomy(spark), "text")
     return lab.select("doc_id", "sentiment", "topics_arr")
 
 
@@ -51,7 +52,7 @@ def q_topics_taxonomy(spark, sf_dir):
 @query("sentiment_share")
 def q_sentiment_share(spark, sf_dir):
     """Sentiment counts and their share of all labelled documents."""
-    counts = labelled_documents(spark, sf_dir).groupBy("sentiment").agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(labelled_documents(spark, sf_dir).groupBy("sentiment").agg(F.count(F.lit(1)).alias("n")), "sentiments")
     total = counts.select(F.sum("n")).scalar()
     return counts.select("sentiment", "n", F.round(F.col("n") / total, 6).alias("share"))
 
@@ -59,8 +60,7 @@ def q_sentiment_share(spark, sf_dir):
 @query("topic_share")
 def q_topic_share(spark, sf_dir):
     """Mentions per topic, share of posts and share of mentions."""
-    lab = labelled_documents(spark, sf_dir)
-    return topics.topic_share(lab.select("doc_id", F.explode("topics_arr").alias("topic")), lab.select("doc_id"))
+    return topics.topic_share(labelled_documents(spark, sf_dir))
 
 
 @query("topic_rollup")
@@ -72,6 +72,4 @@ def q_topic_rollup(spark, sf_dir):
 @query("topics_supported")
 def q_topics_supported(spark, sf_dir):
     """Topics mentioned by at least 10% of posts, minus a stop list."""
-    lab = labelled_documents(spark, sf_dir)
-    return topics.topics_supported(lab.select("doc_id", F.explode("topics_arr").alias("topic")), lab.select("doc_id"),
-                                   fixtures.stop_topics(spark), min_share=0.1)
+    return topics.topics_supported(labelled_documents(spark, sf_dir), fixtures.stop_topics(spark), min_share=0.1)

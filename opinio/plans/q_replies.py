@@ -10,15 +10,24 @@ from pyspark.sql import functions as F
 
 from opinio.operators import labelers, merge, replies
 from opinio.plans.registry import query
+from opinio.session import stage
 from opinio.sources import fixtures
 
 
+def _staged(spark, sf_dir):
+    """(entries, parsed replies) over one staged entries table."""
+    e = fixtures.entries(spark, sf_dir)
+    return e, replies.parse_replies(fixtures.replies(e))
+
+
 def _parsed(spark, sf_dir):
-    return replies.parse_replies(fixtures.replies(spark, sf_dir))
+    return _staged(spark, sf_dir)[1]
 
 
 def _aligned(spark, sf_dir):
-    return replies.align_labels(fixtures.entries(spark, sf_dir), _parsed(spark, sf_dir))
+    """Both kinds aligned in one pass, staged, because the two label tables are read from it."""
+    e, parsed = _staged(spark, sf_dir)
+    return stage(replies.align_labels(e, parsed), "aligned")
 
 
 @query("chunks")
@@ -68,8 +77,8 @@ def q_totals_counted(spark, sf_dir):
 
 @query("sentiment_reconcile")
 def q_reconcile(spark, sf_dir):
-    p = _parsed(spark, sf_dir)
-    return replies.reconcile(p, replies.align_labels(fixtures.entries(spark, sf_dir), p))
+    e, p = _staged(spark, sf_dir)
+    return replies.reconcile(p, replies.align_labels(e, p))
 
 
 @query("topic_counts")
@@ -84,13 +93,14 @@ def q_topic_registry(spark, sf_dir):
 
 @query("topics_visible")
 def q_topics_visible(spark, sf_dir):
-    return replies.topics_visible(fixtures.entries(spark, sf_dir), replies.topic_registry(_parsed(spark, sf_dir)))
+    e, p = _staged(spark, sf_dir)
+    return replies.topics_visible(e, replies.topic_registry(p))
 
 
 @query("chunk_prompts")
 def q_chunk_prompts(spark, sf_dir):
-    e = fixtures.entries(spark, sf_dir)
-    vis = replies.topics_visible(e, replies.topic_registry(_parsed(spark, sf_dir)))
+    e, p = _staged(spark, sf_dir)
+    vis = replies.topics_visible(e, replies.topic_registry(p))
     return replies.chunk_prompts(replies.chunk_text(e), vis)
 
 
@@ -103,7 +113,7 @@ def q_topics_new(spark, sf_dir):
 
 @query("chunk_mismatch")
 def q_chunk_mismatch(spark, sf_dir):
-    return replies.chunk_mismatch(fixtures.entries(spark, sf_dir), _parsed(spark, sf_dir))
+    return replies.chunk_mismatch(*_staged(spark, sf_dir))
 
 
 @query("labels_known")
@@ -164,9 +174,9 @@ SYSTEM_TEXTS = [
 @query("chunk_messages")
 def q_chunk_messages(spark, sf_dir):
     """J7 + W5: every chunk gets a fresh two-message conversation per task."""
-    e = fixtures.entries(spark, sf_dir)
-    text = replies.chunk_text(e)
-    vis = replies.topics_visible(e, replies.topic_registry(_parsed(spark, sf_dir)))
+    e, p = _staged(spark, sf_dir)
+    text = stage(replies.chunk_text(e), "chunk-text")
+    vis = replies.topics_visible(e, replies.topic_registry(p))
     prompts = replies.chunk_prompts(text, vis)
     user = (text.select("run_id", "chunk_id", F.lit("sentiment").alias("kind"), F.col("text").alias("user"))
             .unionByName(prompts.select("run_id", "chunk_id", F.lit("topic").alias("kind"), F.col("prompt").alias("user"))))
@@ -181,7 +191,7 @@ def q_chunk_messages(spark, sf_dir):
 def lexicon_reply_stub(lexicon: dict[str, float]):
     """A stand-in external labeler: reads numbered chunk text, answers reply JSON."""
     marker = re.compile(r"(?m)^(\d+): ")
-    word = re.compile(r"[a-z]+")
+    word = re.compile(r"[^\W\d_]+")
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions.feedtime import ts_text
 from opinio.functions.text import join_topics
-from opinio.operators import labelers, replies, request_ops
+from opinio.operators import labelers, merge, replies, request_ops
 from opinio.plans.registry import query
 from opinio.session import scratch_path
 from opinio.sources import fixtures, tables
@@ -36,6 +36,12 @@ def _run_parts(spark, parts, landing, checkpoint, build, fn, output_mode="append
         jobs.run_available(build(jobs.read_landed(spark, landing, schema)), fn, checkpoint, output_mode)
 
 
+def _parts(df, col, cut):
+    """What arrives first and what arrives then; rows without a time come last."""
+    early = F.coalesce(F.col(col) < cut, F.lit(False))
+    return [df.where(early), df.where(~early)]
+
+
 @query("stream_hourly_counts")
 def q_stream_hourly_counts(spark, sf_dir):
     """Events per hour, watermark 1 hour, update mode into a per-batch log."""
@@ -53,17 +59,17 @@ def q_stream_hourly_counts(spark, sf_dir):
 def q_stream_labels(spark, sf_dir):
     """Each micro-batch of posts is labelled and appended (idempotently per batch)."""
     root, landing, ckpt = _paths(spark, "stream-labels")
-    p = fixtures.posts(spark, sf_dir).select("post_id", "posted_at", "body")
+    p = _staged(fixtures.posts(spark, sf_dir).select("post_id", "posted_at", "body"), root)
     cut = F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz")
     out = f"{root}/out"
     lex, tax = fixtures.lexicon(spark), fixtures.taxonomy(spark)
 
     def fn(batch, batch_id):
-        lab = labelers.label_posts(batch, lex, tax, "body", key="post_id")
+        lab = labelers.label_posts(batch, lex, tax, "body")
         jobs.write_batch(lab.select("post_id", "sentiment", join_topics(F.col("topics_arr")).alias("topics")),
                          out, batch_id)
 
-    _run_parts(spark, [p.where(F.col("posted_at") < cut), p.where(F.col("posted_at") >= cut)], landing, ckpt,
+    _run_parts(spark, _parts(p, "posted_at", cut), landing, ckpt,
                lambda s: s, fn)
     return spark.read.parquet(out).select("post_id", "sentiment", "topics")
 
@@ -72,7 +78,7 @@ def q_stream_labels(spark, sf_dir):
 def q_stream_topic_registry(spark, sf_dir):
     """The topic list carried across micro-batches; final registry."""
     root, landing, ckpt = _paths(spark, "stream-registry")
-    r = _staged(fixtures.replies(spark, sf_dir).where(F.col("kind") == "topic"), root)
+    r = _staged(fixtures.replies(fixtures.entries(spark, sf_dir)).where(F.col("kind") == "topic"), root)
     half = r.select(F.max("chunk_id")).first()[0] // 2
     reg = f"{root}/registry"
     fn = jobs.registry_step(reg, lambda b: replies.topic_mentions_all(replies.parse_replies(b)))
@@ -83,14 +89,17 @@ def q_stream_topic_registry(spark, sf_dir):
 
 @query("stream_late_rows")
 def q_stream_late_rows(spark, sf_dir):
-    """T4: events of the first three days arrive after the rest; they land in the late table."""
+    """T4: events of the first three days arrive after the rest; they land in the late table, the others in the
+    on-time table (``late`` tells which)."""
     root, landing, ckpt = _paths(spark, "stream-late")
     ev = tables.events(spark, sf_dir, "event_id", "ts", "event_type")
     cut = F.lit(dt.datetime(2024, 1, 4)).cast("timestamp_ntz")
     out, late, mx = f"{root}/out", f"{root}/late", f"{root}/max"
     _run_parts(spark, [ev.where(F.col("ts") >= cut), ev.where(F.col("ts") < cut)], landing, ckpt,
                lambda s: s, jobs.split_late(out, late, mx, delay_seconds=3600))
-    return spark.read.parquet(late).select("event_id", ts_text(F.col("ts")).alias("ts"))
+    both = (spark.read.parquet(out).withColumn("late", F.lit(False))
+            .unionByName(spark.read.parquet(late).withColumn("late", F.lit(True))))
+    return both.select("event_id", ts_text(F.col("ts")).alias("ts"), "late")
 
 
 @query("stream_requests")
@@ -115,20 +124,21 @@ def q_stream_requests(spark, sf_dir):
 
 @query("stream_topic_sentiment")
 def q_stream_topic_sentiment(spark, sf_dir):
-    """Running topic x sentiment counters over a stream of posts (update mode)."""
+    """Running topic x sentiment counters over a stream of posts.
+
+    Each micro-batch is labelled and counted; a counter is the sum of its batches' counts, and a replayed
+    batch replaces its own.
+    """
     root, landing, ckpt = _paths(spark, "stream-ts")
-    p = fixtures.posts(spark, sf_dir).select("post_id", "posted_at", "body")
+    p = _staged(fixtures.posts(spark, sf_dir).select("post_id", "posted_at", "body"), root)
     cut = F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz")
     out = f"{root}/out"
     lex, tax = fixtures.lexicon(spark), fixtures.taxonomy(spark)
 
-    def build(s):
-        lab = labelers.label_posts(s, lex, tax, "body", key="post_id")
-        m = lab.select(F.explode("topics_arr").alias("topic"), "sentiment")
-        return m.groupBy("topic").agg(*[F.count_if(F.col("sentiment") == x).alias(x)
-                                        for x in ("negative", "neutral", "positive")])
+    def fn(batch, batch_id):
+        m = labelers.label_posts(batch, lex, tax, "body").select(F.explode("topics_arr").alias("topic"), "sentiment")
+        jobs.write_batch(merge.topic_sentiment_counts(m), out, batch_id)
 
-    _run_parts(spark, [p.where(F.col("posted_at") < cut), p.where(F.col("posted_at") >= cut)], landing, ckpt,
-               build, lambda b, i: jobs.write_batch(b, out, i), "update")
-    res = jobs.latest_per_key(out, spark, ["topic"], ["negative", "neutral", "positive"])
-    return res.withColumn("total", F.col("negative") + F.col("neutral") + F.col("positive"))
+    _run_parts(spark, _parts(p, "posted_at", cut), landing, ckpt, lambda s: s, fn)
+    return spark.read.parquet(out).groupBy("topic").agg(
+        *[F.sum(x).alias(x) for x in ("negative", "neutral", "positive", "total")])

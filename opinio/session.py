@@ -11,7 +11,7 @@ import os
 import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -54,14 +54,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/opinio-scratch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unique folder name under the checkpoint root (not created)."""
-    return f"{checkpoint_root(spark)}/opinio-scratch/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder name under this application's scratch folder (not created)."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once under the scratch folder and read it back: one plan per stage."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can test a local path."""
-    return path[5:] if path.startswith("file:") else path
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application staged; call it when its results have been read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -47,11 +47,19 @@ def to_csv_columns(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
     return df.select(*[F.col(internal).alias(header) for header, internal in columns])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None) -> None:
-    w = df.write.mode(mode).options(**_WRITE_OPTS)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.csv(path)
+# A quoted multi-line file is read by one task, so files are kept small on the write side.
+RECORDS_PER_FILE = 100_000
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """K4 + K5: replace the whole table."""
+    df.write.mode("overwrite").options(**_WRITE_OPTS).option("maxRecordsPerFile", RECORDS_PER_FILE).csv(path)
+
+
+def add_runs_csv(df: DataFrame, path: str, run_col: str = "run_id") -> None:
+    """K1-K3: add runs to a table partitioned by run; a run written again replaces its own rows."""
+    (df.write.mode("overwrite").options(**_WRITE_OPTS).option("maxRecordsPerFile", RECORDS_PER_FILE)
+     .option("partitionOverwriteMode", "dynamic").partitionBy(run_col).csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -78,9 +86,9 @@ def templates_with_default(wanted: DataFrame, found: DataFrame) -> DataFrame:
                     F.col("body").isNull().alias("is_default"))
 
 
-def read_images(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
-    """(name, b64) - file bytes as base64, the name from the folder."""
-    b = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+def read_images(spark: SparkSession, path: str) -> DataFrame:
+    """(name, b64) - the bytes of every file as base64, the name from the folder."""
+    b = spark.read.format("binaryFile").load(path)
     return b.select(F.col("name").cast("string").alias("name"), F.replace(F.base64("content"), F.lit("\r\n"), F.lit("")).alias("b64"))
 
 

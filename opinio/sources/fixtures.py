@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from opinio.functions.text import first_token
 from opinio.operators.labelers import label_posts
 from opinio.operators.numbering import chunk_rows
+from opinio.session import stage
 from opinio.sources import tables
 
 # Fixture parameters.
@@ -62,7 +63,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """posts(post_id, page_no, author, posted_at, posted_raw, via, reposts_raw, comments_raw, likes_raw, body)."""
     d = tables.documents(spark, sf_dir, "doc_id", "text", "source")
     e = tables.events(spark, sf_dir, "event_id", "ts")
-    j = d.join(e, d.doc_id == e.event_id)
+    j = d.join(e, d.doc_id == e.event_id, "left")  # a document without an event has no time
     at = F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz")
     hm = F.date_format(at, "HH:mm")
     k = F.col("doc_id") % 9
@@ -99,16 +100,41 @@ def _esc(c):
 
 
 def feed_item_html(p: DataFrame) -> DataFrame:
-    """One feed item per post, with the markers the extractor looks for."""
-    full = F.when(F.col("post_id") % 2 == 0, F.concat(
-        F.lit('<p node-type="feed_list_content_full">'), _esc(F.col("body")), F.lit("</p>\n"))).otherwise(F.lit(""))
-    src = F.when(F.col("via").isNotNull(), F.concat(F.lit("来自"), F.col("via"))).otherwise(F.lit(""))
-    item = F.concat(
-        F.lit(ITEM_OPEN), F.lit('<p node-type="feed_list_content" nick-name="'), _esc(F.col("author")), F.lit('">'),
-        _esc(F.substring(F.col("body"), 1, 60)), F.lit("</p>\n"), full,
-        F.lit('<div class="from">'), F.col("posted_raw"), src, F.lit("</div>\n"),
-        F.lit('<div class="card-act"><ul><li>'), F.col("reposts_raw"), F.lit("</li><li>"), F.col("comments_raw"),
-        F.lit("</li><li>"), F.col("likes_raw"), F.lit("</li></ul></div></div>"))
+    """One feed item per post, in markup of three kinds (``post_id % 3``): attributes in any order, more class
+    names, nested elements, character references. Even posts have a teaser and the full text, odd posts the
+    full text only. Of ``post_id % 50``, 10 lacks the time and source, 20 the counters, 30 the content."""
+    i = F.col("post_id")
+    kind, odd_one = i % 3, i % 50
+
+    def of_kind(*texts):
+        return F.when(kind == 0, F.lit(texts[0])).when(kind == 1, F.lit(texts[1])).otherwise(F.lit(texts[2]))
+
+    def unless(k, *parts):
+        return F.when(odd_one == k, F.lit("")).otherwise(F.concat(*parts))
+
+    def text(c):
+        esc = _esc(c)
+        return (F.when(kind == 1, F.replace(F.replace(esc, F.lit("'"), F.lit("&#39;")), F.lit("é"), F.lit("&#233;")))
+                .when(kind == 2, F.concat(F.lit("&nbsp;"), F.replace(esc, F.lit("ü"), F.lit("&#xFC;")), F.lit("<br/>")))
+                .otherwise(esc))
+
+    full = F.when(i % 2 == 0, F.concat(
+        of_kind('<p node-type="feed_list_content_full">', '<p style="display: none" node-type="feed_list_content_full">',
+                '<p node-type="feed_list_content_full" class="txt">'), text(F.col("body")), F.lit("</p>\n"))).otherwise("")
+    short = F.when(i % 2 == 0, F.substring(F.col("body"), 1, 60)).otherwise(F.col("body"))
+    content = unless(30, of_kind('<p node-type="feed_list_content" nick-name="', '<p class="txt" nick-name="',
+                                 '<p class="txt hot" data-k="1" node-type="feed_list_content" nick-name="'),
+                     _esc(F.col("author")), of_kind('">', '" node-type="feed_list_content">', '">'), text(short),
+                     F.lit("</p>\n"), full)
+    via = F.when(F.col("via").isNotNull(), F.concat(
+        F.lit("来自"), of_kind("", "", '<a rel="nofollow">'), F.col("via"), of_kind("", "", "</a>"))).otherwise(F.lit(""))
+    when = unless(10, of_kind('<div class="from">', '<div class="from s">', '<div data-k="1" class="card from">'),
+                  of_kind("", "", '<a href="#">'), F.col("posted_raw"), of_kind("", "", "</a> "), via, F.lit("</div>\n"))
+    li, end = of_kind("<li>", '<li class="n"><div><a href="#">', "<li><span>"), of_kind("</li>", "</a></div></li>", "</span></li>")
+    acts = unless(20, of_kind('<div class="card-act">', '<div class="card-act s">', '<div id="x" class="card-act">'),
+                  F.lit("<ul>"), *[x for c in ("reposts_raw", "comments_raw", "likes_raw") for x in (li, F.col(c), end)],
+                  F.lit("</ul></div>"))
+    item = F.concat(F.lit(ITEM_OPEN), F.lit('<a nick-name="someone else" href="#">x</a>'), content, when, acts, F.lit("</div>"))
     return p.select("post_id", item.alias("item"))
 
 
@@ -132,15 +158,20 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ entries, replies
 
 def labelled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return label_posts(posts(spark, sf_dir), lexicon(spark), taxonomy(spark), "body", key="post_id")
+    return label_posts(posts(spark, sf_dir), lexicon(spark), taxonomy(spark), "body")
 
 
-def entries(spark: SparkSession, sf_dir: str, labelled: bool = False) -> DataFrame:
-    """entries(run_id, chunk_id, entry_no, post_id, body[, sentiment, topics_arr]): ten posts a chunk."""
-    src = labelled_posts(spark, sf_dir) if labelled else posts(spark, sf_dir)
-    cols = ["post_id", "body"] + (["sentiment", "topics_arr"] if labelled else [])
-    ch = chunk_rows(src.select(*cols), ["post_id"], 10)
-    return ch.select(F.lit(RUN_ID).alias("run_id"), "chunk_id", "entry_no", *cols)
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entries(run_id, chunk_id, entry_no, post_id, body, sentiment, topics_arr): ten posts a chunk.
+
+    Staged once per query: the source tables are read and labelled once, only the post ids are numbered,
+    and whatever a query builds from entries and replies reads the staged table.
+    """
+    src = labelled_posts(spark, sf_dir).select("post_id", "body", "sentiment", "topics_arr")
+    src = stage(src.withColumn("_row", F.monotonically_increasing_id()), "labelled-posts")
+    numbers = chunk_rows(src.select("post_id", "_row"), ["post_id"], 10).drop("post_id")
+    return stage(src.join(numbers, "_row").select(F.lit(RUN_ID).alias("run_id"), "chunk_id", "entry_no", "post_id", "body",
+                                                  "sentiment", "topics_arr"), "entries")
 
 
 def _json_reply(kind_json, chunk_id):
@@ -152,9 +183,8 @@ def _json_reply(kind_json, chunk_id):
             .otherwise(kind_json))
 
 
-def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """replies(run_id, chunk_id, kind, reply): what a labeler answered for each chunk."""
-    e = entries(spark, sf_dir, labelled=True)
+def replies(e: DataFrame) -> DataFrame:
+    """replies(run_id, chunk_id, kind, reply): what a labeler answered for each chunk of the entries."""
     d = F.col("chunk_id") % 10
     g = e.groupBy("run_id", "chunk_id").agg(
         F.array_sort(F.collect_list(F.struct("entry_no", "sentiment", "topics_arr"))).alias("rows"),
@@ -197,13 +227,13 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``text`` is a free-text request in one of four wordings (``request_id % 4``).
     """
     p = posts(spark, sf_dir).select("post_id", "author", "posted_at", "body")
-    per = (p.withColumn("day", F.to_date("posted_at"))
+    per = (p.where(F.col("posted_at").isNotNull()).withColumn("day", F.to_date("posted_at"))
            .groupBy("day", "author")
            .agg(F.min_by(first_token(F.col("body")), F.col("post_id")).alias("kw"),
                 F.min("posted_at").alias("requested_at")))
-    rid = (F.datediff(F.col("day"), F.lit(dt.date(2024, 1, 1))).cast("long") * 1000
-           + F.regexp_extract(F.col("author"), r"(\d+)$", 1).cast("long"))
-    per = per.withColumn("request_id", rid)
+    # 60 bits of a digest of (day, author), whatever the author's name looks like
+    key = F.concat_ws("|", F.date_format("day", "yyyy-MM-dd"), F.coalesce("author", F.lit("")))
+    per = per.withColumn("request_id", F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long"))
     y = F.year("day").cast("string")
     m = F.month("day").cast("string")
     dd = F.dayofmonth("day").cast("string")

@@ -1,23 +1,13 @@
 """Scans of the landed parquet tables. Only the needed columns are selected, so the
-parquet reader prunes the rest (``ReadSchema`` in the plan).
-
-Text tables feed CPU-heavy row work (tokenizing, regex extraction). A parquet row
-group is read by one task, so an input of a few large row groups would run that
-work on a few cores; for such inputs (a handful of files whose footers show fewer
-row groups than the cluster has cores) the rows are spread round-robin first.
-Large landed tables have many row groups and are scanned in parallel as they are.
+parquet reader prunes the rest (``ReadSchema`` in the plan); how a scan is split is left to Spark
+(``spark.sql.files.maxPartitionBytes``).
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
-from opinio.session import local_path, table_path
-
-# Inputs of at most this many files get their parquet footers checked on the driver.
-FOOTER_CHECK_FILES = 64
+from opinio.session import table_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -28,34 +18,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
-def _row_groups(files: list[str]) -> int | None:
-    """Total row groups of local parquet files; None when a file is not local (the check is skipped)."""
-    import pyarrow.parquet as pq
-
-    total = 0
-    for f in files:
-        path = local_path(f)
-        if not os.path.isfile(path):
-            return None
-        total += pq.ParquetFile(path).metadata.num_row_groups
-    return total
-
-
-def spread_text(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the scan would use fewer tasks than cores."""
-    files = df.inputFiles()
-    if not files or len(files) > FOOTER_CHECK_FILES:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    groups = _row_groups(files)
-    if groups is not None and groups < cores:
-        return df.repartition(cores)
-    return df
-
-
 def documents(spark, sf_dir, *cols):
-    return spread_text(read_table(spark, sf_dir, "documents",
-                                  *(cols or ("doc_id", "text", "lang", "source", "n_chars"))))
+    return read_table(spark, sf_dir, "documents", *(cols or ("doc_id", "text", "lang", "source", "n_chars")))
 
 
 def events(spark, sf_dir, *cols):
@@ -63,11 +27,11 @@ def events(spark, sf_dir, *cols):
 
 
 def pages(spark, sf_dir, *cols):
-    return spread_text(read_table(spark, sf_dir, "pages", *(cols or ("page_id", "url", "html"))))
+    return read_table(spark, sf_dir, "pages", *(cols or ("page_id", "url", "html")))
 
 
 def conversations(spark, sf_dir, *cols):
-    return spread_text(read_table(spark, sf_dir, "conversations", *(cols or ("conv_id", "turn", "role", "text"))))
+    return read_table(spark, sf_dir, "conversations", *(cols or ("conv_id", "turn", "role", "text")))
 
 
 def labels(spark, sf_dir, *cols):

@@ -67,11 +67,9 @@ def split_late(out_path: str, late_path: str, max_path: str, delay_seconds: int,
     """
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            prev = spark.read.parquet(max_path).where(F.col("batch_id") < batch_id) \
-                .agg(F.max("max_ts").alias("m")).first()["m"]
-        except Exception:  # no earlier batch yet
-            prev = None
+        # Every batch writes its row, so only the first one has nothing to read; any failed read is an error.
+        prev = None if batch_id == 0 else (spark.read.parquet(max_path).where(F.col("batch_id") < batch_id)
+                                           .agg(F.max("max_ts").alias("m")).first()["m"])
         b = batch.persist()
         if prev is None:
             on_time, late = b, b.where(F.lit(False))
@@ -100,10 +98,9 @@ def registry_step(registry_path: str, mentions_of: Callable[[DataFrame], DataFra
             F.min(F.struct("chunk_id", "entry_idx", "topic_pos")).alias("f"))
         cand = first.select("run_id", "topic", F.col("f.chunk_id").alias("first_chunk"),
                             F.col("f.entry_idx").alias("first_entry"), F.col("f.topic_pos").alias("first_pos"))
-        try:
+        new = cand
+        if batch_id > 0:  # every batch writes, so a missing or torn registry is an error
             known = spark.read.parquet(registry_path).where(F.col("batch_id") < batch_id).select("run_id", "topic")
             new = cand.join(known, ["run_id", "topic"], "left_anti")
-        except Exception:  # empty registry
-            new = cand
         write_batch(new, registry_path, batch_id)
     return fn

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions.feedtime import parse_feed_time
 from opinio.functions.text import (first_token, hashtags, join_topics, split_topics, strip_char, strip_fence,
-                                   tokens, utrim, without_hashtags)
+                                   tokens, unescape_html, utrim, without_hashtags)
 
 REF = dt.datetime(2024, 5, 6, 7, 8, 9)
 
@@ -75,3 +75,18 @@ def test_strip_char_hashtags_tokens(spark):
     assert [r["c"] for r in out] == ["a# x #b", "no tag", "open"]
     assert out[0]["w"] == "x"
     assert [r["f"] for r in out] == [r["t"][0] if r["t"] else None for r in out]
+
+
+def test_tokens_of_every_script(spark):
+    rows = [("Für die Straße, ÉTÉ 12 don't", ["für", "die", "straße", "été", "don", "t"]), ("今天天气 good", ["今天", "天天", "天气", "good"]),
+            ("中", ["中"]), ("", []), ("привет 世界x", ["привет", "世界", "界x"])]
+    got = spark.createDataFrame([(s,) for s, _ in rows], "s string").select(tokens("s").alias("t"), first_token("s").alias("f")).collect()
+    assert [r["t"] for r in got] == [t for _, t in rows]
+    assert [r["f"] for r in got] == [t[0] if t else None for _, t in rows]
+
+
+def test_entities(spark):
+    rows = [("a&nbsp;b", "a\xa0b"), ("&#233;&#x4e2d;&#38;lt;", "é中&lt;"), ("&amp;#39; &amp;lt;", "&#39; &lt;"), ("&#; &#xZ; &#99999999;", "&#; &#xZ; &#99999999;"),
+            ("&#128512;!", "\U0001F600!"), ("plain &unknown;", "plain &unknown;"), (None, None)]
+    got = spark.createDataFrame(rows, "s string, want string").select(unescape_html("s").alias("t"), "want").collect()
+    assert [r["t"] for r in got] == [r["want"] for r in got]

@@ -5,10 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from opinio.operators import feed, labelers, merge, numbering, replies
+from opinio.operators import feed, labelers, merge, numbering, replies, report
+from opinio.sources import files
+from opinio.streaming import jobs
 
 
 def test_merge_labels_null_safe_and_duplicates(spark):
@@ -91,31 +95,66 @@ def test_chunks_hold_at_most_ten(spark):
     assert ch.where(F.col("chunk_id") * 10 + F.col("entry_no") - 1 != F.col("post_id")).count() == 0
 
 
-def test_labelers_small_and_large_paths_agree(spark, monkeypatch):
-    docs = spark.createDataFrame([(1, "It was the thing, as it was."), (2, "Der Hund und del mar"),
-                                  (3, "nothing here"), (4, None)], "doc_id long, text string")
-    lex = spark.createDataFrame([("as", 1.0), ("was", 1.0), ("der", -1.0), ("del", -1.0)], "term string, weight double")
-    tax = spark.createDataFrame([("t_it", "it"), ("t_thing", "thing"), ("t_it", "thing")], "topic string, term string")
-    small = {r["doc_id"]: (r["sentiment"], r["topics_arr"]) for r in
-             labelers.label_posts(docs, lex, tax, "text", key="doc_id").collect()}
-    assert small[1] == ("positive", ["t_it", "t_thing"])
-    assert small[2] == ("negative", [])
-    assert small[3] == ("neutral", [])
-    monkeypatch.setattr(labelers, "MAP_LIMIT", 0)
-    large = {r["doc_id"]: (r["sentiment"], r["topics_arr"]) for r in
-             labelers.label_posts(docs, lex, tax, "text", key="doc_id").collect()}
-    assert large == small
-
-
-def test_topics_visible_as_of_join_matches_brute_force(spark):
-    # change points at chunks 0, 3, 4 and 9 of run a; run b has none; small buckets force spans over buckets
+LEX = [("as", 1.0), ("was", 1.0), ("der", -1.0), ("del", -1.0), ("alpha", 1.0)]
+TAX = [("t_it", "it"), ("t_thing", "thing"), ("t_it", "thing"), ("t", "alpha"), ("t", "alpha"), ("t", None), (None, "it")]
+LABEL_ROWS = [(1, "It was the thing, as it was."), (2, "Der Hund und del mar"), (3, "nothing here"), (4, None),
+              (None, "alpha beta"), (None, "der del"), (1, "It was the thing, as it was.")]
+
+
+def _labels(df):
+    return sorted((str(r["doc_id"]), str(r["text"]), r["sentiment"], [t for t in r["topics_arr"] if t]) for r in df.collect())
+
+
+def test_both_labeler_methods_agree(spark):
+    # NULL and repeated keys, repeated and NULL dimension rows
+    docs = spark.createDataFrame(LABEL_ROWS, "doc_id long, text string").repartition(3)
+    lex = spark.createDataFrame(LEX, "term string, weight double")
+    tax = spark.createDataFrame([r for r in TAX if r[0]], "topic string, term string")
+    for min_hits in (1, 2):
+        small = _labels(labelers.label_posts(docs, lex, tax, "text", min_hits=min_hits))
+        large = _labels(labelers.label_topics_by_join(labelers.label_sentiment_by_join(docs, lex, "text"), tax, "text",
+                                                      min_hits=min_hits))
+        assert large == small
+        if min_hits == 1:
+            assert ("None", "alpha beta", "positive", ["t"]) in small and ("None", "der del", "negative", []) in small
+        else:
+            assert ("None", "alpha beta", "positive", []) in small  # a repeated taxonomy row is one term
+
+
+def test_labelers_without_key_and_on_a_stream(spark, tmp_path):
+    docs = spark.createDataFrame([(t,) for _, t in LABEL_ROWS], "text string")
+    lex = spark.createDataFrame(LEX, "term string, weight double")
+    assert labelers.label_sentiment_by_join(docs, lex, "text").count() == len(LABEL_ROWS)
+    docs.write.parquet(str(tmp_path / "in"))
+    out = []
+
+    def fn(batch, batch_id):
+        out.extend(r["sentiment"] for r in labelers.label_sentiment_by_join(batch, lex, "text").collect())
+
+    stream = spark.readStream.schema("text string").parquet(str(tmp_path / "in"))
+    jobs.run_available(stream, fn, str(tmp_path / "ckpt"))
+    small = [r["sentiment"] for r in labelers.label_sentiment(docs, lex, "text").collect()]
+    assert sorted(out) == sorted(small)
+    jobs.run_available(labelers.label_sentiment(stream, lex, "text"), lambda b, i: out.append(b.count()),
+                       str(tmp_path / "ckpt2"))
+    assert out[-1] == len(LABEL_ROWS)
+
+
+def test_a_dimension_too_large_for_a_map_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(labelers, "MAP_TERMS", 2)
+    with pytest.raises(ValueError, match="joins"):
+        labelers.lexicon_map(spark.createDataFrame(LEX, "term string, weight double"))
+
+
+def test_topics_visible_matches_brute_force(spark):
+    # topics first seen at chunks 0, 3, 4 and 9 of run a; run b has none
     reg = spark.createDataFrame(
         [("a", "x", 0, 1, 0), ("a", "y", 0, 0, 1), ("a", "z", 3, 2, 0), ("a", "w", 4, 1, 0), ("a", "v", 9, 1, 0)],
         "run_id string, topic string, first_chunk long, first_entry int, first_pos int")
     chunks = spark.createDataFrame([("a", c) for c in range(12)] + [("b", c) for c in range(3)],
                                    "run_id string, chunk_id long")
     got = {(r["run_id"], r["chunk_id"]): r["topics_visible"]
-           for r in replies.topics_visible(chunks, reg, bucket=2).collect()}
+           for r in replies.topics_visible(chunks, reg, parts=2).collect()}
     order = sorted(reg.collect(), key=lambda r: (r["first_chunk"], r["first_entry"], r["first_pos"]))
     for (run, k), text in got.items():
         seen = [r["topic"] for r in order if r["run_id"] == run and r["first_chunk"] < k]
@@ -123,6 +162,81 @@ def test_topics_visible_as_of_join_matches_brute_force(spark):
     assert len(got) == 15
 
 
+def test_topics_visible_with_ten_thousand_topics(spark):
+    reg = spark.range(0, 10_000).select(
+        F.lit("a").alias("run_id"), F.concat(F.lit("t"), F.col("id")).alias("topic"), (F.col("id") / 10).cast("long")
+        .alias("first_chunk"), (F.col("id") % 10).cast("int").alias("first_entry"), F.lit(0).alias("first_pos"))
+    chunks = spark.range(0, 1000).select(F.lit("a").alias("run_id"), F.col("id").alias("chunk_id"))
+    got = replies.topics_visible(chunks, reg).select("chunk_id", F.size(F.split("topics_visible", ", ")).alias("n"))
+    assert all(r["n"] == max(1, 10 * r["chunk_id"]) for r in got.collect())
+
+
+def test_requests_of_one_busy_day(spark):
+    # one day holds every post; the post at the next midnight belongs to the request, the one after it does not
+    at = dt.datetime(2024, 1, 1)
+    posts = [(k, at + dt.timedelta(minutes=k % 1440), f"word{k % 7} text") for k in range(3000)]
+    posts += [(5000, dt.datetime(2024, 1, 2), "word1"), (5001, dt.datetime(2024, 1, 2, 0, 1), "word1"),
+              (5002, dt.datetime(2024, 1, 3), "word1"), (5003, None, "word1")]
+    reqs = [(r, f"word{r % 7}", dt.date(2024, 1, 1), 1 + r // 100) for r in range(200)] + [(999, "word1", None, 1)]
+    got = feed.posts_for_requests(
+        spark.createDataFrame(posts, "post_id long, posted_at timestamp_ntz, body string"),
+        spark.createDataFrame(reqs, "request_id long, keyword string, start_date date, days int"), parts=4)
+    want = {(r, p) for r, kw, day, n in reqs if day for p, t, body in posts
+            if t and kw in body and at <= t <= at + dt.timedelta(days=n)}
+    rows = [(x["request_id"], x["post_id"]) for x in got.select("request_id", "post_id").collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    assert (1, 5000) in want and (1, 5001) not in want and (106, 5001) in want and (106, 5002) in want
+
+
+def test_fields_of_real_markup(spark):
+    html = ('<div class="x"><div class="card-wrap" action-type="feed_list_item"><a nick-name="other">o</a>'
+            '<p class="txt" node-type="feed_list_content" nick-name="A &amp; B">&nbsp;caf&#233; &#x4E2D;<br/>&#38;lt; &amp;#39;</p>'
+            '<div class="from s"> <a>2024-01-02 03:04</a> 来自<a>phone</a></div>'
+            '<div id="k" class="card-act y"><ul><li><div>1</div></li><li class="q"><span>2</span></li><li>3</li></ul></div></div>'
+            '<div action-type="feed_list_item" class="card-wrap"><p node-type="feed_list_content">no more</p></div></div>')
+    pages = spark.createDataFrame([(1, 1, "k", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 31), html)],
+                                  "page_id long, page_no int, keyword string, win_start timestamp_ntz, win_end timestamp_ntz, "
+                                  "fetched_at timestamp_ntz, html string")
+    a, b = feed.extract_posts(pages).orderBy("item_no").collect()
+    assert (a.author, a.body, a.posted_raw, a.via) == ("A & B", "café 中&lt; &#39;", "2024-01-02 03:04", "phone")
+    assert (a.reposts_raw, a.comments_raw, a.likes_raw) == ("1", "2", "3")
+    assert a.posted_at == dt.datetime(2024, 1, 2, 3, 4)
+    assert (b.author, b.body, b.posted_raw, b.via, b.reposts_raw) == (None, "no more", "", "无", None)
+
+
+def test_reports_with_absent_sections(spark):
+    events = spark.createDataFrame([(1, "#a#"), (2, "#b#")], "request_id long, event_keyword string")
+    given = spark.createDataFrame([(1, "text")], "request_id long, text string")
+    for k, name in enumerate(("sentiment", "topic", "table")):
+        for sections in ({name: given}, {n: given for n in ("sentiment", "topic", "table") if n != name}):
+            got = {r["request_id"]: r["text"] for r in report.event_report(events, **sections).collect()}
+            assert got[2].count("无") == 3
+            parts = got[1].split("】:\n")[1:]
+            assert [p.startswith("text") for p in parts] == [n in sections for n in ("sentiment", "topic", "table")]
+
+
+def test_a_failed_state_read_is_an_error(spark, tmp_path):
+    batch = spark.createDataFrame([("r", 0, 0, 0, "t")], "run_id string, chunk_id long, entry_idx int, topic_pos int, topic string")
+    step = jobs.registry_step(str(tmp_path / "registry"), lambda b: b)
+    step(batch, 0)
+    step(batch, 1)
+    assert spark.read.parquet(str(tmp_path / "registry")).count() == 1
+    with pytest.raises(AnalysisException):
+        jobs.registry_step(str(tmp_path / "missing"), lambda b: b)(batch, 1)
+    late = jobs.split_late(*(str(tmp_path / n) for n in ("out", "late", "max")), delay_seconds=1)
+    with pytest.raises(AnalysisException):
+        late(spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "ts timestamp_ntz"), 1)
+
+
+def test_a_repeated_run_replaces_itself(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a\nb", "r1"), (2, "c", "r2")], "entry_no int, body string, run_id string")
+    path = str(tmp_path / "runs")
+    files.add_runs_csv(rows, path)
+    files.add_runs_csv(rows.where("run_id = 'r1'"), path)
+    got = files.read_csv(spark, path, rows.schema)
+    assert sorted(map(tuple, got.collect())) == [(1, "a\nb", "r1"), (2, "c", "r2")]
+
+
 def test_merge_hot_key_emits_no_pairs(spark):
     # one key holds every row on both sides: the result has one row per (left row, distinct sentiment)
     topics = spark.range(0, 2000).select(F.lit(1).alias("entry_no"), F.lit("same").alias("body"),

@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from opinio.plans.catalog import QUERIES
 from opinio.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 from tools.check import rows_of
@@ -38,8 +39,8 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     qs, oracle = E.queries(), E.oracle_sql()
-    assert set(qs) - set(oracle) == ROWS_ONLY
-    assert set(oracle) <= set(qs)
+    assert set(QUERIES) - set(oracle) == ROWS_ONLY
+    assert set(QUERIES) <= set(qs) and set(oracle) <= set(qs)
 
 
 def assert_plan_scales(name, df):
@@ -51,7 +52,7 @@ def assert_plan_scales(name, df):
         assert not any(op in plan for op in PYTHON_OPS)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     assert_plan_scales(name, df)
@@ -67,6 +68,30 @@ def test_query_matches_oracle(spark, duck, name):
     assert sr == dr
 
 
+# Scans and exchanges of the plan that a query returns (the staged tables before it have plans of their own).
+PLAN_CAPS = {"merged_labels": (2, 5), "chunk_messages": (5, 12), "topics_visible": (2, 6), "term_frequency": (1, 1),
+             "topic_share": (3, 4), "topic_rollup": (2, 3), "labels_aligned": (1, 0)}
+
+
+@pytest.mark.parametrize("name", sorted(PLAN_CAPS))
+def test_plan_caps(spark, name):
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans, exchanges = plan.count("FileScan parquet"), plan.count("Exchange ")
+    assert scans <= PLAN_CAPS[name][0] and exchanges <= PLAN_CAPS[name][1], (scans, exchanges)
+
+
+def test_learned_models_beat_chance(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "lang").toPandas().set_index("doc_id")
+    clusters = E.queries()["term_clusters"](spark, SF_SMALL).toPandas().set_index("doc_id").join(docs)
+    purity = clusters.groupby("cluster")["lang"].agg(lambda x: x.value_counts().iloc[0]).sum() / len(clusters)
+    assert purity >= docs["lang"].value_counts(normalize=True).iloc[0]
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet").select("doc_id", "toxic").toPandas().set_index("doc_id")
+    p = E.queries()["sentiment_model"](spark, SF_SMALL).toPandas().set_index("doc_id").join(labels, how="inner")
+    good, bad = p[p.toxic == 0].p_toxic, p[p.toxic == 1].p_toxic
+    auc = sum((b > good).mean() + 0.5 * (b == good).mean() for b in bad) / max(1, len(bad))
+    assert len(bad) == 0 or auc > 0.9  # on the rows it learned from
+
+
 def test_two_runs_same_result(spark):
     a = E.queries()["chunks"](spark, SF_SMALL)
     b = E.queries()["chunks"](spark, SF_SMALL)
