@@ -8,6 +8,7 @@ from opinio.functions.feedtime import hour_text_to_ts, parse_feed_time, run_stam
 from opinio.functions.text import hashtags, node_text, utrim, without_hashtags
 from opinio.operators import feed, request_ops
 from opinio.plans.registry import query
+from opinio.session import stage
 from opinio.sources import fixtures, tables
 
 FEED_COLS = ["page_id", "item_no", "page_no", "keyword", "win_start", "win_end", "author", "posted_raw",
@@ -137,8 +138,9 @@ def q_run_stamp(spark, sf_dir):
 
 @query("posts_for_requests")
 def q_posts_for_requests(spark, sf_dir):
-    ok = _validated(spark, sf_dir).where(F.col("status") == "ok")
-    return feed.posts_for_requests(fixtures.posts(spark, sf_dir), ok).select("request_id", "post_id")
+    ok = stage(_validated(spark, sf_dir).where(F.col("status") == "ok"), "requests")  # parsed once
+    posts = fixtures.posts(spark, sf_dir).select("post_id", "posted_at", "body")
+    return feed.posts_for_requests(posts, ok).select("request_id", "post_id")
 
 
 @query("hashtags")

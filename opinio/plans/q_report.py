@@ -12,12 +12,12 @@ from opinio.sources import fixtures
 
 def _events(spark, sf_dir):
     v = request_ops.validate_requests(fixtures.requests(spark, sf_dir), days=F.col("request_id") % 2 + 1)
-    return v.where(F.col("status") == "ok")
+    return stage(v.where(F.col("status") == "ok"), "requests")  # parsed once
 
 
 def _event_posts(spark, sf_dir, events):
     """(request_id, post_id, sentiment, topics_arr): labelled posts of every event."""
-    posts = stage(fixtures.labelled_posts(spark, sf_dir), "labelled-posts")
+    posts = fixtures.labelled_posts(spark, sf_dir).select("post_id", "posted_at", "body", "sentiment", "topics_arr")
     return feed.posts_for_requests(posts, events).select("request_id", "post_id", "sentiment", "topics_arr")
 
 
@@ -61,11 +61,12 @@ def q_event_report_sections(spark, sf_dir):
     """J8 with summaries missing in turn (one event in four lacks each)."""
     s = stage(_summary(spark, sf_dir), "event-summary")
 
-    def without(df, k):
-        return df.where(F.col("request_id") % 4 != k)
+    def without(name, df, k):
+        return stage(df, name).where(F.col("request_id") % 4 != k)
 
-    return report.event_report(s, without(report.sentiment_report_text(s), 1), without(report.topic_report_text(s), 2),
-                               without(report.table_as_text(s), 3))
+    return report.event_report(s, without("sentiment-texts", report.sentiment_report_text(s), 1),
+                               without("topic-texts", report.topic_report_text(s), 2),
+                               without("table-texts", report.table_as_text(s), 3))
 
 
 def _run_replies(spark, sf_dir):
