@@ -39,7 +39,7 @@ from opinio.llm.groups import groups_in_order
 THRESHOLD = 0.93
 PROBES = 6
 #: Bounds of what the driver learns from and broadcasts.
-TRAIN_ROWS, MOST_LISTS = 50_000, 8192
+TRAIN_ROWS, MOST_LISTS = 20_000, 8192
 SUBSPACES, CODES = 8, 64
 #: Members, and probing vectors, compared at once.
 BLOCK = 1024
