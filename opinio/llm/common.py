@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinio.session import scratch_path, table_path
@@ -34,6 +34,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, **more: Column) -> DataFrame:
+    """Rows as one struct column ``row`` beside helper columns, so that no column name of theirs can clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, *[column.alias(name) for name, column in more.items()])
+
+
+def one_of_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row of each key (repeated rows are equal in the key's columns, so any of them will do)."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    return rows.withColumn("place", place).where("place = 1")
+
+
 def words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as UTF-8 bytes; none for NULL."""
     return [] if text is None else text.encode().split()

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinio.llm.common import ASCII_SPACE, RowIds, none_if_missing, stage
+from opinio.llm.common import ASCII_SPACE, RowIds, none_if_missing, one_of_each, packed, stage
 
 BLOCK_BYTES = 8192
 #: Bytes of distinct blocks that one task remembers; beyond it starts anew (more names to merge, same result).
@@ -124,10 +124,8 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: one per distinct normalised text."""
-    cols = docs.columns
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     sha = F.sha2(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
-    rows = docs.withColumn("_sha", sha)
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_sha"] == kept["_sha"])).drop(kept["_sha"])
-    one = Window.partitionBy("_id", "_sha").orderBy(F.lit(1))  # a repeated row stays once
-    return rows.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*cols)
+    rows = packed(docs, id=F.col("doc_id"), sha=sha)
+    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha")))
+    return one_of_each(rows, "id", "sha").select("row.*")

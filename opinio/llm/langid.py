@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinio.llm.common import packed
+
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
 #: Characters scored at once.
@@ -146,7 +148,7 @@ def score_texts(texts: list[str | None], model: LanguageModel) -> pd.DataFrame:
     total, letters = np.zeros((n, k)), np.zeros(n, dtype=bool)
     for code, lengths, owned, number in _pieces(texts):
         starts = np.cumsum(lengths) - lengths
-        letters[number] |= np.maximum.reduceat(code != 32, starts)
+        np.logical_or.at(letters, number, np.maximum.reduceat(code != 32, starts))
         if k:
             for bucket, piece in _grams(code, lengths, owned):
                 if len(piece):
@@ -190,6 +192,5 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least this posterior probability."""
     model = learn(docs)
-    rows = docs.withColumn("_language", prediction(docs, model))
-    return (rows.where((F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= least))
-            .select(*docs.columns))
+    rows = packed(docs, found=prediction(docs, model))
+    return rows.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least)).select("row.*")

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinio.llm.common import RowIds, none_if_missing, stage, words
+from opinio.llm.common import RowIds, none_if_missing, one_of_each, packed, stage, words
 
 WEIGHTS = (5, 2, 1)
 MAX_TIMES = 3
@@ -166,13 +166,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     A source's last document is taken in part; it counts when at least half of it is taken.
     """
-    cols = docs.columns
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    taken = (mix(docs).documents.where("taken > 0").select(F.col("doc_id").alias("_id"),
-                                                           F.col("text_key").alias("_taken_key"), times.alias("_times"))
-             .groupBy("_id", "_taken_key").agg(F.sum("_times").cast("int").alias("_times")).where("_times > 0"))
-    rows = docs.withColumn("_key", F.md5(F.col("text").cast("string")))
-    rows = rows.join(taken, rows["doc_id"].eqNullSafe(taken["_id"]) & (rows["_key"] == taken["_taken_key"]))
-    one = Window.partitionBy("_id", "_key").orderBy(F.lit(1))
-    return (rows.withColumn("_n", F.row_number().over(one)).where("_n = 1")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*cols))
+    taken = (mix(docs).documents.where("taken > 0").select(F.col("doc_id").alias("taken_id"),
+                                                           F.col("text_key").alias("taken_key"), times.alias("times"))
+             .groupBy("taken_id", "taken_key").agg(F.sum("times").cast("int").alias("times")).where("times > 0"))
+    rows = packed(docs, id=F.col("doc_id"), key=F.md5(F.col("text").cast("string")))
+    rows = rows.join(taken, F.col("id").eqNullSafe(F.col("taken_id")) & (F.col("key") == F.col("taken_key")))
+    return (one_of_each(rows, "id", "key")
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid string, name string, bucket int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid string, key string, `row` int, place int, id string, copy int, found int, `a.b` int"
 
 
 def rows(seed: int = 0) -> list[tuple]:
@@ -33,7 +33,7 @@ def rows(seed: int = 0) -> list[tuple]:
         (17, "naïve Ünï ΣΑΣ İ <|endoftext|> don't", "en", "z"), (18, prose("de", 80), "de", "z"), (19, prose("en", 80), "en", "z"),
         (20, prose("de", 70), "de", "z"), (21, prose("en", 90), "en", "z"),
     ]
-    return [(i, t, g, s, None if t is None else len(t), "clash", None, 3) for i, t, g, s in texts]
+    return [(i, t, g, s, None if t is None else len(t), "clash", None, 3, 4, "x", 5, 6, 7) for i, t, g, s in texts]
 
 
 def documents(spark, n_partitions: int = 3):
