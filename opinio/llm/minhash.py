@@ -2,16 +2,19 @@
 
 1. One pass over the texts gives each its set size, a 128-bit digest of the set and a MinHash signature.
    Texts with equal sets are one class; only class representatives go on.
-2. Bands of the signature are bucket keys. Every member of a bucket is paired with the smallest member.
+2. Bands of the signature are bucket keys, and the smallest member of a bucket is its pivot. Every member is
+   paired with the pivot it shares most buckets with.
 3. Pairs are compared in batches of signature values. After each batch the posterior of the similarity
    (uniform prior) decides: a pair goes as soon as P(similarity >= threshold) is below ``MISS``.
 4. Survivors are verified on the full shingle sets of their whole texts, and linked.
-5. Members of one bucket that are now in different components are compared all with all, in numpy blocks
-   with the same sequential test; only its survivors become rows. So no pair that shares a bucket is
-   left untested unless a path of links joins it already.
+5. In a bucket that still holds several components, the members outside its largest one are compared with
+   all members of other components, in numpy blocks with the same sequential test. Survivors are verified on
+   the full sets in the same task, the likeliest first and each in the first bucket that it shares, unless links
+   found there join the two already. So no pair that shares a bucket is left untested unless a path of links
+   joins it, and only links become rows.
 
 Scale. Class members never meet in a task: equal sets are reduced in the map tasks. A bucket with very
-many near copies gives one pair per member, and its rows are counted by partial aggregation, joined on a
+many near copies gives about one pair per member, and its rows are counted by partial aggregation, joined on a
 staged table (skew joins may split it) and, in step 5, cut into blocks. A pair at the threshold shares no
 band with probability (1 - t^ROWS)^BANDS: 4e-7 at 0.85, 5e-5 at 0.8.
 
@@ -28,11 +31,12 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import RowIds, none_if_missing, pieces, stage
+from opinio.llm.common import RowIds, none_if_missing, one_of_each, packed, pieces, stage
 from opinio.llm.components import components
+from opinio.llm.groups import groups_in_order
 from opinio.llm.shingles import mix, same_enough, shingle_sets
 
 BANDS, ROWS = 25, 5
@@ -164,57 +168,96 @@ def _verify(percent: int):
     return run
 
 
-def _block_pairs(percent: int):
-    """Step 5: rows sorted by (bucket, i, j); compares members of other components within each group."""
+def _block_links(percent: int):
+    """Step 5: rows sorted by (bucket, i, j); the asking members of block i against members of block j."""
     looks = least_matches(percent / 100)
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        same = rows["i"].iloc[0] == rows["j"].iloc[0]
-        left = rows[rows["own"] == rows["i"]]
-        right = left if same else rows[rows["own"] == rows["j"]]
-        x, y = _matrix(left["signature"]), _matrix(right["signature"])
-        cx, cy = left["component"].to_numpy(), right["component"].to_numpy()
-        p, q = np.nonzero(cx[:, None] != cy[None, :])
-        if same:
-            p, q = p[p < q], q[p < q]
+        ask, own = rows[rows["asks"]], rows[~rows["asks"]]
+        if not len(ask) or not len(own):
+            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+        x, y = _matrix(ask["signature"]), _matrix(own["signature"])
+        na, nb = ask["node"].to_numpy(), own["node"].to_numpy()
+        ca, cb = ask["component"].to_numpy(), own["component"].to_numpy()
+        # Two asking members meet twice in a bucket; one order is enough.
+        p, q = np.nonzero((ca[:, None] != cb) & (own["main"].to_numpy() | (na[:, None] < nb)))
         equal, done = np.zeros(len(p), dtype=np.int64), 0
         for n, least in looks:
             for c in range(done, n):
                 equal += x[p, c] == y[q, c]
             go_on = equal >= least
             p, q, equal, done = p[go_on], q[go_on], equal[go_on], n
-        na, nb = left["node"].to_numpy()[p], right["node"].to_numpy()[q]
-        return pd.DataFrame({"a": np.minimum(na, nb), "b": np.maximum(na, nb)})
+        # A pair is verified in the first bucket that it shares.
+        shared = band_keys(x)[p] == band_keys(y)[q]
+        first = band_keys(x)[p, shared.argmax(axis=1)] == rows["bucket"].iloc[0]
+        order = np.flatnonzero(first)[np.argsort(-equal[first], kind="stable")]
+        p, q = p[order], q[order]
+        used_a, used_b = np.unique(p), np.unique(q)
+        sets_a = dict(zip(used_a.tolist(), shingle_sets(ask["text"].iloc[used_a].tolist())))
+        sets_b = dict(zip(used_b.tolist(), shingle_sets(own["text"].iloc[used_b].tolist())))
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        links = []
+        for i, j in zip(p.tolist(), q.tolist()):  # the likeliest first; joined components need no more links
+            ra, rb = find(int(ca[i])), find(int(cb[j]))
+            if ra != rb and same_enough(sets_a[i], sets_b[j], percent):
+                root[max(ra, rb)] = min(ra, rb)
+                links.append((na[i], nb[j]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            key = pdf[["bucket", "i", "j"]].to_numpy()
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            groups = np.split(np.arange(len(pdf)), cuts)
-            held = pdf.iloc[groups[-1]]
-            for g in groups[:-1]:
-                yield compare(pdf.iloc[g])
-        if held is not None:
-            yield compare(held)
+        for rows in groups_in_order(batches, ["bucket", "i", "j"]):
+            yield compare(rows)
     return run
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Exact verification: (a, b) of the pairs whose full sets are similar enough."""
-    pairs = stage(pairs.distinct(), "survivors")
-    used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    keys = nodes.join(used, "node").select("node", "text_key")
-    texts = docs.where(F.col("text").isNotNull()).select(F.md5(F.col("text")).alias("text_key"), "text")
-    texts = stage(texts.join(keys, "text_key").groupBy("node").agg(F.first("text").alias("text")), "texts")
-    rows = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    rows = (pairs.distinct().join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
     return stage(rows.mapInPandas(_verify(percent), "a long, b long"), "links")
 
 
+def _tested(star: DataFrame, leads: DataFrame, percent: int) -> DataFrame:
+    """The (pivot, node) pairs that pass the sequential test, as (a, b)."""
+    sig_a = leads.select(F.col("node").alias("a"), F.col("signature").alias("sig_a"))
+    sig_b = leads.select(F.col("node").alias("b"), F.col("signature").alias("sig_b"))
+    pairs = star.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    return pairs.join(sig_b, "b").join(sig_a, "a").mapInPandas(_sequential(percent), "a long, b long")
+
+
+def _open_links(members: DataFrame, found: DataFrame, leads: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Step 5: links (a, b) between members of one bucket that are in different components."""
+    placed = stage(members.select("bucket", "node").join(found, "node", "left")
+                   .withColumn("component", F.coalesce("component", "node")), "placed")
+    # Of a bucket with several components only the members outside its largest one ask; they meet all members.
+    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    mixed = (parts.groupBy("bucket").agg(F.max_by("component", F.struct("k", "component")).alias("largest"),
+                                         (F.sum("k") - F.max("k")).alias("outside"), F.sum("k").alias("n"))
+             .where("outside > 0")
+             .select("bucket", "largest", F.ceil(F.col("outside") / BLOCK).cast("int").alias("ask_blocks"),
+                     F.ceil(F.col("n") / BLOCK).cast("int").alias("own_blocks")))
+    rows = stage(placed.join(mixed, "bucket").withColumn("main", F.col("component") == F.col("largest")), "open-buckets")
+    part = F.xxhash64("node")
+
+    def blocks(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    ask = (rows.where("not main").withColumn("i", F.pmod(part, F.col("ask_blocks")).cast("int"))
+           .withColumn("j", blocks("own_blocks")).withColumn("asks", F.lit(True)))
+    own = (rows.withColumn("j", F.pmod(part, F.col("own_blocks")).cast("int"))
+           .withColumn("i", blocks("ask_blocks")).withColumn("asks", F.lit(False)))
+    rows = ask.unionByName(own).select("bucket", "i", "j", "asks", "main", "node", "component")
+    rows = (rows.join(leads, "node").join(texts, "node").repartition("bucket", "i", "j")
+            .sortWithinPartitions("bucket", "i", "j"))
+    return stage(rows.mapInPandas(_block_links(percent), "a long, b long"), "open-links")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept, text_key.
 
@@ -226,34 +269,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
                   .agg(F.min("rid").alias("node"), F.min_by("text_key", "rid").alias("text_key")), "classes")
     leads = stage(nodes.select("node").join(
         signed.where("signature is not null").select(F.col("rid").alias("node"), "signature"), "node"), "leads")
-    buckets = leads.mapInPandas(_bucket_rows, "bucket long, node long")
-    buckets = stage(buckets, "buckets")
-    shared = stage(buckets.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n"))
-                   .where("n > 1"), "shared-buckets")
+    buckets = stage(leads.mapInPandas(_bucket_rows, "bucket long, node long"), "buckets")
+    shared = (buckets.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n"))
+              .where("n > 1").select("bucket", "pivot"))
     members = stage(buckets.join(shared, "bucket"), "members")
+    # The whole texts of all members of shared buckets, fetched once.
+    keys = nodes.join(members.select("node").distinct(), "node").select("node", "text_key")
+    texts = docs.where(F.col("text").isNotNull()).select(F.md5(F.col("text")).alias("text_key"), "text")
+    texts = stage(texts.join(keys, "text_key").groupBy("node").agg(F.first("text").alias("text")), "texts")
 
-    star = members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    sig_a = leads.select(F.col("node").alias("a"), F.col("signature").alias("sig_a"))
-    sig_b = leads.select(F.col("node").alias("b"), F.col("signature").alias("sig_b"))
-    tested = star.join(sig_b, "b").join(sig_a, "a").mapInPandas(_sequential(percent), "a long, b long")
-    links = _links(tested, nodes, docs, percent)
-
+    pivots = (members.where("node != pivot").groupBy("pivot", "node").agg(F.count("*").alias("n"))
+              .groupBy("node").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot")))
+    links = _links(_tested(pivots, leads, percent), texts, percent)
     found = stage(components(links), "components")
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = stage(placed, "placed")
-    mixed = (placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low != high").select("bucket"))
-    n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = (placed.join(mixed, "bucket").withColumn("blocks", n_blocks)
-            .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                    "own", "node", "component"))
-    rows = (rows.join(leads, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"))
-    more = stage(rows.mapInPandas(_block_pairs(percent), "a long, b long").distinct(), "more-pairs")
+    more = _open_links(members, found, leads, texts, percent)
     if not more.isEmpty():
-        links = links.unionByName(_links(more, nodes, docs, percent))
-        found = stage(components(links), "components")
+        found = stage(components(links.unionByName(more)), "components")
 
     placed = (signed.select("rid", "doc_id", "text_key", "n_shingles", "s1", "s2")
               .join(nodes.select("s1", "s2", "n_shingles", "node"), ["s1", "s2", "n_shingles"], "left")
@@ -268,12 +299,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns: one of each group of linked documents."""
-    cols = docs.columns
+    """The rows of ``docs`` that stay, all columns: one of each group of linked documents.
+
+    Rows with equal id and text are one document here, also where they hold no words.
+    """
     kept = (near_duplicates(docs, percent).where("kept")
-            .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_kept_key")))
-    rows = docs.withColumn("_key", F.md5(F.col("text").cast("string")))
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"]) & rows["_key"].eqNullSafe(kept["_kept_key"]))
-    # Texts without words all stay, however often a row repeats; of other repeated rows one stays.
-    one = Window.partitionBy("_id", "_key").orderBy(F.lit(1))
-    return rows.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*cols)
+            .select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")))
+    rows = packed(docs, id=F.col("doc_id"), key=F.md5(F.col("text").cast("string")))
+    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & F.col("key").eqNullSafe(F.col("kept_key")))
+    return one_of_each(rows, "id", "key").select("row.*")
