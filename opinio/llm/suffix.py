@@ -154,12 +154,21 @@ def _unpack(packs: list[bytes]) -> dict[str, np.ndarray]:
 
 
 def _sort_kinds(t: dict[str, np.ndarray]):
-    """Order by (anchor, digest, document, start); first row of each anchor and of each kind of segment."""
+    """Order by (anchor, digest, document, start); first row of each anchor and of each kind of segment, and the
+    rows that repeat the first one of their kind. A repeated row of the table shows the same place of the same
+    (key, twin) again; it repeats nothing there, or the document itself would lose what it holds first."""
     order = np.lexsort((t["start"], t["twin"], t["key"], t["digest"], t["anchor"]))
     anchor, digest = t["anchor"][order], t["digest"][order]
     new_anchor = np.r_[True, anchor[1:] != anchor[:-1]]
     new_kind = new_anchor | np.r_[True, digest[1:] != digest[:-1]]
-    return order, new_anchor, new_kind
+    return order, new_anchor, new_kind, _elsewhere(t, order, new_kind)
+
+
+def _elsewhere(t: dict[str, np.ndarray], order: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Which rows, in ``order``, lie at another place than the first row of their run."""
+    first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return ((t["key"][order] != t["key"][first]) | (t["twin"][order] != t["twin"][first])
+            | (t["start"][order] != t["start"][first]))
 
 
 def _by_document(t: dict[str, np.ndarray], rows: np.ndarray, kind: int) -> Iterator[pd.DataFrame]:
@@ -184,8 +193,8 @@ def _find_anchors(buckets: int):
         if not t["anchor"]:
             return
         t = {name: np.concatenate(t[name]).astype(kind) for name, kind in _FIELDS}
-        order, new_anchor, new_kind = _sort_kinds(t)
-        yield from _by_document(t, order[~new_kind], REPEAT)
+        order, new_anchor, new_kind, repeats = _sort_kinds(t)
+        yield from _by_document(t, order[repeats], REPEAT)
         group = np.cumsum(new_anchor) - 1
         hot = np.bincount(group, weights=new_kind)[group] > LOCAL_HOT
         nth = np.cumsum(new_kind) - np.r_[0, np.cumsum(new_kind)][np.flatnonzero(new_anchor)][group]
@@ -252,8 +261,8 @@ def _meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     if not packs:
         return
     t = _unpack(packs)
-    order, new_anchor, new_kind = _sort_kinds(t)
-    yield from _by_document(t, order[~new_kind], REPEAT)
+    order, new_anchor, new_kind, repeats = _sort_kinds(t)
+    yield from _by_document(t, order[repeats], REPEAT)
     group = np.cumsum(new_anchor) - 1
     kinds = np.bincount(group, weights=new_kind)[group]
     sign = t["hot"][order] > 0  # from a task that fetches its kinds itself
@@ -341,7 +350,9 @@ def _factors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     parts = [pdf for pdf in batches if len(pdf)]
     if not parts:
         return
-    rows = pd.concat(parts, ignore_index=True).sort_values(["key", "twin", "start"], ignore_index=True)
+    # Tasks that hold a repeated row each send its segments: one of them is the document's.
+    rows = pd.concat(parts, ignore_index=True).drop_duplicates(["key", "twin", "start"])
+    rows = rows.sort_values(["key", "twin", "start"], ignore_index=True)
     windows, sizes = rows["windows"].to_numpy(), np.array([len(b) for b in rows["bytes"]], dtype=np.int64)
     data = np.frombuffer(b"".join(rows["bytes"]), dtype=np.uint8)
     begin = np.cumsum(sizes) - sizes

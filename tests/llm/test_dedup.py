@@ -164,3 +164,20 @@ def test_has_previous_against_brute_force():
     strings = [data[k:k + length].tobytes() for k in range(len(rank))]
     assert got.tolist() == [s in strings[:k] for k, s in enumerate(strings)]
     assert (np.argsort(rank, kind="stable") == sorted(range(len(rank)), key=lambda k: (strings[k], k))).all()
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_the_first_of_repeated_rows_keeps_its_text(spark, monkeypatch, hot, partitions):
+    if hot:
+        monkeypatch.setattr(suffix, "LOCAL_HOT", 1)
+    r = np.random.default_rng(5)
+    text = [" ".join(f"w{x}" for x in r.integers(0, 10**6, 60)) for _ in range(4)]
+    shared = " ".join(f"s{x}" for x in r.integers(0, 10**6, 30))
+    table = [(1, text[0])] * 2 + [(None, text[1])] * 3 + [(2, text[2] + shared)] * 2 + [(3, shared + text[3])] * 2
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(partitions)
+    got = Counter((r.doc_id, bytes(r.kept)) for r in suffix.remove_repeats(docs).collect())
+    # NULL ids come last and document 2 before 3, so only 3 loses the shared words in its first row.
+    want = Counter({(1, text[0].encode()): 1, (1, b""): 1, (None, text[1].encode()): 1, (None, b""): 2,
+                    (2, (text[2] + shared).encode()): 1, (2, b""): 1, (3, text[3].encode()): 1, (3, b""): 1})
+    assert got == want
