@@ -16,8 +16,10 @@ one, or further left in the same document. Documents are ordered by id (NULL ids
 Scale. Each text is read in pieces of ``PIECE`` bytes, so very long texts and lines repeated inside one cost
 no more than others. Equal segments are reduced inside each task first. An anchor hash with more than ``HOT``
 kinds of segments (a passage in a third of all documents, with other text around it) is not sent to one
-task: its segments are spread window by window, by the window's own hash, where equal windows still meet. Texts
-travel compressed, once to fetch segments and once to cut the runs out. Nothing is collected.
+task: its segments become windows, each a 128-bit digest with its place. A task keeps the first place of each of
+its windows and marks the others as repeats, so of a window in a third of all documents one place per
+``GATHER_WINDOWS`` fetched windows travels on, to the task of its digest. Tasks are counted by windows. Texts travel
+compressed, once to fetch segments and once to cut the runs out. Nothing is collected.
 
 Defined results. NULL text has no bytes. Of rows with the same id and text the first is the document and every
 further one repeats it: all of it goes when it has ``LENGTH`` bytes. Texts shorter than ``LENGTH`` bytes stay
@@ -45,8 +47,8 @@ PIECE = 1 << 17
 GATHER_BYTES, BUCKET_BYTES = 48 << 20, 16 << 20
 #: Kinds of segments of one anchor hash that may meet in one task; kinds that one task sends there.
 HOT, LOCAL_HOT = 4096, 256
-#: Segment bytes per task in step 3, about.
-SUFFIX_BYTES = 2 << 20
+#: Segment bytes per task in step 3; windows of hot hashes that a task gathers before it reduces them; those of a task.
+SUFFIX_BYTES, GATHER_WINDOWS, TASK_WINDOWS = 2 << 20, 1 << 20, 1 << 18
 
 _U = np.uint64
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -126,26 +128,27 @@ def _keys(pdf: pd.DataFrame) -> list[tuple[int | None, bytes]]:
     return [(None if pd.isna(i) else int(i), (none_if_missing(t) or "").encode()) for i, t in zip(pdf["doc_id"], pdf["text"])]
 
 
-_ROWS = "bucket int, kind int, key long, twin int, spans binary, anchors binary, pack binary"
+_ROWS = "bucket int, kind int, key long, twin int, spans binary, anchors binary, pack binary, windows long, size long"
 REPEAT, FETCH, ANCHORS = 0, 1, 2
 _FIELDS = (("anchor", "<u8"), ("digest", "<u8"), ("key", "<i8"), ("twin", "<u2"), ("start", "<i4"), ("windows", "<u1"),
            ("hot", "<u1"))
+_WINDOW_FIELDS = (("high", "<u8"), ("low", "<u8"), ("key", "<i8"), ("twin", "<u2"), ("start", "<i4"))
 
 
-def _pack(t: dict[str, np.ndarray], rows: np.ndarray) -> bytes:
+def _pack(t: dict[str, np.ndarray], rows: np.ndarray, fields=_FIELDS) -> bytes:
     """Columns as byte planes: the many zero planes vanish in the shuffle's compression."""
     out = [np.int64(len(rows)).tobytes()]
-    for name, kind in _FIELDS:
+    for name, kind in fields:
         column = np.ascontiguousarray(t[name][rows], dtype=kind)
         out.append(column.view(np.uint8).reshape(len(rows), -1).T.tobytes())
     return b"".join(out)
 
 
-def _unpack(packs: list[bytes]) -> dict[str, np.ndarray]:
-    parts: dict[str, list[np.ndarray]] = {name: [] for name, _ in _FIELDS}
+def _unpack(packs: list[bytes], fields=_FIELDS) -> dict[str, np.ndarray]:
+    parts: dict[str, list[np.ndarray]] = {name: [] for name, _ in fields}
     for pack in packs:
         n, at = int(np.frombuffer(pack[:8], np.int64)[0]), 8
-        for name, kind in _FIELDS:
+        for name, kind in fields:
             width = np.dtype(kind).itemsize
             planes = np.frombuffer(pack, np.uint8, n * width, at).reshape(width, n)
             parts[name].append(np.ascontiguousarray(planes.T).view(kind).ravel())
@@ -172,7 +175,8 @@ def _elsewhere(t: dict[str, np.ndarray], order: np.ndarray, new: np.ndarray) ->
 
 
 def _by_document(t: dict[str, np.ndarray], rows: np.ndarray, kind: int) -> Iterator[pd.DataFrame]:
-    """Rows grouped by document: spans as int32 (start, windows, hot) triples, and the anchor hashes."""
+    """Rows grouped by document: spans as int32 (start, windows, hot) triples, and the anchor hashes; the number of
+    windows in hot spans and of bytes in the others."""
     if not len(rows):
         return
     rows = rows[np.lexsort((t["start"][rows], t["twin"][rows], t["key"][rows]))]
@@ -181,11 +185,13 @@ def _by_document(t: dict[str, np.ndarray], rows: np.ndarray, kind: int) -> Itera
     spans = np.stack([t["start"][rows], t["windows"][rows].astype(np.int32), t["hot"][rows].astype(np.int32)], axis=1)
     spans, anchors = spans.astype(np.int32), t["anchor"][rows]
     edges = [*first.tolist(), len(rows)]
+    hot, n = spans[:, 2] > 0, spans[:, 1].astype(np.int64)
     yield pd.DataFrame({
         "bucket": (mix(key[first].view(np.uint64)) >> _U(40)).astype(np.int32), "kind": np.int32(kind),
         "key": key[first], "twin": twin[first].astype(np.int32),
         "spans": [spans[a:b].tobytes() for a, b in zip(edges, edges[1:])],
-        "anchors": [anchors[a:b].tobytes() if kind == FETCH else None for a, b in zip(edges, edges[1:])], "pack": None})
+        "anchors": [anchors[a:b].tobytes() if kind == FETCH else None for a, b in zip(edges, edges[1:])], "pack": None,
+        "windows": np.add.reduceat(np.where(hot, n, 0), first), "size": np.add.reduceat(np.where(hot, 0, n + LENGTH - 1), first)})
 
 
 def _find_anchors(buckets: int):
@@ -210,7 +216,8 @@ def _find_anchors(buckets: int):
             part = cuts[k:k + 65]
             yield pd.DataFrame({"bucket": bucket[part[:-1]].astype(np.int32), "kind": np.int32(ANCHORS), "key": np.int64(0),
                                 "twin": np.int32(0), "spans": None, "anchors": None,
-                                "pack": [_pack(t, rows[a:b]) for a, b in zip(part, part[1:])]})
+                                "pack": [_pack(t, rows[a:b]) for a, b in zip(part, part[1:])],
+                                "windows": np.int64(0), "size": np.int64(0)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table: dict[str, list] = {name: [] for name, _ in _FIELDS}
@@ -270,31 +277,86 @@ def _meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from _by_document(t, order[new_kind & (kinds > 1) & ~sign], FETCH)
 
 
-_SEGMENTS = "route long, key long, twin int, start int, windows int, bytes binary"
+#: A segment with its bytes, packed windows of hot hashes, or (spans) what is decided.
+_SEGMENTS = "route long, key long, twin int, start int, windows int, bytes binary, pack binary, spans binary"
 
 
-def _fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Cut the wanted segments out of their texts; those of hot hashes window by window."""
-    unzip = zstandard.ZstdDecompressor()
-    for pdf in batches:
-        rows, held = [], 0
-        for key, twin, z, spans, anchors in zip(pdf["key"], pdf["twin"], pdf["z"], pdf["spans"], pdf["anchors"]):
-            data = unzip.decompress(z)
-            spans = np.frombuffer(spans, np.int32).reshape(-1, 3)
-            for (start, windows, hot), anchor in zip(spans.tolist(), np.frombuffer(anchors, np.int64).tolist()):
-                if hot:
-                    for a in range(start, start + windows):
-                        window = data[a:a + LENGTH]
-                        route = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
-                        rows.append((route, key, twin, a, 1, window))
-                else:
-                    rows.append((anchor, key, twin, start, windows, data[start:start + windows + LENGTH - 1]))
-                held += windows + LENGTH
-            if held > 1 << 22:
-                yield pd.DataFrame(rows, columns=["route", "key", "twin", "start", "windows", "bytes"])
-                rows, held = [], 0
-        if rows:
-            yield pd.DataFrame(rows, columns=["route", "key", "twin", "start", "windows", "bytes"])
+def _first_windows(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows at the first place of each window, and rows at the other places."""
+    order = np.lexsort((t["start"], t["twin"], t["key"], t["low"], t["high"]))
+    high, low = t["high"][order], t["low"][order]
+    new = np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])]
+    return order[new], order[_elsewhere(t, order, new)]
+
+
+def _runs(t: dict[str, np.ndarray], rows: np.ndarray) -> pd.DataFrame:
+    """The places of windows as (key, twin, spans), windows that follow each other in one span."""
+    rows = rows[np.lexsort((t["start"][rows], t["twin"][rows], t["key"][rows]))]
+    key, twin, start = t["key"][rows], t["twin"][rows].astype(np.int32), t["start"][rows].astype(np.int32)
+    other = np.r_[True, (key[1:] != key[:-1]) | (twin[1:] != twin[:-1])][:len(rows)]
+    first = np.flatnonzero(other | np.r_[True, start[1:] > start[:-1] + 1][:len(rows)])
+    last = np.r_[first[1:], len(rows)][:len(first)] - 1
+    spans = np.stack([start[first], start[last] - start[first] + 1, np.zeros(len(first), np.int32)], axis=1).astype(np.int32)
+    edges = [*np.flatnonzero(other[first]).tolist(), len(first)]
+    document = first[edges[:-1]]
+    return pd.DataFrame({"key": key[document], "twin": twin[document],
+                         "spans": [spans[a:b].tobytes() for a, b in zip(edges, edges[1:])]})
+
+
+def _fetch(buckets: int):
+    """Cut the wanted segments out of their texts; those of hot hashes become windows, reduced here first."""
+    names = ["route", "key", "twin", "start", "windows", "bytes"]
+
+    def send(held: list[tuple[bytes, int, int, int]]) -> Iterator[pd.DataFrame]:
+        if not held:
+            return
+        digest = np.frombuffer(b"".join(d for d, *_ in held), "<u8").reshape(-1, 2)
+        n = np.array([len(d) // 16 for d, *_ in held])
+        place = np.array([h[1:] for h in held], dtype=np.int64)
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        t = {"high": digest[:, 0], "low": digest[:, 1], "key": np.repeat(place[:, 0], n), "twin": np.repeat(place[:, 1], n),
+             "start": np.repeat(place[:, 2], n) + inside}
+        rows, repeats = _first_windows(t)
+        if len(repeats):
+            out = _runs(t, repeats)
+            yield out.assign(route=out["key"], start=0, windows=0, bytes=None, pack=None)[[*names, "pack", "spans"]]
+        bucket = t["high"][rows] % _U(buckets)
+        by = np.argsort(bucket, kind="stable")
+        rows, bucket = rows[by], bucket[by]
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+        for k in range(0, len(cuts) - 1, 64):
+            part = cuts[k:k + 65]
+            yield pd.DataFrame({"route": bucket[part[:-1]].astype(np.int64), "key": np.int64(0), "twin": np.int32(0),
+                                "start": np.int32(0), "windows": np.int32(0), "bytes": None,
+                                "pack": [_pack(t, rows[a:b], _WINDOW_FIELDS) for a, b in zip(part, part[1:])], "spans": None})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unzip = zstandard.ZstdDecompressor()
+        hot_spans, waiting = [], 0
+        for pdf in batches:
+            rows, held = [], 0
+            for key, twin, z, spans, anchors in zip(pdf["key"], pdf["twin"], pdf["z"], pdf["spans"], pdf["anchors"]):
+                data = unzip.decompress(z)
+                spans = np.frombuffer(spans, np.int32).reshape(-1, 3)
+                for (start, windows, hot), anchor in zip(spans.tolist(), np.frombuffer(anchors, np.int64).tolist()):
+                    if hot:
+                        digests = b"".join(hashlib.blake2b(data[a:a + LENGTH], digest_size=16).digest()
+                                           for a in range(start, start + windows))
+                        hot_spans.append((digests, key, twin, start))
+                        waiting += windows
+                    else:
+                        rows.append((anchor, key, twin, start, windows, data[start:start + windows + LENGTH - 1]))
+                        held += windows + LENGTH
+                if held > 1 << 22:
+                    yield pd.DataFrame(rows, columns=names).assign(pack=None, spans=None)
+                    rows, held = [], 0
+                if waiting >= GATHER_WINDOWS:
+                    yield from send(hot_spans)
+                    hot_spans, waiting = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=names).assign(pack=None, spans=None)
+        yield from send(hot_spans)
+    return run
 
 
 def _dense(a: np.ndarray, b: np.ndarray, top: int) -> np.ndarray:
@@ -347,7 +409,20 @@ def has_previous(rank: np.ndarray, position: np.ndarray) -> np.ndarray:
 
 def _factors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Step 3 on one partition of segments: the runs of windows that repeat an earlier one."""
-    parts = [pdf for pdf in batches if len(pdf)]
+    parts, packs = [], []
+    for pdf in batches:
+        packs += [p for p in pdf["pack"] if p is not None]
+        done = pdf[pdf["spans"].notna()]
+        if len(done):
+            yield done[["key", "twin", "spans"]]
+        whole = pdf[pdf["bytes"].notna()]
+        if len(whole):
+            parts.append(whole)
+    if packs:
+        t = _unpack(packs, _WINDOW_FIELDS)
+        repeats = _first_windows(t)[1]
+        if len(repeats):
+            yield _runs(t, repeats)
     if not parts:
         return
     # Tasks that hold a repeated row each send its segments: one of them is the document's.
@@ -418,10 +493,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts = docs.mapInPandas(_zip, _TEXTS)
 
     wanted = met.where(F.col("kind") == FETCH).select("key", "twin", "spans", "anchors")
-    size = met.where(F.col("kind") == FETCH).agg(F.sum(F.length("spans"))).first()[0] or 0
-    tasks = max(1, -(-(size // 12 * (LENGTH + LENGTH // 3)) // SUFFIX_BYTES))
+    size, windows = met.where(F.col("kind") == FETCH).agg(F.sum("size"), F.sum("windows")).first()
+    tasks = max(1, -(-(size or 0) // SUFFIX_BYTES) - (-(windows or 0) // TASK_WINDOWS))
     fetched = wanted.join(texts.dropDuplicates(["key", "twin"]).drop("doc_id"), ["key", "twin"])
-    fetched = fetched.mapInPandas(_fetch, _SEGMENTS)
+    fetched = fetched.mapInPandas(_fetch(tasks), _SEGMENTS)
     factors = stage(fetched.repartition(tasks, "route").mapInPandas(_factors, "key long, twin int, spans binary"), "factors")
 
     spans = (met.where(F.col("kind") == REPEAT).select("key", "twin", "spans").unionByName(factors)

@@ -7,7 +7,9 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
+import zstandard
 
 from opinio.llm import exact, minhash, shingles, suffix
 from opinio.llm.components import components
@@ -181,3 +183,43 @@ def test_the_first_of_repeated_rows_keeps_its_text(spark, monkeypatch, hot, part
     want = Counter({(1, text[0].encode()): 1, (1, b""): 1, (None, text[1].encode()): 1, (None, b""): 2,
                     (2, (text[2] + shared).encode()): 1, (2, b""): 1, (3, text[3].encode()): 1, (3, b""): 1})
     assert got == want
+
+
+def hot_documents(n):
+    """Every document has one passage between texts of its own."""
+    r = np.random.default_rng(6)
+    passage = " ".join(f"p{x}" for x in r.integers(0, 10**6, 25))
+    return passage, [(k, f"{r.integers(0, 10**9)} only here {k} " + passage + f" {k} and {r.integers(0, 10**9)}") for k in range(n)]
+
+
+def test_windows_of_a_hot_passage_travel_once_a_task(monkeypatch):
+    passage, table = hot_documents(300)
+    zip_, spans = zstandard.ZstdCompressor(), []
+    for _, text in table:
+        spans.append(np.array([[0, len(text) - suffix.LENGTH + 1, 1]], np.int32).tobytes())
+    pdf = pd.DataFrame({"key": range(300), "twin": 0, "spans": spans, "anchors": [np.zeros(1, np.int64).tobytes()] * 300,
+                        "z": [zip_.compress(t.encode()) for _, t in table]})
+    sent = pd.concat(suffix._fetch(5)(iter([pdf])))
+    packs = [p for p in sent["pack"] if p is not None]
+    distinct = {t[k:k + suffix.LENGTH] for _, t in table for k in range(len(t) - suffix.LENGTH + 1)}
+    assert len(suffix._unpack(packs, suffix._WINDOW_FIELDS)["key"]) == len(distinct)
+    decided = sent[sent["spans"].notna()]
+    assert sorted(decided["key"]) == list(range(1, 300)) and all(len(s) == 12 for s in decided["spans"])
+
+
+@pytest.mark.parametrize("gather", [1 << 20, 500])
+def test_a_hot_passage_stays_in_its_first_document(spark, monkeypatch, gather):
+    monkeypatch.setattr(suffix, "LOCAL_HOT", 8)
+    monkeypatch.setattr(suffix, "GATHER_WINDOWS", gather)
+    monkeypatch.setattr(suffix, "TASK_WINDOWS", 2000)
+    passage, table = hot_documents(300)
+    seen, want = set(), {}
+    for k, text in table:
+        gone = np.zeros(len(text), dtype=bool)
+        for a in range(len(text) - suffix.LENGTH + 1):
+            gone[a:a + suffix.LENGTH] |= text[a:a + suffix.LENGTH] in seen
+            seen.add(text[a:a + suffix.LENGTH])
+        want[k] = np.frombuffer(text.encode(), np.uint8)[~gone].tobytes()
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: bytes(r.kept) for r in suffix.remove_repeats(docs).collect()} == want
+    assert passage.encode() in want[0] and not any(passage.encode() in want[k] for k in range(1, 300))
