@@ -1,14 +1,16 @@
 """Sharding by balanced label propagation (operator 6), DataFrame functions only.
 
 Law ``rows``: the counts of any two shards differ by at most one. Documents start in shards by hash order.
-In each round every group of equal texts asks for the shard where most of its members are; a member moves
-there when a document without links can take its place in exchange, so every quota holds after every
-round. Groups larger than an eighth of a shard are cut into parts of that size, which take shards in turn;
+In each round every group of equal texts asks for the shard where most of its members are. A member that is
+elsewhere moves there in exchange for, first, a member of another group that wants the opposite move, then a
+document without links, then any other member that is not in its own group's shard (so circles close over
+the rounds). Every quota holds after every round. Members in their group's shard stay, so each exchange
+raises the number of these; rounds go on until one makes no exchange. Groups larger than an eighth of a shard are cut into parts of that size, which take shards in turn;
 only their parts are kept together.
 
 Scale. Texts are read once (size, CRC, md5 as the link key); the rounds join a few numbers per document. A
 text that a third of all rows share is counted by partial aggregation and handled as many parts. Exchanges
-are matched inside cells of a few hundred documents of a shard, and ranks are numbered inside hash buckets
+are matched inside cells of a few hundred documents of a shard, fewer cells as fewer wait, and ranks are numbered inside hash buckets
 whose counts give the offsets, so no window holds a shard or a large group.
 
 Defined results. A NULL text has no bytes (size 16, CRC 0) and no links. Rows are told apart by position, so
@@ -24,7 +26,6 @@ from pyspark.sql import functions as F
 from opinio.llm.common import stage
 
 SHARDS = 40
-ROUNDS = 3
 #: Rows of a numbering bucket and of an exchange cell, on average; buckets summed at once.
 BUCKET_ROWS, CELL_ROWS, BUCKETS_AT_ONCE = 4096, 512, 4096
 
@@ -50,25 +51,48 @@ def number_rows(df: DataFrame, rows: int, order: Column, *within: str) -> DataFr
             .withColumn("rank", F.col("_offset") + F.col("_place")).drop("_bucket", "_place", "_offset"))
 
 
-def _round(state: DataFrame, cells: int, number: int) -> DataFrame:
-    """One round: (rid, link, part, turn, shard) with the accepted moves made."""
+def _swaps(ask: DataFrame, give: DataFrame, *more: str) -> DataFrame:
+    """(rid, to, other, back): the k-th that asks for a shard against the k-th that can leave it, by cell (and ``more``)."""
+    place = F.row_number().over(Window.partitionBy("at", "cell", *more).orderBy("rid"))
+    ask = ask.withColumn("at", F.col("target")).withColumn("k", place)
+    give = give.withColumn("at", F.col("shard")).withColumn("k", place).select(F.col("rid").alias("other"), "at", "cell", "k", *more)
+    return stage(ask.join(give, ["at", "cell", "k", *more])
+                 .select("rid", F.col("target").alias("to"), "other", F.col("shard").alias("back")), "swaps")
+
+
+def _round(state: DataFrame, shards: int, number: int) -> DataFrame | None:
+    """One round: (rid, link, part, turn, shard) with the exchanges made; None when there was none to make."""
     linked = state.where("link is not null")
     there = linked.groupBy("link", "part", "turn", "shard").agg(F.count("*").alias("n"))
     mode = F.max_by("shard", F.struct("n", F.xxhash64("link", "part", "shard")))
     wish = stage(there.groupBy("link", "part").agg(F.coalesce(F.max("turn"), mode).alias("target")), "wishes")
-    cell = F.pmod(F.xxhash64("rid", F.lit(number)), F.lit(cells)).cast("int")
-    in_cell = Window.partitionBy("target", "cell").orderBy("rid")
-    movers = (linked.join(wish, ["link", "part"]).where("shard != target").withColumn("cell", cell)
-              .select("rid", "shard", "target", "cell", F.row_number().over(in_cell).alias("k")))
-    spare = (state.where("link is null").withColumn("target", F.col("shard")).withColumn("cell", cell)
-             .select(F.col("rid").alias("spare"), "target", "cell", F.row_number().over(in_cell).alias("k")))
-    swaps = stage(movers.join(spare, ["target", "cell", "k"]), "swaps")
-    moves = (swaps.select("rid", F.col("target").alias("to"))
-             .unionByName(swaps.select(F.col("spare").alias("rid"), F.col("shard").alias("to"))))
+    movers = stage(linked.join(wish, ["link", "part"]).where("shard != target").select("rid", "shard", "target"), "movers")
+    spare = state.where("link is null").select("rid", "shard")
+    waiting = movers.count()
+    if not waiting:
+        return None
+
+    def cell(rows: int):
+        return F.pmod(F.xxhash64("rid", F.lit(number)), F.lit(max(1, rows // (shards * CELL_ROWS)))).cast("int")
+
+    def rest(done: DataFrame) -> DataFrame:
+        return movers.join(done.select("rid").unionByName(done.select(F.col("other").alias("rid"))), "rid", "left_anti")
+
+    movers = movers.withColumn("cell", cell(waiting))
+    up = movers.where("shard < target").withColumn("low", F.col("shard"))
+    opposite = _swaps(up, movers.where("shard > target").withColumn("low", F.col("target")), "low")
+    done = opposite
+    with_cells = cell(max(waiting, spare.count()))
+    done = done.unionByName(_swaps(rest(done).withColumn("cell", with_cells), spare.withColumn("cell", with_cells)))
+    left = stage(rest(done).withColumn("asks", F.pmod(F.xxhash64("rid", F.lit(~number)), F.lit(2)) == 0), "left")
+    done = done.unionByName(_swaps(left.where("asks").drop("asks"), left.where("not asks").drop("asks")))
+    moves = stage(done.select("rid", "to").unionByName(done.select(F.col("other").alias("rid"), F.col("back").alias("to"))), "moves")
+    if moves.isEmpty():
+        return None
     return stage(state.join(moves, "rid", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to"), "shards")
 
 
-def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard: one row per input row."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -86,8 +110,10 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     state = stage(ordered.join(groups, "link", "left").withColumn("part", part).withColumn("turn", turn)
                   .select("rid", F.when(F.col("parts").isNotNull(), F.col("link")).alias("link"), "part", "turn",
                           F.pmod("rank", F.lit(shards)).cast("int").alias("shard")), "shards")
-    for k in range(rounds):
-        state = _round(state, max(1, n // (shards * CELL_ROWS)), k)
+    number, moved = 0, state
+    while moved is not None:
+        state, number = moved, number + 1
+        moved = _round(state, shards, number)
     placed = number_rows(state.select("rid", "shard"), max(1, n // shards), F.xxhash64("rid"), "shard")
     return (rows.join(placed, "rid")
             .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",

@@ -53,3 +53,13 @@ def test_a_third_of_all_rows_in_one_group(spark):
     links = Counter(r.shard for r in placed if r.doc_id % 3 == 0)
     at_random = sum((1200 / 8 / 3) ** 2 for _ in range(8))
     assert sum(n * n for n in links.values()) >= at_random  # no more cut links than a random placing
+
+
+def test_every_text_twice(spark):
+    data = [(k, f"text {k // 2}") for k in range(1600)]
+    placed = shard.balanced_shards(spark.createDataFrame(data, "doc_id long, text string"), shards=8).collect()
+    check_law(placed, 8)
+    where = defaultdict(set)
+    for r in placed:
+        where[r.doc_id // 2].add(r.shard)
+    assert sum(len(w) > 1 for w in where.values()) <= 0.1 * len(where)  # nearly all were cut, as no text is without links
