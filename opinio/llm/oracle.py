@@ -97,3 +97,78 @@ with recursive v as (
 select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
 from c left join n using (vec_id)
 """
+
+LLM_ORACLE["op11_importance_resampling"] = r"""
+with bits as (
+  select list_transform(range(256), lambda b: list_reduce(list_concat([b::ubigint], range(8)::ubigint[]),
+         lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384::ubigint) else c // 2 end)) as t
+), texts as (
+  select 0 as side, row_number() over () as r, doc_id, text from documents
+  union all select 1, row_number() over (), null, text from benchmark
+), words as (
+  select side, r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from texts
+), f as (select side, r, unnest(ws) as w from words
+), named as (
+  select w, xor(list_reduce(list_concat([4294967295::ubigint], list_transform(range(1, octet_length(encode(w)) + 1),
+         lambda i: ('0x' || substr(hex(encode(w)), 2 * i::int - 1, 2))::ubigint)),
+         lambda c, b: xor(c // 256, t[(xor(c, b) % 256)::int + 1])), 4294967295::ubigint) % 10000 as bucket
+  from (select distinct w from f), bits
+), counted as (
+  select bucket, count(*) filter (side = 0) as s, count(*) filter (side = 1) as t from f join named using (w) group by bucket
+), gain as (
+  select bucket, floor(1000 * ln((t + 1)::double * (sum(s) over () + 10000)::double
+                                 / ((s + 1)::double * (sum(t) over () + 10000)::double)))::bigint as g
+  from counted
+), weights as (
+  select r, sum(g)::bigint as weight from f join named using (w) join gain using (bucket) where side = 0 group by r
+), hashed as (
+  select words.*, len(ws)::bigint as n_features, coalesce(weight, 0) as weight,
+         ('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint as h
+  from words left join weights using (r) where side = 0
+), scored as (
+  select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score from hashed
+), ranked as (
+  select r, row_number() over (order by score desc, doc_id nulls last, n_features desc) as k,
+         10 * count(*) over () // 100 as drawn
+  from scored where n_features >= 20
+)
+select doc_id, n_features, weight, score, case when k <= drawn then k end as rank
+from scored left join ranked using (r)
+"""
+
+LLM_ORACLE["op12_filter_audit"] = r"""
+with d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws
+  from documents
+), flags as (
+  select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id
+), fails as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+         [len(ws) < 100, 100 * len(list_distinct(ws)) < 80 * len(ws),
+          100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t), regexp_matches(t, '[#$%&*|]'),
+          coalesce(doc_id > min(doc_id) over (partition by t), false)] as f
+  from d left join flags using (doc_id)
+), letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l
+), orders as (
+  select a.l || b.l || c.l || d.l || e.l as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), steps as (
+  select filter_order, step, list_transform(range(1, step::int + 1), lambda i: strpos('ABCDE', filter_order[i])) as done
+  from orders, range(1, 6) s(step)
+), seen as (
+  select part, filter_order, step, good, toxic, f[done[step::int]] as fails_now,
+         len(list_filter(done[1:step::int - 1], lambda i: f[i])) > 0 as gone_before, len(list_filter(f, lambda x: x)) = 1 as one
+  from fails, steps
+), counted as (
+  select part, filter_order, step::int as step, count(*) filter (not gone_before and not fails_now) as kept,
+         count(*) filter (fails_now and not gone_before) as removed, count(*) filter (fails_now and gone_before) as redundant,
+         count(*) filter (fails_now and one) as unique_fails, count(*) filter (fails_now and not gone_before and good) as good_lost,
+         count(*) filter (fails_now and not gone_before and toxic) as toxic_lost
+  from seen group by all
+)
+select *, sum(removed) over (partition by part, filter_order[step])::bigint as shapley from counted
+"""

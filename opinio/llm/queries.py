@@ -8,7 +8,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from opinio.llm import bpe, chat, exact, langid, minhash, mix, pq, scoring, shard, suffix
+from opinio.llm import audit, bpe, chat, exact, langid, minhash, mix, pack, pq, resample, scoring, shard, suffix
 from opinio.llm.common import read
 from opinio.llm.oracle import LLM_ORACLE  # noqa: F401
 
@@ -57,6 +57,20 @@ def op10_word_bpe(spark, sf_dir):
     return bpe.digests(bpe.bpe(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary))
 
 
+def op11_importance_resampling(spark, sf_dir):
+    return resample.importance_resample(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "text"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return audit.filter_audit(read(spark, sf_dir, "documents", "doc_id", "text", "lang"),
+                              read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+def op13_sum_of_squares_packing(spark, sf_dir):
+    vocabulary = bpe.load(public_tokenizers.path("word_bpe_49k.json"))
+    return pack.digests(pack.pack(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary))
+
+
 LLM_QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_pq_neardup": op1_pq_neardup,
@@ -69,4 +83,7 @@ LLM_QUERIES = {
     "op9_role_repair": op9_role_repair,
     "op10_word_bpe": op10_word_bpe,
     "op8_block_naming": op8_block_naming,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_sum_of_squares_packing": op13_sum_of_squares_packing,
 }
