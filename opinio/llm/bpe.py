@@ -38,6 +38,7 @@ CACHE_CHUNKS = 400_000
 WHITE_SPACE = "".join(map(chr, (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                                 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _SPACES = re.compile(f"[{WHITE_SPACE}]+")
+_CONTROLS = "\x1c\x1d\x1e\x1f"
 _NO_RANK = np.iinfo(np.int64).max
 
 
@@ -132,12 +133,24 @@ def merge_words(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarr
     return ids[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
 
 
+def _split(text: str) -> list[str]:
+    """Parts between white space; str.split() takes four separator controls for white space too."""
+    return [c for c in _SPACES.split(text) if c] if any(map(text.__contains__, _CONTROLS)) else text.split()
+
+
+def _gather(flat: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``flat[offsets[r]:offsets[r + 1]]`` of all rows one behind the other, and their lengths."""
+    first, size = offsets[rows], offsets[rows + 1] - offsets[rows]
+    ends = np.cumsum(size)
+    return flat[np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], size
+
+
 class Encoder:
     """Encodes batches of texts; remembers the chunks it has seen."""
 
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
-        self.words = regex.compile(v.pattern, regex.V0)
+        self.words = regex.compile(f"\\n|(?:{v.pattern})", regex.V0)
         self.special = re.compile("(" + "|".join(re.escape(s) for s in v.special) + ")") if v.special else None
         self.names = np.array(v.names, dtype=object)
         self._forget()
@@ -159,42 +172,39 @@ class Encoder:
 
     def _chunks(self, text: str) -> list[str]:
         parts = self.special.split(text) if self.special and self.special.search(text) else [text]
-        return [c for part in parts for c in _SPACES.split(part) if c]
+        return [c for part in parts for c in _split(part)]
 
     def _learn(self, new: list[str]) -> None:
         """Add chunks to the table; ``known`` already numbers them in this order."""
-        words, per_chunk = [], np.zeros(len(new), dtype=np.int64)
-        for k, chunk in enumerate(new):
-            # Lower case goes character by character (no rule for a final sigma).
-            text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-            found = [m.group().encode() for m in self.words.finditer(text)]
-            per_chunk[k] = len(found)
-            words += found
-        ids, counts = merge_words(words, self.v) if words else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        # All chunks as lines of one text: a word never goes over white space, and a line end composes with nothing.
+        # Lower case goes character by character (no rule for a final sigma).
+        lines = unicodedata.normalize("NFC", "\n".join(new)).replace("Σ", "σ").lower()
+        found = np.array(self.words.findall(lines), dtype=object)
+        ends = np.flatnonzero(found == "\n")
+        per_chunk = np.diff(np.r_[-1, ends, len(found)]) - 1
+        at: dict[str, int] = {}
+        place = np.fromiter((at.setdefault(w, len(at)) for w in found[found != "\n"]), np.int64)
+        ids, counts = merge_words([w.encode() for w in at], self.v) if at else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        ids, counts = _gather(ids.astype(np.int32), np.r_[0, np.cumsum(counts)], place)
         ends = np.r_[0, np.cumsum(counts)][np.r_[0, np.cumsum(per_chunk)]]
-        self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
+        self.flat = np.concatenate([self.flat, ids])
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + ends[1:]])
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text (none longer than a segment or so)."""
         if len(self.known) > CACHE_CHUNKS:
             self._forget()
-        known, new, index, lengths = self.known, [], [], []
+        known, chunks, lengths = self.known, [], []
         for text in texts:
-            chunks = self._chunks(text)
-            for c in chunks:
-                if c not in known:
-                    known[c] = len(known)
-                    new.append(c)
-            index += [known[c] for c in chunks]
-            lengths.append(len(chunks))
+            some = self._chunks(text)
+            chunks += some
+            lengths.append(len(some))
+        new = [c for c in dict.fromkeys(chunks) if c not in known]
         if new:
+            known.update(zip(new, range(len(known), len(known) + len(new))))
             self._learn(new)
-        at = np.array(index, dtype=np.int64)
-        first, size = self.offsets[at], self.offsets[at + 1] - self.offsets[at]
-        ends = np.cumsum(size)
-        ids = self.flat[np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
-        return np.split(ids, np.r_[0, ends][np.cumsum(lengths)][:-1])
+        ids, size = _gather(self.flat, self.offsets, np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks)))
+        return np.split(ids, np.r_[0, np.cumsum(size)][np.cumsum(lengths)][:-1])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """int32 ids of each text; a missing text has none."""
