@@ -24,6 +24,9 @@ FENCE_PATTERN = "(?s)```json" + WS_CLASS + "*(\\{.*\\})" + WS_CLASS + "*```"
 # The word used when a list or a text is absent.
 NONE_WORD = "无"
 
+# The prefix of a failed labeler call.
+CALL_FAILED_PREFIX = "调用接口失败"
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -41,28 +44,46 @@ def strip_fence(c) -> Column:
     return F.coalesce(F.nullif(inner, F.lit("")), utrim(c))
 
 
-def _numeric_entities(c: Column) -> Column:
-    """Decimal and hexadecimal character references; others stay as they are."""
-    def one(part: Column) -> Column:
-        dec = F.regexp_extract(part, r"^(\d{1,7});", 1)
-        hexa = F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,6});", 1)
-        code = F.when(dec != "", dec.cast("long")).when(hexa != "", F.conv(hexa, 16, 10).cast("long"))
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it (also inside lambdas)."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _numeric_entity(part: Column) -> Column:
+    """The text behind one ``&#``: a decimal or hexadecimal character reference, or what it was."""
+    dec = F.regexp_extract(part, r"^(\d{1,7});", 1)
+    hexa = F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,6});", 1)
+    code = F.when(dec != "", dec.cast("long")).when(hexa != "", F.conv(hexa, 16, 10).cast("long"))
+
+    def shown(code: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         return F.when(code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF),
-                      F.concat(char, F.regexp_replace(part, r"^[0-9a-fA-FxX]+;", ""))) \
-            .otherwise(F.concat(F.lit("&#"), part))
+                      F.concat(char, F.regexp_replace(part, r"^[0-9a-fA-FxX]+;", ""))).otherwise(F.concat(F.lit("&#"), part))
+
+    return once(code, shown)
 
-    parts = F.split(c, "&#")
-    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), one)
-    return F.when(c.contains("&#"), F.concat(F.get(parts, 0), F.array_join(rest, ""))).otherwise(c)
+
+def _numeric_entities(c: Column) -> Column:
+    """Decimal and hexadecimal character references; others stay as they are."""
+    def joined(parts: Column) -> Column:
+        rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), _numeric_entity)
+        return F.concat(F.get(parts, 0), F.array_join(rest, ""))
+
+    return once(F.split(c, "&#"), joined)
 
 
 def unescape_html(c) -> Column:
     """The basic named entities and all numeric ones; ``&amp;`` last so that ``&amp;lt;`` stays ``&lt;``."""
-    c = _c(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\xa0")):
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return F.replace(_numeric_entities(c), F.lit("&amp;"), F.lit("&"))
+    def named(c: Column) -> Column:
+        for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\xa0")):
+            c = F.replace(c, F.lit(ent), F.lit(ch))
+        return c
+
+    def decoded(c: Column) -> Column:
+        numeric = once(named(c), lambda t: F.when(t.contains("&#"), _numeric_entities(t)).otherwise(t))
+        return F.when(c.contains("&"), F.replace(numeric, F.lit("&amp;"), F.lit("&"))).otherwise(c)
+
+    return once(_c(c), decoded)
 
 
 def strip_tags(c) -> Column:

@@ -1,7 +1,7 @@
 """Feed pages -> posts (P1-P9) and hour windows.
 
-The page markup is read with built-in regex functions: split the page before every
-feed item (P1), then search inside each item. Each field is a Column expression,
+A page is split before every feed item (P1). An item is cut into tags and texts once; its parts are found by folds
+over these tokens (``functions.markup``), so each ends at its own closing tag. Each field is a Column expression,
 so the whole extraction is one narrow projection over ``raw_pages``.
 """
 
@@ -10,39 +10,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinio.functions import markup
 from opinio.functions.feedtime import parse_feed_time
-from opinio.functions.text import NONE_WORD, node_text, unescape_html, utrim
+from opinio.functions.text import NONE_WORD, unescape_html, utrim
+from opinio.session import stage
 
 # The markers of a feed item and of its parts.
-ITEM_START = r'(?=<div[^>]*action-type="feed_list_item")'
-ITEM_HEAD = r'^<div[^>]*action-type="feed_list_item"'
-AUTHOR_ATTR = r'\bnick-name="([^"]*)"'
+ITEM_HEAD = r"""<div\b[^>]*\saction-type\s*=\s*["']?feed_list_item(?=["'\s/>])"""
+ITEM_START = rf"(?={ITEM_HEAD})"
+MARKS = {
+    "item": ("div", markup.tag_with("div", "action-type", "feed_list_item")),
+    "short": ("p", markup.tag_with("p", "node-type", "feed_list_content")),
+    "full": ("p", markup.tag_with("p", "node-type", "feed_list_content_full")),
+    "from": ("div", markup.tag_with_class("div", "from")),
+    "acts": ("div", markup.tag_with_class("div", "card-act")),
+}
+AUTHOR_ATTR = "nick-name"
 SOURCE_WORD = "来自"
 
 
-def _tag(name: str, attr: str, value: str) -> str:
-    """An opening tag with the attribute anywhere in it."""
-    return rf'<{name}\b(?=[^>]*\b{attr}="{value}")[^>]*>'
-
-
-def _class(token: str) -> str:
-    """An attribute value holding ``token`` as one of its class names."""
-    return rf'(?:[^"]*\s)?{token}(?:\s[^"]*)?'
-
-
-CONTENT_TAG = _tag("p", "node-type", "feed_list_content")
-CONTENT_P = rf"(?s){CONTENT_TAG}(.*?)</p>"
-CONTENT_FULL_TAG = _tag("p", "node-type", "feed_list_content_full")
-CONTENT_FULL_P = rf"(?s){CONTENT_FULL_TAG}(.*?)</p>"
-FROM_DIV = rf"(?s){_tag('div', 'class', _class('from'))}(.*?)</div>"
-# the counters may hold nested elements, so their block goes on to the item's end
-CARD_ACT_DIV = rf"(?s){_tag('div', 'class', _class('card-act'))}(.*)$"
-LI_TEXT = r"(?s)<li\b[^>]*>(.*?)</li>"
-
-
 def split_items(html: Column) -> Column:
     """The feed items of a page, in page order (text before the first item dropped)."""
-    return F.filter(F.split(html, ITEM_START), lambda x: x.rlike(ITEM_HEAD))
+    return F.filter(F.split(html, ITEM_START), lambda x: x.rlike("^" + ITEM_HEAD))
 
 
 def feed_items(pages: DataFrame) -> DataFrame:
@@ -51,25 +40,33 @@ def feed_items(pages: DataFrame) -> DataFrame:
     return ex.select("page_id", (F.col("pos") + 1).cast("int").alias("item_no"), "item")
 
 
-def item_fields(item: Column) -> dict[str, Column]:
-    """The fields of one item, NULL when a part is absent."""
-    author = F.nullif(F.regexp_extract(F.regexp_extract(item, CONTENT_TAG, 0), AUTHOR_ATTR, 1), F.lit(""))
-    from_text = node_text(F.regexp_extract(item, FROM_DIV, 1))
-    parts = F.split(from_text, SOURCE_WORD)
-    posted_raw = utrim(F.get(parts, 0))
-    via = F.coalesce(utrim(F.get(parts, 1)), F.lit(NONE_WORD))
-    body = F.when(item.rlike(CONTENT_FULL_TAG), node_text(F.regexp_extract(item, CONTENT_FULL_P, 1))) \
-        .otherwise(node_text(F.regexp_extract(item, CONTENT_P, 1)))
-    lis = F.regexp_extract_all(F.regexp_extract(item, CARD_ACT_DIV, 1), F.lit(LI_TEXT), 1)
-    return {
-        "author": unescape_html(author),
-        "posted_raw": posted_raw,
-        "via": via,
-        "reposts_raw": node_text(F.get(lis, 0)),
-        "comments_raw": node_text(F.get(lis, 1)),
-        "likes_raw": node_text(F.get(lis, 2)),
-        "body": body,
-    }
+def item_fields(items: Column) -> Column:
+    """Array of items -> array of structs of their fields, NULL when a part is absent.
+
+    Each step is a ``transform`` of its own, so that what later steps use several times is computed once.
+    """
+    tokens = F.transform(items, lambda i: markup.tokens_of(i, MARKS))
+    own = F.transform(tokens, lambda t: F.get(markup.elements(t, [("item", "div")]), 0)["inside"])
+    parts = F.transform(own, lambda t: markup.elements(t, [("short", "p"), ("full", "p"), ("from", "div"), ("acts", "div")]))
+    counters = ("reposts_raw", "comments_raw", "likes_raw")
+
+    def raw(p: Column) -> Column:
+        """As written: the author, then the texts of the time and source, of the body and of the counters."""
+        body = F.coalesce(F.get(p, 1)["inside"], F.get(p, 0)["inside"])
+        texts = F.concat(F.array(F.get(p, 2)["inside"], body), markup.inside_first(F.get(p, 3)["inside"], "li", len(counters)))
+        return F.concat(F.array(markup.attribute(F.get(p, 0)["tag"], AUTHOR_ATTR)), F.transform(texts, markup.joined_text))
+
+    shown = F.transform(F.transform(parts, raw), lambda p: F.transform(p, unescape_html))
+    empty, word = F.lit(""), F.lit(SOURCE_WORD)
+
+    def fields(x: Column) -> Column:
+        when, body = (F.coalesce(F.get(x, k), empty) for k in (1, 2))
+        via = F.when(when.contains(word), utrim(F.split_part(when, word, F.lit(2)))).otherwise(F.lit(NONE_WORD))
+        return F.struct(F.nullif(F.get(x, 0), empty).alias("author"), utrim(F.split_part(when, word, F.lit(1))).alias("posted_raw"),
+                        via.alias("via"), *[utrim(F.get(x, 3 + k)).alias(c) for k, c in enumerate(counters)],
+                        utrim(body).alias("body"))
+
+    return F.transform(shown, fields)
 
 
 def extract_posts(pages: DataFrame) -> DataFrame:
@@ -80,11 +77,8 @@ def extract_posts(pages: DataFrame) -> DataFrame:
     column instead of having the whole extraction inlined into the predicate,
     which would run every regex twice and overflow generated code.
     """
-    def fields(item: Column) -> Column:
-        return F.struct(*[v.alias(k) for k, v in item_fields(item).items()])
-
     ex = pages.select("page_id", "page_no", "keyword", "win_start", "win_end", "fetched_at",
-                      F.posexplode(F.transform(split_items(F.col("html")), fields)).alias("pos", "f"))
+                      F.posexplode(item_fields(split_items(F.col("html")))).alias("pos", "f"))
     return ex.select(
         "page_id", (F.col("pos") + 1).cast("int").alias("item_no"), "page_no", "keyword", "win_start", "win_end",
         "f.*", "fetched_at",
@@ -121,25 +115,58 @@ def assign_hours_closed(posts: DataFrame, windows: DataFrame, ts: str = "posted_
     return ex.join(windows.select("win_start", "win_end"), "win_start")
 
 
-# Parts that the posts of one day are dealt into.
-DAY_PARTS = 32
+# Characters of a keyword's pieces; shorter keywords are pieces of their own length.
+GRAM = 3
 
 
-def posts_for_requests(posts: DataFrame, reqs: DataFrame, parts: int = DAY_PARTS) -> DataFrame:
+def _grams(text: Column, sizes: list[int]) -> Column:
+    """Distinct pieces of ``sizes`` characters of a text (size 0: the empty piece), the text scanned once."""
+    pieces = F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{GRAM}}}))"), 1))  # the last ones are shorter
+    def heads(n: int) -> Column:
+        return F.array_distinct(F.transform(pieces, lambda p: F.left(p, F.lit(n)))) if n else F.array(F.lit(""))
+
+    return F.array_distinct(F.concat(pieces, *[heads(n) for n in sizes if n < GRAM]))
+
+
+def posts_for_requests(posts: DataFrame, reqs: DataFrame) -> DataFrame:
     """Posts of each request's day range, closed at its end, that contain its keyword.
 
-    Equi-join on (day, part): a day's posts are dealt into ``parts`` by their id and the requests, which
-    are few, go to every part, so one busy day is spread over many tasks. Requests are exploded to the days
-    they cover and to the day after, of which only posts stamped exactly at its midnight belong to them
-    (the last hour window is closed). The keyword test is the residual.
+    An inverted index on character pieces. A day's posts are cut into their distinct pieces of ``GRAM`` characters
+    and meet the pieces of the day's keywords by an equi-join on (day, piece); what is left is counted, and each
+    keyword of a day is looked up under the one of its pieces that fewest posts have. Keywords shorter than
+    ``GRAM`` are looked up whole among pieces of their own length, an empty keyword under the empty piece. The
+    posts found so are verified by ``contains``. No post meets a request whose rarest piece it lacks; a keyword that
+    several requests of a day share is looked up once.
+
+    Requests are exploded to the days they cover and to the day after, of which only posts stamped exactly at its
+    midnight belong to them (the last hour window is closed). Posts are told apart by time and body, so NULL or
+    repeated ids do no harm. All columns of the posts, ``day``, ``request_id`` and ``keyword`` come out.
     """
     offset = F.explode(F.sequence(F.lit(0), F.col("days"))).alias("offset")
-    r = (reqs.where(F.col("start_date").isNotNull()).select("request_id", "keyword", "start_date", "days", offset)
-         .select("request_id", "keyword", F.date_add("start_date", F.col("offset")).alias("day"),
-                 (F.col("offset") == F.col("days")).alias("only_midnight"),
-                 F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")))
-    p = (posts.withColumn("day", F.to_date("posted_at"))
-         .withColumn("part", F.pmod(F.xxhash64("post_id"), F.lit(parts)).cast("int")))
+    wanted = (reqs.where(F.col("start_date").isNotNull() & F.col("keyword").isNotNull())
+              .select("request_id", "keyword", "start_date", "days", offset)
+              .select("request_id", "keyword", F.date_add("start_date", F.col("offset")).alias("day"),
+                      (F.col("offset") == F.col("days")).alias("only_midnight")))
+    wanted = stage(wanted, "wanted-days")
+    size = F.least(F.length("keyword"), F.lit(GRAM)).alias("size")
+    sizes = sorted(r[0] for r in wanted.select(size).distinct().collect())  # four values at most
+    if not sizes:
+        return posts.withColumn("day", F.to_date("posted_at")).join(wanted, "day").select(*posts.columns, "day", "request_id", "keyword")
+    terms = wanted.select("day", "keyword").distinct().withColumn("gram", F.explode(F.filter(
+        _grams(F.col("keyword"), sizes), lambda g: F.length(g) == F.least(F.length("keyword"), F.lit(GRAM)))))
+    keyed = posts.where(F.col("posted_at").isNotNull() & F.col("body").isNotNull()).withColumn("day", F.to_date("posted_at"))
+    keyed = keyed.withColumn("_key", F.xxhash64("posted_at", "body"))
+    # Cutting a text up costs far more than moving it, so posts are dealt out evenly first.
+    found = stage(keyed.select("_key", "day", "body").repartition("_key", "day")
+                  .select("_key", "day", F.explode(_grams(F.col("body"), sizes)).alias("gram"))
+                  .join(terms.select("day", "gram").distinct(), ["day", "gram"]), "found-pieces")
+    counts = found.groupBy("day", "gram").agg(F.count("*").alias("n"))
+    # a keyword with a piece that no post of the day has is found nowhere; the rest goes under the rarest piece
+    index = (terms.join(counts, ["day", "gram"], "left").groupBy("day", "keyword")
+             .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("rarest"))
+             .where("rarest.n > 0").select("day", "keyword", F.col("rarest.gram").alias("gram")))
+    maybe = found.join(index, ["day", "gram"]).select("_key", "day", "keyword").distinct()
+    sure = keyed.join(maybe, ["_key", "day"]).where(F.col("body").contains(F.col("keyword"))).drop("_key")
     midnight = F.col("posted_at") == F.col("day").cast("timestamp_ntz")
-    return (p.join(r, ["day", "part"]).where(F.col("body").contains(F.col("keyword")) & (~F.col("only_midnight") | midnight))
-            .drop("part", "only_midnight"))
+    return (sure.join(wanted, ["day", "keyword"]).where(~F.col("only_midnight") | midnight)
+            .select(*posts.columns, "day", "request_id", "keyword"))

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinio.functions.text import tokens
+from opinio.functions.text import CALL_FAILED_PREFIX, tokens
 from opinio.session import stage
 
 # The most terms a dimension may have as a map literal; beyond it the caller takes the join method.
@@ -137,19 +137,48 @@ def label_topics_by_join(df: DataFrame, taxonomy: DataFrame, text_col: str = "bo
 
 LabelFn = Callable[[pd.DataFrame], pd.DataFrame]
 
+#: Calls made again for a chunk whose labeler raised.
+RETRIES = 2
 
-def label_with(chunk_text: DataFrame, fn: LabelFn, kind: str) -> DataFrame:
+
+def _call_failed(reason) -> str:
+    """The reply of a chunk whose call failed."""
+    return f"{CALL_FAILED_PREFIX}：{reason}"
+
+
+def _one_reply(fn: LabelFn, row: pd.DataFrame, retries: int) -> str:
+    for left in range(retries, -1, -1):
+        try:
+            return str(fn(row)["reply"].iloc[0])
+        except Exception as err:  # whatever a caller's function raises stays with its chunk
+            if not left:
+                return _call_failed(f"{type(err).__name__}: {err}")
+
+
+def _replies(fn: LabelFn, rows: pd.DataFrame, retries: int) -> pd.DataFrame:
+    """One reply per row. A batch that raises, or leaves chunks out, is called again chunk by chunk."""
+    keys = ["run_id", "chunk_id"]
+    try:
+        found = rows[keys].merge(fn(rows)[[*keys, "reply"]].drop_duplicates(keys), on=keys, how="left")["reply"].tolist()
+    except Exception:
+        found = [None] * len(rows)
+    return rows[keys].assign(reply=[r if isinstance(r, str) else _one_reply(fn, rows.iloc[k:k + 1], retries)
+                                    for k, r in enumerate(found)])
+
+
+def label_with(chunk_text: DataFrame, fn: LabelFn, kind: str, retries: int = RETRIES) -> DataFrame:
     """M5: run a caller-supplied labeler over chunk texts, one Arrow batch at a time.
 
-    ``chunk_text`` has (run_id, chunk_id, text); ``fn`` maps a pandas frame with
-    those columns to one with (run_id, chunk_id, reply). Output: the ``replies``
-    table shape (run_id, chunk_id, kind, reply). The work is spread over the
+    ``chunk_text`` has (run_id, chunk_id, text); ``fn`` maps a pandas frame with those columns to one with (run_id,
+    chunk_id, reply). Output: the ``replies`` table shape (run_id, chunk_id, kind, reply). The work is spread over the
     partitions of ``chunk_text``; nothing goes through the driver.
+
+    A chunk whose call raises, or that gets no reply, is called alone, ``retries`` times more; what fails then is a
+    failed call's reply (P18) for that chunk only, and all other chunks keep theirs.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = fn(pdf[["run_id", "chunk_id", "text"]])
-            yield out.assign(kind=kind)[["run_id", "chunk_id", "kind", "reply"]]
+            yield _replies(fn, pdf, retries).assign(kind=kind)[["run_id", "chunk_id", "kind", "reply"]]
 
     return chunk_text.select("run_id", "chunk_id", "text").mapInPandas(
         run, "run_id string, chunk_id long, kind string, reply string")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from opinio.functions.text import split_topics, utrim
 from opinio.operators.labelers import SENTIMENTS
 from opinio.operators.numbering import global_row_number
+from opinio.session import stage
 
 
 def _key(df: DataFrame, name: str) -> Column:
@@ -74,6 +75,9 @@ def topic_sentiment_counts(mentions: DataFrame) -> DataFrame:
 
 
 def rank_by_total(ts: DataFrame) -> DataFrame:
-    """O1: rank 1.. by total descending, ties by topic (the tie rule is ours)."""
-    ranked = global_row_number(ts, [F.col("total").desc(), F.col("topic").asc()], "_r")
+    """O1: rank 1.. by total descending, ties by topic (the tie rule is ours).
+
+    The counts are staged first: numbering reads its input several times, the rows behind the counts are read once.
+    """
+    ranked = global_row_number(stage(ts, "topic-counts"), [F.col("total").desc(), F.col("topic").asc()], "_r")
     return ranked.withColumn("rank", (F.col("_r") + 1).cast("long")).drop("_r")

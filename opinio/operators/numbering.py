@@ -20,11 +20,11 @@ executor must land its rows in the same bucket again.
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from opinio.session import checkpoint_root
+from opinio.session import checkpoint_root, stage
 
 
 # Rows of one bucket, about: what one task sorts and numbers.
@@ -95,6 +95,24 @@ def global_row_number(df: DataFrame, order_cols: list, out: str = "rn",
     return _by_ranges(df, order_cols, out, n)
 
 
+def running_count(df: DataFrame, order_cols: list, flag: Column, out: str) -> DataFrame:
+    """Add ``out``: the rows with ``flag`` that come before each row in the total order of ``order_cols``.
+
+    Rows are dealt by ranges of the order (one per shuffle partition of the session) and written once; flags are
+    counted inside each range and shifted by the counts of earlier ranges.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stage(df.withColumn("_flag", flag.cast("long")).repartitionByRange(ranges, *order_cols)
+                  .withColumn("_range", F.spark_partition_id()), "ranges")
+    so_far = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    before = dealt.groupBy("_range").agg(F.sum("_flag").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_range").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    counted = dealt.withColumn("_inside", F.coalesce(F.sum("_flag").over(inside), F.lit(0)))
+    return (counted.join(F.broadcast(before), "_range").withColumn(out, F.col("_before") + F.col("_inside"))
+            .drop("_flag", "_range", "_before", "_inside"))
+
+
 def chunk_rows(df: DataFrame, order_cols: list, size: int = 10,
                num_partitions: int | None = None) -> DataFrame:
     """W1 + W2: consecutive groups of ``size`` rows; ``chunk_id`` from 0, ``entry_no`` 1..size."""

@@ -12,10 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinio.functions.text import NONE_WORD, clean_topic_array, join_topics, numbered_line, strip_fence, utrim
-
-# The prefix of a failed labeler call.
-CALL_FAILED_PREFIX = "调用接口失败"
+from opinio.functions.text import CALL_FAILED_PREFIX, NONE_WORD, clean_topic_array, join_topics, numbered_line, strip_fence, utrim
+from opinio.operators.numbering import running_count
+from opinio.session import stage
 
 REPLY_SCHEMA = T.StructType([
     T.StructField("analyses", T.ArrayType(T.StructType([
@@ -139,28 +138,50 @@ def topic_registry(parsed: DataFrame) -> DataFrame:
                         F.col("f.entry_idx").alias("first_entry"), F.col("f.topic_pos").alias("first_pos"))
 
 
-# Parts that the chunks of one run are dealt into.
-RUN_PARTS = 32
+#: Topics of one block of a run's list, as it is stored.
+LIST_BLOCK = 256
+
 
+def topics_seen(chunks: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """W4 on integers: (run_id, chunk_id, n_seen) of every chunk, and (run_id, ordinal, topic) of the registry.
 
-def topics_visible(chunks: DataFrame, registry: DataFrame, parts: int = RUN_PARTS) -> DataFrame:
+    Chunks and topics are put in one order (run, chunk, a chunk before the topics that it shows first); the number of
+    topics before a row is a chunk's ``n_seen`` and a topic's ordinal in its run, so the topics that a chunk sees are
+    the first ``n_seen`` of the run. The running count is global (``numbering``): no task holds a run.
+    """
+    marks = chunks.select("run_id", "chunk_id").distinct().select(
+        "run_id", F.col("chunk_id").alias("at"), F.lit(None).cast("int").alias("entry"), F.lit(None).cast("int").alias("pos"),
+        F.lit(None).cast("string").alias("topic"))
+    first = registry.select("run_id", F.col("first_chunk").alias("at"), F.col("first_entry").cast("int").alias("entry"),
+                            F.col("first_pos").cast("int").alias("pos"), "topic")
+    order = ["run_id", "at", "entry", "pos", "topic"]  # NULLs first: a chunk comes before its topics
+    rows = stage(running_count(marks.unionByName(first), order, F.col("topic").isNotNull(), "before"), "topics-seen")
+    starts = rows.groupBy("run_id").agg(F.min("before").alias("start"))
+    rows = rows.join(starts, "run_id").withColumn("n", F.col("before") - F.col("start"))
+    return (rows.where("topic is null").select("run_id", F.col("at").alias("chunk_id"), F.col("n").alias("n_seen")),
+            rows.where("topic is not null").select("run_id", F.col("n").alias("ordinal"), "topic"))
+
+
+def topics_visible(chunks: DataFrame, registry: DataFrame) -> DataFrame:
     """W4 + F8: topics first seen in earlier chunks of the run, in first-seen order, or 无.
 
-    A run's topic list (one entry per distinct topic) is put in first-seen order once; a chunk shows the part of
-    it that was seen before the chunk. Nothing grows per change point, and no window runs over the chunks.
-    Chunks find their run's list by an equi-join on (run, part): the chunks of a run are dealt into ``parts``
-    and its one list row goes to each, so a single long run is spread over many tasks. The texts themselves
-    repeat the list in every chunk, as the prompts of the source program do.
+    A chunk needs one integer (``topics_seen``). A run's list is stored in blocks of ``LIST_BLOCK`` topics; the text of
+    its first n topics is put together from the blocks once per n that occurs, not per chunk, and chunks join their
+    text at the end. Only that text is as long as the list; it repeats in every chunk, as in the prompts of the
+    source program.
     """
-    lists = (registry.groupBy("run_id").agg(F.array_sort(F.collect_list(
-        F.struct("first_chunk", "first_entry", "first_pos", "topic"))).alias("topics"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
-    ch = (chunks.select("run_id", "chunk_id").distinct()
-          .withColumn("part", F.pmod(F.xxhash64("chunk_id"), F.lit(parts)).cast("int")))
-    j = ch.join(lists, ["run_id", "part"], "left")
-    seen = F.filter("topics", lambda t: t["first_chunk"] < F.col("chunk_id"))
-    text = join_topics(F.transform(seen, lambda t: t["topic"]), NONE_WORD)
-    return j.select("run_id", "chunk_id", F.coalesce(text, F.lit(NONE_WORD)).alias("topics_visible"))
+    seen, topics = topics_seen(chunks, registry)
+    seen, topics = stage(seen, "chunks-seen"), topics.withColumn("block", F.expr(f"ordinal div {LIST_BLOCK}"))
+    blocks = topics.groupBy("run_id", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "topic"))),
+                                                               lambda t: t["topic"]).alias("names"))
+    points = seen.where("n_seen > 0").select("run_id", "n_seen").distinct()
+    wanted = points.withColumn("block", F.explode(F.expr(f"sequence(0L, (n_seen - 1) div {LIST_BLOCK})")))
+    shown = F.array_join(F.slice("names", F.lit(1), F.least(F.col("n_seen") - F.col("block") * LIST_BLOCK, F.size("names"))), ", ")
+    texts = (wanted.join(blocks, ["run_id", "block"]).select("run_id", "n_seen", "block", shown.alias("part"))
+             .groupBy("run_id", "n_seen").agg(F.array_sort(F.collect_list(F.struct("block", "part"))).alias("parts"))
+             .select("run_id", "n_seen", F.array_join(F.transform("parts", lambda p: p["part"]), ", ").alias("text")))
+    return (seen.join(stage(texts, "topic-lists"), ["run_id", "n_seen"], "left")
+            .select("run_id", "chunk_id", F.coalesce("text", F.lit(NONE_WORD)).alias("topics_visible")))
 
 
 def topics_new(registry: DataFrame, known: DataFrame) -> DataFrame:

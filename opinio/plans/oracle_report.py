@@ -102,13 +102,14 @@ SELECT kind, entry_no, nullif(body, '') AS body, nullif(label, '') AS label FROM
 
 ORACLE["sink_append_labels"] = f"""
 WITH {REPLIES}
-SELECT run_id, kind, entry_no, nullif(body, '') AS body, nullif(label, '') AS label FROM aligned
+SELECT run_id, CAST(chunk_id % 3 AS VARCHAR) AS part_id, kind, entry_no, nullif(body, '') AS body,
+       nullif(label, '') AS label FROM aligned
 """
 
 _WANTED = """wanted AS (SELECT DISTINCT name FROM (
     SELECT 'item_' || CAST(item_id AS VARCHAR) AS name FROM benchmark
     UNION ALL SELECT 'lang_' || lang FROM documents)),
-files AS (SELECT 'item_' || CAST(item_id AS VARCHAR) AS name, text || chr(10) AS body FROM benchmark)"""
+files AS (SELECT 'item_' || CAST(item_id AS VARCHAR) AS name, text AS body FROM benchmark)"""
 
 ORACLE["templates_with_default"] = f"""
 WITH {_WANTED}
@@ -126,10 +127,12 @@ FROM wanted w LEFT JOIN files f USING (name)
 ORACLE["sink_append_posts"] = f"""
 WITH {FEED}
 SELECT page_no, nullif(author, '') AS author, nullif(posted_raw, '') AS posted_raw, coalesce(via, '无') AS via,
-       reposts_raw, comments_raw, likes_raw, nullif(body, '') AS body, 'table' AS run_id FROM posts
+       reposts_raw, comments_raw, likes_raw, nullif(body, '') AS body, 'table' AS run_id,
+       coalesce(CAST(hour(posted_at) // 8 AS VARCHAR), 'none') AS part_id FROM posts
 UNION ALL
 SELECT page_no, nullif(author, '') AS author, nullif(posted_raw, '') AS posted_raw, nullif(via, '') AS via,
-       reposts_raw, comments_raw, likes_raw, nullif(body, '') AS body, 'feed' AS run_id FROM fposts
+       reposts_raw, comments_raw, likes_raw, nullif(body, '') AS body, 'feed' AS run_id,
+       CAST(page_id % 2 AS VARCHAR) AS part_id FROM fposts
 """
 
 ORACLE["sink_overwrite_merged"] = f"""

@@ -43,16 +43,26 @@ def q_src_label_csv(spark, sf_dir):
             .unionByName(t.select(F.lit("topic").alias("kind"), "entry_no", "body", F.col("topics").alias("label"))))
 
 
-def _templates_dir(spark, sf_dir):
+def _benchmark_files(spark, sf_dir, label, extension):
+    """A flat folder with one file per benchmark item."""
     b = tables.benchmark(spark, sf_dir, "item_id", "text")
-    path = scratch_path(spark, "templates")
-    files.write_templates(b.select(F.concat(F.lit("item_"), F.col("item_id").cast("string")).alias("name"),
-                                   F.col("text").alias("body")), path)
+    name = F.concat(F.lit("item_"), F.col("item_id").cast("string"), F.lit(extension))
+    path = scratch_path(spark, label)
+    files.write_files(b.select(name.alias("name"), F.encode("text", "UTF-8").alias("content")), path)
+    return path
+
+
+def _template_files(spark, sf_dir):
+    """The items' templates, and one damaged file (no valid UTF-8) per document language."""
+    path = _benchmark_files(spark, sf_dir, "templates", ".txt")
+    langs = tables.documents(spark, sf_dir, "lang").where("lang is not null").distinct()
+    files.write_files(langs.select(F.concat(F.lit("lang_"), F.col("lang"), F.lit(".txt")).alias("name"),
+                                   F.concat(F.unhex(F.lit("FF")), F.encode("lang", "UTF-8")).alias("content")), path)
     return path
 
 
 def _wanted_names(spark, sf_dir):
-    """Every benchmark item, plus one template per document language (never written)."""
+    """Every benchmark item, plus one template per document language (never readable)."""
     items = tables.benchmark(spark, sf_dir, "item_id").select(
         F.concat(F.lit("item_"), F.col("item_id").cast("string")).alias("name"))
     langs = tables.documents(spark, sf_dir, "lang").select(F.concat(F.lit("lang_"), F.col("lang")).alias("name"))
@@ -61,48 +71,61 @@ def _wanted_names(spark, sf_dir):
 
 @query("templates_with_default")
 def q_templates_with_default(spark, sf_dir):
-    path = _templates_dir(spark, sf_dir)
+    """A flat folder of text files; what cannot be read reads as the default text."""
+    path = _template_files(spark, sf_dir)
     return files.templates_with_default(_wanted_names(spark, sf_dir), files.read_templates(spark, path))
 
 
 @query("image_parts")
 def q_image_parts(spark, sf_dir):
     """S5 + F18: message parts with the file as a base64 image, text only when unreadable."""
-    path = _templates_dir(spark, sf_dir)
+    path = _benchmark_files(spark, sf_dir, "images", ".jpg")
     reqs = _wanted_names(spark, sf_dir).withColumn("text", F.concat(F.lit("describe "), F.col("name")))
     m = files.message_parts(reqs, files.read_images(spark, path))
     return m.select("name", "text", F.size("parts").cast("long").alias("n_parts"),
                     F.get(F.col("parts"), 1)["url"].alias("image_url"))
 
 
+def _owned(schema):
+    """A CSV schema with the partition columns of an appended table."""
+    return T.StructType(schema.fields + [T.StructField("run_id", T.StringType()), T.StructField("part_id", T.StringType())])
+
+
+def _append_parts(rows, path):
+    """Append the rows part by part, as an hourly crawl does, and the second part once more."""
+    parts = [r[0] for r in rows.select("part_id").distinct().orderBy("part_id").collect()]  # a few, chosen by the caller
+    for part in [*parts, *parts[1:2]]:
+        files.append_csv(rows.where(F.col("part_id") == part), path)
+
+
 @query("sink_append_posts")
 def q_sink_append_posts(spark, sf_dir):
-    """K1: two runs added to one CSV table partitioned by run_id, one of them again, read back."""
+    """K1: two runs in one CSV table, each appended in parts (thirds of the day; odd and even pages), one part of
+    each written again; read back."""
     path = scratch_path(spark, "posts-append")
-    table_rows = _posts_csv_rows(spark, sf_dir).withColumn("run_id", F.lit("table"))
-    fp = feed.extract_posts(fixtures.raw_pages(spark, sf_dir))
-    feed_rows = files.to_csv_columns(fp, files.POST_COLUMNS).withColumn("run_id", F.lit("feed"))
-    files.add_runs_csv(table_rows, path)
-    files.add_runs_csv(feed_rows, path)
-    files.add_runs_csv(feed_rows, path)  # a repeated run replaces itself
-    schema = T.StructType(files.POSTS_CSV_SCHEMA.fields + [T.StructField("run_id", T.StringType())])
-    return files.read_csv(spark, path, schema)
+    third = F.coalesce(F.expr("hour(posted_at) div 8").cast("string"), F.lit("none"))
+    p = fixtures.posts(spark, sf_dir).withColumn("via", F.coalesce("via", F.lit("无")))
+    runs = [("table", p, third), ("feed", feed.extract_posts(fixtures.raw_pages(spark, sf_dir)), (F.col("page_id") % 2).cast("string"))]
+    for run, rows, part in runs:
+        csv = [F.col(internal).alias(header) for header, internal in files.POST_COLUMNS]
+        _append_parts(stage(rows.select(*csv, F.lit(run).alias("run_id"), part.alias("part_id")), f"append-{run}"), path)
+    return files.read_csv(spark, path, _owned(files.POSTS_CSV_SCHEMA))
 
 
 @query("sink_append_labels")
 def q_sink_append_labels(spark, sf_dir):
-    """K2 + K3: sentiment and topic rows appended per run, read back."""
+    """K2 + K3: sentiment and topic rows appended in parts (every third chunk), one part twice; read back."""
     a = _aligned(spark, sf_dir)
-    sp, tp = scratch_path(spark, "sentiment-append"), scratch_path(spark, "topic-append")
-    s = files.to_csv_columns(replies.sentiment_table(a), files.SENTIMENT_COLUMNS)
-    t = files.to_csv_columns(replies.topic_table(a), files.TOPIC_COLUMNS)
-    files.add_runs_csv(s.withColumn("run_id", F.lit(fixtures.RUN_ID)), sp)
-    files.add_runs_csv(t.withColumn("run_id", F.lit(fixtures.RUN_ID)), tp)
-    rs = files.read_csv(spark, sp, T.StructType(files.SENTIMENT_CSV_SCHEMA.fields + [T.StructField("run_id", T.StringType())]))
-    rt = files.read_csv(spark, tp, T.StructType(files.TOPIC_CSV_SCHEMA.fields + [T.StructField("run_id", T.StringType())]))
-    return (rs.select("run_id", F.lit("sentiment").alias("kind"), "entry_no", "body", F.col("sentiment").alias("label"))
-            .unionByName(rt.select("run_id", F.lit("topic").alias("kind"), "entry_no", "body",
-                                   F.col("topics").alias("label"))))
+    part = (F.col("chunk_id") % 3).cast("string").alias("part_id")
+    out = []
+    for kind, table, columns, schema, label in (
+            ("sentiment", replies.sentiment_table(a), files.SENTIMENT_COLUMNS, files.SENTIMENT_CSV_SCHEMA, "sentiment"),
+            ("topic", replies.topic_table(a), files.TOPIC_COLUMNS, files.TOPIC_CSV_SCHEMA, "topics")):
+        path = scratch_path(spark, f"{kind}-append")
+        _append_parts(table.select(*[F.col(internal).alias(header) for header, internal in columns], "run_id", part), path)
+        back = files.read_csv(spark, path, _owned(schema))
+        out.append(back.select("run_id", "part_id", F.lit(kind).alias("kind"), "entry_no", "body", F.col(label).alias("label")))
+    return out[0].unionByName(out[1])
 
 
 AGG_SCHEMA = T.StructType([T.StructField("topics", T.StringType()), T.StructField("negative", T.LongType()),

@@ -8,7 +8,8 @@ whitespace trimming. Columns are read positionally against an explicit schema
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,10 +57,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**_WRITE_OPTS).option("maxRecordsPerFile", RECORDS_PER_FILE).csv(path)
 
 
-def add_runs_csv(df: DataFrame, path: str, run_col: str = "run_id") -> None:
-    """K1-K3: add runs to a table partitioned by run; a run written again replaces its own rows."""
+def append_csv(df: DataFrame, path: str, owners: tuple[str, ...] = ("run_id", "part_id")) -> None:
+    """K1-K3: append one or more parts (an hour, a chunk) of a run to a CSV table.
+
+    The table is partitioned by ``owners``: a part written again replaces its own rows and no others, so a repeated
+    append (a retried batch) leaves every row once, and later parts leave the earlier ones as they are.
+    """
     (df.write.mode("overwrite").options(**_WRITE_OPTS).option("maxRecordsPerFile", RECORDS_PER_FILE)
-     .option("partitionOverwriteMode", "dynamic").partitionBy(run_col).csv(path))
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*owners).csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -67,16 +72,36 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.options(**_READ_OPTS).schema(schema).csv(path)
 
 
-def write_templates(df: DataFrame, path: str, name_col: str = "name", body_col: str = "body") -> None:
-    """One text file per template name (``name=<n>/part-*.txt``)."""
-    df.select(F.col(body_col).alias("value"), F.col(name_col).alias("name")) \
-        .write.mode("overwrite").partitionBy("name").text(path)
+def write_files(df: DataFrame, path: str, name_col: str = "name", content_col: str = "content") -> None:
+    """One file per row in one flat folder, named by ``name_col`` (with its extension); ``content_col`` is binary.
+
+    Every task writes the files of its own rows, so a task that is run again writes the same files again.
+    """
+    def run(rows) -> None:
+        folder, top = pafs.FileSystem.from_uri(path)
+        folder.create_dir(top)
+        for row in rows:
+            with folder.open_output_stream(f"{top}/{row[0]}") as out:
+                out.write(bytes(row[1]))
+
+    df.select(name_col, content_col).foreachPartition(run)
+
+
+# Files that cannot be read (damaged, or gone since they were listed) are left out.
+_LENIENT = {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"}
+
+
+def _file_name(df: DataFrame) -> Column:
+    """The name of each row's file without its extension, or of its ``name=`` folder."""
+    if "name" in df.columns:
+        return F.col("name").cast("string")
+    return F.regexp_replace("_metadata.file_name", r"\.[A-Za-z0-9]{1,4}$", "")
 
 
 def read_templates(spark: SparkSession, path: str) -> DataFrame:
-    """(name, body) - each file whole, its name from the folder."""
-    return spark.read.text(path, wholetext=True).select(
-        F.col("name").cast("string").alias("name"), F.col("value").alias("body"))
+    """(name, body) - each file of a folder whole; NULL for a file that is not text (no valid UTF-8)."""
+    df = spark.read.options(**_LENIENT).text(path, wholetext=True)
+    return df.select(_file_name(df).alias("name"), F.when(F.is_valid_utf8("value"), F.col("value")).alias("body"))
 
 
 def templates_with_default(wanted: DataFrame, found: DataFrame) -> DataFrame:
@@ -87,9 +112,9 @@ def templates_with_default(wanted: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """(name, b64) - the bytes of every file as base64, the name from the folder."""
-    b = spark.read.format("binaryFile").load(path)
-    return b.select(F.col("name").cast("string").alias("name"), F.replace(F.base64("content"), F.lit("\r\n"), F.lit("")).alias("b64"))
+    """(name, b64) - the bytes of every readable file of a folder as base64."""
+    df = spark.read.options(**_LENIENT).format("binaryFile").load(path)
+    return df.select(_file_name(df).alias("name"), F.replace(F.base64("content"), F.lit("\r\n"), F.lit("")).alias("b64"))
 
 
 def message_parts(requests: DataFrame, images: DataFrame) -> DataFrame:

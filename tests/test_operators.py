@@ -154,7 +154,7 @@ def test_topics_visible_matches_brute_force(spark):
     chunks = spark.createDataFrame([("a", c) for c in range(12)] + [("b", c) for c in range(3)],
                                    "run_id string, chunk_id long")
     got = {(r["run_id"], r["chunk_id"]): r["topics_visible"]
-           for r in replies.topics_visible(chunks, reg, parts=2).collect()}
+           for r in replies.topics_visible(chunks, reg).collect()}
     order = sorted(reg.collect(), key=lambda r: (r["first_chunk"], r["first_entry"], r["first_pos"]))
     for (run, k), text in got.items():
         seen = [r["topic"] for r in order if r["run_id"] == run and r["first_chunk"] < k]
@@ -162,13 +162,38 @@ def test_topics_visible_matches_brute_force(spark):
     assert len(got) == 15
 
 
-def test_topics_visible_with_ten_thousand_topics(spark):
-    reg = spark.range(0, 10_000).select(
-        F.lit("a").alias("run_id"), F.concat(F.lit("t"), F.col("id")).alias("topic"), (F.col("id") / 10).cast("long")
-        .alias("first_chunk"), (F.col("id") % 10).cast("int").alias("first_entry"), F.lit(0).alias("first_pos"))
+def test_topics_visible_with_a_hundred_thousand_topics(spark):
+    """One run; 4,000 topics a chunk. A text is put together once for all chunks that see the same topics."""
+    reg = spark.range(0, 100_000).select(
+        F.lit("a").alias("run_id"), F.concat(F.lit("t"), F.col("id")).alias("topic"), F.expr("id div 4000").alias("first_chunk"),
+        F.expr("cast(id % 4000 div 10 as int)").alias("first_entry"), (F.col("id") % 10).cast("int").alias("first_pos"))
     chunks = spark.range(0, 1000).select(F.lit("a").alias("run_id"), F.col("id").alias("chunk_id"))
-    got = replies.topics_visible(chunks, reg).select("chunk_id", F.size(F.split("topics_visible", ", ")).alias("n"))
-    assert all(r["n"] == max(1, 10 * r["chunk_id"]) for r in got.collect())
+    seen, topics = replies.topics_seen(chunks, reg)
+    assert {r["chunk_id"]: r["n_seen"] for r in seen.collect()} == {c: min(100_000, 4000 * c) for c in range(1000)}
+    assert topics.where("topic != concat('t', ordinal)").count() == 0
+    got = replies.topics_visible(chunks, reg).where("chunk_id in (0, 1, 3, 999)").select("chunk_id", "topics_visible").collect()
+    for r in got:
+        n = min(100_000, 4000 * r["chunk_id"])
+        assert r["topics_visible"] == (", ".join(f"t{k}" for k in range(n)) or "无")
+
+
+def test_a_failing_labeler_fails_its_chunk_only(spark, tmp_path):
+    calls = str(tmp_path)
+
+    def fn(pdf):
+        for c in pdf["chunk_id"]:
+            with open(f"{calls}/{c}", "a") as f:
+                f.write("x")
+        if (pdf["chunk_id"] % 5 == 2).any():
+            raise RuntimeError("no answer")
+        out = pdf[["run_id", "chunk_id"]].assign(reply='{"analyses": []}')
+        return out[out["chunk_id"] % 5 != 4]  # some get no reply
+
+    text = spark.range(0, 20).select(F.lit("r").alias("run_id"), F.col("id").alias("chunk_id"), F.lit("1: x").alias("text"))
+    got = replies.parse_replies(labelers.label_with(text.coalesce(1), fn, "topic", retries=2)).collect()
+    assert {r["chunk_id"]: r["status"] for r in got} == {c: "call_failed" if c % 5 in (2, 4) else "ok" for c in range(20)}
+    assert all(r["reply"].startswith("调用接口失败：") for r in got if r["status"] == "call_failed")
+    assert {c: len((tmp_path / str(c)).read_text()) for c in (1, 2)} == {1: 2, 2: 4}  # once in the batch, then alone
 
 
 def test_requests_of_one_busy_day(spark):
@@ -180,7 +205,7 @@ def test_requests_of_one_busy_day(spark):
     reqs = [(r, f"word{r % 7}", dt.date(2024, 1, 1), 1 + r // 100) for r in range(200)] + [(999, "word1", None, 1)]
     got = feed.posts_for_requests(
         spark.createDataFrame(posts, "post_id long, posted_at timestamp_ntz, body string"),
-        spark.createDataFrame(reqs, "request_id long, keyword string, start_date date, days int"), parts=4)
+        spark.createDataFrame(reqs, "request_id long, keyword string, start_date date, days int"))
     want = {(r, p) for r, kw, day, n in reqs if day for p, t, body in posts
             if t and kw in body and at <= t <= at + dt.timedelta(days=n)}
     rows = [(x["request_id"], x["post_id"]) for x in got.select("request_id", "post_id").collect()]
@@ -204,6 +229,58 @@ def test_fields_of_real_markup(spark):
     assert (b.author, b.body, b.posted_raw, b.via, b.reposts_raw) == (None, "no more", "", "无", None)
 
 
+PAGE_SCHEMA = ("page_id long, page_no int, keyword string, win_start timestamp_ntz, win_end timestamp_ntz, "
+               "fetched_at timestamp_ntz, html string")
+
+
+def _extracted(spark, html):
+    day = [dt.datetime(2024, 1, d) for d in (1, 3, 31)]
+    return feed.extract_posts(spark.createDataFrame([(1, 1, "k", *day, html)], PAGE_SCHEMA)).orderBy("item_no").collect()
+
+
+def test_elements_end_at_their_own_closing_tag(spark):
+    item = ("<div class='card-wrap' action-type='feed_list_item'><div><div class=from-other>no</div>"
+            "<P class=txt nick-name='O x' node-type=feed_list_content>short</P>"
+            "<p node-type='feed_list_content_full' title='a > b'>long <p>inner</p> <b>text</b> a < b<!-- no <p> --></p>"
+            "<div class='x from y'><div><a>2024-01-02 03:04</a></div><div> 来自 <div><a>phone</a></div></div></div></div>"
+            "<div class=card-act><ul><li><div>7</div></li><li class='n'><ul><li>8</li></ul></li></ul></div>"
+            "<div class='footer'><ul><li>About</li><li>Help</li></ul></div></div>"
+            "<div class='from'>2024-01-09 来自 page</div><div class='card-act'><li>99</li></div>")
+    a, b = _extracted(spark, f"<html><div>{item}<div action-type=feed_list_item><p node-type=feed_list_content "
+                             f"nick-name=B>open body<div class=\"from\">今天</div></div></div></html>")
+    assert (a.author, a.body) == ("O x", "long inner text a < b")
+    assert (a.posted_raw, a.via) == ("2024-01-02 03:04", "phone")
+    assert (a.reposts_raw, a.comments_raw, a.likes_raw) == ("7", "8", "8")  # the third <li> stands inside the second
+    assert (b.author, b.posted_raw, b.via, b.reposts_raw) == ("B", "今天", "无", None)
+    assert b.body.startswith("open body")
+
+
+def test_markup_without_any_part(spark):
+    for html in ("", "<p>no items</p>", "<div class=\"feed_list_item\">x</div>", None):
+        assert _extracted(spark, html) == []
+    (row,) = _extracted(spark, '<div action-type="feed_list_item"></div><ul><li>1</li></ul>')
+    assert (row.author, row.posted_raw, row.via, row.body, row.reposts_raw) == (None, "", "无", "", None)
+
+
+def test_keywords_are_found_through_their_rarest_piece(spark):
+    """One day, 5,000 requests: the same rows as testing every pair, keywords of every length, no pair join."""
+    at = dt.datetime(2024, 1, 1, 12)
+    bodies = [f"post {k} about the thing number{k % 50} 今天天气 \U0001F600{k % 3}" for k in range(400)] + [None, "", "x"]
+    posts = [(None if k % 5 == 0 else k % 7, at if k % 11 else None, b) for k, b in enumerate(bodies)]
+    words = [f"number{k}" for k in range(60)] + ["the thing", "天气", "天", "\U0001F6001", "", "x", "zz", "absent words", "t 1", None]
+    reqs = [(r, words[r % len(words)], at.date(), 1) for r in range(5000)]
+    got = feed.posts_for_requests(spark.createDataFrame(posts, "post_id long, posted_at timestamp_ntz, body string").repartition(4),
+                                  spark.createDataFrame(reqs, "request_id long, keyword string, start_date date, days int"))
+    found = got.groupBy("request_id").count().collect()
+    want = {r: sum(t is not None and b is not None and kw in b for _, t, b in posts) for r, kw, *_ in reqs if kw is not None}
+    assert {r["request_id"]: r["count"] for r in found} == {r: n for r, n in want.items() if n}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    none = feed.posts_for_requests(spark.createDataFrame(posts, "post_id long, posted_at timestamp_ntz, body string"),
+                                   spark.createDataFrame([], "request_id long, keyword string, start_date date, days int"))
+    assert none.count() == 0 and none.columns == got.columns
+
+
 def test_reports_with_absent_sections(spark):
     events = spark.createDataFrame([(1, "#a#"), (2, "#b#")], "request_id long, event_keyword string")
     given = spark.createDataFrame([(1, "text")], "request_id long, text string")
@@ -228,13 +305,44 @@ def test_a_failed_state_read_is_an_error(spark, tmp_path):
         late(spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "ts timestamp_ntz"), 1)
 
 
-def test_a_repeated_run_replaces_itself(spark, tmp_path):
-    rows = spark.createDataFrame([(1, "a\nb", "r1"), (2, "c", "r2")], "entry_no int, body string, run_id string")
+def test_parts_of_a_run_add_up_and_a_repeated_part_replaces_itself(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a\nb", "r1", "0"), (2, "c", "r1", "1"), (3, "d", "r2", "0"), (4, "e", "r1", "0")],
+                                 "entry_no int, body string, run_id string, part_id string")
     path = str(tmp_path / "runs")
-    files.add_runs_csv(rows, path)
-    files.add_runs_csv(rows.where("run_id = 'r1'"), path)
+    for run, part in (("r1", "0"), ("r2", "0"), ("r1", "1"), ("r1", "0"), ("r1", "1")):
+        files.append_csv(rows.where((F.col("run_id") == run) & (F.col("part_id") == part)), path)
     got = files.read_csv(spark, path, rows.schema)
-    assert sorted(map(tuple, got.collect())) == [(1, "a\nb", "r1"), (2, "c", "r2")]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
+    files.append_csv(spark.createDataFrame([(9, "new", "r1", "1")], rows.schema), path)
+    assert sorted(r["entry_no"] for r in files.read_csv(spark, path, rows.schema).collect()) == [1, 3, 4, 9]
+
+
+def test_a_flat_folder_of_templates_and_images(spark, tmp_path):
+    folder = tmp_path / "flat"
+    folder.mkdir()
+    (folder / "hello.txt").write_text("line 1\nline 2", encoding="utf-8")
+    (folder / "empty.txt").write_text("")
+    (folder / "broken.txt").write_bytes(b"caf\xe9 \xff")
+    (folder / "gone.txt").write_text("was here")
+    found, images = files.read_templates(spark, str(folder)), files.read_images(spark, str(folder))
+    (folder / "gone.txt").unlink()  # after it was listed
+    wanted = spark.createDataFrame([(n,) for n in ("hello", "empty", "broken", "gone", "never")], "name string")
+    got = {r["name"]: (r["body"], r["is_default"]) for r in files.templates_with_default(wanted, found).collect()}
+    assert got == {"hello": ("line 1\nline 2", False), **{n: (files.DEFAULT_TEMPLATE, True) for n in ("broken", "gone", "never")},
+                   "empty": got["empty"]}
+    parts = {r["name"]: [p["url"] for p in r["parts"]] for r in files.message_parts(
+        wanted.withColumn("text", F.lit("see")), images).collect()}
+    assert parts["hello"] == [None, "data:image/jpeg;base64,bGluZSAxCmxpbmUgMg=="]
+    assert parts["broken"] == [None, "data:image/jpeg;base64,Y2Fm6SD/"] and parts["gone"] == parts["never"] == [None]
+
+
+def test_files_written_side_by_side(spark, tmp_path):
+    rows = spark.range(0, 50).select(F.concat(F.lit("f"), F.col("id"), F.lit(".txt")).alias("name"),
+                                     F.encode(F.concat(F.lit("text "), F.col("id")), "UTF-8").alias("content"))
+    files.write_files(rows, str(tmp_path / "out"))
+    files.write_files(rows.where("name = 'f1.txt'"), str(tmp_path / "out"))
+    got = {r["name"]: r["body"] for r in files.read_templates(spark, str(tmp_path / "out")).collect()}
+    assert got == {f"f{k}": f"text {k}" for k in range(50)}
 
 
 def test_merge_hot_key_emits_no_pairs(spark):
