@@ -56,10 +56,10 @@ def valid_replies(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("status") == "ok")
 
 
-def align_labels(entries: DataFrame, parsed: DataFrame) -> DataFrame:
+def align_labels(entries: DataFrame, parsed: DataFrame, body: str = "body") -> DataFrame:
     """Entry i of a chunk gets ``analyses[i]``; missing -> ""; chunks with a broken reply drop.
 
-    -> (run_id, chunk_id, entry_no, post_id, body, kind, label). Topic labels are the
+    -> (run_id, chunk_id, entry_no, post_id, ``body``, kind, label). ``body`` may name a digest that stands for it. Topic labels are the
     stored ``", "`` string of trimmed, non-blank topics.
     """
     ok = valid_replies(parsed).select("run_id", "chunk_id", "kind", "analyses")
@@ -69,19 +69,17 @@ def align_labels(entries: DataFrame, parsed: DataFrame) -> DataFrame:
     top = F.when(a.isNull(), F.lit("")).otherwise(
         join_topics(clean_topic_array(F.coalesce(a["topics"], F.array().cast("array<string>")))))
     label = F.when(F.col("kind") == "sentiment", sent).otherwise(top)
-    return j.select("run_id", "chunk_id", "entry_no", "post_id", "body", "kind", label.alias("label"))
+    return j.select("run_id", "chunk_id", "entry_no", "post_id", body, "kind", label.alias("label"))
 
 
 def sentiment_table(aligned: DataFrame) -> DataFrame:
     """The sentiment output table: (run_id, chunk_id, entry_no, post_id, body, sentiment)."""
-    return (aligned.where(F.col("kind") == "sentiment")
-            .select("run_id", "chunk_id", "entry_no", "post_id", "body", F.col("label").alias("sentiment")))
+    return aligned.where(F.col("kind") == "sentiment").drop("kind").withColumnRenamed("label", "sentiment")
 
 
 def topic_table(aligned: DataFrame) -> DataFrame:
     """The topic output table: (run_id, chunk_id, entry_no, post_id, body, topics)."""
-    return (aligned.where(F.col("kind") == "topic")
-            .select("run_id", "chunk_id", "entry_no", "post_id", "body", F.col("label").alias("topics")))
+    return aligned.where(F.col("kind") == "topic").drop("kind").withColumnRenamed("label", "topics")
 
 
 def totals_reported(parsed: DataFrame, *by: str) -> DataFrame:

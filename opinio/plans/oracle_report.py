@@ -187,7 +187,27 @@ SELECT event_id, strftime(ts, {TSF}) AS ts, ts < TIMESTAMP '2024-01-04 00:00:00'
 
 ORACLE["stream_requests"] = f"""
 WITH {_RQ}
-SELECT rv.request_id, rv.status, rok.keyword FROM rv LEFT JOIN rok USING (request_id)
+SELECT CAST(rv.request_id AS VARCHAR) AS request_id, rv.status, rok.keyword FROM rv LEFT JOIN rok USING (request_id)
+UNION ALL
+SELECT NULL, 'bad_line', NULL FROM rv WHERE request_id % 9 = 0
+"""
+
+# Three rounds: a chunk takes the topics that earlier rounds found, or names one of its own.
+_ROUND = """
+a{k} AS (SELECT run_id, chunk_id, CASE WHEN chunk_id % 10 = 3 THEN [] WHEN len(list_filter(c, lambda x: list_contains(l, x))) > 0
+                THEN list_filter(c, lambda x: list_contains(l, x)) WHEN len(c) > 0 THEN [c[chunk_id % len(c) + 1]] ELSE [] END AS t
+         FROM fits, l{k} WHERE round = {k}),
+l{n} AS (SELECT list_distinct(list_concat(any_value(l), flatten(list(t)))) AS l FROM l{k} LEFT JOIN a{k} ON true)"""
+
+ORACLE["stream_topic_labelling"] = f"""
+WITH {REPLIES},
+lists AS (SELECT run_id, chunk_id, list_sort(list(DISTINCT topic)) AS c FROM ent JOIN ptop USING (post_id) GROUP BY ALL),
+fits AS (SELECT DISTINCT e.run_id, e.chunk_id, coalesce(c, []) AS c,
+                e.chunk_id * 3 // (SELECT max(chunk_id) + 1 FROM ent) AS round
+         FROM ent e LEFT JOIN lists USING (run_id, chunk_id)),
+l0 AS (SELECT CAST([] AS VARCHAR[]) AS l),{",".join(_ROUND.format(k=k, n=k + 1) for k in range(3))}
+SELECT run_id, chunk_id, CASE WHEN chunk_id % 10 = 3 THEN 'call_failed' ELSE 'ok' END AS status, array_to_string(t, ', ') AS topics
+FROM (SELECT * FROM a0 UNION ALL SELECT * FROM a1 UNION ALL SELECT * FROM a2)
 """
 
 ORACLE["stream_topic_sentiment"] = f"""

@@ -15,8 +15,8 @@ from opinio.sources import fixtures
 
 
 def _staged(spark, sf_dir):
-    """(entries, parsed replies) over one staged entries table."""
-    e = fixtures.entries(spark, sf_dir)
+    """(entries without bodies, parsed replies) over one staged entries table."""
+    e = fixtures.entry_rows(spark, sf_dir).rows
     return e, replies.parse_replies(fixtures.replies(e))
 
 
@@ -25,14 +25,14 @@ def _parsed(spark, sf_dir):
 
 
 def _aligned(spark, sf_dir):
-    """Both kinds aligned in one pass, staged, because the two label tables are read from it."""
+    """Both kinds aligned in one pass, staged, because the two label tables are read from it; no bodies in it."""
     e, parsed = _staged(spark, sf_dir)
-    return stage(replies.align_labels(e, parsed), "aligned")
+    return stage(replies.align_labels(e, parsed, "body_key"), "aligned")
 
 
 @query("chunks")
 def q_chunks(spark, sf_dir):
-    return fixtures.entries(spark, sf_dir).select("run_id", "chunk_id", "entry_no", "post_id")
+    return fixtures.entry_numbers(spark, sf_dir)
 
 
 @query("chunk_text")
@@ -78,7 +78,7 @@ def q_totals_counted(spark, sf_dir):
 @query("sentiment_reconcile")
 def q_reconcile(spark, sf_dir):
     e, p = _staged(spark, sf_dir)
-    return replies.reconcile(p, replies.align_labels(e, p))
+    return replies.reconcile(p, replies.align_labels(e, p, "body_key"))
 
 
 @query("topic_counts")
@@ -99,9 +99,9 @@ def q_topics_visible(spark, sf_dir):
 
 @query("chunk_prompts")
 def q_chunk_prompts(spark, sf_dir):
-    e, p = _staged(spark, sf_dir)
-    vis = replies.topics_visible(e, replies.topic_registry(p))
-    return replies.chunk_prompts(replies.chunk_text(e), vis)
+    e = fixtures.entry_rows(spark, sf_dir)
+    vis = replies.topics_visible(e.rows, replies.topic_registry(replies.parse_replies(fixtures.replies(e.rows))))
+    return replies.chunk_prompts(replies.chunk_text(e.rows.join(e.bodies, "_row")), vis)
 
 
 @query("topics_new")
@@ -124,18 +124,24 @@ def q_labels_known(spark, sf_dir):
             .select("run_id", "chunk_id", "entry_no", "post_id", "sentiment"))
 
 
-def _label_files(spark, sf_dir):
-    """The two label tables as the source program stores them: (entry_no, body, value)."""
-    a = _aligned(spark, sf_dir)
-    t = replies.topic_table(a).select("entry_no", "body", "topics")
-    s = replies.sentiment_table(a).select("entry_no", "body", "sentiment")
-    return t, s
+def _label_keys(aligned):
+    """The two label tables as the source program joins them, (entry_no, body, value), a digest for the body."""
+    t = replies.topic_table(aligned).select("entry_no", "body_key", "topics", "run_id", "chunk_id")
+    return t, replies.sentiment_table(aligned).select("entry_no", "body_key", "sentiment")
+
+
+def _merged_keys(spark, sf_dir):
+    return merge.merge_labels(*_label_keys(_aligned(spark, sf_dir))).drop("body_key", "run_id", "chunk_id")
 
 
 @query("merged_labels")
 def q_merged_labels(spark, sf_dir):
-    t, s = _label_files(spark, sf_dir)
-    return merge.merge_labels(t, s)
+    """Merged on digests; the body comes in with the last join."""
+    e = fixtures.entry_rows(spark, sf_dir)
+    parsed = replies.parse_replies(fixtures.replies(e.rows))
+    merged = merge.merge_labels(*_label_keys(stage(replies.align_labels(e.rows, parsed, "body_key"), "aligned")))
+    rows = merged.join(e.rows.select("run_id", "chunk_id", "entry_no", "_row"), ["run_id", "chunk_id", "entry_no"])
+    return rows.join(e.bodies, "_row").select("entry_no", "body", "topics", "sentiment", "n")
 
 
 @query("merged_labels_strict")
@@ -147,21 +153,18 @@ def q_merged_labels_strict(spark, sf_dir):
 
 @query("merged_clean")
 def q_merged_clean(spark, sf_dir):
-    t, s = _label_files(spark, sf_dir)
-    return merge.clean_merged(merge.merge_labels(t, s))
+    return merge.clean_merged(_merged_keys(spark, sf_dir))
 
 
 @query("topic_mentions")
 def q_topic_mentions(spark, sf_dir):
-    t, s = _label_files(spark, sf_dir)
-    return merge.topic_mentions(merge.clean_merged(merge.merge_labels(t, s)))
+    return merge.topic_mentions(merge.clean_merged(_merged_keys(spark, sf_dir)))
 
 
 @query("merged_topic_sentiment")
 def q_merged_topic_sentiment(spark, sf_dir):
     """G1 over the reply path: merged label files -> topic x sentiment."""
-    t, s = _label_files(spark, sf_dir)
-    return merge.topic_sentiment_counts(merge.topic_mentions(merge.clean_merged(merge.merge_labels(t, s))))
+    return merge.topic_sentiment_counts(merge.topic_mentions(merge.clean_merged(_merged_keys(spark, sf_dir))))
 
 
 # The system text of each labelling task (ours).
@@ -174,9 +177,9 @@ SYSTEM_TEXTS = [
 @query("chunk_messages")
 def q_chunk_messages(spark, sf_dir):
     """J7 + W5: every chunk gets a fresh two-message conversation per task."""
-    e, p = _staged(spark, sf_dir)
-    text = stage(replies.chunk_text(e), "chunk-text")
-    vis = replies.topics_visible(e, replies.topic_registry(p))
+    e = fixtures.entry_rows(spark, sf_dir)
+    text = stage(replies.chunk_text(e.rows.join(e.bodies, "_row")), "chunk-text")
+    vis = replies.topics_visible(e.rows, replies.topic_registry(replies.parse_replies(fixtures.replies(e.rows))))
     prompts = replies.chunk_prompts(text, vis)
     user = (text.select("run_id", "chunk_id", F.lit("sentiment").alias("kind"), F.col("text").alias("user"))
             .unionByName(prompts.select("run_id", "chunk_id", F.lit("topic").alias("kind"), F.col("prompt").alias("user"))))

@@ -70,7 +70,7 @@ def q_event_report_sections(spark, sf_dir):
 
 
 def _run_replies(spark, sf_dir):
-    return replies.parse_replies(fixtures.replies(fixtures.entries(spark, sf_dir)))
+    return replies.parse_replies(fixtures.replies(fixtures.entry_rows(spark, sf_dir).rows))
 
 
 @query("run_sentiment_report_input")

@@ -4,16 +4,19 @@ landed part on one checkpoint, and return the final table read back in batch."""
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from opinio.functions.feedtime import ts_text
 from opinio.functions.text import join_topics
 from opinio.operators import labelers, merge, replies, request_ops
 from opinio.plans.registry import query
-from opinio.session import scratch_path
+from opinio.session import scratch_path, stage
 from opinio.sources import fixtures, tables
-from opinio.streaming import jobs
+from opinio.streaming import jobs, state
 
 
 def _paths(spark, label):
@@ -44,15 +47,14 @@ def _parts(df, col, cut):
 
 @query("stream_hourly_counts")
 def q_stream_hourly_counts(spark, sf_dir):
-    """Events per hour, watermark 1 hour, update mode into a per-batch log."""
+    """Events per hour, watermark 1 hour, update mode into a state table."""
     root, landing, ckpt = _paths(spark, "stream-hourly")
     ev = tables.events(spark, sf_dir, "event_id", "ts", "event_type")
     cut = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
-    out = f"{root}/out"
+    hours = state.StateTable(spark, f"{root}/out", "win_start timestamp, n long", state.last_per_key(["win_start"], ["n"]))
     _run_parts(spark, [ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)], landing, ckpt,
-               jobs.hourly_counts, lambda b, i: jobs.write_batch(b, out, i), "update")
-    res = jobs.latest_per_key(out, spark, ["win_start"], ["n"])
-    return res.select(F.date_format("win_start", "yyyy-MM-dd HH:mm:ss").alias("win_start"), "n")
+               jobs.hourly_counts, hours.write, "update")
+    return hours.read().select(F.date_format("win_start", "yyyy-MM-dd HH:mm:ss").alias("win_start"), "n")
 
 
 @query("stream_labels")
@@ -76,15 +78,14 @@ def q_stream_labels(spark, sf_dir):
 
 @query("stream_topic_registry")
 def q_stream_topic_registry(spark, sf_dir):
-    """The topic list carried across micro-batches; final registry."""
+    """The topic list carried across micro-batches in the state store; final registry."""
     root, landing, ckpt = _paths(spark, "stream-registry")
-    r = _staged(fixtures.replies(fixtures.entries(spark, sf_dir)).where(F.col("kind") == "topic"), root)
+    r = _staged(fixtures.replies(fixtures.entry_rows(spark, sf_dir).rows).where(F.col("kind") == "topic"), root)
     half = r.select(F.max("chunk_id")).first()[0] // 2
-    reg = f"{root}/registry"
-    fn = jobs.registry_step(reg, lambda b: replies.topic_mentions_all(replies.parse_replies(b)))
+    registry = jobs.registry_table(spark, f"{root}/registry")
     _run_parts(spark, [r.where(F.col("chunk_id") <= half), r.where(F.col("chunk_id") > half)], landing, ckpt,
-               lambda s: s, fn)
-    return spark.read.parquet(reg).select("run_id", "topic", "first_chunk", "first_entry", "first_pos")
+               lambda s: jobs.first_sightings(replies.topic_mentions_all(replies.parse_replies(s))), registry.write, "update")
+    return registry.read().select("run_id", "topic", "first_chunk", "first_entry", "first_pos")
 
 
 @query("stream_late_rows")
@@ -104,21 +105,27 @@ def q_stream_late_rows(spark, sf_dir):
 
 @query("stream_requests")
 def q_stream_requests(spark, sf_dir):
-    """T5: requests stream in; valid ones go to the accepted table, others to rejects with status."""
+    """S6 + T5: requests stream in as JSON lines, every ninth followed by a line that is cut off; valid ones go to
+    the accepted table, others, broken lines too, to the rejects with their status."""
     root, landing, ckpt = _paths(spark, "stream-requests")
     r = _staged(fixtures.requests(spark, sf_dir).select("request_id", "requested_at", "reply"), root)
     acc, rej = f"{root}/accepted", f"{root}/rejected"
 
     def fn(batch, batch_id):
-        v = request_ops.validate_requests(batch).select("request_id", "status", "keyword").persist()
+        v = request_ops.validate_requests(batch)
+        broken = F.col("_corrupt_record").isNotNull()
+        v = stage(v.select(F.when(~broken, F.col("request_id")).alias("request_id"),
+                           F.when(broken, F.lit("bad_line")).otherwise(F.col("status")).alias("status"), "keyword"), "requests")
         jobs.write_batch(v.where(F.col("status") == "ok"), acc, batch_id)
         jobs.write_batch(v.where(F.col("status") != "ok"), rej, batch_id)
-        v.unpersist()
 
     cut = F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz")
-    _run_parts(spark, [r.where(F.col("requested_at") < cut), r.where(F.col("requested_at") >= cut)], landing, ckpt,
-               lambda s: s, fn)
-    cols = ["request_id", "status", "keyword"]
+    line = F.to_json(F.struct("request_id", "requested_at", "reply"))
+    cut_off = F.when(F.col("request_id") % 9 == 0, F.left(line, F.lit(30)))
+    for part in (F.col("requested_at") < cut, F.col("requested_at") >= cut):
+        jobs.land_lines(r.where(part).select(F.explode(F.array_compact(F.array(line, cut_off))).alias("value")), landing)
+        jobs.run_available(jobs.read_landed_requests(spark, landing), fn, ckpt)
+    cols = [F.col("request_id").cast("string").alias("request_id"), "status", "keyword"]
     return spark.read.parquet(acc).select(*cols).unionByName(spark.read.parquet(rej).select(*cols))
 
 
@@ -126,19 +133,58 @@ def q_stream_requests(spark, sf_dir):
 def q_stream_topic_sentiment(spark, sf_dir):
     """Running topic x sentiment counters over a stream of posts.
 
-    Each micro-batch is labelled and counted; a counter is the sum of its batches' counts, and a replayed
-    batch replaces its own.
+    Each micro-batch is labelled and counted; a counter is its snapshot and the batches' counts after it, and a
+    replayed batch replaces its own.
     """
     root, landing, ckpt = _paths(spark, "stream-ts")
     p = _staged(fixtures.posts(spark, sf_dir).select("post_id", "posted_at", "body"), root)
     cut = F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz")
-    out = f"{root}/out"
     lex, tax = fixtures.lexicon(spark), fixtures.taxonomy(spark)
+    counts = ["negative", "neutral", "positive", "total"]
+    running = state.StateTable(spark, f"{root}/out", "topic string, " + ", ".join(f"{c} long" for c in counts),
+                               state.sum_per_key(["topic"], counts))
 
     def fn(batch, batch_id):
         m = labelers.label_posts(batch, lex, tax, "body").select(F.explode("topics_arr").alias("topic"), "sentiment")
-        jobs.write_batch(merge.topic_sentiment_counts(m), out, batch_id)
+        running.write(merge.topic_sentiment_counts(m), batch_id)
 
     _run_parts(spark, _parts(p, "posted_at", cut), landing, ckpt, lambda s: s, fn)
-    return spark.read.parquet(out).groupBy("topic").agg(
-        *[F.sum(x).alias(x) for x in ("negative", "neutral", "positive", "total")])
+    return running.read()
+
+
+# ------------------------------------------------------------------ M2 + M5 + T3
+
+def listed_topic_stub(taxonomy: list[tuple[str, str]]):
+    """A stand-in external topic labeler: it takes the topics of the shown list that the entries mention, and names
+    a new one only where none of them fits; for every tenth chunk (3, 13, ...) the call fails."""
+    word = re.compile(r"[^\W\d_]+")
+
+    def answer(chunk_id: int, prompt: str) -> str:
+        if chunk_id % 10 == 3:
+            raise ConnectionError("no answer")
+        entries, _, rest = prompt.rpartition(replies.TOPIC_PROMPT_LIST)
+        listed = set(rest.strip().split(", "))
+        found = set(word.findall(entries.removeprefix(replies.TOPIC_PROMPT_HEAD).lower()))
+        fits = sorted({topic for topic, term in taxonomy if term in found})
+        topics = [t for t in fits if t in listed] or fits[chunk_id % max(1, len(fits)):][:1]
+        return json.dumps({"analyses": [{"entry": "1", "topics": topics}]})
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf[["run_id", "chunk_id"]].assign(reply=[answer(c, t) for c, t in zip(pdf["chunk_id"], pdf["text"])])
+
+    return fn
+
+
+@query("stream_topic_labelling")
+def q_stream_topic_labelling(spark, sf_dir):
+    """M2 + M5 + T3: chunks are labelled in three rounds; each round's prompts show the topics that earlier rounds
+    found, the labeler prefers these, and a failed call fails its chunk only."""
+    root, landing, ckpt = _paths(spark, "stream-labelling")
+    texts = _staged(replies.chunk_text(fixtures.entries(spark, sf_dir)), root)
+    n = texts.agg(F.max("chunk_id")).first()[0] + 1
+    out = f"{root}/replies"
+    step = jobs.labelling_step(jobs.registry_table(spark, f"{root}/registry"), out, listed_topic_stub(fixtures.TAXONOMY))
+    _run_parts(spark, [texts.where(F.expr(f"chunk_id * 3 div {n}") == k) for k in range(3)], landing, ckpt, lambda s: s, step)
+    parsed = replies.parse_replies(spark.read.parquet(out))
+    topics = F.coalesce(join_topics(F.get("analyses", F.lit(0))["topics"]), F.lit(""))
+    return parsed.select("run_id", "chunk_id", "status", topics.alias("topics"))

@@ -9,6 +9,7 @@ over the full tables, so its work grows with them.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,17 +162,35 @@ def labelled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_posts(posts(spark, sf_dir), lexicon(spark), taxonomy(spark), "body")
 
 
-def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entries(run_id, chunk_id, entry_no, post_id, body, sentiment, topics_arr): ten posts a chunk.
+def entry_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, chunk_id, entry_no, post_id): ten posts a chunk; only the ids are read."""
+    numbers = chunk_rows(stage(posts(spark, sf_dir).select("post_id"), "post-ids"), ["post_id"], 10)
+    return numbers.select(F.lit(RUN_ID).alias("run_id"), "chunk_id", "entry_no", "post_id")
+
+
+@dataclass
+class EntryRows:
+    rows: DataFrame    # run_id, chunk_id, entry_no, post_id, body_key, sentiment, topics_arr, _row
+    bodies: DataFrame  # _row, body
+
 
-    Staged once per query: the source tables are read and labelled once, only the post ids are numbered,
-    and whatever a query builds from entries and replies reads the staged table.
+def entry_rows(spark: SparkSession, sf_dir: str) -> EntryRows:
+    """The entries without their bodies, which ``body_key`` (a digest) stands for, and the bodies beside them.
+
+    The source tables are read and labelled once, and bodies are written once; only the post ids are numbered.
     """
-    src = labelled_posts(spark, sf_dir).select("post_id", "body", "sentiment", "topics_arr")
+    src = labelled_posts(spark, sf_dir).select("post_id", "body", F.sha2("body", 256).alias("body_key"), "sentiment", "topics_arr")
     src = stage(src.withColumn("_row", F.monotonically_increasing_id()), "labelled-posts")
     numbers = chunk_rows(src.select("post_id", "_row"), ["post_id"], 10).drop("post_id")
-    return stage(src.join(numbers, "_row").select(F.lit(RUN_ID).alias("run_id"), "chunk_id", "entry_no", "post_id", "body",
-                                                  "sentiment", "topics_arr"), "entries")
+    rows = stage(src.drop("body").join(numbers, "_row").select(F.lit(RUN_ID).alias("run_id"), "chunk_id", "entry_no", "post_id",
+                                                               "body_key", "sentiment", "topics_arr", "_row"), "entries")
+    return EntryRows(rows, src.select("_row", "body"))
+
+
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entries(run_id, chunk_id, entry_no, post_id, body, sentiment, topics_arr): ten posts a chunk."""
+    e = entry_rows(spark, sf_dir)
+    return e.rows.join(e.bodies, "_row").select("run_id", "chunk_id", "entry_no", "post_id", "body", "sentiment", "topics_arr")
 
 
 def _json_reply(kind_json, chunk_id):

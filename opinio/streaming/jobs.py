@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinio.operators import labelers, replies
+from opinio.streaming import state
+
 BatchFn = Callable[[DataFrame, int], None]
 
 
@@ -35,15 +38,22 @@ def land(df: DataFrame, folder: str) -> None:
     df.write.mode("append").parquet(folder)
 
 
-def read_landed(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(folder)
+def land_lines(lines: DataFrame, folder: str) -> None:
+    """Append text lines to a landing folder."""
+    lines.write.mode("append").text(folder)
 
 
-def latest_per_key(path: str, spark: SparkSession, keys: list[str], values: list[str]) -> DataFrame:
-    """Read an update-mode log: for each key the values of its last batch."""
-    log = spark.read.parquet(path)
-    last = log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("v"))
-    return last.select(*keys, *[F.col(f"v.{v}").alias(v) for v in values])
+REQUEST_SCHEMA = "request_id long, requested_at timestamp_ntz, reply string, _corrupt_record string"
+
+
+def read_landed_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests as they arrive, one JSON object a line; ``_corrupt_record`` holds a line that is none."""
+    return (spark.readStream.schema(REQUEST_SCHEMA).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").json(folder))
+
+
+def read_landed(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(folder)
 
 
 # ---------------------------------------------------------------- T1: hourly counts
@@ -84,23 +94,52 @@ def split_late(out_path: str, late_path: str, max_path: str, delay_seconds: int,
     return fn
 
 
-# --------------------------------------------------------- T3: topic registry state
+# ----------------------------------------------------------- T3: topic registry state
+
+REGISTRY_KEYS, REGISTRY_VALUES = ["run_id", "topic"], ["first_chunk", "first_entry", "first_pos"]
+REGISTRY_SCHEMA = "run_id string, topic string, first_chunk long, first_entry int, first_pos int"
+
 
-def registry_step(registry_path: str, mentions_of: Callable[[DataFrame], DataFrame]) -> BatchFn:
-    """New topics of a batch = its first sightings minus the registry so far (anti join).
+def first_sightings(mentions: DataFrame) -> DataFrame:
+    """T3, keyed state: the first sighting of every (run, topic) seen so far, in Spark's state store.
 
-    The registry read is materialised before the batch appends to the same table.
+    In update mode a micro-batch puts out the topics that it mentions, with their first sighting over all batches;
+    its work grows with the batch, not with the registry.
     """
-    def fn(batch: DataFrame, batch_id: int) -> None:
+    first = mentions.groupBy("run_id", "topic").agg(F.min(F.struct("chunk_id", "entry_idx", "topic_pos")).alias("f"))
+    return first.select("run_id", "topic", F.col("f.chunk_id").alias("first_chunk"), F.col("f.entry_idx").alias("first_entry"),
+                        F.col("f.topic_pos").alias("first_pos"))
+
+
+def registry_table(spark: SparkSession, path: str, every: int = state.EVERY) -> state.StateTable:
+    """The registry as a table: one row per (run, topic), however often a stream put it out."""
+    return state.StateTable(spark, path, REGISTRY_SCHEMA, state.first_per_key(REGISTRY_KEYS, REGISTRY_VALUES), every)
+
+
+# ------------------------------------------- M2 + M5 + T3: labelling with the growing list
+
+#: Stands behind every chunk.
+LAST_CHUNK = (1 << 63) - 1
+
+
+def labelling_step(registry: state.StateTable, replies_path: str, fn: labelers.LabelFn, retries: int = labelers.RETRIES) -> BatchFn:
+    """One round of topic labelling: a micro-batch of chunk texts (run_id, chunk_id, text) gets its replies.
+
+    The prompts of a round show the topics that earlier rounds found, in first-seen order; the labeler is called
+    with them; its replies are written, and the topics in them join the registry for the next round. With one
+    chunk per round every chunk sees all chunks before it; more per round trade that for parallel calls. A chunk
+    whose call fails is written as failed and adds nothing. A replayed round sees the same list and replaces its
+    own replies and topics.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        m = mentions_of(batch)
-        first = m.groupBy("run_id", "topic").agg(
-            F.min(F.struct("chunk_id", "entry_idx", "topic_pos")).alias("f"))
-        cand = first.select("run_id", "topic", F.col("f.chunk_id").alias("first_chunk"),
-                            F.col("f.entry_idx").alias("first_entry"), F.col("f.topic_pos").alias("first_pos"))
-        new = cand
-        if batch_id > 0:  # every batch writes, so a missing or torn registry is an error
-            known = spark.read.parquet(registry_path).where(F.col("batch_id") < batch_id).select("run_id", "topic")
-            new = cand.join(known, ["run_id", "topic"], "left_anti")
-        write_batch(new, registry_path, batch_id)
-    return fn
+        # to a round, every topic of the registry is an earlier one, whichever chunk it came from
+        asking = batch.select("run_id", F.lit(LAST_CHUNK).alias("chunk_id")).distinct()
+        lists = replies.topics_visible(asking, registry.read(before=batch_id)).drop("chunk_id")
+        prompts = replies.chunk_prompts(batch, batch.select("run_id", "chunk_id").join(lists, "run_id"))
+        answers = labelers.label_with(prompts.withColumnRenamed("prompt", "text"), fn, "topic", retries)
+        write_batch(answers, replies_path, batch_id)
+        answers = spark.read.parquet(f"{replies_path}/batch_id={batch_id}")
+        registry.write(first_sightings(replies.topic_mentions_all(replies.parse_replies(answers))), batch_id)
+
+    return step

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from opinio.operators import feed, labelers, merge, numbering, replies, report
 from opinio.sources import files
-from opinio.streaming import jobs
+from opinio.streaming import jobs, state
 
 
 def test_merge_labels_null_safe_and_duplicates(spark):
@@ -293,18 +293,70 @@ def test_reports_with_absent_sections(spark):
 
 
 def test_a_failed_state_read_is_an_error(spark, tmp_path):
-    batch = spark.createDataFrame([("r", 0, 0, 0, "t")], "run_id string, chunk_id long, entry_idx int, topic_pos int, topic string")
-    step = jobs.registry_step(str(tmp_path / "registry"), lambda b: b)
-    step(batch, 0)
-    step(batch, 1)
-    assert spark.read.parquet(str(tmp_path / "registry")).count() == 1
-    with pytest.raises(AnalysisException):
-        jobs.registry_step(str(tmp_path / "missing"), lambda b: b)(batch, 1)
     late = jobs.split_late(*(str(tmp_path / n) for n in ("out", "late", "max")), delay_seconds=1)
     with pytest.raises(AnalysisException):
         late(spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "ts timestamp_ntz"), 1)
 
 
+def test_state_table_over_fifty_batches_with_replays(spark, tmp_path):
+    total = state.StateTable(spark, str(tmp_path / "sum"), "k string, n long", state.sum_per_key(["k"], ["n"]), every=7)
+    last = state.StateTable(spark, str(tmp_path / "last"), "k string, n long", state.last_per_key(["k"], ["n"]), every=7)
+    want_sum, want_last = {}, {}
+    assert total.read().count() == 0
+    for b in range(50):
+        rows = [(f"k{b % 5}", b), ("all", 1)]
+        delta = spark.createDataFrame(rows, "k string, n long").coalesce(1)
+        for _ in range(2 if b in (3, 6, 20, 48) else 1):  # replays, also of batches that compact
+            total.write(delta, b)
+            if b < 16:
+                last.write(delta, b)
+        for k, n in rows:
+            want_sum[k], want_last[k] = want_sum.get(k, 0) + n, n
+        assert total.folders_read() <= 8
+        if b in (0, 6, 7, 20, 49):
+            assert {r["k"]: r["n"] for r in total.read().collect()} == want_sum
+        if b in (6, 15):
+            assert {r["k"]: r["n"] for r in last.read().collect()} == want_last
+    assert len(list((tmp_path / "sum" / "delta").iterdir())) + len(list((tmp_path / "sum" / "snapshot").iterdir())) <= 17
+    assert {r["k"]: r["n"] for r in total.read(before=49).collect()} == {**want_sum, "k4": want_sum["k4"] - 49, "all": 49}
+
+
+def test_registry_stream_restarts_from_its_checkpoint(spark, tmp_path):
+    """Keyed state: later batches, also out of order, leave one first sighting per topic."""
+    schema = "run_id string, chunk_id long, entry_idx int, topic_pos int, topic string"
+    registry = jobs.registry_table(spark, str(tmp_path / "registry"), every=2)
+    parts = [[("r", 5, 0, 0, "a"), ("r", 5, 0, 1, "b"), ("r", 5, 1, 0, "a")], [("r", 6, 0, 0, "b"), ("r", 6, 0, 1, "c"), ("s", 6, 0, 0, "a")],
+             [("r", 1, 2, 0, "c"), ("r", 9, 0, 0, "d")]]
+    for part in parts:
+        jobs.land(spark.createDataFrame(part, schema), str(tmp_path / "landing"))
+        stream = jobs.read_landed(spark, str(tmp_path / "landing"), spark.createDataFrame([], schema).schema)
+        jobs.run_available(jobs.first_sightings(stream), registry.write, str(tmp_path / "checkpoint"), "update")
+    assert sorted(map(tuple, registry.read().collect())) == [
+        ("r", "a", 5, 0, 0), ("r", "b", 5, 0, 1), ("r", "c", 1, 2, 0), ("r", "d", 9, 0, 0), ("s", "a", 6, 0, 0)]
+
+
+def test_labelling_rounds_show_the_topics_of_earlier_ones(spark, tmp_path):
+    def fn(pdf):
+        out = []
+        for chunk, prompt in zip(pdf["chunk_id"], pdf["text"]):
+            if chunk == 2:
+                raise ValueError("down")
+            shown = prompt.rpartition(replies.TOPIC_PROMPT_LIST)[2].strip()
+            out.append(json.dumps({"analyses": [{"entry": "1", "topics": [shown if shown != "无" else "none", f"t{chunk}"]}]}))
+        return pdf[["run_id", "chunk_id"]].assign(reply=out)
+
+    registry = jobs.registry_table(spark, str(tmp_path / "registry"))
+    step = jobs.labelling_step(registry, str(tmp_path / "replies"), fn, retries=0)
+    for batch_id, chunks in enumerate([[0, 1], [2, 3], [2, 3], [4]]):
+        step(spark.createDataFrame([("r", c, "1: text") for c in chunks], "run_id string, chunk_id long, text string"),
+             {0: 0, 1: 1, 2: 1, 3: 2}[batch_id])  # the second round is replayed
+    parsed = replies.parse_replies(spark.read.parquet(str(tmp_path / "replies")))
+    got = {r["chunk_id"]: (r["status"], [t for a in r["analyses"] or [] for t in a["topics"]]) for r in parsed.collect()}
+    seen = "none, t0, t1"
+    assert got == {0: ("ok", ["none", "t0"]), 1: ("ok", ["none", "t1"]), 2: ("call_failed", []), 3: ("ok", [seen, "t3"]),
+                   4: ("ok", [f"{seen}, {seen}, t3", "t4"])}
+
+
 def test_parts_of_a_run_add_up_and_a_repeated_part_replaces_itself(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a\nb", "r1", "0"), (2, "c", "r1", "1"), (3, "d", "r2", "0"), (4, "e", "r1", "0")],
                                  "entry_no int, body string, run_id string, part_id string")
