@@ -118,21 +118,22 @@ def segments(pieces: list[bytes], length: int = LENGTH, gram: int = GRAM):
 
 
 def document_key(doc_id, data: bytes) -> tuple[int, int]:
-    """(key, twin): the order of documents. Key is the id, or behind all ids a digest where it is NULL;
-    twin tells texts with the same id apart."""
-    d = int.from_bytes(hashlib.md5(data).digest()[:8], "little")
-    return ((1 << 62) + (d >> 16) if doc_id is None else int(doc_id)), d & 0xFFFF
+    """(key, twin): the order of documents. Key is the id, or behind all ids 62 bits of a digest where it is NULL;
+    twin, 64 other bits of it, tells texts with the same id apart."""
+    d = hashlib.md5(data).digest()
+    key = (1 << 62) + (int.from_bytes(d[8:], "little") >> 2) if doc_id is None else int(doc_id)
+    return key, int.from_bytes(d[:8], "little", signed=True)
 
 
 def _keys(pdf: pd.DataFrame) -> list[tuple[int | None, bytes]]:
     return [(None if pd.isna(i) else int(i), (none_if_missing(t) or "").encode()) for i, t in zip(pdf["doc_id"], pdf["text"])]
 
 
-_ROWS = "bucket int, kind int, key long, twin int, spans binary, anchors binary, pack binary, windows long, size long"
+_ROWS = "bucket int, kind int, key long, twin long, spans binary, anchors binary, pack binary, windows long, size long"
 REPEAT, FETCH, ANCHORS = 0, 1, 2
-_FIELDS = (("anchor", "<u8"), ("digest", "<u8"), ("key", "<i8"), ("twin", "<u2"), ("start", "<i4"), ("windows", "<u1"),
+_FIELDS = (("anchor", "<u8"), ("digest", "<u8"), ("key", "<i8"), ("twin", "<i8"), ("start", "<i4"), ("windows", "<u1"),
            ("hot", "<u1"))
-_WINDOW_FIELDS = (("high", "<u8"), ("low", "<u8"), ("key", "<i8"), ("twin", "<u2"), ("start", "<i4"))
+_WINDOW_FIELDS = (("high", "<u8"), ("low", "<u8"), ("key", "<i8"), ("twin", "<i8"), ("start", "<i4"))
 
 
 def _pack(t: dict[str, np.ndarray], rows: np.ndarray, fields=_FIELDS) -> bytes:
@@ -180,7 +181,7 @@ def _by_document(t: dict[str, np.ndarray], rows: np.ndarray, kind: int) -> Itera
     if not len(rows):
         return
     rows = rows[np.lexsort((t["start"][rows], t["twin"][rows], t["key"][rows]))]
-    key, twin = t["key"][rows], t["twin"][rows].astype(np.int64)
+    key, twin = t["key"][rows], t["twin"][rows]
     first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (twin[1:] != twin[:-1])])
     spans = np.stack([t["start"][rows], t["windows"][rows].astype(np.int32), t["hot"][rows].astype(np.int32)], axis=1)
     spans, anchors = spans.astype(np.int32), t["anchor"][rows]
@@ -188,7 +189,7 @@ def _by_document(t: dict[str, np.ndarray], rows: np.ndarray, kind: int) -> Itera
     hot, n = spans[:, 2] > 0, spans[:, 1].astype(np.int64)
     yield pd.DataFrame({
         "bucket": (mix(key[first].view(np.uint64)) >> _U(40)).astype(np.int32), "kind": np.int32(kind),
-        "key": key[first], "twin": twin[first].astype(np.int32),
+        "key": key[first], "twin": twin[first],
         "spans": [spans[a:b].tobytes() for a, b in zip(edges, edges[1:])],
         "anchors": [anchors[a:b].tobytes() if kind == FETCH else None for a, b in zip(edges, edges[1:])], "pack": None,
         "windows": np.add.reduceat(np.where(hot, n, 0), first), "size": np.add.reduceat(np.where(hot, 0, n + LENGTH - 1), first)})
@@ -215,7 +216,7 @@ def _find_anchors(buckets: int):
         for k in range(0, len(cuts) - 1, 64):
             part = cuts[k:k + 65]
             yield pd.DataFrame({"bucket": bucket[part[:-1]].astype(np.int32), "kind": np.int32(ANCHORS), "key": np.int64(0),
-                                "twin": np.int32(0), "spans": None, "anchors": None,
+                                "twin": np.int64(0), "spans": None, "anchors": None,
                                 "pack": [_pack(t, rows[a:b]) for a, b in zip(part, part[1:])],
                                 "windows": np.int64(0), "size": np.int64(0)})
 
@@ -278,7 +279,7 @@ def _meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 #: A segment with its bytes, packed windows of hot hashes, or (spans) what is decided.
-_SEGMENTS = "route long, key long, twin int, start int, windows int, bytes binary, pack binary, spans binary"
+_SEGMENTS = "route long, key long, twin long, start int, windows int, bytes binary, pack binary, spans binary"
 
 
 def _first_windows(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -292,7 +293,7 @@ def _first_windows(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def _runs(t: dict[str, np.ndarray], rows: np.ndarray) -> pd.DataFrame:
     """The places of windows as (key, twin, spans), windows that follow each other in one span."""
     rows = rows[np.lexsort((t["start"][rows], t["twin"][rows], t["key"][rows]))]
-    key, twin, start = t["key"][rows], t["twin"][rows].astype(np.int32), t["start"][rows].astype(np.int32)
+    key, twin, start = t["key"][rows], t["twin"][rows], t["start"][rows].astype(np.int32)
     other = np.r_[True, (key[1:] != key[:-1]) | (twin[1:] != twin[:-1])][:len(rows)]
     first = np.flatnonzero(other | np.r_[True, start[1:] > start[:-1] + 1][:len(rows)])
     last = np.r_[first[1:], len(rows)][:len(first)] - 1
@@ -326,7 +327,7 @@ def _fetch(buckets: int):
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
         for k in range(0, len(cuts) - 1, 64):
             part = cuts[k:k + 65]
-            yield pd.DataFrame({"route": bucket[part[:-1]].astype(np.int64), "key": np.int64(0), "twin": np.int32(0),
+            yield pd.DataFrame({"route": bucket[part[:-1]].astype(np.int64), "key": np.int64(0), "twin": np.int64(0),
                                 "start": np.int32(0), "windows": np.int32(0), "bytes": None,
                                 "pack": [_pack(t, rows[a:b], _WINDOW_FIELDS) for a, b in zip(part, part[1:])], "spans": None})
 
@@ -447,7 +448,7 @@ def _factors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         "spans": [s.tobytes() for s in spans]})
 
 
-_TEXTS = "doc_id long, key long, twin int, z binary"
+_TEXTS = "doc_id long, key long, twin long, z binary"
 
 
 def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -497,7 +498,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     tasks = max(1, -(-(size or 0) // SUFFIX_BYTES) - (-(windows or 0) // TASK_WINDOWS))
     fetched = wanted.join(texts.dropDuplicates(["key", "twin"]).drop("doc_id"), ["key", "twin"])
     fetched = fetched.mapInPandas(_fetch(tasks), _SEGMENTS)
-    factors = stage(fetched.repartition(tasks, "route").mapInPandas(_factors, "key long, twin int, spans binary"), "factors")
+    factors = stage(fetched.repartition(tasks, "route").mapInPandas(_factors, "key long, twin long, spans binary"), "factors")
 
     spans = (met.where(F.col("kind") == REPEAT).select("key", "twin", "spans").unionByName(factors)
              .groupBy("key", "twin").agg(F.collect_list("spans").alias("spans")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import struct
 import re
 from collections import Counter, defaultdict
 
@@ -128,8 +129,14 @@ def test_components_of_long_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def place(doc_id, data):
+    """Order of documents: by id, NULL ids behind them, equal ids by digest."""
+    halves = struct.unpack("<qQ", hashlib.md5(data).digest())
+    return (1, halves[1] >> 2, halves[0]) if doc_id is None else (0, doc_id, halves[0])
+
+
 def brute_repeats(length):
-    table = sorted(((order(i), suffix.document_key(i, (t or "").encode()), i, (t or "").encode()) for i, t, *_ in rows()),
+    table = sorted(((order(i), place(i, (t or "").encode()), i, (t or "").encode()) for i, t, *_ in rows()),
                    key=lambda x: x[1])
     seen, out, before = set(), Counter(), None
     for _, key, doc_id, data in table:
@@ -157,6 +164,21 @@ def test_repeated_strings(spark, monkeypatch, hot):
         assert suffix.remove_repeats(no_documents(spark)).count() == 0
 
 
+def test_texts_of_one_id_with_like_digests_stay(spark):
+    """Two texts of one id whose digests share their first bytes have nothing in common; neither loses a byte."""
+    by_start, pair, k = {}, None, 0
+    while pair is None:
+        text = "".join(f"{hashlib.sha256(f'{k}:{j}'.encode()).hexdigest()[:11]} " for j in range(15))
+        start, k = hashlib.md5(text.encode()).digest()[:2], k + 1
+        if start in by_start:
+            pair = by_start[start], text
+        by_start[start] = text
+    docs = spark.createDataFrame([(7, pair[0]), (7, pair[1]), (7, pair[1]), (None, pair[0] + "x" * 99)], "doc_id long, text string")
+    got = sorted((r.doc_id is None, r.n_removed, bytes(r.kept).decode()) for r in suffix.remove_repeats(docs).collect())
+    n = len(pair[0])
+    assert got == sorted([(False, 0, pair[0]), (False, 0, pair[1]), (False, n, ""), (True, n, "x" * 99)])
+
+
 def test_has_previous_against_brute_force():
     rng = np.random.default_rng(0)
     data = rng.integers(0, 2, 400).astype(np.uint8)
