@@ -39,7 +39,7 @@ from documents d left join n using (doc_id) join c using (doc_id)
 LLM_ORACLE["op2_golden_ratio_mix"] = r"""
 with recursive d as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-         md5('mix:' || coalesce(doc_id::varchar, '')) as o
+         coalesce(md5(text), '') as text_key, md5('mix:' || coalesce(doc_id::varchar, '') || ':' || coalesce(md5(text), '')) as o
   from documents
 ), s0 as (select source, sum(size)::bigint as source_size from d group by source
 ), s as (
@@ -59,19 +59,25 @@ with recursive d as (
          (sum(case when 3 * source_size < v * weight then 3 * source_size else 0 end) over (order by number))::double
          + v * (sum(case when 3 * source_size < v * weight then 0 else weight end) over (order by number))::double as high
   from s, v
-), b as (select total, n, greatest(1, least(1024, total // (n * 4096))) as words from t
+), b as (
+  select any_value(total) as total, any_value(n) as n,
+         greatest(1, least(1024, floor(min(target) filter (target > 0))::bigint // 256)) as words from t, g
 ), iv as (
   select g.*, coalesce(lag(high) over (order by number), 0) as low,
          case when number = n - 1 then 2.0 * total else high end as top
   from g, b
 ), slots as (
-  select ((i % 2147483648) * 1327217885 % 2147483648 + 0.5) / 2147483648::double * total as x
-  from b, range((select (total + words - 1) // words from b)) r(i)
+  -- i times 2^72 / golden ratio (limbs 8132083, 12156746, 10368889 of 24 bits), modulo 2^72; the upper 48 bits
+  select ((r2 % 16777216) * 16777216 + r1 % 16777216 + 0.5) / 281474976710656::double * total as x
+  from (select *, r1 // 16777216 + lo * 10368889 + hi * 12156746 as r2
+        from (select *, lo * 8132083 // 16777216 + lo * 12156746 + hi * 8132083 as r1
+              from (select i % 16777216 as lo, i // 16777216 as hi, total
+                    from b, range((select (total + words - 1) // words from b)) r(i))))
 ), held as (
   select number, count(*) as k from slots join iv on x >= low and x < top group by number
 ), p as (
   select d.*, source_size, target, coalesce(k, 0) * words as lim,
-         (sum(size) over (partition by number order by o, doc_id))::bigint - size as start
+         (sum(size) over (partition by number order by o, doc_id nulls last, text_key))::bigint - size as start
   from d join iv on d.source is not distinct from iv.source left join held using (number), b
 )
 select doc_id, size, source_size, target,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opinio.llm import mix
 from tests.conftest import SF_SMALL
@@ -64,3 +66,36 @@ def test_awkward_rows_and_hot_buckets(spark, monkeypatch):
     copies = Counter(r.doc_id for r in whole.collect())
     assert set(copies) <= {i for i, t, *_ in rows() if t and t.strip()} and max(copies.values()) <= 6
     assert mix.mix(no_documents(spark)).documents.count() == 0
+
+
+def test_points_stay_even_over_millions_of_slots(spark):
+    """A source with a few slots among four million: every stretch of its mean distance holds about one."""
+    total, n = 1 << 32, 1 << 22
+    sources = spark.createDataFrame([(0, 0.0, total * 0.6), (1, total * 0.6, total * (0.6 + 5 / n)), (2, total * (0.6 + 5 / n), 2.0 * total)],
+                                    "number int, low double, high double")
+    got = mix._schedule(sources, n, total)
+    counts = {r["number"]: r["n"] for r in got.groupBy("number").agg(F.count("*").alias("n")).collect()}
+    assert abs(counts[0] - 0.6 * n) <= 12 and 2 <= counts[1] <= 8 and sum(counts.values()) == n
+    # wherever such an interval lies, it is neither empty nor crowded
+    step = sum(limb << 24 * k for k, limb in enumerate(mix._STEP))
+    assert abs(step / 2**72 - (5**0.5 - 1) / 2) < 1e-15
+    x = np.sort(np.cumsum(np.full(n, step >> 8, dtype=np.uint64), dtype=np.uint64))
+    gaps = np.diff(x).astype(float) / 2**64 * n
+    assert gaps.max() < 2
+
+
+def test_a_small_source_is_taken_near_its_target(spark):
+    docs = spark.range(0, 3000).select("id", F.when(F.col("id") < 3, "a").otherwise("b").alias("source"), F.concat(
+        F.lit("word "), F.col("id")).alias("text")).withColumnRenamed("id", "doc_id")
+    got = mix.mix(docs).documents.groupBy("target").agg(F.sum("taken").alias("taken")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= 0.1 * r["target"] + 2 for r in got) and min(r["target"] for r in got) == 18
+
+
+def test_reruns_agree_whatever_the_order_of_rows(spark):
+    table = [(None, f"text {k} " * (k + 1)) for k in range(8)] + [(3, "a b c"), (3, "a b c d"), (3, "a b c"), (None, None)]
+    results = []
+    for rows_ in (table, table[::-1], table[5:] + table[:5]):
+        docs = spark.createDataFrame([(i, "s", t) for i, t in rows_], "doc_id long, source string, text string").coalesce(1)
+        found = mix.mix(docs, block_words=1).documents.collect()
+        results.append(sorted((str(r.doc_id), str(r.text_key), r.taken) for r in found))
+    assert results[0] == results[1] == results[2] and len(results[0]) == len(table)
