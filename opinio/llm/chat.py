@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinio.functions.text import utrim
 from opinio.llm.common import none_if_missing, stage
 
 ROLES = ("system", "user", "assistant")
@@ -177,7 +178,7 @@ def repair(conversations: DataFrame) -> DataFrame:
                     F.when(F.col("state") != ASSISTANT, missing[ASSISTANT - 1]).otherwise(none))
     fragment = F.concat(F.when(merged, F.concat(F.lit("\n"), body)).otherwise(opened),
                         F.when(F.col("last"), tail).otherwise(none))
-    kept = F.lower(F.trim(F.coalesce("role", F.lit("")))) == out
+    kept = F.lower(utrim(F.coalesce("role", F.lit("")))) == out  # as the solver reads roles
     action = F.concat(F.when(kept, F.lit("keep")).otherwise(F.lit("relabel")), F.when(merged, F.lit("+merge")).otherwise(none))
     inserted = (put > 0).cast("int") + F.when(F.col("last") & (F.col("state") != ASSISTANT),
                                               F.when(F.col("state") == SYSTEM, 2).otherwise(1)).otherwise(0)

@@ -189,8 +189,7 @@ def identify(docs: DataFrame) -> DataFrame:
             .select("doc_id", "held_out", "p.lang_pred", "p.score"))
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose language is known with at least this posterior probability."""
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which a language is identified (only ``und`` goes, however sure the others are)."""
     model = learn(docs)
-    rows = packed(docs, found=prediction(docs, model))
-    return rows.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least)).select("row.*")
+    return packed(docs, found=prediction(docs, model)).where(F.col("found.lang_pred") != UNKNOWN).select("row.*")

@@ -96,3 +96,9 @@ def test_operator(spark, batch):
 
 def test_empty_table(spark):
     assert chat.repair(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_roles_between_any_white_space_are_kept(spark):
+    rows = [(1, k, role, "x") for k, role in enumerate(("\tSystem\n", "user\t", "　assistant ", "User", "\x1fassistant"))]
+    got = chat.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {r.action for r in got} == {"keep"} and sum(r.inserted for r in got) == 0
