@@ -95,22 +95,22 @@ def global_row_number(df: DataFrame, order_cols: list, out: str = "rn",
     return _by_ranges(df, order_cols, out, n)
 
 
-def running_count(df: DataFrame, order_cols: list, flag: Column, out: str) -> DataFrame:
-    """Add ``out``: the rows with ``flag`` that come before each row in the total order of ``order_cols``.
+def running_counts(df: DataFrame, order_cols: list, **flags: Column) -> DataFrame:
+    """Add one column per flag: the rows with that flag that come before each row in the total order of ``order_cols``.
 
     Rows are dealt by ranges of the order (one per shuffle partition of the session) and written once; flags are
-    counted inside each range and shifted by the counts of earlier ranges.
+    counted inside each range and shifted by the counts of earlier ranges. Give it narrow rows.
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = stage(df.withColumn("_flag", flag.cast("long")).repartitionByRange(ranges, *order_cols)
-                  .withColumn("_range", F.spark_partition_id()), "ranges")
+    dealt = df.select("*", *[F.coalesce(flag.cast("long"), F.lit(0)).alias(f"_{name}") for name, flag in flags.items()])
+    dealt = stage(dealt.repartitionByRange(ranges, *order_cols).withColumn("_range", F.spark_partition_id()), "ranges")
     so_far = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    before = dealt.groupBy("_range").agg(F.sum("_flag").alias("_n")).select(
-        "_range", F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_before"))
+    sums = dealt.groupBy("_range").agg(*[F.sum(f"_{name}").alias(f"_{name}") for name in flags])
+    before = sums.select("_range", *[F.coalesce(F.sum(f"_{name}").over(so_far), F.lit(0)).alias(f"_before_{name}") for name in flags])
     inside = Window.partitionBy("_range").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    counted = dealt.withColumn("_inside", F.coalesce(F.sum("_flag").over(inside), F.lit(0)))
-    return (counted.join(F.broadcast(before), "_range").withColumn(out, F.col("_before") + F.col("_inside"))
-            .drop("_flag", "_range", "_before", "_inside"))
+    counted = dealt.select(*df.columns, "_range", *[F.coalesce(F.sum(f"_{name}").over(inside), F.lit(0)).alias(f"_in_{name}") for name in flags])
+    return counted.join(F.broadcast(before), "_range").select(
+        *df.columns, *[(F.col(f"_before_{name}") + F.col(f"_in_{name}")).alias(name) for name in flags])
 
 
 def chunk_rows(df: DataFrame, order_cols: list, size: int = 10,

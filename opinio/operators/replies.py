@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinio.functions.text import CALL_FAILED_PREFIX, NONE_WORD, clean_topic_array, join_topics, numbered_line, strip_fence, utrim
-from opinio.operators.numbering import running_count
+from opinio.operators.numbering import running_counts
 from opinio.session import stage
 
 REPLY_SCHEMA = T.StructType([
@@ -153,7 +153,7 @@ def topics_seen(chunks: DataFrame, registry: DataFrame) -> tuple[DataFrame, Data
     first = registry.select("run_id", F.col("first_chunk").alias("at"), F.col("first_entry").cast("int").alias("entry"),
                             F.col("first_pos").cast("int").alias("pos"), "topic")
     order = ["run_id", "at", "entry", "pos", "topic"]  # NULLs first: a chunk comes before its topics
-    rows = stage(running_count(marks.unionByName(first), order, F.col("topic").isNotNull(), "before"), "topics-seen")
+    rows = stage(running_counts(marks.unionByName(first), order, before=F.col("topic").isNotNull()), "topics-seen")
     starts = rows.groupBy("run_id").agg(F.min("before").alias("start"))
     rows = rows.join(starts, "run_id").withColumn("n", F.col("before") - F.col("start"))
     return (rows.where("topic is null").select("run_id", F.col("at").alias("chunk_id"), F.col("n").alias("n_seen")),

@@ -661,7 +661,8 @@ FROM st WHERE neg > mean + 3 * sd
 ORACLE["conversation_prefix"] = f"""
 SELECT conv_id, row_number() OVER w AS message_no, role, text,
        CASE WHEN role = 'user' THEN CAST(count(*) FILTER (WHERE role = 'user') OVER w AS BIGINT) END AS call_no
-FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, sha256(text) NULLS FIRST
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 UNION ALL
 SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 'system', {_q(SYSTEM_MESSAGE)}, CAST(NULL AS BIGINT) FROM conversations
 """

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opinio.functions.feedtime import ts_text
 from opinio.functions.text import LETTERS
-from opinio.operators import topics
+from opinio.operators import learned, topics
+from opinio.operators.conversations import conversation_history
 from opinio.plans.registry import query
 from opinio.sources import fixtures, tables
 
@@ -38,20 +36,8 @@ def q_negative_spikes(spark, sf_dir):
 
 @query("conversation_prefix")
 def q_conversation_prefix(spark, sf_dir):
-    """The messages of every conversation, the system message first, and what each call sends.
-
-    Kept linear: a call (a user turn) sends the messages 0 to its own ``message_no``, so the history is stored
-    once and not repeated per call. ``call_no`` numbers the calls of a conversation from 1, NULL for other rows.
-    """
-    c = tables.conversations(spark, sf_dir, "conv_id", "turn", "role", "text")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    is_call = F.col("role") == "user"
-    rows = c.select("conv_id", F.row_number().over(w).cast("long").alias("message_no"), "role", "text",
-                    F.when(is_call, F.sum(is_call.cast("long")).over(w)).alias("call_no"))
-    system = c.select("conv_id").distinct().select(
-        "conv_id", F.lit(0).cast("long").alias("message_no"), F.lit("system").alias("role"),
-        F.lit(SYSTEM_MESSAGE).alias("text"), F.lit(None).cast("long").alias("call_no"))
-    return system.unionByName(rows)
+    """The messages of every conversation, the system message first, and what each call sends."""
+    return conversation_history(tables.conversations(spark, sf_dir, "conv_id", "turn", "role", "text"), SYSTEM_MESSAGE)
 
 
 @query("term_clusters")
@@ -70,19 +56,12 @@ def q_term_clusters(spark, sf_dir):
 
 @query("sentiment_model")
 def q_sentiment_model(spark, sf_dir):
-    """M6: a learned stand-in labeler - logistic regression on hashed tokens, trained on ``labels``.
-
-    Predicts the probability that a document is toxic for every document.
-    """
+    """M6: a learned stand-in labeler for three sentiments, trained on ``labels`` (toxic: negative, good: positive,
+    else neutral). A fifth of the ids, by CRC, is held out and never trained on; ``actual`` is the label where there is one."""
     d = tables.documents(spark, sf_dir, "doc_id", "text")
-    lab = tables.labels(spark, sf_dir, "doc_id", "toxic")
-    train = d.join(lab, "doc_id").select("doc_id", "text", F.col("toxic").cast("double").alias("label"))
-    pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol="tokens", pattern=LETTERS, gaps=False, toLowercase=True),
-        HashingTF(inputCol="tokens", outputCol="features", numFeatures=1 << 14),
-        LogisticRegression(maxIter=20, regParam=0.01),
-    ])
-    model = pipe.fit(train)
-    out = model.transform(d)
-    return out.select("doc_id", F.col("prediction").cast("int").alias("toxic_pred"),
-                      F.round(F.get(vector_to_array(F.col("probability")), 1), 6).alias("p_toxic"))
+    lab = tables.labels(spark, sf_dir, "doc_id", "quality", "toxic")
+    actual = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
+    rows = (d.join(lab.select("doc_id", actual.alias("actual")).dropDuplicates(["doc_id"]), "doc_id", "left")
+            .withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0))
+    return learned.predict(learned.fit(rows.where(~F.col("held_out") & F.col("actual").isNotNull()), "text", "actual"), rows, "text").select(
+        "doc_id", "held_out", "actual", "sentiment", *[F.round(f"p_{s}", 6).alias(f"p_{s}") for s in learned.CLASSES])

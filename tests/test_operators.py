@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opinio.operators import feed, labelers, merge, numbering, replies, report
+from opinio.operators.conversations import conversation_history
 from opinio.sources import files
 from opinio.streaming import jobs, state
 
@@ -408,3 +409,24 @@ def test_merge_hot_key_emits_no_pairs(spark):
     assert m.agg(F.sum("n")).first()[0] == 2000 * 3000
     counts = {r["topic"]: r["total"] for r in merge.topic_sentiment_counts(merge.topic_mentions(m)).collect()}
     assert sum(counts.values()) == 2000 * 3000
+
+
+def test_history_of_one_long_conversation_with_ties(spark):
+    """A third of all rows in one conversation, equal turns, NULL and repeated rows: every message has one number."""
+    long = [(1, k // 3, ("user", "assistant", "user")[k % 3], f"m{k}") for k in range(300)]
+    rows = long + [(2, 0, "user", "a"), (2, 0, "user", "a"), (2, None, "assistant", None), (None, 1, "user", "n"), (3, 5, None, "x")]
+    rows += [(k, 0, "user", "hi") for k in range(10, 600)]
+    got = conversation_history(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5), "SYS").collect()
+    by_conv = {}
+    for r in got:
+        by_conv.setdefault(r["conv_id"], []).append(tuple(r)[1:])
+    assert set(by_conv) == {r[0] for r in rows} and len(got) == len(rows) + len(by_conv)
+    for conv, messages in by_conv.items():
+        messages.sort()
+        assert [m[0] for m in messages] == list(range(len(messages))) and messages[0][1:] == ("system", "SYS", None)
+        calls = [m[3] for m in messages if m[1] == "user"]
+        assert calls == list(range(1, len(calls) + 1)) and all(m[3] is None for m in messages if m[1] != "user")
+    turns = {text: turn for _, turn, _, text in long}
+    order = [(turns[m[2]], m[1]) for m in by_conv[1][1:]]
+    assert order == sorted(order)
+    assert [m[2] for m in by_conv[2]] == ["SYS", None, "a", "a"]

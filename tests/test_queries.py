@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from opinio.plans.catalog import QUERIES
@@ -80,16 +81,25 @@ def test_plan_caps(spark, name):
     assert scans <= PLAN_CAPS[name][0] and exchanges <= PLAN_CAPS[name][1], (scans, exchanges)
 
 
-def test_learned_models_beat_chance(spark):
+def test_term_clusters_beat_chance(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "lang").toPandas().set_index("doc_id")
     clusters = E.queries()["term_clusters"](spark, SF_SMALL).toPandas().set_index("doc_id").join(docs)
     purity = clusters.groupby("cluster")["lang"].agg(lambda x: x.value_counts().iloc[0]).sum() / len(clusters)
     assert purity >= docs["lang"].value_counts(normalize=True).iloc[0]
-    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet").select("doc_id", "toxic").toPandas().set_index("doc_id")
-    p = E.queries()["sentiment_model"](spark, SF_SMALL).toPandas().set_index("doc_id").join(labels, how="inner")
-    good, bad = p[p.toxic == 0].p_toxic, p[p.toxic == 1].p_toxic
-    auc = sum((b > good).mean() + 0.5 * (b == good).mean() for b in bad) / max(1, len(bad))
-    assert len(bad) == 0 or auc > 0.9  # on the rows it learned from
+
+
+def test_sentiment_model_on_rows_it_has_not_seen(spark):
+    from opinio.operators import learned
+    predicted = E.queries()["sentiment_model"](spark, "/root/testdata/sf0.01")
+    held = predicted.where("held_out and actual is not null").cache()
+    f1, calibration = learned.quality(held)
+    common = held.groupBy("actual").count().orderBy(F.desc("count")).first()["actual"]
+    guess, _ = learned.quality(held.withColumn("sentiment", F.lit(common)))
+    assert f1 > guess + 0.1, (f1, guess)
+    bins = calibration.collect()
+    n = sum(b["n"] for b in bins)
+    assert sum(abs(b["confidence"] - b["accuracy"]) * b["n"] for b in bins) / n < 0.4
+    assert n == held.count() > 0
 
 
 def test_two_runs_same_result(spark):
