@@ -3,19 +3,21 @@
 A bidirectional window network predicts every word from the ``SIDE`` words before and after it; a document's
 score is the sum of the conditional log-probabilities of all its words.
 
-1. Corpus counts: every word of every document is hashed to one of ``BINS`` bins; each task counts its bins and
-   Spark adds them up. The most frequent bins are word classes of their own, the others share ``SHARED`` classes.
-   P(word | class) is the share of its bin in the class, over the whole corpus (add-half smoothed).
-2. Network: position-wise embeddings of the neighbours' classes, one tanh layer, a softmax over the classes.
-   It is trained in numpy, data-parallel: in each round every task starts from the broadcast weights, makes
-   gradient steps over every position of all its documents, and returns its weights with the number of
-   positions seen; Spark averages them.
-3. Scoring: log P(class | both sides) + log P(word | class), summed over all words of the whole text.
-
-Scale. Counts and weights have a fixed size, whatever the corpus: two arrays of ``BINS`` numbers and about
-30,000 weights are broadcast. What the tasks return grows with the number of tasks and is added up in two
-levels, so no task meets the returns of all. Texts are read once per round and twice more and never shuffled; a very long text is
-hashed in pieces and its words are scored a few thousand at a time.
+1. Corpus counts: Spark counts every word (64-bit hash, A-Z as a-z) of every document in a written table. The words that
+   occur ``LEAST`` times or more are the network's vocabulary; beyond ``VOCABULARY`` words the least count is raised.
+2. Coding: each document is written once as vocabulary places, with the list of its words outside the vocabulary.
+3. Classes: the ``OWN`` most frequent words are classes of their own. The other vocabulary words are grouped by the
+   neighbour that they have most often among those, all others are one class. P(word | class) is the
+   word's share of its class over the whole corpus; for words outside the vocabulary it comes from a join with the counts.
+4. Network: position-wise embeddings of the neighbours' classes, one tanh layer, a softmax over the classes. It is trained in
+   numpy, data-parallel: in each round every task starts from the broadcast weights, makes gradient steps over
+   every position of all its documents, and Spark averages the tasks' weights by positions seen.
+5. Scoring: log P(class | both sides) + log P(word | class), summed over all words of the whole text.
+
+Scale. The counts and the coded corpus grow with the input and stay in Spark. Broadcast are at most ``VOCABULARY`` words
+(14 bytes each) and about 15,500 weights; to the driver come the vocabulary, a histogram of at most some 4,000 rows and
+the averaged weights. Texts are read twice and never shuffled; a very long text is hashed in parts and its words are
+scored a few thousand at a time.
 
 Defined results. NULL and empty texts have no words, log-probability 0 and a NULL mean. The edge of a text is a
 class of its own. Repeated rows count as often as they occur. An empty table gives an empty result. Only the
@@ -24,34 +26,50 @@ id and text columns are read.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinio.llm.common import none_if_missing, pieces, stage
+from opinio.llm.common import RowIds, none_if_missing, pieces, stage
 from opinio.llm.shingles import word_hashes
 
-BINS = 1 << 16
-OWN, SHARED = 96, 31
-CLASSES = OWN + SHARED + 1  # the last one marks what lies beyond a text's edge
-EDGE = CLASSES - 1
+#: Words that the network knows, at most, and how often they occur at least.
+VOCABULARY, LEAST = 1 << 18, 4
+OWN, SHARED = 96, 30
+RARE, EDGE = OWN + SHARED, OWN + SHARED + 1  # words outside the vocabulary; what lies beyond a text's edge
+CLASSES = EDGE + 1
 SIDE, WIDTH = 2, 24
-ROUNDS, STEP, RATE = 3, 256, 0.3
-#: Characters scored at once, a text at least.
-_CHARS = 1 << 20
-#: Groups that add up the returns of the tasks first.
-FAN_IN = 64
+ROUNDS, STEP, RATE, DAMPING = 3, 2048, 0.1, 1e-4
+#: Characters hashed at once and words trained or scored at once, a text at least.
+_CHARS, _WORDS = 1 << 20, 1 << 18
+#: Words a task holds before it counts them.
+_HELD = 1 << 20
+
+
+@dataclass
+class Vocabulary:
+    words: np.ndarray      # sorted hashes
+    n: np.ndarray          # how often each occurs
+    least: int             # every word with this count or more is in it
+    rare: int              # occurrences of all other words
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each word, len(words) for those outside."""
+        if not len(self.words):
+            return np.zeros(len(hashes), np.int32)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return np.where(self.words[at] == hashes, at, len(self.words)).astype(np.int32)
 
 
 @dataclass
 class Classes:
-    of_bin: np.ndarray  # class of each bin
-    log_p: np.ndarray   # log P(bin | class)
+    of_place: np.ndarray   # class of each vocabulary place; the last one stands for all other words
+    log_p: np.ndarray      # log P(word | class); for the last place, of a word that occurs once
 
 
 @dataclass
@@ -65,8 +83,11 @@ class Network:
     def shapes() -> list[tuple[int, ...]]:
         return [(2 * SIDE, CLASSES, WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES,)]
 
+    def parts(self) -> tuple[np.ndarray, ...]:
+        return self.embed, self.bias, self.out, self.out_bias
+
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.embed, self.bias, self.out, self.out_bias)])
+        return np.concatenate([x.ravel() for x in self.parts()])
 
     @classmethod
     def of(cls, flat: np.ndarray) -> Network:
@@ -78,10 +99,10 @@ class Network:
         return cls(*parts)
 
 
-def bins_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Bin of every word of all texts in order, and the number of words of each text."""
+def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of all texts in order, and the number of words of each text."""
     hashes, counts = word_hashes(texts)
-    return (hashes >> np.uint64(20)).astype(np.int64) % BINS, counts
+    return hashes.view(np.int64), counts
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[str | None]]]:
@@ -91,24 +112,121 @@ def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    table = np.zeros(BINS, dtype=np.int64)
+    held, size = [], 0
     for _, texts in _texts(batches):
-        table += np.bincount(bins_of(texts)[0], minlength=BINS)
-    used = np.flatnonzero(table)
-    yield pd.DataFrame({"bin": used.astype(np.int32), "n": table[used]})
+        held.append(hashed(texts)[0])
+        size += len(held[-1])
+        if size >= _HELD:
+            word, n = np.unique(np.concatenate(held), return_counts=True)
+            yield pd.DataFrame({"word": word, "n": n})
+            held, size = [], 0
+    if size:
+        word, n = np.unique(np.concatenate(held), return_counts=True)
+        yield pd.DataFrame({"word": word, "n": n})
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """(word, n) of every word of the corpus, written once."""
+    found = docs.select("text").mapInPandas(_count, "word long, n long")
+    return stage(found.groupBy("word").agg(F.sum("n").alias("n")), "words")
+
+
+def vocabulary(counts: DataFrame, most: int = VOCABULARY) -> Vocabulary:
+    """All words from the smallest count (``LEAST`` or more) on that at most ``most`` words have."""
+    # Counts below 64 have a step of their own, larger ones share 64 steps each time they double.
+    step = F.when(F.col("n") < 64, F.col("n")).otherwise(F.floor(F.log2("n") * 64) - 320)
+    steps = counts.groupBy(step.cast("long").alias("step")).agg(
+        F.count("*").alias("words"), F.min("n").alias("least"), F.sum("n").alias("n")).toPandas().sort_values("step", ascending=False)
+    fits = (steps["words"].cumsum() <= most) & (steps["least"] >= LEAST)
+    least = int(steps["least"][fits].min()) if fits.any() else 1 << 62
+    known = counts.where(F.col("n") >= least).toPandas().sort_values("word")
+    return Vocabulary(known["word"].to_numpy(np.int64), known["n"].to_numpy(np.int64), least, int(steps["n"][~fits].sum()))
+
+
+def code(docs: DataFrame, known: Vocabulary) -> DataFrame:
+    """rid, doc_id, n_words, places (32-bit integers), others (words outside the vocabulary), written once."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids = RowIds()
+        for pdf, texts in _texts(batches):
+            words, counts = hashed(texts)
+            places = shared.value.places(words)
+            outside = places == len(shared.value.words)
+            text = np.repeat(np.arange(len(counts)), counts)
+            cut = np.cumsum(counts)[:-1]
+            first = ids.take(len(pdf))
+            yield pd.DataFrame({
+                "rid": np.arange(first, first + len(pdf)), "doc_id": pdf["doc_id"].astype("Int64").to_numpy(), "n_words": counts,
+                "places": [p.tobytes() for p in np.split(places, cut)],
+                "others": np.split(words[outside], np.cumsum(np.bincount(text[outside], minlength=len(counts)))[:-1])})
+
+    schema = "rid long, doc_id long, n_words long, places binary, others array<long>"
+    return stage(docs.select("doc_id", "text").mapInPandas(run, schema), "coded")
+
+
+def _coded(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+    """Runs of coded rows of about ``_WORDS`` words, a row at least: rows, their places, words of each."""
+    for whole in batches:
+        run = np.cumsum(whole["n_words"].to_numpy()) // _WORDS
+        for k in np.unique(run):
+            pdf = whole[run == k]
+            yield pdf, np.frombuffer(b"".join(pdf["places"]), np.int32), pdf["n_words"].to_numpy()
+
+
+def own_classes(known: Vocabulary) -> np.ndarray:
+    """Class of each place that is a class of its own, -1 for the others and for words outside."""
+    order = np.lexsort((known.words, -known.n))[:OWN]
+    own = np.full(len(known.words) + 1, -1, np.int16)
+    own[order] = np.arange(len(order))
+    return own
+
+
+def grouped(known: Vocabulary, own: np.ndarray, mark: np.ndarray) -> Classes:
+    """Classes from each place's commonest neighbour (``mark``): the ``SHARED`` marks with most occurrences are classes, the rest
+    join the smallest of them."""
+    of_place = np.r_[own[:-1], np.int16(RARE)]
+    left = np.flatnonzero(own[:-1] < 0)
+    mass = np.bincount(mark[left], weights=known.n[left], minlength=2 * OWN + 1)
+    order = np.lexsort((np.arange(len(mass)), -mass))
+    group = np.zeros(len(mass), np.int16)
+    sizes: list[tuple[float, int]] = []
+    for k, m in enumerate(order):
+        size, g = (0.0, k) if k < SHARED else heapq.heappop(sizes)
+        group[m] = OWN + g
+        heapq.heappush(sizes, (size + mass[m], g))
+    of_place[left] = group[mark[left]]
+    n = known.n.astype(np.float64)
+    total = np.bincount(of_place[:-1], weights=n, minlength=CLASSES)
+    return Classes(of_place, np.r_[np.log(n / total[of_place[:-1]]), -np.log(max(known.rare, 1))].astype(np.float32))
+
+
+def _neighbours(shared):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        for _, places, counts in _coded(batches):
+            text = np.repeat(np.arange(len(counts)), counts)
+            same = text[1:] == text[:-1]
+            keys = []
+            for word, near, side in ((places[1:], places[:-1], 0), (places[:-1], places[1:], OWN)):
+                use = same & (own[near] >= 0) & (own[word] < 0) & (word < len(own) - 1)
+                keys.append(word[use].astype(np.int64) * (2 * OWN) + side + own[near[use]])
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            yield pd.DataFrame({"place": (key // (2 * OWN)).astype(np.int32), "mark": (key % (2 * OWN)).astype(np.int32), "n": n})
+    return run
 
-def corpus_classes(docs: DataFrame) -> Classes:
-    """Word classes from the bin counts of the whole corpus (BINS rows reach the driver)."""
-    counts = docs.select("text").mapInPandas(_count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros(BINS)
-    n[counts["bin"]] = counts["n"]
-    order = np.lexsort((np.arange(BINS), -n))
-    of_bin = OWN + np.arange(BINS) % SHARED
-    of_bin[order[:OWN]] = np.arange(OWN)
-    smooth = n + 0.5
-    total = np.bincount(of_bin, weights=smooth, minlength=CLASSES)
-    return Classes(of_bin.astype(np.int16), np.log(smooth / total[of_bin]).astype(np.float32))
+
+def word_classes(coded: DataFrame, known: Vocabulary) -> Classes:
+    """Classes of the vocabulary; one row per word of it reaches the driver."""
+    own = own_classes(known)
+    shared = coded.sparkSession.sparkContext.broadcast(own)
+    met = coded.select("n_words", "places").mapInPandas(_neighbours(shared), "place int, mark int, n long")
+    best = (met.groupBy("place", "mark").agg(F.sum("n").alias("n"))
+            .groupBy("place").agg(F.max(F.struct("n", (-F.col("mark")).alias("m"))).alias("best"))
+            .select("place", (-F.col("best.m")).alias("mark")).toPandas())
+    mark = np.full(len(known.words), 2 * OWN)
+    mark[best["place"]] = best["mark"]
+    return grouped(known, own, mark)
 
 
 def contexts(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -126,8 +244,9 @@ def contexts(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def hidden(net: Network, around: np.ndarray) -> np.ndarray:
     h = net.embed[0][around[:, 0]]
     for k in range(1, around.shape[1]):
-        h = h + net.embed[k][around[:, k]]
-    return np.tanh(h + net.bias)
+        h += net.embed[k][around[:, k]]
+    h += net.bias
+    return np.tanh(h, out=h)
 
 
 def log_probs(net: Network, around: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -137,13 +256,22 @@ def log_probs(net: Network, around: np.ndarray, target: np.ndarray) -> np.ndarra
         z = hidden(net, around[a:a + 8192]) @ net.out + net.out_bias
         z -= z.max(axis=1, keepdims=True)
         own = z[np.arange(len(z)), target[a:a + 8192]]
-        out[a:a + 8192] = own - np.log(np.exp(z).sum(axis=1))
+        out[a:a + 8192] = own - np.log(np.exp(z, out=z).sum(axis=1))
     return out
 
 
-def train_steps(net: Network, around: np.ndarray, target: np.ndarray) -> None:
-    """Plain gradient steps over batches of STEP positions, in place."""
-    unit = np.arange(WIDTH)
+def _sums_by_class(rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """Sum of the rows of each class."""
+    out = np.zeros((CLASSES, rows.shape[1]), np.float32)
+    order = np.argsort(cls, kind="stable")
+    cls = cls[order]
+    first = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]])
+    out[cls[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
+def train_steps(net: Network, squares: list[np.ndarray], around: np.ndarray, target: np.ndarray) -> None:
+    """Gradient steps over batches of STEP positions, scaled by the root of the squares so far, in place."""
     for a in range(0, len(target), STEP):
         x, y = around[a:a + STEP], target[a:a + STEP]
         h = hidden(net, x)
@@ -151,16 +279,13 @@ def train_steps(net: Network, around: np.ndarray, target: np.ndarray) -> None:
         p += net.out_bias
         p -= p.max(axis=1, keepdims=True)
         np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(y)), y] -= 1
-        p *= RATE / len(y)
+        p /= p.sum(axis=1, keepdims=True) * len(y)
+        p[np.arange(len(y)), y] -= np.float32(1 / len(y))
         dh = (p @ net.out.T) * (1 - h * h)
-        net.out -= h.T @ p
-        net.out_bias -= p.sum(axis=0)
-        net.bias -= dh.sum(axis=0)
-        for k in range(x.shape[1]):
-            cell = (x[:, k].astype(np.int64) * WIDTH)[:, None] + unit
-            net.embed[k] -= np.bincount(cell.ravel(), dh.ravel(), CLASSES * WIDTH).reshape(CLASSES, WIDTH)
+        embed = np.stack([_sums_by_class(dh, x[:, k]) for k in range(x.shape[1])])
+        for part, square, slope in zip(net.parts(), squares, (embed, dh.sum(axis=0), h.T @ p, p.sum(axis=0))):
+            square += slope * slope
+            part -= RATE * slope / np.sqrt(square)
 
 
 def start() -> Network:
@@ -171,78 +296,80 @@ def start() -> Network:
 
 def _train(shared, classes):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        net, c, seen = Network.of(shared.value), classes.value, 0
+        net, of_place, seen = Network.of(shared.value), classes.value, 0
+        squares = [np.full(s, DAMPING, np.float32) for s in Network.shapes()]
         wait_x, wait_y, waiting = [], [], 0
-        for _, texts in _texts(batches):
-            bins, counts = bins_of(texts)
-            if not len(bins):
+
+        def learn() -> None:
+            x, y = np.concatenate(wait_x), np.concatenate(wait_y)
+            mixed = np.random.default_rng(len(x)).permutation(len(x))  # neighbours come from one text
+            train_steps(net, squares, x[mixed], y[mixed])
+
+        for _, places, counts in _coded(batches):
+            if not len(places):
                 continue
-            cls = c.of_bin[bins]
+            cls = of_place[places]
             wait_x.append(contexts(cls, counts))
-            wait_y.append(cls.astype(np.int64))
+            wait_y.append(cls)
             waiting += len(cls)
             if waiting >= 8 * STEP:
-                x, y = np.concatenate(wait_x), np.concatenate(wait_y)
-                mixed = np.random.default_rng(len(x)).permutation(len(x))  # neighbours come from one text
-                train_steps(net, x[mixed], y[mixed])
+                learn()
                 seen, wait_x, wait_y, waiting = seen + waiting, [], [], 0
         if waiting:
-            train_steps(net, np.concatenate(wait_x), np.concatenate(wait_y))
+            learn()
             seen += waiting
         if seen:
-            yield pd.DataFrame({"part": [TaskContext.get().partitionId() % FAN_IN], "seen": [seen],
-                                "weights": [(net.flat().astype(np.float64) * seen).tobytes()]})
+            yield pd.DataFrame({"seen": [seen], "weights": [net.flat()]})
     return run
 
 
-def _add(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.sum([np.frombuffer(w, np.float64) for w in pdf["weights"]], axis=0)
-    return pd.DataFrame({"part": [0], "seen": [pdf["seen"].sum()], "weights": [total.tobytes()]})
-
-
-def train(docs: DataFrame, classes: Classes, rounds: int = ROUNDS) -> Network:
+def train(coded: DataFrame, classes: Classes, rounds: int = ROUNDS) -> Network:
     """Rounds of local steps on all documents and averaging of the weights by positions seen."""
-    spark: SparkSession = docs.sparkSession
-    spread = spark.sparkContext.broadcast(classes)
-    flat, schema = start().flat(), "part int, seen long, weights binary"
+    spark: SparkSession = coded.sparkSession
+    spread = spark.sparkContext.broadcast(classes.of_place)
+    flat = start().flat()
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(flat)
-        local = docs.select("text").mapInPandas(_train(shared, spread), schema)
-        sums = stage(local.groupBy("part").applyInPandas(_add, schema), "weights")
-        total = sums.withColumn("part", F.lit(0)).groupBy("part").applyInPandas(_add, schema).first()  # FAN_IN rows
-        if total is None:
+        local = coded.select("n_words", "places").mapInPandas(_train(shared, spread), "seen long, weights array<float>")
+        mean = (local.select("seen", F.posexplode("weights").alias("place", "w")).groupBy("place")
+                .agg((F.sum(F.col("w").cast("double") * F.col("seen")) / F.sum("seen")).alias("w")).toPandas())
+        if mean.empty:
             break
-        flat = np.frombuffer(total["weights"], np.float64) / total["seen"]
+        flat = mean.sort_values("place")["w"].to_numpy(np.float64)
     return Network.of(flat)
 
 
-def score_texts(texts: list[str | None], net: Network, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
-    """Number of words and summed conditional log-probability of each text."""
-    bins, counts = bins_of(texts)
-    total = np.zeros(len(texts))
-    if len(bins):
-        cls = classes.of_bin[bins].astype(np.int64)
-        around = contexts(classes.of_bin[bins], counts)
-        word = log_probs(net, around, cls) + classes.log_p[bins]
+def score_places(places: np.ndarray, counts: np.ndarray, net: Network, classes: Classes) -> np.ndarray:
+    """Summed conditional log-probability of each text; words outside the vocabulary as if they occurred once."""
+    total = np.zeros(len(counts))
+    if len(places):
+        cls = classes.of_place[places]
+        word = log_probs(net, contexts(cls, counts), cls) + classes.log_p[places]
         filled = np.flatnonzero(counts)
         total[filled] = np.add.reduceat(word, (np.cumsum(counts) - counts)[filled])
-    return counts, total
+    return total
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, log_p, mean_log_p for every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    classes = corpus_classes(docs)
-    net = train(docs, classes)
-    shared = docs.sparkSession.sparkContext.broadcast((net, classes))
+    counts = count_words(docs)
+    known = vocabulary(counts)
+    coded = code(docs, known)
+    classes = word_classes(coded, known)
+    shared = docs.sparkSession.sparkContext.broadcast((train(coded, classes), classes))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf, texts in _texts(batches):
-            n, log_p = score_texts(texts, *shared.value)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                mean = pd.Series(np.where(n > 0, log_p / np.maximum(n, 1), np.nan)).astype("Float64")
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64").to_numpy(), "n_words": n, "log_p": log_p,
-                                "mean_log_p": mean.mask(n == 0)})
-
-    scored = docs.mapInPandas(run, "doc_id long, n_words long, log_p double, mean_log_p double")
-    return scored
+        for pdf, places, n in _coded(batches):
+            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"].astype("Int64").to_numpy(), "n_words": n,
+                                "known_log_p": score_places(places, n, *shared.value)})
+
+    scored = coded.select("rid", "doc_id", "n_words", "places").mapInPandas(
+        run, "rid long, doc_id long, n_words long, known_log_p double")
+    # A word outside the vocabulary that occurs n times is n times as likely as one that occurs once.
+    often = counts.where((F.col("n") > 1) & (F.col("n") < known.least))
+    more = (coded.select("rid", F.explode("others").alias("word")).join(often, "word")
+            .groupBy("rid").agg(F.sum(F.log("n")).alias("more")))
+    log_p = F.col("known_log_p") + F.coalesce("more", F.lit(0.0))
+    return scored.join(more, "rid", "left").select(
+        "doc_id", "n_words", log_p.alias("log_p"), F.when(F.col("n_words") > 0, log_p / F.col("n_words")).alias("mean_log_p"))
