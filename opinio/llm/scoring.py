@@ -9,13 +9,13 @@ score is the sum of the conditional log-probabilities of all its words.
 3. Classes: the ``OWN`` most frequent words are classes of their own. The other vocabulary words are grouped by the
    neighbour that they have most often among those, all others are one class. P(word | class) is the
    word's share of its class over the whole corpus; for words outside the vocabulary it comes from a join with the counts.
-4. Network: position-wise embeddings of the neighbours' classes, one tanh layer, a softmax over the classes. It is trained in
-   numpy, data-parallel: in each round every task starts from the broadcast weights, makes gradient steps over
+4. Network: position-wise embeddings of the neighbours' classes, one tanh layer, and P(class) as P(row of the class) times
+   P(class | its row), a softmax each (``ROW`` rows of ``ROW`` classes). It is trained in numpy, data-parallel: in each round every task starts from the broadcast weights, makes gradient steps over
    every position of all its documents, and Spark averages the tasks' weights by positions seen.
 5. Scoring: log P(class | both sides) + log P(word | class), summed over all words of the whole text.
 
 Scale. The counts and the coded corpus grow with the input and stay in Spark. Broadcast are at most ``VOCABULARY`` words
-(14 bytes each) and about 15,500 weights; to the driver come the vocabulary, a histogram of at most some 4,000 rows and
+(14 bytes each) and about 18,000 weights; to the driver come the vocabulary, a histogram of at most some 4,000 rows and
 the averaged weights. Texts are read twice and never shuffled; a very long text is hashed in parts and its words are
 scored a few thousand at a time.
 
@@ -40,9 +40,10 @@ from opinio.llm.shingles import word_hashes
 
 #: Words that the network knows, at most, and how often they occur at least.
 VOCABULARY, LEAST = 1 << 18, 4
-OWN, SHARED = 96, 30
+OWN, SHARED = 104, 39
 RARE, EDGE = OWN + SHARED, OWN + SHARED + 1  # words outside the vocabulary; what lies beyond a text's edge
 CLASSES = EDGE + 1
+ROW = 12  # the classes that words have, EDGE of them, stand in rows of this size
 SIDE, WIDTH = 2, 24
 ROUNDS, STEP, RATE, DAMPING = 3, 2048, 0.1, 1e-4
 #: Characters hashed at once and words trained or scored at once, a text at least.
@@ -76,15 +77,17 @@ class Classes:
 class Network:
     embed: np.ndarray   # 2 * SIDE x CLASSES x WIDTH
     bias: np.ndarray    # WIDTH
-    out: np.ndarray     # WIDTH x CLASSES
-    out_bias: np.ndarray
+    row: np.ndarray     # WIDTH x ROW
+    row_bias: np.ndarray
+    member: np.ndarray  # row x WIDTH x ROW
+    member_bias: np.ndarray
 
     @staticmethod
     def shapes() -> list[tuple[int, ...]]:
-        return [(2 * SIDE, CLASSES, WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES,)]
+        return [(2 * SIDE, CLASSES, WIDTH), (WIDTH,), (WIDTH, ROW), (ROW,), (ROW, WIDTH, ROW), (ROW, ROW)]
 
     def parts(self) -> tuple[np.ndarray, ...]:
-        return self.embed, self.bias, self.out, self.out_bias
+        return self.embed, self.bias, self.row, self.row_bias, self.member, self.member_bias
 
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in self.parts()])
@@ -249,14 +252,30 @@ def hidden(net: Network, around: np.ndarray) -> np.ndarray:
     return np.tanh(h, out=h)
 
 
+def _by_row(target: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The chosen positions in order of their targets' rows, and (row, begin, end) of each row among them."""
+    row = target[chosen] // ROW
+    order = np.argsort(row, kind="stable")
+    ends = np.searchsorted(row[order], np.arange(ROW + 1)).tolist()
+    return chosen[order], [(r, a, b) for r, a, b in zip(range(ROW), ends, ends[1:]) if a < b]
+
+
+def _log_softmax(z: np.ndarray, target: np.ndarray) -> np.ndarray:
+    z -= z.max(axis=0)
+    own = z[target, np.arange(len(target))]
+    return own - np.log(np.exp(z, out=z).sum(axis=0))
+
+
 def log_probs(net: Network, around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log P(target class | classes on both sides)."""
     out = np.empty(len(target), dtype=np.float64)
-    for a in range(0, len(target), 8192):
-        z = hidden(net, around[a:a + 8192]) @ net.out + net.out_bias
-        z -= z.max(axis=1, keepdims=True)
-        own = z[np.arange(len(z)), target[a:a + 8192]]
-        out[a:a + 8192] = own - np.log(np.exp(z, out=z).sum(axis=1))
+    for at in range(0, len(target), 8192):
+        here, rows = _by_row(target, np.arange(at, min(at + 8192, len(target))))
+        h, y = hidden(net, around[here]), target[here]
+        log_p = _log_softmax(net.row.T @ h.T + net.row_bias[:, None], y // ROW).astype(np.float64)
+        for r, a, b in rows:
+            log_p[a:b] += _log_softmax(net.member[r].T @ h[a:b].T + net.member_bias[r][:, None], y[a:b] % ROW)
+        out[here] = log_p
     return out
 
 
@@ -270,20 +289,33 @@ def _sums_by_class(rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
     return out
 
 
-def train_steps(net: Network, squares: list[np.ndarray], around: np.ndarray, target: np.ndarray) -> None:
+def _errors(z: np.ndarray, target: np.ndarray, size: int) -> np.ndarray:
+    """Slope of the mean loss over ``size`` positions by the inputs of a softmax, in place."""
+    z -= z.max(axis=0)
+    np.exp(z, out=z)
+    z /= z.sum(axis=0)
+    z[target, np.arange(len(target))] -= 1
+    z *= np.float32(1 / size)
+    return z
+
+
+def train_steps(net: Network, squares: list[np.ndarray], around: np.ndarray, target: np.ndarray, order: np.ndarray) -> None:
     """Gradient steps over batches of STEP positions, scaled by the root of the squares so far, in place."""
-    for a in range(0, len(target), STEP):
-        x, y = around[a:a + STEP], target[a:a + STEP]
+    for at in range(0, len(order), STEP):
+        here, rows = _by_row(target, order[at:at + STEP])
+        x, y = around[here], target[here]
         h = hidden(net, x)
-        p = h @ net.out
-        p += net.out_bias
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True) * len(y)
-        p[np.arange(len(y)), y] -= np.float32(1 / len(y))
-        dh = (p @ net.out.T) * (1 - h * h)
+        e = _errors(net.row.T @ h.T + net.row_bias[:, None], y // ROW, len(y))
+        dh = e.T @ net.row.T
+        member, member_bias = np.zeros_like(net.member), np.zeros_like(net.member_bias)
+        for r, a, b in rows:
+            m = _errors(net.member[r].T @ h[a:b].T + net.member_bias[r][:, None], y[a:b] % ROW, len(y))
+            dh[a:b] += m.T @ net.member[r].T
+            member[r], member_bias[r] = (m @ h[a:b]).T, m.sum(axis=1)
+        dh *= 1 - h * h
         embed = np.stack([_sums_by_class(dh, x[:, k]) for k in range(x.shape[1])])
-        for part, square, slope in zip(net.parts(), squares, (embed, dh.sum(axis=0), h.T @ p, p.sum(axis=0))):
+        for part, square, slope in zip(net.parts(), squares,
+                                       (embed, dh.sum(axis=0), (e @ h).T, e.sum(axis=1), member, member_bias)):
             square += slope * slope
             part -= RATE * slope / np.sqrt(square)
 
@@ -303,7 +335,7 @@ def _train(shared, classes):
         def learn() -> None:
             x, y = np.concatenate(wait_x), np.concatenate(wait_y)
             mixed = np.random.default_rng(len(x)).permutation(len(x))  # neighbours come from one text
-            train_steps(net, squares, x[mixed], y[mixed])
+            train_steps(net, squares, x, y, mixed)
 
         for _, places, counts in _coded(batches):
             if not len(places):

@@ -44,8 +44,10 @@ def brute_score(text, known, classes, net, counts):
         for j, at in enumerate(near):
             c = cls[at] if 0 <= at < len(cls) else scoring.EDGE
             h = [a + float(e) for a, e in zip(h, net.embed[j][c])]
-        z = np.tanh(h) @ net.out.astype(float) + net.out_bias
-        total += z[cls[k]] - z.max() - log(sum(exp(v - z.max()) for v in z)) + log(counts[w] / members[cls[k]])
+        p = [exp(v) for v in np.tanh(h) @ net.row.astype(float) + net.row_bias]
+        r, m = divmod(cls[k], scoring.ROW)
+        q = [exp(v) for v in np.tanh(h) @ net.member[r].astype(float) + net.member_bias[r]]
+        total += log(p[r] / sum(p) * q[m] / sum(q)) + log(counts[w] / members[cls[k]])
     return len(words), total
 
 
@@ -150,3 +152,30 @@ def test_every_position_trains_in_every_round(spark):
     cls = classes.of_place[known.places(scoring.hashed([" ".join(cycle * 3)])[0])]
     p = scoring.log_probs(net, scoring.contexts(cls, np.array([48])), cls)[16:32]
     assert len(set(cls)) == 16 and (p > np.log(1 / 16)).all()
+
+
+def test_the_classes_of_words_fill_their_rows():
+    assert scoring.EDGE == scoring.ROW ** 2
+    r = np.random.default_rng(2)
+    net = scoring.Network.of(r.normal(0, 1, len(scoring.start().flat())))
+    around = np.repeat(r.integers(0, scoring.CLASSES, (5, 2 * scoring.SIDE)), scoring.EDGE, axis=0)
+    p = np.exp(scoring.log_probs(net, around, np.tile(np.arange(scoring.EDGE), 5)))
+    assert np.allclose(p.reshape(5, -1).sum(axis=1), 1, atol=1e-5)
+
+
+def test_steps_follow_the_slope_of_the_loss():
+    r = np.random.default_rng(4)
+    flat = r.normal(0, 0.3, len(scoring.start().flat()))
+    around, target = r.integers(0, 6, (64, 2 * scoring.SIDE)), r.integers(0, scoring.EDGE, 64)
+
+    def loss(weights):
+        return -scoring.log_probs(scoring.Network.of(weights), around, target).mean()
+
+    squares = [np.zeros(s, np.float32) for s in scoring.Network.shapes()]
+    scoring.train_steps(scoring.Network.of(flat), squares, around, target, np.arange(64))
+    slope = np.sqrt(np.concatenate([s.ravel() for s in squares]))
+    for k in r.choice(np.flatnonzero(slope > 1e-3), 40, replace=False):
+        near = flat.copy(), flat.copy()
+        near[0][k] += 1e-2
+        near[1][k] -= 1e-2
+        assert abs(abs(loss(near[0]) - loss(near[1])) / 2e-2 - slope[k]) < 2e-3 + 0.02 * slope[k]
