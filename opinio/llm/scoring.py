@@ -45,7 +45,7 @@ RARE, EDGE = OWN + SHARED, OWN + SHARED + 1  # words outside the vocabulary; wha
 CLASSES = EDGE + 1
 ROW = 12  # the classes that words have, EDGE of them, stand in rows of this size
 SIDE, WIDTH = 2, 24
-ROUNDS, STEP, RATE, DAMPING = 3, 2048, 0.1, 1e-4
+ROUNDS, STEP, RATE, DAMPING = 3, 4096, 0.1, 1e-4
 #: Characters hashed at once and words trained or scored at once, a text at least.
 _CHARS, _WORDS = 1 << 20, 1 << 18
 #: Words a task holds before it counts them.

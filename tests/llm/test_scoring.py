@@ -171,7 +171,7 @@ def test_steps_follow_the_slope_of_the_loss():
     def loss(weights):
         return -scoring.log_probs(scoring.Network.of(weights), around, target).mean()
 
-    squares = [np.zeros(s, np.float32) for s in scoring.Network.shapes()]
+    squares = [np.full(s, 1e-30, np.float32) for s in scoring.Network.shapes()]
     scoring.train_steps(scoring.Network.of(flat), squares, around, target, np.arange(64))
     slope = np.sqrt(np.concatenate([s.ravel() for s in squares]))
     for k in r.choice(np.flatnonzero(slope > 1e-3), 40, replace=False):
