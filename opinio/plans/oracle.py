@@ -645,6 +645,26 @@ WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{LETTERS}')) A
 SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM t GROUP BY term
 """
 
+ORACLE["keyword_clusters"] = f"""
+WITH RECURSIVE toks AS MATERIALIZED (SELECT regexp_extract_all(lower(text), '{LETTERS}') AS l FROM documents WHERE text IS NOT NULL),
+every AS (SELECT term, count(*) AS n FROM (SELECT unnest(l) AS term FROM toks) GROUP BY term),
+kw AS MATERIALIZED (SELECT * FROM every WHERE n >= 3),
+near AS (SELECT unnest(list_zip(l[1:len(l) - 1], l[2:len(l)])) AS p FROM toks WHERE len(l) > 1),
+pairs AS (SELECT least(p[1], p[2]) AS a, greatest(p[1], p[2]) AS b, count(*) AS n FROM near WHERE p[1] <> p[2] GROUP BY ALL HAVING count(*) >= 3),
+links AS MATERIALIZED (SELECT a, b, p.n, (p.n * (SELECT sum(n) FROM every))::DOUBLE / (x.n * y.n)::DOUBLE AS lift
+          FROM pairs p JOIN kw x ON x.term = a JOIN kw y ON y.term = b),
+sides AS (SELECT a AS term, b AS neighbour, * FROM links WHERE lift > 1 UNION ALL SELECT b, a, * FROM links WHERE lift > 1),
+best AS MATERIALIZED (SELECT term, neighbour, lift FROM sides
+                      QUALIFY row_number() OVER (PARTITION BY term ORDER BY lift DESC, n DESC, a, b) = 1),
+parent AS MATERIALIZED (SELECT t.term, CASE WHEN u.neighbour = t.term THEN least(t.term, u.term) ELSE u.term END AS up
+                        FROM best t JOIN best u ON u.term = t.neighbour),
+walk AS (SELECT term, up AS at FROM parent UNION SELECT w.term, p.up FROM walk w JOIN parent p ON p.term = w.at),
+ends AS (SELECT w.term, w.at AS cluster FROM walk w JOIN parent p ON p.term = w.at AND p.up = w.at),
+placed AS (SELECT k.term, k.n, coalesce(e.cluster, k.term) AS cluster, b.neighbour, round(ln(b.lift), 6) AS weight
+           FROM kw k LEFT JOIN best b USING (term) LEFT JOIN ends e USING (term))
+SELECT term, n, cluster, count(*) OVER (PARTITION BY cluster) AS size, neighbour, weight FROM placed
+"""
+
 ORACLE["negative_spikes"] = f"""
 WITH {POST_LABELS},
 pm AS (SELECT t.topic, date_trunc('hour', p.posted_at) AS hour, p.sentiment FROM ptop t JOIN plab p USING (post_id)),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions.feedtime import ts_text
 from opinio.functions.text import LETTERS
-from opinio.operators import learned, topics
+from opinio.operators import keywords, learned, topics
 from opinio.operators.conversations import conversation_history
 from opinio.plans.registry import query
 from opinio.sources import fixtures, tables
@@ -54,6 +54,12 @@ def q_term_clusters(spark, sf_dir):
     return model.transform(d).select("doc_id", F.col("cluster").cast("int").alias("cluster"))
 
 
+@query("keyword_clusters")
+def q_keyword_clusters(spark, sf_dir):
+    """Every keyword of the documents with its cluster in the graph of neighbouring terms."""
+    return keywords.keyword_clusters(tables.documents(spark, sf_dir, "text"), "text")
+
+
 @query("sentiment_model")
 def q_sentiment_model(spark, sf_dir):
     """M6: a learned stand-in labeler for three sentiments, trained on ``labels`` (toxic: negative, good: positive,
