@@ -217,3 +217,18 @@ SELECT t.topic, count(*) FILTER (WHERE p.sentiment = 'negative') AS negative,
        count(*) FILTER (WHERE p.sentiment = 'positive') AS positive, count(*) AS total
 FROM ptop t JOIN plab p USING (post_id) GROUP BY t.topic
 """
+
+ORACLE["stream_asked_windows"] = f"""
+WITH ev AS (SELECT event_id, ts, user_id AS request_id FROM events),
+asked AS (SELECT request_id, date_trunc('day', min(ts)) + to_days(CAST((request_id % 3 + 3) % 3 AS INTEGER)) AS lo FROM ev WHERE request_id IS NOT NULL GROUP BY request_id),
+mark AS (SELECT epoch_us(max(ts)) // 1000 * 1000 - 28 * 86400000000 AS us FROM ev WHERE ts >= TIMESTAMP '2024-01-04' AND request_id IS NOT NULL),
+landed AS (SELECT *, coalesce(ts >= TIMESTAMP '2024-01-04', false) AS first_part FROM ev),
+counted AS (SELECT request_id, event_id, ts, first_part,
+                   sum(CASE WHEN first_part THEN 1 + (event_id % 5 = 0)::INT + (event_id % 7 = 0)::INT ELSE 1 END)::BIGINT AS n_rows
+            FROM landed GROUP BY ALL)
+SELECT c.request_id, c.event_id, strftime(c.ts, {TSF}) AS ts, n_rows,
+       CASE WHEN c.ts >= lo AND c.ts <= lo + INTERVAL 20 DAY
+            THEN CASE WHEN first_part OR epoch_us(c.ts) > (SELECT us FROM mark) THEN 'on_time' ELSE 'late' END
+            ELSE 'outside' END AS fate
+FROM counted c LEFT JOIN asked a ON a.request_id = c.request_id
+"""

@@ -103,6 +103,27 @@ def q_stream_late_rows(spark, sf_dir):
     return both.select("event_id", ts_text(F.col("ts")).alias("ts"), "late")
 
 
+@query("stream_asked_windows")
+def q_stream_asked_windows(spark, sf_dir):
+    """T4: every user asks for 20 days of events; the first three days land after the rest, with repeats among both.
+    What lies outside, late, on time and repeated is told apart by a watermark of 28 days in the stream itself."""
+    root, landing, ckpt = _paths(spark, "stream-asked")
+    ev = tables.events(spark, sf_dir, "event_id", "ts", "user_id").withColumnRenamed("user_id", "request_id")
+    first = F.date_trunc("day", F.min("ts")).cast("timestamp_ntz")
+    days = F.make_dt_interval(F.pmod("request_id", F.lit(3)).cast("int"))
+    asked = (ev.where("request_id is not null").groupBy("request_id").agg(first.alias("lo"))
+             .select("request_id", (F.col("lo") + days).alias("win_start"), (F.col("lo") + days + F.expr("interval 20 days")).alias("win_end")))
+    asked = stage(asked, "asked-windows")
+    cut = F.lit(dt.datetime(2024, 1, 4)).cast("timestamp_ntz")
+    early, rest = ev.where(~F.coalesce(F.col("ts") >= cut, F.lit(False))), ev.where(F.col("ts") >= cut)
+    out = f"{root}/out"
+    _run_parts(spark, [rest.unionByName(rest.where("event_id % 5 = 0")), early.unionByName(rest.where("event_id % 7 = 0"))],
+               landing, ckpt, lambda s: jobs.rows_in_time(s, asked, "event_id", "28 days"),
+               lambda batch, batch_id: jobs.write_batch(batch, out, batch_id))
+    told = jobs.fates(spark.read.parquet(landing), asked, spark.read.parquet(out), "event_id")
+    return told.select("request_id", "event_id", ts_text(F.col("ts")).alias("ts"), "n_rows", "fate")
+
+
 @query("stream_requests")
 def q_stream_requests(spark, sf_dir):
     """S6 + T5: requests stream in as JSON lines, every ninth followed by a line that is cut off; valid ones go to

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,11 +26,12 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def run_available(stream: DataFrame, fn: BatchFn, checkpoint: str, output_mode: str = "append") -> None:
-    """Process everything landed so far, then stop (state kept in ``checkpoint``)."""
+def run_available(stream: DataFrame, fn: BatchFn, checkpoint: str, output_mode: str = "append") -> list:
+    """Process everything landed so far, then stop (state kept in ``checkpoint``); the progress of its batches."""
     q = (stream.writeStream.outputMode(output_mode).foreachBatch(fn)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    return q.recentProgress
 
 
 def land(df: DataFrame, folder: str) -> None:
@@ -94,6 +95,38 @@ def split_late(out_path: str, late_path: str, max_path: str, delay_seconds: int,
     return fn
 
 
+def _in_window(time: Column) -> Column:
+    return time.between(F.col("win_start").cast("timestamp"), F.col("win_end").cast("timestamp"))
+
+
+def rows_in_time(stream: DataFrame, asked: DataFrame, key: str, delay: str, ts_col: str = "ts") -> DataFrame:
+    """T4: of a stream of (request_id, ``key``, ``ts_col``, ...) the first row of every (request_id, ``key``) that lies in
+    the window its request asked for, both ends closed, and comes before the watermark has passed it.
+
+    ``asked`` is (request_id, win_start, win_end), one row per request. Every row of a request moves the watermark,
+    in the window or not. Keys are remembered until the watermark is ``delay`` beyond their row.
+    """
+    et = (stream.where(F.col("request_id").isNotNull()).withColumn("_et", F.col(ts_col).cast("timestamp"))
+          .withWatermark("_et", delay))
+    inside = et.join(asked.select("request_id", "win_start", "win_end"), "request_id").where(_in_window(F.col("_et")))
+    return inside.dropDuplicatesWithinWatermark(["request_id", key]).drop("_et", "win_start", "win_end")
+
+
+def fates(landed: DataFrame, asked: DataFrame, in_time: DataFrame, key: str, ts_col: str = "ts") -> DataFrame:
+    """T4: what became of all landed rows: (request_id, ``key``, ``ts_col``, n_rows, fate), a row per different one.
+
+    ``outside``: not in the asked window, without a time, or of no request. ``on_time``: its key is in the output of
+    ``rows_in_time``, once; the other ``n_rows`` - 1 are repeats, whenever they came. ``late``: in the window, but the
+    watermark had passed it. Copies are counted before the joins.
+    """
+    rows = landed.groupBy("request_id", key, ts_col).agg(F.count(F.lit(1)).alias("n_rows"))
+    came = in_time.select("request_id", key).distinct().withColumn("came", F.lit(True))
+    rows = rows.join(asked.select("request_id", "win_start", "win_end"), "request_id", "left").join(came, ["request_id", key], "left")
+    inside = F.coalesce(_in_window(F.col(ts_col).cast("timestamp")), F.lit(False))
+    fate = F.when(~inside, F.lit("outside")).when(F.col("came"), F.lit("on_time")).otherwise(F.lit("late"))
+    return rows.select("request_id", key, ts_col, "n_rows", fate.alias("fate"))
+
+
 # ----------------------------------------------------------- T3: topic registry state
 
 REGISTRY_KEYS, REGISTRY_VALUES = ["run_id", "topic"], ["first_chunk", "first_entry", "first_pos"]

@@ -299,6 +299,33 @@ def test_a_failed_state_read_is_an_error(spark, tmp_path):
         late(spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "ts timestamp_ntz"), 1)
 
 
+def test_rows_outside_the_asked_window_late_ones_and_repeats(spark, tmp_path):
+    def t(day, hour=0, minute=0):
+        return dt.datetime(2024, 1, day, hour, minute)
+
+    asked = spark.createDataFrame([(1, t(2), t(4)), (2, t(1), t(9))], "request_id long, win_start timestamp_ntz, win_end timestamp_ntz")
+    schema = "request_id long, post string, ts timestamp_ntz"
+    # Request 1's post of the 6th is outside its window and still moves the watermark to the 5th.
+    parts = [[(1, "edge", t(2)), (1, "last", t(4)), (1, "past", t(4, 0, 1)), (1, "far", t(6)), (2, "a", t(3)), (2, "a", t(3)), (3, "nobody", t(3)),
+              (None, "none", t(9)), (2, "no time", None)],
+             [(2, "late", t(5)), (2, "late", t(5)), (2, "soon", t(5, 0, 1)), (2, "a", t(3)), (1, "edge", t(2)), (1, "early", t(1))],
+             [(2, "soon", t(5, 0, 1)), (2, "new", t(9))]]
+    landing, out, dropped = str(tmp_path / "landing"), str(tmp_path / "out"), 0
+    for part in parts:  # each starts again from the checkpoint: window, keys and watermark are the query's own state
+        jobs.land(spark.createDataFrame(part, schema).coalesce(1), landing)
+        stream = jobs.read_landed(spark, landing, spark.createDataFrame([], schema).schema)
+        for p in jobs.run_available(jobs.rows_in_time(stream, asked, "post", "1 day"), lambda b, i: jobs.write_batch(b, out, i),
+                                    str(tmp_path / "checkpoint")):
+            dropped += sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"])
+    in_time = spark.read.parquet(out)
+    assert sorted(r.post for r in in_time.collect()) == ["a", "edge", "last", "new", "soon"]
+    got = {(r.request_id, r.post): (r.n_rows, r.fate) for r in jobs.fates(spark.read.parquet(landing), asked, in_time, "post").collect()}
+    assert got == {(1, "edge"): (2, "on_time"), (1, "last"): (1, "on_time"), (1, "past"): (1, "outside"), (1, "far"): (1, "outside"),
+                   (2, "a"): (3, "on_time"), (3, "nobody"): (1, "outside"), (None, "none"): (1, "outside"), (2, "no time"): (1, "outside"),
+                   (2, "late"): (2, "late"), (2, "soon"): (2, "on_time"), (1, "early"): (1, "outside"), (2, "new"): (1, "on_time")}
+    assert dropped == 4  # both late rows, and the two repeats that came behind the watermark: Spark's own count
+
+
 def test_state_table_over_fifty_batches_with_replays(spark, tmp_path):
     total = state.StateTable(spark, str(tmp_path / "sum"), "k string, n long", state.sum_per_key(["k"], ["n"]), every=7)
     last = state.StateTable(spark, str(tmp_path / "last"), "k string, n long", state.last_per_key(["k"], ["n"]), every=7)
