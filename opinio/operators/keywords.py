@@ -14,18 +14,21 @@ from opinio.functions.text import tokens
 from opinio.session import stage
 
 
-def pair_counts(df: DataFrame, text_col: str) -> DataFrame:
+def pair_counts(df: DataFrame, text_col: str, least: int) -> DataFrame:
     """(a, b, n): occurrences of each term (b is NULL) and of each pair of different neighbouring terms, a < b.
 
-    One scan and one partially aggregated exchange: a hot term costs one row per map task.
+    One scan and one partially aggregated exchange on one string, as terms hold letters only: a hot term costs one
+    row per map task. Pairs seen fewer than ``least`` times end there; terms stay, for they make up the total.
     """
-    t, most = F.col("t"), F.greatest(F.size("t") - 1, F.lit(0))
-    single = F.transform(t, lambda x: F.struct(x.alias("a"), F.lit(None).cast("string").alias("b")))
-    pairs = F.zip_with(F.slice(t, F.lit(1), most), F.slice(t, F.lit(2), most),
-                       lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")))
-    rows = (df.select(tokens(F.col(text_col)).alias("t")).where(F.col("t").isNotNull())
-            .select(F.explode(F.concat(single, F.filter(pairs, lambda p: p["a"] != p["b"]))).alias("x")).select("x.*"))
-    return rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    t = F.col("t")
+    after = F.slice(t, F.lit(2), F.greatest(F.size(t) - 1, F.lit(0)))
+    near = (df.select(tokens(F.col(text_col)).alias("t")).where(t.isNotNull()).select("t", after.alias("after"))
+            .select(F.explode(F.arrays_zip("t", "after")).alias("p")).select(F.col("p.t").alias("x"), F.col("p.after").alias("y")))
+    pair = F.when(F.col("x") != F.col("y"), F.concat_ws(" ", F.least("x", "y"), F.greatest("x", "y")))
+    counts = (near.select(F.explode(F.array("x", pair)).alias("key")).where("key is not null")
+              .groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    key = F.split("key", " ")
+    return counts.select(key[0].alias("a"), F.get(key, F.lit(1)).alias("b"), "n").where(F.col("b").isNull() | (F.col("n") >= least))
 
 
 def strongest_links(counts: DataFrame, least: int) -> DataFrame:
@@ -35,7 +38,7 @@ def strongest_links(counts: DataFrame, least: int) -> DataFrame:
     """
     terms = counts.where(F.col("b").isNull() & (F.col("n") >= least)).select(F.col("a").alias("term"), F.col("n").alias("n_term"))
     total = counts.where(F.col("b").isNull()).select(F.sum("n")).scalar()
-    pairs = counts.where(F.col("b").isNotNull() & (F.col("n") >= least))
+    pairs = counts.where(F.col("b").isNotNull())
     left, right = terms.toDF("a", "n_a"), terms.toDF("b", "n_b")
     lift = (F.col("n") * total).cast("double") / (F.col("n_a") * F.col("n_b")).cast("double")
     links = pairs.join(left, "a").join(right, "b").withColumn("lift", lift).where("lift > 1")
@@ -68,7 +71,7 @@ def keyword_clusters(df: DataFrame, text_col: str, least: int = 3) -> DataFrame:
     logarithm) are those of the strongest link. A term without a link is a cluster of its own, with NULLs there. NULL
     and empty texts have no terms.
     """
-    counts = stage(pair_counts(df, text_col), "keyword-pairs")
+    counts = stage(pair_counts(df, text_col, least), "keyword-pairs")
     links = stage(strongest_links(counts, least), "keyword-links")
     placed = links.join(ends_of(links), "term")
     terms = counts.where(F.col("b").isNull() & (F.col("n") >= least)).select(F.col("a").alias("term"), "n")
