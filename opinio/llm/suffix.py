@@ -9,8 +9,9 @@ one, or further left in the same document. Documents are ordered by id (NULL ids
 2. Anchors are shuffled as packed numpy columns. Under an anchor hash equal segments (by a digest of their
    bytes) keep their first occurrence; the others are repeats throughout. A hash with one kind of segment is done.
 3. Segments that share an anchor hash but differ are fetched from their texts. Each task sorts the suffixes of
-   its segments by prefix doubling and walks to the previous and next smaller text position in suffix order:
-   where one of these shares ``LENGTH`` bytes, the longest previous factor is that long and the window repeats.
+   its segments in full, by prefix doubling, finds the previous and next smaller text position in suffix order and
+   takes the longer of the two common prefixes: the longest previous factor, up to the segment's end. Where it has
+   ``LENGTH`` bytes or more the window repeats.
 4. The repeated windows of a document are merged to runs and cut out of its text.
 
 Scale. Each text is read in pieces of ``PIECE`` bytes, so very long texts and lines repeated inside one cost
@@ -365,47 +366,58 @@ def _dense(a: np.ndarray, b: np.ndarray, top: int) -> np.ndarray:
     return np.unique(a * top + b, return_inverse=True)[1].astype(np.int64)
 
 
-def suffix_ranks(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Rank of the ``length`` bytes from each position on, by prefix doubling (equal strings, equal rank)."""
+def suffix_levels(data: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Prefix doubling: ranks of the 1, 2, 4, ... bytes from each position on, each cut at ``ends`` (the end of the segment
+    it lies in). The last level ranks the suffixes of the segments; equal suffixes have equal ranks."""
     n = len(data)
-    rank, size = data.astype(np.int64) + 1, 1
-
-    def later(r: np.ndarray, k: int) -> np.ndarray:
-        out = np.zeros(n, np.int64)
-        out[:max(0, n - k)] = r[k:]
-        return out
-
-    while size * 2 <= length:
-        rank, size = _dense(rank, later(rank, size), max(n, 256) + 2) + 1, size * 2
-    return _dense(rank, later(rank, length - size), max(n, 256) + 2) if size < length else rank
-
-
-def has_previous(rank: np.ndarray, position: np.ndarray) -> np.ndarray:
-    """For each suffix: does its longest previous factor have the full length?
-
-    In suffix order the nearest suffixes with a smaller text position, on either side, share the longest
-    prefix that any earlier suffix shares. ``rank`` is equal for suffixes that share the full length, so the
-    walk to a smaller position stops where the rank changes.
-    """
-    n = len(rank)
-    order = np.lexsort((np.arange(n), rank))
-    r, p = rank[order], position[order]
-    found = np.zeros(n, dtype=bool)
+    at, size = np.arange(n), 1
+    levels = [data.astype(np.int32) + 1]
+    while size < (ends - at).max(initial=0):
+        rank = levels[-1].astype(np.int64)
+        later = np.where(at + size < ends, np.r_[rank[size:], np.zeros(min(size, n), np.int64)], 0)
+        levels.append((_dense(rank, later, max(n, 256) + 2) + 1).astype(np.int32))
+        size *= 2
+    return levels
+
+
+def common_prefix(levels: list[np.ndarray], ends: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Length of the longest common prefix of the suffixes at ``i`` and at ``j``."""
+    length, top = np.zeros(len(i), np.int64), len(ends) - 1
+    for k in range(len(levels) - 1, -1, -1):
+        x, y = i + length, j + length
+        inside = (x < ends[i]) & (y < ends[j])
+        x, y = np.minimum(x, top), np.minimum(y, top)
+        same = inside & (levels[k][x] == levels[k][y])
+        length += np.where(same, np.minimum(1 << k, ends[i] - x), 0)
+    return length
+
+
+def nearest_smaller(position: np.ndarray, step: int) -> np.ndarray:
+    """For each place the nearest one before it (step -1) or behind it (1) with a smaller position; -1 where none is."""
+    n = len(position)
+    near, active = np.arange(n) + step, np.arange(n)
+    while len(active):
+        at = near[active]
+        inside = (at >= 0) & (at < n)
+        near[active[~inside]] = -1
+        active, at = active[inside], at[inside]
+        larger = position[at] > position[active]
+        active, at = active[larger], at[larger]
+        near[active] = near[at]  # everything up to there has larger positions
+    return near
+
+
+def longest_previous_factors(data: np.ndarray, ends: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The LPF array: for each of the (rising) ``starts`` the length of the longest prefix of its suffix that a smaller
+    start has as well. Among smaller positions the nearest ones in suffix order, on either side, share the most."""
+    levels = suffix_levels(data, ends)
+    order = starts[np.argsort(levels[-1][starts], kind="stable")]
+    longest = np.zeros(len(data), np.int64)
     for step in (-1, 1):
-        near = np.arange(n) + step
-        active = np.arange(n)
-        while len(active):
-            at = near[active]
-            inside = (at >= 0) & (at < n)
-            inside[inside] = r[at[inside]] == r[active[inside]]
-            active, at = active[inside], at[inside]
-            smaller = p[at] < p[active]
-            found[active[smaller]] = True
-            active, at = active[~smaller], at[~smaller]
-            near[active] = near[at]  # everything up to there has larger positions
-    out = np.zeros(n, dtype=bool)
-    out[order] = found
-    return out
+        near = nearest_smaller(order, step)
+        i, j = order[near >= 0], order[near[near >= 0]]
+        longest[i] = np.maximum(longest[i], common_prefix(levels, ends, i, j))
+    return longest[starts]
 
 
 def _factors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -434,8 +446,10 @@ def _factors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     begin = np.cumsum(sizes) - sizes
     before = np.cumsum(windows) - windows
     inside = np.arange(windows.sum()) - np.repeat(before, windows)
-    # Text positions go up with (document, start), so the place in this order is the position.
-    hit = has_previous(suffix_ranks(data)[np.repeat(begin, windows) + inside], np.arange(len(inside)))
+    # Bytes are in the order of (document, start), so places in ``data`` rise with text positions. The tail of a segment
+    # starts no window: these bytes start theirs in the next segment.
+    ends = np.repeat(begin + sizes, sizes)
+    hit = longest_previous_factors(data, ends, np.repeat(begin, windows) + inside) >= LENGTH
     owner = np.repeat(np.arange(len(rows)), windows)[hit]
     at = inside[hit]
     if not len(at):

@@ -129,6 +129,23 @@ def test_components_of_long_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_longest_previous_factors_of_random_binary_strings(seed):
+    rng = np.random.default_rng(seed)
+    parts = [bytes(rng.integers(0, 2, rng.integers(1, 40), dtype=np.uint8)) for _ in range(30)]
+    parts += [parts[0], b"\0" * 50, b"\0" * 33]
+    data, sizes = b"".join(parts), np.array([len(p) for p in parts])
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    # All positions, then all but the last byte of each part.
+    for starts in (np.arange(len(data)), np.flatnonzero(np.arange(len(data)) < ends - 1)):
+        got = suffix.longest_previous_factors(np.frombuffer(data, np.uint8), ends, starts)
+        rest = {i: data[i:ends[i]] for i in starts}
+        shared = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert got.tolist() == [max((shared(rest[i], rest[j]) for j in starts if j < i), default=0) for i in starts]
+    none = np.zeros(0, np.int64)
+    assert len(suffix.longest_previous_factors(np.zeros(0, np.uint8), none, none)) == 0
+
+
 def place(doc_id, data):
     """Order of documents: by id, NULL ids behind them, equal ids by digest."""
     halves = struct.unpack("<qQ", hashlib.md5(data).digest())
@@ -179,12 +196,12 @@ def test_texts_of_one_id_with_like_digests_stay(spark):
     assert got == sorted([(False, 0, pair[0]), (False, 0, pair[1]), (False, n, ""), (True, n, "x" * 99)])
 
 
-def test_has_previous_against_brute_force():
+def test_repeated_windows_against_brute_force():
     rng = np.random.default_rng(0)
     data = rng.integers(0, 2, 400).astype(np.uint8)
     length = 6
-    rank = suffix.suffix_ranks(data, length)[:len(data) - length + 1]
-    got = suffix.has_previous(rank, np.arange(len(rank)))
+    starts = np.arange(len(data) - length + 1)
+    got = suffix.longest_previous_factors(data, np.full(len(data), len(data)), starts) >= length
     strings = [data[k:k + length].tobytes() for k in range(len(rank))]
     assert got.tolist() == [s in strings[:k] for k, s in enumerate(strings)]
     assert (np.argsort(rank, kind="stable") == sorted(range(len(rank)), key=lambda k: (strings[k], k))).all()
