@@ -51,6 +51,9 @@ HOT, LOCAL_HOT = 4096, 256
 #: Segment bytes per task in step 3; windows of hot hashes that a task gathers before it reduces them; those of a task.
 SUFFIX_BYTES, GATHER_WINDOWS, TASK_WINDOWS = 2 << 20, 1 << 20, 1 << 18
 
+#: Common prefixes taken at once: few enough for a processor's cache.
+PAIRS = 1 << 15
+
 _U = np.uint64
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 _ODD = _U(0x9E3779B97F4A7C15)
@@ -366,30 +369,47 @@ def _dense(a: np.ndarray, b: np.ndarray, top: int) -> np.ndarray:
     return np.unique(a * top + b, return_inverse=True)[1].astype(np.int64)
 
 
-def suffix_levels(data: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """Prefix doubling: ranks of the 1, 2, 4, ... bytes from each position on, each cut at ``ends`` (the end of the segment
-    it lies in). The last level ranks the suffixes of the segments; equal suffixes have equal ranks."""
-    n = len(data)
-    at, size = np.arange(n), 1
-    levels = [data.astype(np.int32) + 1]
-    while size < (ends - at).max(initial=0):
-        rank = levels[-1].astype(np.int64)
-        later = np.where(at + size < ends, np.r_[rank[size:], np.zeros(min(size, n), np.int64)], 0)
-        levels.append((_dense(rank, later, max(n, 256) + 2) + 1).astype(np.int32))
-        size *= 2
+def _later(a: np.ndarray, k: int, ends: np.ndarray) -> np.ndarray:
+    """What stands ``k`` bytes further on in the same segment, 0 behind its end."""
+    return np.where(np.arange(len(a)) + k < ends, np.r_[a[k:], np.zeros(min(k, len(a)), a.dtype)], 0)
+
+
+def suffix_levels(data: np.ndarray, ends: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Prefix doubling: (size, what tells the ``size`` bytes from each position on apart), each cut at ``ends`` (the end
+    of the segment it lies in). Sizes 1, 2 and 4 are the bytes themselves, 7 and its doubles are ranks; the last size is
+    at least half of the longest segment."""
+    one = data.astype(np.int64) + 1  # 9 bits, 0 for the end
+    two = one << 9 | _later(one, 1, ends)
+    four = two << 18 | _later(two, 2, ends)
+    seven = four << 27 | _later(two, 4, ends) << 9 | _later(one, 6, ends)
+    size, rank = 7, np.unique(seven, return_inverse=True)[1].astype(np.int64) + 1
+    levels = [(1, one.astype(np.int32)), (2, two.astype(np.int32)), (4, four), (7, rank.astype(np.int32))]
+    longest = (ends - np.arange(len(data))).max(initial=0)
+    while size * 2 < longest:
+        rank, size = _dense(rank, _later(rank, size, ends), len(data) + 2) + 1, size * 2
+        levels.append((size, rank.astype(np.int32)))
     return levels
 
 
-def common_prefix(levels: list[np.ndarray], ends: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+def suffix_order(levels: list[tuple[int, np.ndarray]], ends: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``starts`` in the order of their suffixes; equal ones stay in place."""
+    size, rank = levels[-1]
+    rank = rank.astype(np.int64)
+    return starts[np.argsort(rank[starts] * (len(rank) + 2) + _later(rank, size, ends)[starts], kind="stable")]
+
+
+def common_prefix(levels: list[tuple[int, np.ndarray]], ends: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Length of the longest common prefix of the suffixes at ``i`` and at ``j``."""
-    length, top = np.zeros(len(i), np.int64), len(ends) - 1
-    for k in range(len(levels) - 1, -1, -1):
-        x, y = i + length, j + length
-        inside = (x < ends[i]) & (y < ends[j])
-        x, y = np.minimum(x, top), np.minimum(y, top)
-        same = inside & (levels[k][x] == levels[k][y])
-        length += np.where(same, np.minimum(1 << k, ends[i] - x), 0)
-    return length
+    out, top = np.zeros(len(i), np.int64), len(ends) - 1
+    for a in range(0, len(i), PAIRS):
+        x, y = i[a:a + PAIRS], j[a:a + PAIRS]
+        end_x, end_y, first = ends[x], ends[y], x
+        for size, name in reversed(levels):
+            same = (x < end_x) & (y < end_y) & (name[np.minimum(x, top)] == name[np.minimum(y, top)])
+            step = np.where(same, np.minimum(size, end_x - x), 0)
+            x, y = x + step, y + step
+        out[a:a + PAIRS] = x - first
+    return out
 
 
 def nearest_smaller(position: np.ndarray, step: int) -> np.ndarray:
@@ -411,7 +431,7 @@ def longest_previous_factors(data: np.ndarray, ends: np.ndarray, starts: np.ndar
     """The LPF array: for each of the (rising) ``starts`` the length of the longest prefix of its suffix that a smaller
     start has as well. Among smaller positions the nearest ones in suffix order, on either side, share the most."""
     levels = suffix_levels(data, ends)
-    order = starts[np.argsort(levels[-1][starts], kind="stable")]
+    order = suffix_order(levels, ends, starts)
     longest = np.zeros(len(data), np.int64)
     for step in (-1, 1):
         near = nearest_smaller(order, step)

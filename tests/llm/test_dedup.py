@@ -202,9 +202,11 @@ def test_repeated_windows_against_brute_force():
     length = 6
     starts = np.arange(len(data) - length + 1)
     got = suffix.longest_previous_factors(data, np.full(len(data), len(data)), starts) >= length
-    strings = [data[k:k + length].tobytes() for k in range(len(rank))]
+    strings = [data[k:k + length].tobytes() for k in starts]
     assert got.tolist() == [s in strings[:k] for k, s in enumerate(strings)]
-    assert (np.argsort(rank, kind="stable") == sorted(range(len(rank)), key=lambda k: (strings[k], k))).all()
+    ends = np.full(len(data), len(data))
+    order = suffix.suffix_order(suffix.suffix_levels(data, ends), ends, starts)
+    assert order.tolist() == sorted(starts.tolist(), key=lambda k: data[k:].tobytes())
 
 
 @pytest.mark.parametrize("hot", [False, True])
