@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -51,3 +53,43 @@ def test_a_long_text_scores_like_its_pieces(monkeypatch):
     monkeypatch.setattr(langid, "PIECE", 7)
     cut = langid.score_texts(texts, model)
     assert (whole["lang_pred"] == cut["lang_pred"]).all() and np.allclose(whole["score"], cut["score"])
+
+
+def brute_grams(text):
+    """Bucket of every 1- to 3-gram, one at a time: the operator's hash in plain integers."""
+    codes = [ord(c.lower()) if c.isalpha() and len(c.lower()) == 1 else ord(c) if c.isalpha() else 32 for c in text]
+    out = Counter()
+    for n in (1, 2, 3):
+        for k in range(len(codes) - n + 1):
+            h = n
+            for c in codes[k:k + n]:
+                h = (h ^ c) * 0x9E3779B97F4A7C15 % (1 << 64)
+                h ^= h >> 29
+            out[(h >> 20) % langid.BUCKETS] += 1
+    return out
+
+
+def test_counts_and_posteriors_against_brute_force(spark):
+    table = [(i, t, g) for i, t, g, *_ in rows() if i != 13] + [(30 + k, f"{w} straße ist {k} lang", "de") for k, w in enumerate("abcdefgh")]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string").repartition(3)
+    counts, n_docs = {}, Counter()
+    for doc_id, text, lang in table:
+        if doc_id is not None and text is not None and lang is not None and zlib.crc32(str(doc_id).encode()) % 5:
+            counts.setdefault(lang, Counter()).update(brute_grams(text))
+            n_docs[lang] += 1
+    model = langid.learn(docs)
+    assert model.languages == sorted(counts) and len(counts) == 2
+    for k, lang in enumerate(model.languages):
+        total = sum(counts[lang].values()) + 0.5 * langid.BUCKETS
+        want = [math.log((counts[lang][b] + 0.5) / total) for b in range(langid.BUCKETS)]
+        assert np.allclose(model.log_p[:, k], want, rtol=1e-12)
+    # Scores: the sum of each text's own n-grams, by the rule of Bayes.
+    for (_, text, _), pred, score in zip(table, *langid.score_texts([t for _, t, _ in table], model).to_numpy().T):
+        if not any(c.isalpha() for c in text or ""):
+            assert (pred, score) == ("und", 0.0)
+            continue
+        points = [model.log_prior[k] + sum(n * model.log_p[b, k] for b, n in brute_grams(text).items()) for k in range(2)]
+        best = int(np.argmax(points))
+        assert pred == model.languages[best] and abs(score - 1 / sum(math.exp(p - points[best]) for p in points)) < 1e-9
+    share = [n_docs[lang] / sum(n_docs.values()) for lang in model.languages]
+    assert np.allclose(model.log_prior, np.log(share), rtol=1e-12)
