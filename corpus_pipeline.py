@@ -19,7 +19,8 @@ from opinio.session import table_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an identified language go."""
+    """Documents without an identified language go: NULL texts and texts without a letter (``und``), and every text when
+    nothing can be learned because no row has a language. There is no threshold on the score."""
     return langid.keep_identified(docs)
 
 
@@ -34,7 +35,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix to target weights takes them."""
+    """Documents as often as the mix to target weights takes them: weights 5, 2, 1 by source, at most three times; the last
+    document that a source's target reaches counts when at least half of it is taken. Texts without words go."""
     return mix.mixed_documents(docs)
 
 
