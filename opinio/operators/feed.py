@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions import markup
 from opinio.functions.feedtime import parse_feed_time
-from opinio.functions.text import NONE_WORD, unescape_html, utrim
+from opinio.functions.text import NONE_WORD, once, unescape_html, utrim
 from opinio.session import stage
 
 # The markers of a feed item and of its parts.
@@ -121,25 +121,29 @@ GRAM = 3
 
 def _grams(text: Column, sizes: list[int]) -> Column:
     """Distinct pieces of ``sizes`` characters of a text (size 0: the empty piece), the text scanned once."""
-    pieces = F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{GRAM}}}))"), 1))  # the last ones are shorter
-    def heads(n: int) -> Column:
+    def heads(pieces: Column, n: int) -> Column:
         return F.array_distinct(F.transform(pieces, lambda p: F.left(p, F.lit(n)))) if n else F.array(F.lit(""))
 
-    return F.array_distinct(F.concat(pieces, *[heads(n) for n in sizes if n < GRAM]))
+    pieces = F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{GRAM}}}))"), 1))  # the last ones are shorter
+    short = [n for n in sizes if n < GRAM]
+    return once(pieces, lambda p: F.array_distinct(F.concat(p, *[heads(p, n) for n in short]))) if short else pieces
 
 
 def posts_for_requests(posts: DataFrame, reqs: DataFrame) -> DataFrame:
     """Posts of each request's day range, closed at its end, that contain its keyword.
 
     An inverted index on character pieces. A day's posts are cut into their distinct pieces of ``GRAM`` characters
-    and meet the pieces of the day's keywords by an equi-join on (day, piece); what is left is counted, and each
-    keyword of a day is looked up under the one of its pieces that fewest posts have. Keywords shorter than
-    ``GRAM`` are looked up whole among pieces of their own length, an empty keyword under the empty piece. The
-    posts found so are verified by ``contains``. No post meets a request whose rarest piece it lacks; a keyword that
-    several requests of a day share is looked up once.
+    and meet the pieces of the day's keywords by an equi-join on a 64-bit digest of (day, piece); what is left is
+    counted, and each keyword of a day is looked up under the one of its pieces that fewest posts have. Keywords
+    shorter than ``GRAM`` are looked up whole among pieces of their own length, an empty keyword under the empty
+    piece. The posts found so are verified by ``contains``, so equal digests of different pieces do no harm. No post
+    meets a request whose rarest piece it lacks; a keyword that several requests of a day share is looked up once.
+
+    Posts of the days asked for are written once: both the cutting and the verifying read them from there, so the
+    plan that makes the posts runs once and their texts are dealt out once, to be verified.
 
     Requests are exploded to the days they cover and to the day after, of which only posts stamped exactly at its
-    midnight belong to them (the last hour window is closed). Posts are told apart by time and body, so NULL or
+    midnight belong to them (the last hour window is closed). Posts are told apart by a number of their own, so NULL or
     repeated ids do no harm. All columns of the posts, ``day``, ``request_id`` and ``keyword`` come out.
     """
     offset = F.explode(F.sequence(F.lit(0), F.col("days"))).alias("offset")
@@ -152,20 +156,22 @@ def posts_for_requests(posts: DataFrame, reqs: DataFrame) -> DataFrame:
     sizes = sorted(r[0] for r in wanted.select(size).distinct().collect())  # four values at most
     if not sizes:
         return posts.withColumn("day", F.to_date("posted_at")).join(wanted, "day").select(*posts.columns, "day", "request_id", "keyword")
-    terms = wanted.select("day", "keyword").distinct().withColumn("gram", F.explode(F.filter(
+    piece = F.xxhash64("day", "gram").alias("piece")
+    terms = stage(wanted.select("day", "keyword").distinct().withColumn("gram", F.explode(F.filter(
         _grams(F.col("keyword"), sizes), lambda g: F.length(g) == F.least(F.length("keyword"), F.lit(GRAM)))))
+        .select("day", "keyword", piece), "terms")
     keyed = posts.where(F.col("posted_at").isNotNull() & F.col("body").isNotNull()).withColumn("day", F.to_date("posted_at"))
-    keyed = keyed.withColumn("_key", F.xxhash64("posted_at", "body"))
-    # Cutting a text up costs far more than moving it, so posts are dealt out evenly first.
-    found = stage(keyed.select("_key", "day", "body").repartition("_key", "day")
-                  .select("_key", "day", F.explode(_grams(F.col("body"), sizes)).alias("gram"))
-                  .join(terms.select("day", "gram").distinct(), ["day", "gram"]), "found-pieces")
-    counts = found.groupBy("day", "gram").agg(F.count("*").alias("n"))
+    keyed = keyed.join(wanted.select("day").distinct(), "day", "left_semi")
+    # Written rows keep their ids. Texts are numbered as they lie, so that nothing is dealt out for it.
+    keyed = stage(keyed.withColumn("_key", F.monotonically_increasing_id()), "posts-asked")
+    found = stage(keyed.select("_key", "day", F.explode(_grams(F.col("body"), sizes)).alias("gram")).select("_key", piece)
+                  .join(terms.select("piece").distinct(), "piece"), "found-pieces")
+    counts = found.groupBy("piece").agg(F.count("*").alias("n"))
     # a keyword with a piece that no post of the day has is found nowhere; the rest goes under the rarest piece
-    index = (terms.join(counts, ["day", "gram"], "left").groupBy("day", "keyword")
-             .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("rarest"))
-             .where("rarest.n > 0").select("day", "keyword", F.col("rarest.gram").alias("gram")))
-    maybe = found.join(index, ["day", "gram"]).select("_key", "day", "keyword").distinct()
+    index = (terms.join(counts, "piece", "left").groupBy("day", "keyword")
+             .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("rarest"))
+             .where("rarest.n > 0").select("day", "keyword", F.col("rarest.piece").alias("piece")))
+    maybe = found.join(index, "piece").select("_key", "day", "keyword").distinct()
     sure = keyed.join(maybe, ["_key", "day"]).where(F.col("body").contains(F.col("keyword"))).drop("_key")
     midnight = F.col("posted_at") == F.col("day").cast("timestamp_ntz")
     return (sure.join(wanted, ["day", "keyword"]).where(~F.col("only_midnight") | midnight)

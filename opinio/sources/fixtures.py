@@ -60,9 +60,12 @@ def _lit_ts(v: dt.datetime):
 
 # ----------------------------------------------------------------------------- posts
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """posts(post_id, page_no, author, posted_at, posted_raw, via, reposts_raw, comments_raw, likes_raw, body)."""
-    d = tables.documents(spark, sf_dir, "doc_id", "text", "source")
+def posts(spark: SparkSession, sf_dir: str, body=lambda text: text) -> DataFrame:
+    """posts(post_id, page_no, author, posted_at, posted_raw, via, reposts_raw, comments_raw, likes_raw, body).
+
+    ``body`` gives what a caller needs of a text; it is taken before the texts meet the events.
+    """
+    d = tables.documents(spark, sf_dir, "doc_id", "text", "source").withColumn("text", body(F.col("text")))
     e = tables.events(spark, sf_dir, "event_id", "ts")
     j = d.join(e, d.doc_id == e.event_id, "left")  # a document without an event has no time
     at = F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz")
@@ -245,10 +248,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``reply`` is an extractor's JSON answer with the defect of ``request_id % 7``;
     ``text`` is a free-text request in one of four wordings (``request_id % 4``).
     """
-    p = posts(spark, sf_dir).select("post_id", "author", "posted_at", "body")
+    p = posts(spark, sf_dir, body=first_token).select("post_id", "author", "posted_at", "body")
     per = (p.where(F.col("posted_at").isNotNull()).withColumn("day", F.to_date("posted_at"))
            .groupBy("day", "author")
-           .agg(F.min_by(first_token(F.col("body")), F.col("post_id")).alias("kw"),
+           .agg(F.min_by(F.col("body"), F.col("post_id")).alias("kw"),
                 F.min("posted_at").alias("requested_at")))
     # 60 bits of a digest of (day, author), whatever the author's name looks like
     key = F.concat_ws("|", F.date_format("day", "yyyy-MM-dd"), F.coalesce("author", F.lit("")))

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from opinio.operators import feed, labelers, merge, numbering, replies, report
 from opinio.operators.conversations import conversation_history
-from opinio.sources import files
+from opinio.sources import files, fixtures
 from opinio.streaming import jobs, state
+from tests.conftest import SF_SMALL
 
 
 def test_merge_labels_null_safe_and_duplicates(spark):
@@ -282,6 +283,31 @@ def test_keywords_are_found_through_their_rarest_piece(spark):
     assert none.count() == 0 and none.columns == got.columns
 
 
+def test_posts_are_made_and_cut_once(spark):
+    """The plan behind the posts runs once, whatever the keywords' lengths; only what was written of it is read again."""
+    made = spark.sparkContext.accumulator(0)
+
+    def rows(k):
+        made.add(1)
+        return k, dt.datetime(2024, 1, 1 + k % 3, 12), f"post {k} on the thing number{k % 4}"
+
+    posts = spark.createDataFrame(spark.sparkContext.parallelize(range(60), 3).map(rows), "post_id long, posted_at timestamp_ntz, body string")
+    reqs = [(r, kw, dt.date(2024, 1, 1), 1) for r, kw in enumerate(["number1", "th", "1", "", "thing number9"])]
+    got = feed.posts_for_requests(posts, spark.createDataFrame(reqs, "request_id long, keyword string, start_date date, days int"))
+    day = [k for k in range(60) if k % 3 == 0]
+    want = {(r, k) for r, kw, *_ in reqs for k in day if kw in f"post {k} on the thing number{k % 4}"}
+    found = [tuple(x) for x in got.select("request_id", "post_id").collect()]
+    assert len(found) == len(want) and set(found) == want
+    assert made.value == 60
+    assert "ExistingRDD" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_requests_move_first_tokens_only(spark):
+    """The builder of the requests takes a text's first token before the texts meet the events."""
+    plan = fixtures.requests(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("lower(text")
+
+
 def test_reports_with_absent_sections(spark):
     events = spark.createDataFrame([(1, "#a#"), (2, "#b#")], "request_id long, event_keyword string")
     given = spark.createDataFrame([(1, "text")], "request_id long, text string")
