@@ -26,8 +26,10 @@ def q_src_posts_csv(spark, sf_dir):
 
 
 def _aligned(spark, sf_dir):
-    e = fixtures.entries(spark, sf_dir)
-    return stage(replies.align_labels(e, replies.parse_replies(fixtures.replies(e))), "aligned")
+    """The labels of both kinds with their bodies, which join at the end and are dealt out once."""
+    e = fixtures.entry_rows(spark, sf_dir)
+    labels = stage(replies.align_labels(e.rows, replies.parse_replies(fixtures.replies(e.rows)), "_row"), "labels")
+    return stage(labels.join(e.bodies, "_row").drop("_row"), "aligned")
 
 
 @query("src_label_csv")

@@ -174,17 +174,22 @@ def entry_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @dataclass
 class EntryRows:
     rows: DataFrame    # run_id, chunk_id, entry_no, post_id, body_key, sentiment, topics_arr, _row
-    bodies: DataFrame  # _row, body
+    bodies: DataFrame  # _row (once each), body
 
 
 def entry_rows(spark: SparkSession, sf_dir: str) -> EntryRows:
     """The entries without their bodies, which ``body_key`` (a digest) stands for, and the bodies beside them.
 
-    The source tables are read and labelled once, and bodies are written once; only the post ids are numbered.
+    The documents are read and labelled once, and bodies are written once. Only ids meet the events (a document is as many
+    posts as it has events, one without any) and are numbered; posts of one document share its ``_row``.
     """
-    src = labelled_posts(spark, sf_dir).select("post_id", "body", F.sha2("body", 256).alias("body_key"), "sentiment", "topics_arr")
+    d = tables.documents(spark, sf_dir, "doc_id", "text").select(F.col("doc_id").alias("post_id"), F.col("text").alias("body"))
+    src = (label_posts(d, lexicon(spark), taxonomy(spark), "body")
+           .select("post_id", "body", F.sha2("body", 256).alias("body_key"), "sentiment", "topics_arr"))
     src = stage(src.withColumn("_row", F.monotonically_increasing_id()), "labelled-posts")
-    numbers = chunk_rows(src.select("post_id", "_row"), ["post_id"], 10).drop("post_id")
+    e = tables.events(spark, sf_dir, "event_id")
+    posts_of = stage(src.select("post_id", "_row").join(e, F.col("post_id") == e.event_id, "left").drop("event_id"), "post-ids")
+    numbers = chunk_rows(posts_of, ["post_id"], 10).drop("post_id")
     rows = stage(src.drop("body").join(numbers, "_row").select(F.lit(RUN_ID).alias("run_id"), "chunk_id", "entry_no", "post_id",
                                                                "body_key", "sentiment", "topics_arr", "_row"), "entries")
     return EntryRows(rows, src.select("_row", "body"))

@@ -308,6 +308,27 @@ def test_requests_move_first_tokens_only(spark):
     assert plan.index("Join") < plan.index("lower(text")
 
 
+def _tables(spark, root, docs, events):
+    for name, rows, schema in (("documents", docs, "doc_id long, text string, lang string, source string, n_chars long"),
+                               ("events", events, "event_id long, ts timestamp_ntz")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/{name}.parquet")
+    return str(root)
+
+
+def test_entries_of_documents_with_several_events(spark, tmp_path):
+    """Bodies lie once per document, whatever number of events it has; every post is an entry of its own."""
+    docs = [(1, "was it", "en", "a", 6), (2, None, "en", "b", 0), (None, "der x", "de", "a", 5), (1, "are from", "en", "c", 8)]
+    events = [(1, dt.datetime(2024, 1, 1)), (1, dt.datetime(2024, 1, 2)), (None, dt.datetime(2024, 1, 3)), (9, dt.datetime(2024, 1, 4))]
+    root = _tables(spark, tmp_path, docs, events)
+    e = fixtures.entry_rows(spark, root)
+    assert e.bodies.count() == len(docs) == e.bodies.select("_row").distinct().count()
+    got = fixtures.entries(spark, root).collect()
+    assert sorted((x.chunk_id, x.entry_no) for x in got) == [(0, k) for k in range(1, 7)]
+    want = [(1, "was it", "positive", ["t_it"])] * 2 + [(1, "are from", "negative", ["t_from"])] * 2
+    want += [(2, None, "neutral", []), (None, "der x", "negative", [])]
+    assert sorted(map(repr, want)) == sorted(repr((x.post_id, x.body, x.sentiment, x.topics_arr)) for x in got)
+
+
 def test_reports_with_absent_sections(spark):
     events = spark.createDataFrame([(1, "#a#"), (2, "#b#")], "request_id long, event_keyword string")
     given = spark.createDataFrame([(1, "text")], "request_id long, text string")
