@@ -12,8 +12,12 @@ from opinio.session import scratch_path, stage
 from opinio.sources import files, fixtures, tables
 
 
+def _with_via(posts):
+    return posts.withColumn("via", F.coalesce("via", F.lit("无")))
+
+
 def _posts_csv_rows(spark, sf_dir):
-    p = fixtures.posts(spark, sf_dir).withColumn("via", F.coalesce("via", F.lit("无")))
+    p = _with_via(fixtures.posts(spark, sf_dir))
     return files.to_csv_columns(p, files.POST_COLUMNS)
 
 
@@ -106,11 +110,15 @@ def q_sink_append_posts(spark, sf_dir):
     each written again; read back."""
     path = scratch_path(spark, "posts-append")
     third = F.coalesce(F.expr("hour(posted_at) div 8").cast("string"), F.lit("none"))
-    p = fixtures.posts(spark, sf_dir).withColumn("via", F.coalesce("via", F.lit("无")))
-    runs = [("table", p, third), ("feed", feed.extract_posts(fixtures.raw_pages(spark, sf_dir)), (F.col("page_id") % 2).cast("string"))]
-    for run, rows, part in runs:
-        csv = [F.col(internal).alias(header) for header, internal in files.POST_COLUMNS]
-        _append_parts(stage(rows.select(*csv, F.lit(run).alias("run_id"), part.alias("part_id")), f"append-{run}"), path)
+    posts = stage(fixtures.posts(spark, sf_dir), "posts")  # both runs read them
+
+    def owned(rows, run, part):
+        return rows.select(*[F.col(internal).alias(header) for header, internal in files.POST_COLUMNS],
+                           F.lit(run).alias("run_id"), part.alias("part_id"))
+
+    _append_parts(owned(_with_via(posts), "table", third), path)
+    feed_rows = owned(feed.extract_posts(fixtures.pages_of(posts)), "feed", (F.col("page_id") % 2).cast("string"))
+    _append_parts(stage(feed_rows, "append-feed"), path)  # extracted once
     return files.read_csv(spark, path, _owned(files.POSTS_CSV_SCHEMA))
 
 

@@ -144,7 +144,12 @@ def feed_item_html(p: DataFrame) -> DataFrame:
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_pages(page_id, keyword, win_start, win_end, page_no, fetched_at, html): ten posts a page."""
-    items = feed_item_html(posts(spark, sf_dir)).withColumn("page_id", F.floor(F.col("post_id") / 10).cast("long"))
+    return pages_of(posts(spark, sf_dir))
+
+
+def pages_of(p: DataFrame) -> DataFrame:
+    """The ``raw_pages`` of the given posts."""
+    items = feed_item_html(p).withColumn("page_id", F.floor(F.col("post_id") / 10).cast("long"))
     pages = items.groupBy("page_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("post_id", "item"))), lambda x: x["item"]), "")
         .alias("body"))

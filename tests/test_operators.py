@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from opinio.operators import feed, labelers, merge, numbering, replies, report
 from opinio.operators.conversations import conversation_history
+from opinio.plans import q_io
 from opinio.sources import files, fixtures
 from opinio.streaming import jobs, state
 from tests.conftest import SF_SMALL
@@ -329,6 +330,19 @@ def test_entries_of_documents_with_several_events(spark, tmp_path):
     assert sorted(map(repr, want)) == sorted(repr((x.post_id, x.body, x.sentiment, x.topics_arr)) for x in got)
 
 
+def test_both_runs_of_the_post_sink_read_one_set_of_posts(spark, tmp_path, monkeypatch):
+    made = []
+    posts = fixtures.posts
+    monkeypatch.setattr(fixtures, "posts", lambda *args, **kw: made.append(1) or posts(*args, **kw))
+    docs = [(k, None if k == 3 else f"text {k}", "en", "a", 6) for k in range(12)]
+    root = _tables(spark, tmp_path, docs, [(k, dt.datetime(2024, 1, 1, 2 * k)) for k in range(10)])
+    # the post without a text is no item of a page
+    got = q_io.q_sink_append_posts(spark, root).groupBy("run_id", "part_id").count().collect()
+    assert len(made) == 1
+    assert {(x["run_id"], x["part_id"]): x["count"] for x in got} == {
+        ("table", "0"): 4, ("table", "1"): 4, ("table", "2"): 2, ("table", "none"): 2, ("feed", "0"): 9, ("feed", "1"): 2}
+
+
 def test_reports_with_absent_sections(spark):
     events = spark.createDataFrame([(1, "#a#"), (2, "#b#")], "request_id long, event_keyword string")
     given = spark.createDataFrame([(1, "text")], "request_id long, text string")
