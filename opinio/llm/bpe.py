@@ -2,7 +2,7 @@
 
 A text is cut at the special tokens and at white space. Every chunk not seen before is normalised
 (NFC, lower case), split by the vocabulary's pattern into words and put, as symbol ids, into one
-flat array with the other new words of the batch. A round looks up all adjacent pairs at once by
+flat array with the other new words of the batch. A round looks up all new adjacent pairs at once by
 binary search over the sorted pair keys, takes the lowest rank of each word and merges it wherever
 it stands in that word; words without a known pair leave the array. Known chunks are a dictionary
 look-up, and the ids of a batch are gathered from one flat table.
@@ -100,18 +100,23 @@ def merge_words(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarr
     sym, word = v.middle[data], np.repeat(np.arange(len(words)), lengths)
     ends = np.cumsum(lengths) - 1
     sym[ends] = v.last[data[ends]]
+
+    def look_up(left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the pairs whose left symbols stand there, and what they merge to; a word's last symbol has no pair."""
+        right = np.minimum(left + 1, len(sym) - 1)
+        key = sym[left] * len(v.names) + sym[right]
+        at = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
+        known = (v.keys[at] == key) & (word[left] == word[right]) & (left < right)
+        return np.where(known, v.ranks[at], _NO_RANK), v.merged[at]
+
+    rank, merged = look_up(np.arange(len(sym)))
     done_sym, done_word = [], []
     while len(sym):
         starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-        key = sym * len(v.names)
-        key[:-1] += sym[1:]
-        at = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
-        known = v.keys[at] == key
-        known[np.r_[starts[1:], len(sym)] - 1] = False  # the last symbol of a word has no right neighbour
-        rank = np.where(known, v.ranks[at], _NO_RANK)
         best = np.minimum.reduceat(rank, starts)
         count = np.diff(np.r_[starts, len(sym)])
-        hit = known & (rank == np.repeat(best, count))
+        finished = np.repeat(best == _NO_RANK, count)
+        hit = (rank == np.repeat(best, count)) & ~finished
         if not v.ordered:  # one merge per word and round
             first = np.flatnonzero(hit)
             hit[:] = False
@@ -122,13 +127,16 @@ def merge_words(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarr
             new_run = np.r_[True, (pos[1:] != pos[:-1] + 1) | (word[pos[1:]] != word[pos[:-1]])]
             run_start = pos[np.flatnonzero(new_run)][np.cumsum(new_run) - 1]
             pos = pos[(pos - run_start) % 2 == 0]
-        sym[pos] = v.merged[at[pos]]
-        finished = np.repeat(best == _NO_RANK, count)
+        sym[pos] = merged[pos]
         done_sym.append(sym[finished])
         done_word.append(word[finished])
         keep = ~finished
         keep[pos + 1] = False
-        sym, word = sym[keep], word[keep]
+        sym, word, rank, merged = sym[keep], word[keep], rank[keep], merged[keep]
+        # Only the pairs that a merged symbol is part of are new.
+        new = (np.cumsum(keep) - 1)[pos]
+        for left in (new, new[new > 0] - 1):
+            rank[left], merged[left] = look_up(left)
     ids, word = np.concatenate([*done_sym, sym]), np.concatenate([*done_word, word])
     return ids[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
 
@@ -145,6 +153,19 @@ def _gather(flat: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np
     return flat[np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], size
 
 
+class Numbers(dict):
+    """Numbers chunks as they are first asked for; ``new`` lists those numbered since it was last emptied."""
+
+    def __init__(self, known: dict[str, int]) -> None:
+        super().__init__(known)
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        self.new.append(chunk)
+        return number
+
+
 class Encoder:
     """Encodes batches of texts; remembers the chunks it has seen."""
 
@@ -156,7 +177,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known = {s: k for k, s in enumerate(self.v.special)}
+        self.known = Numbers({s: k for k, s in enumerate(self.v.special)})
         self.flat = np.array(list(self.v.special.values()), dtype=np.int32)
         self.offsets = np.arange(len(self.known) + 1, dtype=np.int64)
 
@@ -199,11 +220,12 @@ class Encoder:
             some = self._chunks(text)
             chunks += some
             lengths.append(len(some))
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if new:
-            known.update(zip(new, range(len(known), len(known) + len(new))))
+        # One look at each chunk: the table numbers those that it does not know yet.
+        rows = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+        if known.new:
+            new, known.new = known.new, []
             self._learn(new)
-        ids, size = _gather(self.flat, self.offsets, np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks)))
+        ids, size = _gather(self.flat, self.offsets, rows)
         return np.split(ids, np.r_[0, np.cumsum(size)][np.cumsum(lengths)][:-1])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:

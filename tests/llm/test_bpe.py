@@ -6,6 +6,7 @@ import hashlib
 import random
 import unicodedata
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -71,3 +72,16 @@ def test_operator_on_awkward_rows(spark, library, vocabulary):
                      hashlib.sha256(decoded.encode()).hexdigest()))
     assert got == sorted(want, key=str)
     assert bpe.bpe(no_documents(spark), vocabulary).count() == 0
+
+
+def test_rounds_look_up_new_pairs_only(monkeypatch):
+    """Every position once, then the two pairs that a merge makes; known chunks keep their numbers."""
+    v, looked = bpe.load(PATH), []
+    words = [w.encode() for w in ("representation", "aaaaaaa", "internationalisation", "q")] * 50
+    search = np.searchsorted
+    monkeypatch.setattr(bpe.np, "searchsorted", lambda keys, x: looked.append(len(x)) or search(keys, x))
+    ids, counts = bpe.merge_words(words, v)
+    size = sum(map(len, words))
+    assert sum(looked) <= size + 2 * (size - len(ids))
+    numbers = bpe.Numbers({"a": 0})
+    assert [numbers[c] for c in ("b", "a", "c", "b")] == [1, 0, 2, 1] and numbers.new == ["b", "c"]
