@@ -32,6 +32,8 @@ from opinio.llm.bpe import SEGMENT_CHARS, Encoder, Vocabulary
 from opinio.llm.common import RowIds, stage
 
 CAPACITY, CLOSING = 4096, 1
+#: Characters that are encoded and cut together, about.
+BATCH_CHARS = 4 * SEGMENT_CHARS
 #: Pieces that are placed together, on average; groups of a round that become one; tokens that a closed sequence may lack.
 GROUP_PIECES, FAN_IN, SLACK = 8192, 16, 32
 _NEVER = np.int32(1 << 30)
@@ -45,28 +47,40 @@ class Packed:
     places: DataFrame  # row, sequence_id, offset
 
 
+def cut(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document (from 0), number in it, start and length of every piece of documents of these sizes (1 at least)."""
+    pieces = -(-sizes // capacity)
+    doc = np.repeat(np.arange(len(sizes)), pieces)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    start = piece * capacity
+    return doc, piece, start, np.minimum(capacity, sizes[doc] - start)
+
+
 def cut_documents(docs: DataFrame, vocabulary: Vocabulary, capacity: int = CAPACITY, closing: int = CLOSING) -> DataFrame:
     """The pieces of every document, with their ids as little-endian uint32."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, rows = Encoder(shared.value), RowIds()
+        names = [c.split()[0] for c in PIECES.split(", ")]
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, texts = batch.column(0), batch.column(1).to_pylist()
             a = 0
             while a < len(texts):
                 b, chars = a, 0
-                while b < len(texts) and (b == a or chars < SEGMENT_CHARS):
+                while b < len(texts) and (b == a or chars < BATCH_CHARS):
                     chars += len(texts[b] or "")
                     b += 1
-                out: list[tuple] = []
-                for key, ids in zip(keys[a:b], encoder.encode(texts[a:b])):
-                    ids = np.append(ids, closing).astype("<u4")
-                    out += [(rows.take(), key, k, at, len(ids[at:at + capacity]), ids[at:at + capacity].tobytes())
-                            for k, at in enumerate(range(0, len(ids), capacity))]
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-                names = [c.split()[0] for c in PIECES.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                ids, counts = encoder.encode_flat(texts[a:b])
+                doc, piece, start, length = cut(counts + 1, capacity)
+                offsets = np.r_[0, np.cumsum(length)]
+                closed = np.insert(ids, np.cumsum(counts), closing).astype("<u4")
+                row = rows.take(len(doc)) + np.arange(len(doc))
+                binary = pa.Array.from_buffers(pa.binary(), len(doc), [
+                    None, pa.array(4 * offsets, pa.int32()).buffers()[1], pa.py_buffer(closed)])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(row, pa.int64()), keys.slice(a, b - a).take(pa.array(doc)), pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()), pa.array(length, pa.int64()), binary], names=names)
                 a = b
 
     return docs.mapInArrow(run, PIECES)

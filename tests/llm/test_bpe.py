@@ -85,3 +85,31 @@ def test_rounds_look_up_new_pairs_only(monkeypatch):
     assert sum(looked) <= size + 2 * (size - len(ids))
     numbers = bpe.Numbers({"a": 0})
     assert [numbers[c] for c in ("b", "a", "c", "b")] == [1, 0, 2, 1] and numbers.new == ["b", "c"]
+
+
+def test_words_are_merged_once(monkeypatch, vocabulary):
+    """A word is learned once, whatever stands around it; only words go to the merge rounds."""
+    merged, merge = [], bpe.merge_words
+    monkeypatch.setattr(bpe, "merge_words", lambda words, v: merged.extend(words) or merge(words, v))
+    encoder = bpe.Encoder(vocabulary)
+    for text in ("alpha beta", "(alpha), Beta! alpha's", "alpha;beta 12 beta's"):
+        encoder.encode([text])
+    assert sorted(merged) == sorted({b"alpha", b"beta", b"(", b"),", b"!", b"'s", b";", b"1", b"2"})
+
+
+def test_kinds_of_characters_and_the_pattern_give_the_same_words(library, vocabulary):
+    r = random.Random(3)
+    short = ["'", "'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "s", "l", "e", "\u00e9", "\u0301", "7", "\u0663", "\U0001d7d8", " ", "\u2003", "\u4e2d", "-", "\u0130"]
+    texts = ["".join(r.choices(short, k=30)) for _ in range(500)] + odd_texts()
+    by_pattern = bpe.load(PATH)
+    by_pattern.kinds = None
+    want = [w.ids for w in library.encode_batch(texts, add_special_tokens=False)]
+    assert [g.tolist() for g in bpe.Encoder(vocabulary).encode(texts)] == want
+    assert [g.tolist() for g in bpe.Encoder(by_pattern).encode(texts)] == want
+
+
+def test_special_tokens_inside_texts(library, vocabulary):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "", "x", "<|startoftext|><|endoftext|> y <|startoftext|>", None]
+    got = bpe.Encoder(vocabulary).encode(texts)
+    assert [g.tolist() for g in got] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert bpe.Encoder(vocabulary).encode_flat([])[0].tolist() == []

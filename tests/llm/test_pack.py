@@ -55,6 +55,12 @@ def test_pieces_and_places(spark, vocabulary, capacity):
     assert len({r["sequence_id"] for r in got}) <= full * 1.05 + 1
 
 
+def test_cut_of_sizes():
+    sizes = np.array([1, 4, 5, 8, 13])
+    want = [(d, k, at, min(4, n - at)) for d, n in enumerate(sizes.tolist()) for k, at in enumerate(range(0, n, 4))]
+    assert list(zip(*(x.tolist() for x in pack.cut(sizes, 4)))) == want
+
+
 def test_sequences_hold_their_pieces(spark, vocabulary):
     packed = pack.pack(documents(spark), vocabulary, capacity=64)
     whole = {r["sequence_id"]: bytes(r["ids"]) for r in pack.sequences(packed).collect()}
